@@ -105,7 +105,7 @@ WORDS_SQL = """CASE WHEN {l} = '' THEN ['']
      WHEN rtrim({l}, ' ') = '' THEN []::VARCHAR[]
      ELSE string_split(rtrim({l}, ' '), ' ') END"""
 
-TOKENS_SQL = "list_filter(regexp_split_to_array(lower({l}), '[^\\p{{L}}\\p{{N}}]+'), t -> t <> '')"
+TOKENS_SQL = "list_filter(regexp_split_to_array(lower({l}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')"
 
 
 def _with(body: str, *ctes: tuple[str, str]) -> str:
@@ -374,7 +374,7 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT path, \"offset\", line FROM l WHERE list_contains({_TOK}, '{SEARCH_TERM}')",
         ("l", DOC_LINES_SQL)),
     "search_prefix_me": _with(
-        f"SELECT path, \"offset\", line FROM l WHERE len(list_filter({_TOK}, t -> starts_with(t, 'me'))) > 0",
+        f"SELECT path, \"offset\", line FROM l WHERE len(list_filter({_TOK}, lambda t: starts_with(t, 'me'))) > 0",
         ("l", DOC_LINES_SQL)),
     "search_total": _with("SELECT source AS index, count(*) AS total FROM l GROUP BY source",
                           ("l", DOC_LINES_SQL)),

@@ -18,9 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.arrow_udf("array<bigint>")
+@F.arrow_udf(T.ArrayType(T.LongType()))
 def exclusive_prefix_sums(lengths: pa.Array) -> pa.Array:
     """Per list: ``[0, l0, l0+l1, ...]`` (same length as the input list)."""
     if isinstance(lengths, pa.ChunkedArray):
