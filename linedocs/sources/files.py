@@ -83,6 +83,15 @@ def _offset_in_split(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) ->
         carried = int(local[size - 1] + nv[size - 1])
 
 
+def record_columns(df: DataFrame) -> DataFrame:
+    """The columns the offset recipe needs, from a batch or streaming text read."""
+    return df.select(
+        F.col("value").alias("_rec"),
+        F.col("_metadata.file_path").alias("_fp"),
+        F.col("_metadata.file_block_start").alias("_blk"),
+        F.col("_metadata.file_size").alias("_fsize"))
+
+
 @dataclass
 class TextFiles:
     """A set of text files, read as attributed lines."""
@@ -92,19 +101,18 @@ class TextFiles:
     recursive: bool = True
     glob_filter: str | None = None
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    records: DataFrame | None = None  # pre-read records (a stream micro-batch)
     _splits: DataFrame | None = None
 
     def _records(self) -> DataFrame:
+        if self.records is not None:
+            return self.records
         r = self.spark.read.option("lineSep", "\n")
         if self.recursive:
             r = r.option("recursiveFileLookup", "true")
         if self.glob_filter:
             r = r.option("pathGlobFilter", self.glob_filter)
-        return r.text(self.paths).select(
-            F.col("value").alias("_rec"),
-            F.col("_metadata.file_path").alias("_fp"),
-            F.col("_metadata.file_block_start").alias("_blk"),
-            F.col("_metadata.file_size").alias("_fsize"))
+        return record_columns(r.text(self.paths))
 
     @staticmethod
     def _has_cr(rec: Column) -> Column:
@@ -166,8 +174,10 @@ class TextFiles:
         inner = F.when(F.col("_k") == 0, F.lit(0).cast("bigint")).otherwise(
             F.aggregate(F.slice("_parts", 1, F.col("_k")), F.lit(0).cast("bigint"),
                         lambda a, x: a + F.octet_length(x) + 1))
-        raw_off = F.col("_base") + F.col("_local") + inner
-        off = F.when(raw_off > 0, raw_off + F.col("_bom")).otherwise(raw_off)
+        # a skipped BOM shifts every line of its file except the very first
+        not_first = (F.col("_base") + F.col("_local") > 0) | (F.col("_k") > 0)
+        off = (F.col("_base") + F.col("_local") + inner
+               + F.when(not_first, F.col("_bom")).otherwise(F.lit(0)))
         return ex.select(decode_file_uri(F.col("_fp")).alias("path"),
                          off.cast("bigint").alias("offset"), "line")
 
@@ -191,3 +201,12 @@ def read_plain_lines(spark: SparkSession, paths: str | list[str], recursive: boo
         r = r.option("recursiveFileLookup", "true")
     return r.text(split_list(paths)).select(
         decode_file_uri(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("line"))
+
+
+def lines_of_records(records: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Attributed lines of already-read records (see ``record_columns``).
+
+    Used on a micro-batch of the streaming text source: a file arrives whole
+    in one batch, so its offsets are exact.
+    """
+    return TextFiles(records.sparkSession, [], broadcast_rows=broadcast_rows, records=records).lines()
