@@ -54,7 +54,8 @@ def java_split_space(line) -> Column:
     ``""`` gives ``[""]`` and an all-space line gives ``[]``.
     """
     s = _c(line)
-    trimmed = F.regexp_replace(s, r" +\z", "")
+    # the regex runs only on lines that end in a space (rare in prose)
+    trimmed = F.when(s.endswith(" "), F.regexp_replace(s, r" +\z", "")).otherwise(s)
     return (F.when(s == "", F.array(F.lit("")))
              .when(trimmed == "", F.array().cast("array<string>"))
              .otherwise(F.split(trimmed, " ", -1)))
@@ -89,30 +90,56 @@ def decode_file_uri(uri) -> Column:
 
 
 # ---------------------------------------------------------------------------
-# FN5 date detection.  Fixed list of (pattern, Spark datetime format); the
-# first pattern that matches anywhere in the line wins.  Normalised output is
-# ISO-8601 ``yyyy-MM-dd'T'HH:mm:ss``; no match gives null.
+# FN5 date detection (our own choice of formats; the original leaves it as a
+# to-do).  The leftmost date-like text in the line is found with ONE regex
+# pass; at one position the longer forms are tried first.  The match is then
+# classified by its length and separator characters, and parsed with the one
+# matching format (so each row pays one scan and at most one parse).  An
+# impossible date (month 13) gives null, as does a line without a date.
+# Normalised output is ISO-8601 ``yyyy-MM-dd'T'HH:mm:ss``.
 # ---------------------------------------------------------------------------
 DATE_FORMATS = [
-    (r"(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2})", "yyyy-MM-dd'T'HH:mm:ss"),
-    (r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})", "yyyy-MM-dd HH:mm:ss"),
-    (r"(\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})", "yyyy/MM/dd HH:mm:ss"),
-    (r"(\d{2}/[A-Z][a-z]{2}/\d{4}:\d{2}:\d{2}:\d{2})", "dd/MMM/yyyy:HH:mm:ss"),
-    (r"(\d{4}-\d{2}-\d{2})", "yyyy-MM-dd"),
+    ("iso_t", r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}", "yyyy-MM-dd'T'HH:mm:ss"),
+    ("iso_space", r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", "yyyy-MM-dd HH:mm:ss"),
+    ("slashes", r"\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}", "yyyy/MM/dd HH:mm:ss"),
+    ("access_log", r"\d{2}/[A-Z][a-z]{2}/\d{4}:\d{2}:\d{2}:\d{2}", "dd/MMM/yyyy:HH:mm:ss"),
+    ("date_only", r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"),
 ]
+DATE_PATTERN = "(?:" + "|".join(p for _, p, _ in DATE_FORMATS) + ")"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
 
+def _date_kind(found: Column) -> dict[str, Column]:
+    n = F.length(found)
+    sep5, sep11 = F.substring(found, 5, 1), F.substring(found, 11, 1)
+    return {
+        "iso_t": (n == 19) & (sep11 == "T"),
+        "iso_space": (n == 19) & (sep5 == "-"),
+        "slashes": (n == 19) & (sep5 == "/"),
+        "access_log": n == 20,
+        "date_only": n == 10,
+    }
+
+
+def _parse_found(found: Column) -> Column:
+    kinds = _date_kind(found)
+    parsed = None
+    for name, _, fmt in DATE_FORMATS:
+        branch = F.try_to_timestamp(found, F.lit(fmt))
+        parsed = F.when(kinds[name], branch) if parsed is None else parsed.when(kinds[name], branch)
+    return F.to_timestamp_ntz(parsed)
+
+
 def event_time(line) -> Column:
-    """First parseable date in the line as ``timestamp_ntz`` (null if none)."""
-    s = _c(line)
-    candidates = []
-    for pattern, fmt in DATE_FORMATS:
-        found = F.regexp_extract(s, pattern, 1)
-        candidates.append(
-            F.when(found != "", F.try_to_timestamp(found, F.lit(fmt)))
-        )
-    return F.to_timestamp_ntz(F.coalesce(*candidates))
+    """First date in the line as ``timestamp_ntz`` (null if none).
+
+    The regex runs once per row: its match is bound to a lambda variable
+    (``transform`` over a one-element array) and every later test reads that
+    variable.  Without the binding, an optimizer rule that inlines the
+    expression into a filter would repeat the regex for every reference.
+    """
+    found = F.regexp_extract(_c(line), DATE_PATTERN, 0)
+    return F.element_at(F.transform(F.array(found), _parse_found), 1)
 
 
 def detect_date(line) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import detect_date, event_time, strip_scheme_host, strip_scheme_prefix
+from ..functions.text import ISO_FORMAT, detect_date, event_time, strip_scheme_host, strip_scheme_prefix
 
 OFFSET_DOC = T.StructType([
     T.StructField("path", T.StringType()),
@@ -93,7 +93,10 @@ def dated_documents(df: DataFrame) -> DataFrame:
 
 def dated_documents_typed(df: DataFrame) -> DataFrame:
     """DOC5 plus a typed ``event_time`` column for range queries (RET7)."""
-    return dated_documents(df).withColumn("event_time", event_time(F.col("line")))
+    ts = event_time(F.col("line"))
+    return df.select(strip_scheme_host("path").alias("path"),
+                     F.col("offset").cast("bigint").alias("offset"),
+                     F.date_format(ts, ISO_FORMAT).alias("date"), "line", ts.alias("event_time"))
 
 
 def stream_line_documents(df: DataFrame, value_col: str = "value") -> DataFrame:

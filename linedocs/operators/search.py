@@ -60,7 +60,7 @@ def in_index(docs: DataFrame, index: str, doc_type: str | None = None) -> DataFr
 
 
 def time_range(docs: DataFrame, start, end, ts_col: str = "event_time") -> DataFrame:
-    """RET7: documents whose detected time lies in [start, end)."""
-    c = F.col(ts_col)
+    """RET7: documents whose detected time lies in [start, end] (inclusive,
+    like SQL BETWEEN, which also evaluates the time expression only once)."""
     t = docs.schema[ts_col].dataType.simpleString()
-    return docs.filter((c >= F.lit(start).cast(t)) & (c < F.lit(end).cast(t)))
+    return docs.filter(F.col(ts_col).between(F.lit(start).cast(t), F.lit(end).cast(t)))

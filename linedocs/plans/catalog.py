@@ -19,7 +19,7 @@ from ..functions.text import safe_name, strip_scheme_host, strip_scheme_prefix
 from ..operators import counts, documents, search
 from ..sinks import writers
 from ..session import work_dir
-from ..sources.stored import explode_lines
+from ..sources.stored import explode_lines, spread
 
 SEARCH_TERM = "the"
 SEARCH_PREFIX = "me*"
@@ -68,7 +68,7 @@ def _event_line(ev: DataFrame) -> DataFrame:
                                                F.lit("] "), et, F.lit(" "), props))
              .when(et == "error", F.concat_ws(" ", F.date_format(ts, "yyyy-MM-dd"), et, props))
              .otherwise(F.concat_ws(" ", et, props)))
-    return ev.select(F.concat(F.lit("/events/"), F.col("user_id").cast("string")).alias("path"),
+    return spread(ev).select(F.concat(F.lit("/events/"), F.col("user_id").cast("string")).alias("path"),
                      F.col("event_id").alias("offset"), line.alias("line"))
 
 
@@ -161,7 +161,7 @@ def q_dated_lines(spark, sf):
 
 
 def q_date_range(spark, sf):
-    """RET7: dated documents whose detected time is in [RANGE_START, RANGE_END)."""
+    """RET7: dated documents whose detected time is in [RANGE_START, RANGE_END]."""
     ev = documents.dated_documents_typed(_event_line(table(spark, sf, "events")))
     return search.time_range(ev, RANGE_START, RANGE_END).drop("event_time")
 
@@ -338,8 +338,8 @@ ORACLE_SQL: dict[str, str] = {
         ("ev", EVENT_LINES_SQL)),
     "dated_lines": _with(_DATED, ("ev", EVENT_LINES_SQL)),
     "date_range": _with(
-        _DATED + f" WHERE CAST(date AS TIMESTAMP) >= TIMESTAMP '{RANGE_START}' "
-                 f"AND CAST(date AS TIMESTAMP) < TIMESTAMP '{RANGE_END}'",
+        _DATED + f" WHERE CAST(date AS TIMESTAMP) BETWEEN TIMESTAMP '{RANGE_START}' "
+                 f"AND TIMESTAMP '{RANGE_END}'",
         ("ev", EVENT_LINES_SQL)),
     "stream_dated_lines": _with("SELECT date, line FROM ev", ("ev", EVENT_LINES_SQL)),
     "word_frequency": _with(

@@ -43,6 +43,22 @@ def split_lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a narrow input at least one partition per core.
+
+    A table stored as a few large row groups scans as a few tasks, and all
+    the per-line work after it would run on those few cores.  When the scan
+    has fewer partitions than the cluster has cores, a round-robin
+    repartition (one shuffle of the input rows) spreads the rows.  A large
+    table already scans as many more partitions than cores and is left
+    untouched, so no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def explode_lines(df: DataFrame, text_col: str = "text", keep: list[str] | None = None,
                   line_no: bool = False) -> DataFrame:
     """One row per line: ``keep`` columns + [line_no] + offset + line.
@@ -51,6 +67,7 @@ def explode_lines(df: DataFrame, text_col: str = "text", keep: list[str] | None
     same number a line reader gives for a file holding that text.
     """
     keep = list(keep or [])
+    df = spread(df)
     arr = df.select(*keep, split_lines(F.col(text_col)).alias("_lines"))
     arr = arr.select(
         *keep, "_lines",

@@ -67,3 +67,4 @@ def test_search_operators(spark):
     dated = docs.withColumn("event_time", F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"))
     assert S.time_range(dated, "2024-01-01", "2024-01-06").count() == 3
     assert S.time_range(dated, "2024-01-06", "2024-01-07").count() == 0
+    assert S.time_range(dated, "2024-01-01", "2024-01-05").count() == 3
