@@ -169,8 +169,11 @@ class TextFiles:
             _offset_in_split("_fp", "_blk", (F.octet_length(rec) + 1).cast("bigint")).alias("_local"))
         j = recs.join(splits, ["_fp", "_blk"])
         j = j.select("_fp", "_local", "_base", "_bom", self._parts(rec).alias("_parts"))
+        # _parts always has at least one element; the _outer form keeps the
+        # optimizer from inferring a row filter that it could push below the
+        # running-sum UDF (which must see every record of its split)
         ex = j.select("_fp", "_local", "_base", "_bom", "_parts",
-                      F.posexplode("_parts").alias("_k", "line"))
+                      F.posexplode_outer("_parts").alias("_k", "line"))
         inner = F.when(F.col("_k") == 0, F.lit(0).cast("bigint")).otherwise(
             F.aggregate(F.slice("_parts", 1, F.col("_k")), F.lit(0).cast("bigint"),
                         lambda a, x: a + F.octet_length(x) + 1))
