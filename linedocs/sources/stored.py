@@ -60,14 +60,22 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def explode_lines(df: DataFrame, text_col: str = "text", keep: list[str] | None = None,
-                  line_no: bool = False) -> DataFrame:
+                  line_no: bool = False, offsets: bool = True) -> DataFrame:
     """One row per line: ``keep`` columns + [line_no] + offset + line.
 
     ``offset`` is the byte offset (UTF-8) of the line inside the text, the
-    same number a line reader gives for a file holding that text.
+    same number a line reader gives for a file holding that text.  With
+    ``offsets=False`` (counts, totals) the prefix sum is skipped altogether:
+    the optimizer cannot drop an unused field of a generated struct itself.
     """
     keep = list(keep or [])
     df = spread(df)
+    if not offsets:
+        lines = split_lines(F.col(text_col))
+        if line_no:
+            return df.select(*keep, F.posexplode(lines).alias("line_no", "line")).withColumn(
+                "line_no", F.col("line_no").cast("bigint"))
+        return df.select(*keep, F.explode(lines).alias("line"))
     arr = df.select(*keep, split_lines(F.col(text_col)).alias("_lines"))
     arr = arr.select(
         *keep, "_lines",
