@@ -19,6 +19,7 @@ from ..functions.text import safe_name, strip_scheme_host, strip_scheme_prefix
 from ..operators import counts, documents, search
 from ..sinks import writers
 from ..session import work_dir
+from ..sources.files import read_lines
 from ..sources.stored import explode_lines, spread
 
 SEARCH_TERM = "the"
@@ -122,7 +123,7 @@ def q_lines_with_offset(spark, sf):
 
 def q_lines_no_offset(spark, sf):
     """DOC2."""
-    return documents.line_documents(document_lines(spark, sf))
+    return documents.line_documents(document_lines(spark, sf, offsets=False))
 
 
 def q_line_numbers(spark, sf):
@@ -235,6 +236,30 @@ def q_first_page(spark, sf):
     return search.first_page(documents.offset_documents(document_lines(spark, sf)), FIRST_PAGE)
 
 
+FILE_BUCKET_DOCS = 1000
+
+
+def q_file_lines_with_offset(spark, sf):
+    """SRC1-SRC4 + SRC3 on real files: the texts are written as text files,
+    then read back with the file reader (two passes, per-file byte offsets).
+
+    Layout: ``source=<s>/bucket=<doc_id div 1000>/part-*.txt``, one file per
+    directory, texts in doc_id order.  A source holding a third of all texts
+    still spreads over many buckets, so no single writer task gets it all.
+    """
+    out = work_dir(spark, "texts")
+    d = (table(spark, sf, "documents").filter(F.col("text").isNotNull())
+         .select("source", F.floor(F.col("doc_id") / FILE_BUCKET_DOCS).cast("bigint").alias("bucket"),
+                 "doc_id", "text"))
+    (d.repartition("source", "bucket").sortWithinPartitions("source", "bucket", "doc_id")
+      .select("source", "bucket", "text").write.partitionBy("source", "bucket").text(out))
+    lines = read_lines(spark, out)
+    return lines.select(
+        F.regexp_extract("path", r"/source=([^/]+)/", 1).alias("source"),
+        F.regexp_extract("path", r"/bucket=(\d+)/", 1).cast("bigint").alias("bucket"),
+        "offset", "line")
+
+
 def q_reconcile_counts(spark, sf):
     """AGG1 + SNK1 + AGG6: index every source, read the table back, compare counts.
 
@@ -298,6 +323,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_prefix_me": q_search_prefix_me,
     "search_total": q_search_total,
     "first_page": q_first_page,
+    "file_lines_with_offset": q_file_lines_with_offset,
     "reconcile_counts": q_reconcile_counts,
     "bulk_lines": q_bulk_lines,
     "conversation_lines": q_conversation_lines,
@@ -381,6 +407,12 @@ ORACLE_SQL: dict[str, str] = {
                           ("l", DOC_LINES_SQL)),
     "first_page": _with(f'SELECT path, "offset", line FROM l ORDER BY path, "offset" LIMIT {FIRST_PAGE}',
                         ("l", DOC_LINES_SQL)),
+    "file_lines_with_offset": (
+        f"WITH d AS (SELECT source, CAST(floor(doc_id / {FILE_BUCKET_DOCS}) AS BIGINT) AS bucket, doc_id, "
+        "string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL), "
+        "u AS (SELECT source, bucket, doc_id, unnest(ls) AS line, unnest(generate_series(1, len(ls))) AS k FROM d) "
+        "SELECT source, bucket, CAST(SUM(strlen(line) + 1) OVER (PARTITION BY source, bucket ORDER BY doc_id, k) "
+        "- (strlen(line) + 1) AS BIGINT) AS \"offset\", line FROM u"),
     "reconcile_counts": _with(
         "SELECT source AS index, count(*) AS source_n, count(*) AS indexed_n, CAST(0 AS BIGINT) AS diff "
         "FROM l GROUP BY source", ("l", DOC_LINES_SQL)),
