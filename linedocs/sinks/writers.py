@@ -98,3 +98,25 @@ def write_manifest(manifest: DataFrame, out_dir: str) -> str:
     target = f"{out_dir.rstrip('/')}/{name}.count"
     manifest.coalesce(1).write.mode("overwrite").json(target)
     return target
+
+
+# Public data source name of the search-index connector for Spark SQL.
+INDEX_CONNECTOR_FORMAT = "org.elasticsearch.spark.sql"
+
+
+def save_to_index(docs: DataFrame, resource: str, nodes: str, id_col: str | None = "_id",
+                  fmt: str = INDEX_CONNECTOR_FORMAT, max_writers: int | None = None,
+                  options: dict[str, str] | None = None) -> None:
+    """SNK1c: pass documents to a search-index connector, when its jar is on
+    the classpath (it is not part of this install).
+
+    ``resource`` is ``index`` or ``index/type``; with ``id_col`` the
+    deterministic id becomes the document id, so a replayed task overwrites
+    instead of adding a copy.  ``max_writers`` throttles concurrent writers.
+    """
+    w = throttle(docs, max_writers).write.format(fmt).option("es.nodes", nodes)
+    if id_col:
+        w = w.option("es.mapping.id", id_col).option("es.mapping.exclude", id_col)
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    w.mode("append").save(resource)

@@ -76,3 +76,10 @@ def test_throttle_is_narrow(spark):
     t = W.throttle(df, 2)
     assert t.rdd.getNumPartitions() == 2
     assert "Exchange" not in t._jdf.queryExecution().executedPlan().toString()
+
+
+def test_index_connector_missing_fails_loudly(spark):
+    import pytest
+    df = spark.createDataFrame([("/p", 0, "x", "id")], "path string, offset bigint, line string, _id string")
+    with pytest.raises(Exception):
+        W.save_to_index(df, "idx/t", "localhost:9200")
