@@ -130,16 +130,20 @@ def _parse_found(found: Column) -> Column:
     return F.to_timestamp_ntz(parsed)
 
 
-def event_time(line) -> Column:
+def event_time(line, bind: bool = False) -> Column:
     """First date in the line as ``timestamp_ntz`` (null if none).
 
-    The regex runs once per row: its match is bound to a lambda variable
-    (``transform`` over a one-element array) and every later test reads that
-    variable.  Without the binding, an optimizer rule that inlines the
-    expression into a filter would repeat the regex for every reference.
+    In a projection, whole-stage codegen evaluates the regex match once and
+    shares it between the tests below.  A filter does not share it: when a
+    predicate on this value is pushed down, the match would be recomputed
+    for every reference.  ``bind=True`` binds the match to a lambda variable
+    (``transform`` over a one-element array), so it runs once per row even
+    inside a filter; use it for columns that range filters read.
     """
     found = F.regexp_extract(_c(line), DATE_PATTERN, 0)
-    return F.element_at(F.transform(F.array(found), _parse_found), 1)
+    if bind:
+        return F.element_at(F.transform(F.array(found), _parse_found), 1)
+    return _parse_found(found)
 
 
 def detect_date(line) -> Column:

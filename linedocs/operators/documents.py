@@ -64,13 +64,29 @@ def prefix_stripped_documents(df: DataFrame) -> DataFrame:
 
 def map_document(path: Column, line: Column, offset: Column | None = None,
                  date: Column | None = None) -> Column:
-    """DOC4: ``map<string,string>``; ``offset`` only if > -1, ``date`` only if not null."""
-    kv = [F.lit("path"), path, F.lit("line"), line]
+    """DOC4: ``map<string,string>``; ``offset`` only if > -1, ``date`` only if not null.
+
+    Written as a choice between fixed-shape maps rather than a filter over
+    one map: higher-order functions run interpreted, while this stays in
+    whole-stage codegen together with whatever computed the inputs.
+    """
+    base = [F.lit("path"), path, F.lit("line"), line]
+    opt = []
     if offset is not None:
-        kv += [F.lit("offset"), F.when(offset > -1, offset.cast("string"))]
+        opt.append((offset > -1, [F.lit("offset"), offset.cast("string")]))
     if date is not None:
-        kv += [F.lit("date"), date]
-    return F.map_filter(F.create_map(*kv), lambda k, v: v.isNotNull())
+        opt.append((date.isNotNull(), [F.lit("date"), date]))
+    out = None
+    # every subset of the optional keys, largest first
+    for mask in range(2 ** len(opt) - 1, -1, -1):
+        chosen = [opt[i] for i in range(len(opt)) if mask >> i & 1]
+        cond = F.lit(True)
+        for i, (c, _) in enumerate(opt):
+            cond = cond & (c if mask >> i & 1 else ~c)
+        kv = base + [x for _, pair in chosen for x in pair]
+        m = F.create_map(*kv)
+        out = F.when(cond, m) if out is None else out.when(cond, m)
+    return out.otherwise(F.create_map(*base))
 
 
 def map_documents(df: DataFrame) -> DataFrame:
@@ -93,7 +109,7 @@ def dated_documents(df: DataFrame) -> DataFrame:
 
 def dated_documents_typed(df: DataFrame) -> DataFrame:
     """DOC5 plus a typed ``event_time`` column for range queries (RET7)."""
-    ts = event_time(F.col("line"))
+    ts = event_time(F.col("line"), bind=True)
     return df.select(strip_scheme_host("path").alias("path"),
                      F.col("offset").cast("bigint").alias("offset"),
                      F.date_format(ts, ISO_FORMAT).alias("date"), "line", ts.alias("event_time"))
