@@ -19,12 +19,13 @@ How the offset is computed without an RDD and without shuffling the lines:
    earlier splits of its file) and each file's BOM correction.
 3. Pass 2: the same scan again; an iterator Arrow UDF keeps one running
    integer per split while the task streams through its rows (rows of a split
-   arrive in file order inside one task), so each record's offset inside its
-   split needs neither shuffle nor sort.  Only the key and the length cross to
-   Python; the text stays in the JVM.
+   arrive in file order inside one task), so each line's offset inside its
+   split needs neither shuffle nor sort.  Only the key and the line lengths
+   cross to Python; the text stays in the JVM.
 4. The split table joins back on ``(file, block start)``: broadcast when its
    measured row count is at most ``broadcast_rows``, a shuffle join otherwise.
-5. Records holding a CR are cut into the lines a CR/CRLF-aware reader sees.
+5. Records holding a CR are cut into the lines a CR/CRLF-aware reader sees
+   (before pass 2's UDF, which then places each of them; linear in lines).
 
 Re-reading instead of caching follows the original job's own advice (its
 pre-count re-reads rather than serialising to disk).
@@ -52,21 +53,34 @@ UTF8_BOM_BYTES = 3
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-@F.arrow_udf(T.LongType())
-def _offset_in_split(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    """Exclusive running sum of record bytes per consecutive (file, block) run.
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _line_offsets_in_split(
+        batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Offsets of the lines of each record, relative to the start of its split.
 
-    Called once per task with all of its batches in scan order; the running
-    total of the last run carries over to the next batch.
+    Input per row: file, block start, the record's byte length (LF
+    included) and the byte lengths (terminator included) of the lines inside
+    the LF-ended record.  A record's offset is
+    the running sum of all earlier records of the same (file, block) run; its
+    lines follow at the running sum of their own lengths.  Called once per
+    task with all batches in scan order, so the running total of the last run
+    carries over to the next batch.  Everything is vectorised per batch.
     """
     last_key = None
     carried = 0
-    for fp, blk, n in batches:
-        size = len(n)
+    for fp, blk, n, part_lens in batches:
+        size = len(part_lens)
         if size == 0:
-            yield pa.array([], pa.int64())
+            yield pa.array([], pa.list_(pa.int64()))
             continue
-        nv = np.asarray(n.fill_null(0), dtype=np.int64)
+        if isinstance(part_lens, pa.ChunkedArray):
+            part_lens = part_lens.combine_chunks()
+        list_off = np.asarray(part_lens.offsets, dtype=np.int64)
+        list_off = list_off - list_off[0]
+        counts = np.diff(list_off)
+        flat = np.asarray(part_lens.flatten().fill_null(0), dtype=np.int64)
+        flat_excl = np.cumsum(flat) - flat
+        rec_len = np.asarray(n.fill_null(0), dtype=np.int64)
         bv = np.asarray(blk.fill_null(-1), dtype=np.int64)
         fps = fp.fill_null("")
         new_run = np.zeros(size, dtype=bool)
@@ -74,13 +88,16 @@ def _offset_in_split(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) ->
             changed = pc.or_(pc.not_equal(fps[1:], fps[:-1]), pa.array(bv[1:] != bv[:-1]))
             new_run[1:] = np.asarray(changed, dtype=bool)
         new_run[0] = (fps[0].as_py(), int(bv[0])) != last_key
-        excl = np.cumsum(nv) - nv
+        excl = np.cumsum(rec_len) - rec_len
         # index of the row that opened each row's run, -1 = run carried over
         run_start = np.maximum.accumulate(np.where(new_run, np.arange(size), -1))
         local = np.where(run_start >= 0, excl - excl[run_start.clip(min=0)], excl + carried)
-        yield pa.array(local, pa.int64())
+        # lines: record offset + exclusive sum of earlier lines in the record
+        first_of_list = np.append(flat_excl, 0)[list_off[:-1]]
+        line_off = flat_excl - np.repeat(first_of_list, counts) + np.repeat(local, counts)
+        yield pa.ListArray.from_arrays(pa.array(list_off.astype(np.int32)), pa.array(line_off, pa.int64()))
         last_key = (fps[size - 1].as_py(), int(bv[size - 1]))
-        carried = int(local[size - 1] + nv[size - 1])
+        carried = int(local[size - 1] + rec_len[size - 1])
 
 
 def record_columns(df: DataFrame) -> DataFrame:
@@ -164,23 +181,26 @@ class TextFiles:
         if n_splits <= self.broadcast_rows:
             splits = F.broadcast(splits)
         rec = F.col("_rec")
-        recs = self._records().select(
-            "_fp", "_blk", "_rec",
-            _offset_in_split("_fp", "_blk", (F.octet_length(rec) + 1).cast("bigint")).alias("_local"))
+        n = (F.octet_length(rec) + 1).cast("bigint")
+        recs = self._records().select("_fp", "_blk", "_rec", self._parts(rec).alias("_parts"))
+        recs = recs.select(
+            "_fp", "_blk", "_parts",
+            _line_offsets_in_split(
+                "_fp", "_blk", n,
+                # one line (the record) unless a CR cuts it; the lambda only
+                # runs for records that hold a CR
+                F.when(self._has_cr(rec), F.transform(
+                    "_parts", lambda x: (F.octet_length(x) + 1).cast("bigint"))).otherwise(F.array(n)))
+            .alias("_offs"))
         j = recs.join(splits, ["_fp", "_blk"])
-        j = j.select("_fp", "_local", "_base", "_bom", self._parts(rec).alias("_parts"))
-        # _parts always has at least one element; the _outer form keeps the
+        # inline_outer: _parts is never empty, and the outer form keeps the
         # optimizer from inferring a row filter that it could push below the
         # running-sum UDF (which must see every record of its split)
-        ex = j.select("_fp", "_local", "_base", "_bom", "_parts",
-                      F.posexplode_outer("_parts").alias("_k", "line"))
-        inner = F.when(F.col("_k") == 0, F.lit(0).cast("bigint")).otherwise(
-            F.aggregate(F.slice("_parts", 1, F.col("_k")), F.lit(0).cast("bigint"),
-                        lambda a, x: a + F.octet_length(x) + 1))
+        ex = j.select("_fp", "_base", "_bom", F.inline_outer(
+            F.arrays_zip(F.col("_offs").alias("_off"), F.col("_parts").alias("line"))))
+        off = F.col("_base") + F.col("_off")
         # a skipped BOM shifts every line of its file except the very first
-        not_first = (F.col("_base") + F.col("_local") > 0) | (F.col("_k") > 0)
-        off = (F.col("_base") + F.col("_local") + inner
-               + F.when(not_first, F.col("_bom")).otherwise(F.lit(0)))
+        off = off + F.when(off > 0, F.col("_bom")).otherwise(F.lit(0))
         return ex.select(decode_file_uri(F.col("_fp")).alias("path"),
                          off.cast("bigint").alias("offset"), "line")
 

@@ -132,3 +132,11 @@ def test_precount_from_split_table(spark, tmp):
 def test_missing_path_fails(spark, tmp):
     with pytest.raises(Exception):
         read_lines(spark, str(tmp / "nope")).collect()
+
+
+def test_cr_only_file_matches_hadoop(spark, tmp):
+    p = tmp / "mac.txt"
+    p.write_bytes(b"".join(f"l{i}{'x' * (i % 5)}\r".encode() for i in range(500)))
+    rows = _rows(read_lines(spark, str(p)))
+    assert len(rows) == 500
+    assert rows == _hadoop(spark, p)
