@@ -23,8 +23,8 @@ def test_strip_scheme_prefix_variant(spark):
 
 
 def test_java_split_space(spark):
-    cases = ["a b ", "", "   ", " a  b", " a\tb  ", "a  "]
-    want = [["a", "b"], [""], [], ["", "a", "", "b"], ["", "a\tb"], ["a", " "]]
+    cases = ["a b ", "", "   ", " a  b", " a\tb  ", "a \u2028", "a \u0085"]
+    want = [["a", "b"], [""], [], ["", "a", "", "b"], ["", "a\tb"], ["a", "\u2028"], ["a", "\u0085"]]
     assert _one(spark, text.java_split_space, cases) == want
 
 
