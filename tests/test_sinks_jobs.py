@@ -83,3 +83,22 @@ def test_index_connector_missing_fails_loudly(spark):
     df = spark.createDataFrame([("/p", 0, "x", "id")], "path string, offset bigint, line string, _id string")
     with pytest.raises(Exception):
         W.save_to_index(df, "idx/t", "localhost:9200")
+
+
+def test_command_line_index(spark, tmp, capsys):
+    from linedocs.__main__ import main
+    src = _golden(tmp)
+    assert main(["index", "--path", str(src), "--index", "cli", "--out", str(tmp / "t"), "--count"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["records"] == 6 and out["count"] == "6" and out["doc_type"] == "cli"
+    assert spark.read.parquet(str(tmp / "t")).count() == 6
+
+
+def test_command_line_counts(spark, tmp):
+    from linedocs.__main__ import main
+    (tmp / "in").mkdir()
+    (tmp / "in" / "a.txt").write_text("p q p\n")
+    assert main(["counts", "--dir", str(tmp / "in"), "--out", str(tmp / "o"), "--checkpoint",
+                 str(tmp / "ck"), "--available-now", "--show", "0"]) == 0
+    tot = spark.read.parquet(str(tmp / "o" / "totals")).first()
+    assert (tot["lines"], tot["words"]) == (1, 3)
