@@ -8,7 +8,7 @@ from linedocs.sinks import writers as W
 
 
 def _golden(tmp):
-    src = tmp / "elasticsearch-data"
+    src = tmp / "search-data"
     (src / "dir2").mkdir(parents=True)
     (src / "file1").write_bytes(b"one\ntwo\nthree\n")
     (src / "dir2" / "file2").write_bytes(b"four\nfive\nsix\n")
@@ -25,7 +25,7 @@ def test_index_text_files_golden(spark, tmp):
     assert S.total_hits(docs).first()["total"] == 6
     assert S.in_index(docs, "my-index.v1", "my-index.v1").count() == 6
     six = S.find_documents(docs, line="six").first()
-    assert six["offset"] == 10 and six["path"].endswith("/elasticsearch-data/dir2/file2")
+    assert six["offset"] == 10 and six["path"].endswith("/search-data/dir2/file2")
     assert ":" not in six["path"]
     m = spark.read.json(res.manifest).first()
     assert res.manifest.endswith("my-index_v1.count") and m["count"] == "6"
