@@ -149,18 +149,33 @@ def count_manifest(spark: SparkSession, path: str, index: str, doc_type: str | N
                      safe_name(F.col("index")).alias("name"), "secs")
 
 
-def reconcile(source: DataFrame, indexed: DataFrame, key: str | list[str] = "index") -> DataFrame:
+def reconcile(source: DataFrame, indexed: DataFrame, key: str | list[str] = "index",
+              source_weight: str | None = None, indexed_weight: str | None = None) -> DataFrame:
     """AGG6: compare per-key counts read from the source and found in the
     written table; ``source_n``/``indexed_n`` are 0 when a side lacks the key.
 
-    Both inputs are already aggregated (one row per key), so the full outer
-    join is between two small tables.
+    Each side is one row per record, or carries a count column (``*_weight``)
+    when it has been pre-aggregated (e.g. lines per text).  Both sides are
+    aggregated per key before the full outer join, so the join is between
+    two small tables already hash-partitioned on the key.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    s = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("source_n"))
-    i = indexed.groupBy(*keys).agg(F.count(F.lit(1)).alias("indexed_n"))
-    j = s.join(i, keys, "full_outer")
+
+    def per_key(df: DataFrame, weight: str | None, name: str) -> DataFrame:
+        n = F.sum(F.col(weight)).cast("bigint") if weight else F.count(F.lit(1))
+        return df.groupBy(*keys).agg(n.alias(name))
+
+    j = per_key(source, source_weight, "source_n").join(
+        per_key(indexed, indexed_weight, "indexed_n"), keys, "full_outer")
     return j.select(*keys,
                     F.coalesce("source_n", F.lit(0)).alias("source_n"),
                     F.coalesce("indexed_n", F.lit(0)).alias("indexed_n"),
                     (F.coalesce("source_n", F.lit(0)) - F.coalesce("indexed_n", F.lit(0))).alias("diff"))
+
+
+def text_line_totals(df: DataFrame, text_col: str = "text", by: list[str] | None = None) -> DataFrame:
+    """AGG2 for stored texts without exploding: lines of a text =
+    ``size(split(text, LF))``; a null text has none."""
+    t = F.col(text_col)
+    n = F.when(t.isNotNull(), F.size(F.split(t, "\n", -1))).otherwise(F.lit(0))
+    return df.groupBy(*(by or [])).agg(F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("lines"))

@@ -181,8 +181,8 @@ def q_word_frequency(spark, sf):
 
 
 def q_line_count(spark, sf):
-    """AGG2 per source."""
-    return counts.batch_counts(document_lines(spark, sf, offsets=False), by=["source"]).select("source", "lines")
+    """AGG2 per source (lines counted per text, no row per line)."""
+    return counts.text_line_totals(table(spark, sf, "documents"), by=["source"])
 
 
 def q_word_count(spark, sf):
@@ -266,7 +266,8 @@ def q_reconcile_counts(spark, sf):
 
     The document table (one index per source) is written to the shared
     checkpoint folder.  The source side is the pre-count pass (AGG1): lines
-    per source without offsets, a partial+final aggregate over the texts.
+    per text summed per source, a partial+final aggregate over the texts
+    that never materialises a row per line.
     The indexed side counts the written table per index partition.
     """
     docs = document_lines(spark, sf).select(
@@ -276,8 +277,9 @@ def q_reconcile_counts(spark, sf):
          .withColumn("_id", writers.document_id("path", "offset"))
          .write.mode("overwrite").partitionBy("index", "doc_type").parquet(out))
     written = spark.read.parquet(out).select("index")
-    source = document_lines(spark, sf, offsets=False).select(F.col("source").alias("index"))
-    return counts.reconcile(source, written, "index")
+    source = counts.text_line_totals(
+        table(spark, sf, "documents").withColumnRenamed("source", "index"), by=["index"])
+    return counts.reconcile(source, written, "index", source_weight="lines")
 
 
 def q_bulk_lines(spark, sf):

@@ -68,3 +68,13 @@ def test_search_operators(spark):
     assert S.time_range(dated, "2024-01-01", "2024-01-06").count() == 3
     assert S.time_range(dated, "2024-01-06", "2024-01-07").count() == 0
     assert S.time_range(dated, "2024-01-01", "2024-01-05").count() == 3
+
+
+def test_text_line_totals_and_weighted_reconcile(spark):
+    df = spark.createDataFrame([("a", "x\ny"), ("a", ""), ("b", None), ("b", "z\n")], "index string, text string")
+    tot = {r["index"]: r["lines"] for r in C.text_line_totals(df, by=["index"]).collect()}
+    assert tot == {"a": 3, "b": 2}
+    idx = spark.createDataFrame([("a",)] * 3 + [("b",)], "index string")
+    got = {r["index"]: r["diff"] for r in C.reconcile(C.text_line_totals(df, by=["index"]), idx,
+                                                      source_weight="lines").collect()}
+    assert got == {"a": 0, "b": 1}
