@@ -87,7 +87,9 @@ def zero_filled_counts(df: DataFrame, ts_col: str, line_col: str = "line",
                         F.col("l").alias("lines"), F.col("wd").alias("words")).limit(0)
     lo, hi = bounds["lo"], bounds["hi"]
     n = int((hi - lo).total_seconds() // secs) + 1
-    lo_lit = F.lit(lo).cast(w.schema["window_start"].dataType)
+    # through a string: a Python datetime literal would pass through the
+    # driver's local time zone, a string cast does not
+    lo_lit = F.lit(lo.isoformat(sep=" ")).cast(w.schema["window_start"].dataType)
     grid = spark.range(0, n).select(
         (lo_lit + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id") * secs))
         .alias("window_start"), F.lit(0).cast("bigint").alias("l"), F.lit(0).cast("bigint").alias("wd"))
