@@ -23,7 +23,8 @@ How the offset is computed without an RDD and without shuffling the lines:
    split needs neither shuffle nor sort.  Only the key and the line lengths
    cross to Python; the text stays in the JVM.
 4. The split table joins back on ``(file, block start)``: broadcast when its
-   measured row count is at most ``broadcast_rows``, a shuffle join otherwise.
+   measured size (rows x longest path) is within ``broadcast_rows`` and
+   ``broadcast_bytes``, a shuffle join otherwise.
 5. Records holding a CR are cut into the lines a CR/CRLF-aware reader sees
    (before pass 2's UDF, which then places each of them; linear in lines).
 
@@ -51,6 +52,8 @@ from ..session import work_dir
 COMPRESSED_EXT = r"(?i)\.(gz|bz2|deflate|zst|lz4|snappy|br|xz)\z"
 UTF8_BOM_BYTES = 3
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+SPLIT_ROW_OVERHEAD = 48  # block start, base, BOM shift, line count, row header
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
@@ -118,6 +121,7 @@ class TextFiles:
     recursive: bool = True
     glob_filter: str | None = None
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     records: DataFrame | None = None  # pre-read records (a stream micro-batch)
     _splits: DataFrame | None = None
 
@@ -177,8 +181,11 @@ class TextFiles:
     def lines(self) -> DataFrame:
         """``path, offset, line`` for every line of every file."""
         splits = self.splits()
-        n_splits = splits.count()
-        if n_splits <= self.broadcast_rows:
+        # measured size bound of the split table: rows and longest path
+        size = splits.agg(F.count(F.lit(1)).alias("n"),
+                          F.coalesce(F.max(F.octet_length("_fp")), F.lit(0)).alias("w")).first()
+        est_bytes = size["n"] * (size["w"] + SPLIT_ROW_OVERHEAD)
+        if size["n"] <= self.broadcast_rows and est_bytes <= self.broadcast_bytes:
             splits = F.broadcast(splits)
         rec = F.col("_rec")
         n = (F.octet_length(rec) + 1).cast("bigint")

@@ -140,3 +140,14 @@ def test_cr_only_file_matches_hadoop(spark, tmp):
     rows = _rows(read_lines(spark, str(p)))
     assert len(rows) == 500
     assert rows == _hadoop(spark, p)
+
+
+def test_shuffle_join_beyond_broadcast_bound(spark, tmp):
+    (tmp / "a").write_bytes(b"one\ntwo\n")
+    (tmp / "b").write_bytes(b"x\r\ny\n")
+    tf = text_files(spark, str(tmp), broadcast_rows=0)
+    df = tf.lines()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan or "AdaptiveSparkPlan" in plan
+    got = sorted((r["path"].rsplit("/", 1)[1], r["offset"], r["line"]) for r in df.collect())
+    assert got == [("a", 0, "one"), ("a", 4, "two"), ("b", 0, "x"), ("b", 3, "y")]
