@@ -8,6 +8,8 @@ a final line terminator.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,9 +78,27 @@ def split_list(value: str | list[str] | tuple[str, ...]) -> list[str]:
 
 
 def tokens(line) -> Column:
-    """Lower-cased tokens for term / prefix search (RET3, RET4)."""
-    arr = F.split(F.lower(_c(line)), TOKEN_SEPARATOR, -1)
-    return F.filter(arr, lambda t: t != "")
+    """Lower-cased tokens: maximal runs of letters and digits."""
+    return F.array_remove(F.split(F.lower(_c(line)), TOKEN_SEPARATOR, -1), "")
+
+
+TOKEN_CHAR = r"[\p{L}\p{N}]"
+
+
+def has_token(line, term: str) -> Column:
+    """RET4 predicate: ``term`` is one of the line's tokens (case-insensitive).
+
+    Same answer as ``array_contains(tokens(line), term)``, as one regex test
+    on the lower-cased line: the term bounded by non-token characters.
+    """
+    t = re.escape(term.lower())
+    return F.lower(_c(line)).rlike(f"(?:^|(?<!{TOKEN_CHAR})){t}(?!{TOKEN_CHAR})")
+
+
+def has_token_prefix(line, prefix: str) -> Column:
+    """RET3 predicate: some token starts with ``prefix`` (query ``me*``)."""
+    p = re.escape(prefix.lower().rstrip("*"))
+    return F.lower(_c(line)).rlike(f"(?<!{TOKEN_CHAR}){p}")
 
 
 def decode_file_uri(uri) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens
+from ..functions.text import has_token, has_token_prefix
 
 
 def total_hits(docs: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -34,13 +34,12 @@ def first_page(docs: DataFrame, size: int = 10) -> DataFrame:
 
 def term_search(docs: DataFrame, term: str, line_col: str = "line") -> DataFrame:
     """RET4: lines containing ``term`` as a whole token (case-insensitive)."""
-    return docs.filter(F.array_contains(tokens(line_col), term.lower()))
+    return docs.filter(has_token(line_col, term))
 
 
 def prefix_search(docs: DataFrame, prefix: str, line_col: str = "line") -> DataFrame:
     """RET3: lines with a token starting with ``prefix`` (query ``me*``)."""
-    p = prefix.lower().rstrip("*")
-    return docs.filter(F.exists(tokens(line_col), lambda t: t.startswith(p)))
+    return docs.filter(has_token_prefix(line_col, prefix))
 
 
 def find_documents(docs: DataFrame, **fields) -> DataFrame:

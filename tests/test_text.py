@@ -56,3 +56,13 @@ def test_tokens(spark):
 
 def test_decode_file_uri(spark):
     assert _one(spark, text.decode_file_uri, ["file:/a%20b/c+d%25"]) == ["file:/a b/c+d%"]
+
+
+def test_token_predicates_agree_with_tokens(spark):
+    lines = ["The cat", "bathe the", "theme", "x-THE-y", "méthe the", "", "me", "a me b", "ame", "9me"]
+    df = spark.createDataFrame([(s,) for s in lines], "v string")
+    rows = df.select("v", text.tokens("v").alias("t"), text.has_token("v", "the").alias("h"),
+                     text.has_token_prefix("v", "me*").alias("p")).collect()
+    for r in rows:
+        assert r["h"] == ("the" in r["t"]), r
+        assert r["p"] == any(t.startswith("me") for t in r["t"]), r
