@@ -95,3 +95,38 @@ def test_event_time_counts_watermark(spark, tmp):
     _drain(q)
     got = sorted((r["lines"], r["words"]) for r in spark.sql("select * from etc").collect())
     assert (2, 4) in got and (1, 2) in got
+
+
+EVENTS = "/root/testdata/sf0.001/events.parquet"
+
+
+@pytest.mark.skipif(not __import__("os").path.exists(EVENTS), reason="test data not present")
+def test_event_time_stream_equals_stored_windows(spark, tmp):
+    from linedocs.operators.counts import windowed_counts
+    stored = {(r["window_start"].isoformat(), r["lines"], r["words"])
+              for r in windowed_counts(spark.read.parquet(EVENTS), "ts", "props").collect()}
+    st = (spark.readStream.schema(spark.read.parquet(EVENTS).schema)
+          .option("pathGlobFilter", "events.parquet").parquet("/root/testdata/sf0.001"))
+    q = (R.event_time_counts(st, "ts", "props").writeStream.outputMode("complete")
+         .format("memory").queryName("ev_windows").option("checkpointLocation", str(tmp / "ck"))
+         .trigger(availableNow=True).start())
+    _drain(q)
+    streamed = {(r["window_start"].replace(tzinfo=None).isoformat(), r["lines"], r["words"])
+                for r in spark.sql("select * from ev_windows").collect()}
+    assert streamed == stored and len(stored) > 100
+
+
+@pytest.mark.skipif(not __import__("os").path.exists(EVENTS), reason="test data not present")
+def test_topic_to_text_on_events_equals_pair_text(spark, tmp):
+    from pyspark.sql import functions as F
+    from linedocs.plans import catalog
+    ev = spark.read.parquet(EVENTS)
+    src = tmp / "msgs"
+    (ev.select(F.when(F.col("event_type") != "signup", F.col("user_id").cast("string")).alias("key"),
+               F.col("props").alias("value"))
+       .write.parquet(str(src)))
+    msgs = spark.readStream.schema("key string, value string").parquet(str(src))
+    _drain(jobs.topic_to_text(spark, msgs, str(tmp / "out"), str(tmp / "ck"), available_now=True))
+    written = sorted(r[0] for r in spark.read.text(str(tmp / "out" / "data-*.txt")).collect())
+    expected = sorted(r["text"] for r in catalog.q_pair_text(spark, "/root/testdata/sf0.001").collect())
+    assert written == expected
