@@ -55,6 +55,8 @@ def spread(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     already scans as many more partitions than cores and is left untouched,
     so no shuffle is added at scale.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df

@@ -130,3 +130,15 @@ def test_topic_to_text_on_events_equals_pair_text(spark, tmp):
     written = sorted(r[0] for r in spark.read.text(str(tmp / "out" / "data-*.txt")).collect())
     expected = sorted(r["text"] for r in catalog.q_pair_text(spark, "/root/testdata/sf0.001").collect())
     assert written == expected
+
+
+def test_stored_lines_on_a_stream(spark, tmp):
+    from linedocs.sources.stored import explode_lines
+    src = tmp / "t"
+    spark.createDataFrame([(1, "ab\ncd")], "id long, text string").write.parquet(str(src))
+    st = spark.readStream.schema("id long, text string").parquet(str(src))
+    q = (explode_lines(st, keep=["id"]).writeStream.format("memory").queryName("st_lines")
+         .option("checkpointLocation", str(tmp / "ck")).trigger(availableNow=True).start())
+    _drain(q)
+    assert sorted((r["offset"], r["line"]) for r in spark.sql("select * from st_lines").collect()) == [
+        (0, "ab"), (3, "cd")]
