@@ -151,3 +151,36 @@ def test_shuffle_join_beyond_broadcast_bound(spark, tmp):
     assert "BroadcastExchange" not in plan or "AdaptiveSparkPlan" in plan
     got = sorted((r["path"].rsplit("/", 1)[1], r["offset"], r["line"]) for r in df.collect())
     assert got == [("a", 0, "one"), ("a", 4, "two"), ("b", 0, "x"), ("b", 3, "y")]
+
+
+def test_bz2_offsets_are_decompressed_positions_across_splits(spark, tmp):
+    import bz2
+    # several bz2 blocks (100 kB of text each at level 1), so that several
+    # splits really hold records
+    rnd = random.Random(3)
+    raw = "".join(f"row {i} {rnd.random():.12f} {'y' * (i % 9)}\n" for i in range(30000)).encode()
+    p = tmp / "big.txt.bz2"
+    p.write_bytes(bz2.compress(raw, compresslevel=1))
+    expected = []
+    pos = 0
+    for line in raw.split(b"\n")[:-1]:
+        expected.append((pos, line.decode()))
+        pos += len(line) + 1
+    assert _rows(read_lines(spark, str(p))) == expected
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(64, p.stat().st_size // 5)))
+    try:
+        tf = text_files(spark, str(p))
+        assert tf.splits().count() > 1  # really read as several splits
+        assert _rows(tf.lines()) == expected
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_gzip_bulk_output_round_trip(spark, tmp):
+    from linedocs.sinks.writers import write_bulk
+    (tmp / "in").mkdir()
+    (tmp / "in" / "f").write_bytes(b"a\nb\n")
+    docs = read_lines(spark, str(tmp / "in"))
+    write_bulk(docs, str(tmp / "bulk"), "i", compression="gzip")
+    assert list((tmp / "bulk").glob("*.gz"))
+    assert spark.read.text(str(tmp / "bulk")).count() == 4
