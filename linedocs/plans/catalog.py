@@ -273,9 +273,7 @@ def q_reconcile_counts(spark, sf):
     docs = document_lines(spark, sf).select(
         F.col("source").alias("index"), strip_scheme_host("path").alias("path"), "offset", "line")
     out = work_dir(spark, "reconcile")
-    (docs.withColumn("doc_type", F.lit("line"))
-         .withColumn("_id", writers.document_id("path", "offset"))
-         .write.mode("overwrite").partitionBy("index", "doc_type").parquet(out))
+    writers.write_documents(docs, out, index=None, doc_type="line")
     written = spark.read.parquet(out).select("index")
     source = counts.text_line_totals(
         table(spark, sf, "documents").withColumnRenamed("source", "index"), by=["index"])

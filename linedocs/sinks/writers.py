@@ -21,10 +21,19 @@ def document_id(*cols: str | Column) -> Column:
     return F.sha2(F.concat_ws(chr(0), *parts), 256)
 
 
-def with_address(docs: DataFrame, index: str, doc_type: str | None = None,
+def with_address(docs: DataFrame, index: str | None, doc_type: str | None = None,
                  id_cols: tuple[str, ...] | None = ("path", "offset")) -> DataFrame:
-    """Add ``index``/``doc_type`` (type defaults to the index name) and ``_id``."""
-    out = docs.withColumn("index", F.lit(index)).withColumn("doc_type", F.lit(doc_type or index))
+    """Add ``index``/``doc_type`` (type defaults to the index name) and ``_id``.
+
+    ``index=None`` keeps the ``index`` column the documents already carry
+    (one job writing several indexes).
+    """
+    if index is None:
+        if "index" not in docs.columns:
+            raise ValueError("index=None needs an 'index' column")
+        out = docs.withColumn("doc_type", F.lit(doc_type) if doc_type else F.col("index"))
+    else:
+        out = docs.withColumn("index", F.lit(index)).withColumn("doc_type", F.lit(doc_type or index))
     if id_cols:
         out = out.withColumn("_id", document_id(*id_cols))
     return out
@@ -37,7 +46,7 @@ def throttle(df: DataFrame, max_writers: int | None) -> DataFrame:
     return df
 
 
-def write_documents(docs: DataFrame, out: str, index: str, doc_type: str | None = None,
+def write_documents(docs: DataFrame, out: str, index: str | None, doc_type: str | None = None,
                     fmt: str = "parquet", max_writers: int | None = None,
                     id_cols: tuple[str, ...] | None = ("path", "offset")) -> None:
     """SNK1a: document table partitioned by ``index``/``doc_type``.
