@@ -20,7 +20,7 @@ from ..operators import counts, documents, search
 from ..sinks import writers
 from ..session import work_dir
 from ..sources.files import read_lines
-from ..sources.stored import explode_lines
+from ..sources.stored import explode_lines, spread
 
 SEARCH_TERM = "the"
 SEARCH_PREFIX = "me*"
@@ -70,8 +70,9 @@ def _event_line(ev: DataFrame) -> DataFrame:
                                                F.lit("] "), et, F.lit(" "), props))
              .when(et == "error", F.concat_ws(" ", F.date_format(ts, "yyyy-MM-dd"), et, props))
              .otherwise(F.concat_ws(" ", et, props)))
-    return ev.select(F.concat(F.lit("/events/"), F.col("user_id").cast("string")).alias("path"),
-                     F.col("event_id").alias("offset"), line.alias("line"))
+    return spread(ev, ["event_id"]).select(
+        F.concat(F.lit("/events/"), F.col("user_id").cast("string")).alias("path"),
+        F.col("event_id").alias("offset"), line.alias("line"))
 
 
 EVENT_LINES_SQL = """
