@@ -184,3 +184,11 @@ def test_gzip_bulk_output_round_trip(spark, tmp):
     write_bulk(docs, str(tmp / "bulk"), "i", compression="gzip")
     assert list((tmp / "bulk").glob("*.gz"))
     assert spark.read.text(str(tmp / "bulk")).count() == 4
+
+
+def test_plain_lines_without_offsets(spark, tmp):
+    from linedocs.sources.files import read_plain_lines
+    (tmp / "d").mkdir()
+    (tmp / "d" / "f").write_bytes(b"a\r\nb\rc\n")
+    rows = sorted((r["path"].rsplit("/", 1)[1], r["line"]) for r in read_plain_lines(spark, str(tmp)).collect())
+    assert rows == [("f", "a"), ("f", "b"), ("f", "c")]

@@ -102,3 +102,11 @@ def test_command_line_counts(spark, tmp):
                  str(tmp / "ck"), "--available-now", "--show", "0"]) == 0
     tot = spark.read.parquet(str(tmp / "o" / "totals")).first()
     assert (tot["lines"], tot["words"]) == (1, 3)
+
+
+def test_json_document_table(spark, tmp):
+    src = _golden(tmp)
+    index_text_files(spark, str(src), "j", str(tmp / "t"), fmt="json", builder="no_offset")
+    rows = spark.read.json(str(tmp / "t")).collect()
+    assert len(rows) == 6 and {"path", "line", "_id", "index", "doc_type"} <= set(rows[0].asDict())
+    assert len({r["_id"] for r in rows}) == 6
