@@ -57,7 +57,7 @@ def index_text_files(spark: SparkSession, path: str | list[str], index: str, out
     # repeated in one file.  Without it the table is still replay-safe
     # (dynamic partition overwrite), only connector upserts lose their key.
     writers.write_documents(observed, out, index, doc_type, fmt=fmt, max_writers=max_writers,
-                            id_cols=("path", "offset") if "offset" in docs.columns else None)
+                            id_cols=writers.id_columns(docs))
     written = obs.get.get("records")
     if records is not None and written != records:
         log.warning("indexed %s documents but counted %s lines", written, records)
@@ -129,7 +129,8 @@ def file_stream_documents(spark: SparkSession, records: DataFrame, out: str, ind
 
     def process(batch: DataFrame, batch_id: int) -> None:
         docs = documents.to_documents(lines_of_records(batch), builder)
-        docs = writers.with_address(docs.withColumn("batch_id", F.lit(batch_id)), index, doc_type)
+        docs = writers.with_address(docs.withColumn("batch_id", F.lit(batch_id)), index, doc_type,
+                                    id_cols=writers.id_columns(docs))
         (docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("index", "doc_type", "batch_id").parquet(out))
 

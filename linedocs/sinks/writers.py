@@ -59,19 +59,26 @@ def write_documents(docs: DataFrame, out: str, index: str | None, doc_type: str
        .partitionBy("index", "doc_type").format(fmt).save(out))
 
 
+def id_columns(docs: DataFrame) -> tuple[str, ...] | None:
+    """Identity of a line document: (path, offset); none without an offset."""
+    return ("path", "offset") if {"path", "offset"} <= set(docs.columns) else None
+
+
 def bulk_lines(docs: DataFrame, index: str, doc_type: str | None = None,
-               id_cols: tuple[str, ...] = ("path", "offset"),
+               id_cols: tuple[str, ...] | None = ("path", "offset"),
                fields: tuple[str, ...] | None = None) -> DataFrame:
     """SNK1b: newline-delimited bulk request, two lines per document.
 
-    ``{"index":{"_index":..,"_type":..,"_id":..}}`` then the JSON source.
-    Output column ``value`` (one line per row), ordered action-then-source
-    inside each document; the pair stays together in one task.
+    ``{"index":{"_index":..,"_type":..,"_id":..}}`` then the JSON source
+    (no ``_id`` when ``id_cols`` is None: the index assigns one).  Output
+    column ``value`` (one line per row), ordered action-then-source inside
+    each document; the pair stays together in one task.
     """
     fields = fields or tuple(docs.columns)
-    action = F.to_json(F.struct(F.struct(
-        F.lit(index).alias("_index"), F.lit(doc_type or index).alias("_type"),
-        document_id(*id_cols).alias("_id")).alias("index")))
+    addr = [F.lit(index).alias("_index"), F.lit(doc_type or index).alias("_type")]
+    if id_cols:
+        addr.append(document_id(*id_cols).alias("_id"))
+    action = F.to_json(F.struct(F.struct(*addr).alias("index")))
     source = F.to_json(F.struct(*fields))
     return docs.select(F.explode(F.array(action, source)).alias("value"))
 
@@ -79,7 +86,7 @@ def bulk_lines(docs: DataFrame, index: str, doc_type: str | None = None,
 def write_bulk(docs: DataFrame, out: str, index: str, doc_type: str | None = None,
                compression: str | None = None, max_writers: int | None = None) -> None:
     """SNK1b to text files, ready for a bulk loader."""
-    w = throttle(bulk_lines(docs, index, doc_type), max_writers).write.mode("overwrite")
+    w = throttle(bulk_lines(docs, index, doc_type, id_columns(docs)), max_writers).write.mode("overwrite")
     if compression:
         w = w.option("compression", compression)
     w.text(out)

@@ -109,3 +109,14 @@ def test_json_document_table(spark, tmp):
     index_text_files(spark, str(src), "j", str(tmp / "t"), fmt="json", builder="no_offset")
     rows = spark.read.json(str(tmp / "t")).collect()
     assert len(rows) == 6 and set(rows[0].asDict()) == {"path", "line", "index", "doc_type"}
+
+
+def test_repeated_lines_without_offsets_keep_all_documents(spark, tmp):
+    (tmp / "in").mkdir()
+    (tmp / "in" / "f").write_bytes(b"same\nsame\n")
+    res = index_text_files(spark, str(tmp / "in"), "r", str(tmp / "t"), builder="no_offset",
+                           bulk_out=str(tmp / "bulk"))
+    assert spark.read.parquet(str(tmp / "t")).count() == 2
+    bulk = [r[0] for r in spark.read.text(str(tmp / "bulk")).collect()]
+    assert len(bulk) == 4 and all('"_id"' not in b for b in bulk)
+    assert res.count == "uncounted"
