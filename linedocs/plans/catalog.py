@@ -241,6 +241,19 @@ def q_first_page(spark, sf):
 FILE_BUCKET_DOCS = 1000
 
 
+def write_texts(spark: SparkSession, sf: str) -> str:
+    """The ``documents`` texts as text files in the shared work folder:
+    ``source=<s>/bucket=<doc_id div 1000>/part-*.txt``, one file per
+    directory, texts in doc_id order, each text followed by a newline."""
+    out = work_dir(spark, "texts")
+    d = (table(spark, sf, "documents").filter(F.col("text").isNotNull())
+         .select("source", F.floor(F.col("doc_id") / FILE_BUCKET_DOCS).cast("bigint").alias("bucket"),
+                 "doc_id", "text"))
+    (d.repartition("source", "bucket").sortWithinPartitions("source", "bucket", "doc_id")
+      .select("source", "bucket", "text").write.partitionBy("source", "bucket").text(out))
+    return out
+
+
 def q_file_lines_with_offset(spark, sf):
     """SRC1-SRC4 + SRC3 on real files: the texts are written as text files,
     then read back with the file reader (two passes, per-file byte offsets).
@@ -249,19 +262,33 @@ def q_file_lines_with_offset(spark, sf):
     directory, texts in doc_id order.  A source holding a third of all texts
     still spreads over many buckets, so no single writer task gets it all.
     """
-    out = work_dir(spark, "texts")
-    d = (table(spark, sf, "documents").filter(F.col("text").isNotNull())
-         .select("source", F.floor(F.col("doc_id") / FILE_BUCKET_DOCS).cast("bigint").alias("bucket"),
-                 "doc_id", "text"))
-    (d.repartition("source", "bucket").sortWithinPartitions("source", "bucket", "doc_id")
-      .select("source", "bucket", "text").write.partitionBy("source", "bucket").text(out))
-    lines = read_lines(spark, out)
+    lines = read_lines(spark, write_texts(spark, sf))
     return lines.select(
         F.regexp_extract("path", r"/source=([^/]+)/", 1).alias("source"),
         F.regexp_extract("path", r"/bucket=(\d+)/", 1).cast("bigint").alias("bucket"),
         "offset", "line")
 
 
+MANIFEST_INDEX = "docs.v1"
+
+
+def q_index_manifest(spark, sf):
+    """The batch indexer end to end (section 3.1): texts written as files,
+    indexed with pre-count into a document table, count manifest written
+    (AGG1, AGG7, SNK1, SNK4, STR4).  Returns the manifest without its clock
+    fields, plus the number of documents found in the written table.
+    """
+    from .jobs import index_text_files  # noqa: PLC0415 (jobs imports this module's peers)
+
+    out = work_dir(spark, "index")
+    res = index_text_files(spark, write_texts(spark, sf), MANIFEST_INDEX, out, count=True,
+                           manifest_dir=work_dir(spark, "manifests"))
+    indexed = spark.read.parquet(out).count()
+    return spark.read.json(res.manifest).select(
+        "index", "doc_type", F.col("records").cast("bigint").alias("records"), "count", "name",
+        F.lit(indexed).cast("bigint").alias("indexed"))
+
+
 def q_reconcile_counts(spark, sf):
     """AGG1 + SNK1 + AGG6: index every source, read the table back, compare counts.
 
@@ -326,6 +353,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_total": q_search_total,
     "first_page": q_first_page,
     "file_lines_with_offset": q_file_lines_with_offset,
+    "index_manifest": q_index_manifest,
     "reconcile_counts": q_reconcile_counts,
     "bulk_lines": q_bulk_lines,
     "conversation_lines": q_conversation_lines,
@@ -415,6 +443,11 @@ ORACLE_SQL: dict[str, str] = {
         "u AS (SELECT source, bucket, doc_id, unnest(ls) AS line, unnest(generate_series(1, len(ls))) AS k FROM d) "
         "SELECT source, bucket, CAST(SUM(strlen(line) + 1) OVER (PARTITION BY source, bucket ORDER BY doc_id, k) "
         "- (strlen(line) + 1) AS BIGINT) AS \"offset\", line FROM u"),
+    "index_manifest": _with(
+        f"SELECT '{MANIFEST_INDEX}' AS index, '{MANIFEST_INDEX}' AS doc_type, CAST(count(*) AS BIGINT) AS records, "
+        f"CAST(count(*) AS VARCHAR) AS count, "
+        f"'{MANIFEST_INDEX.replace('.', '_')}' AS name, CAST(count(*) AS BIGINT) AS indexed FROM l",
+        ("l", DOC_LINES_SQL)),
     "reconcile_counts": _with(
         "SELECT source AS index, count(*) AS source_n, count(*) AS indexed_n, CAST(0 AS BIGINT) AS diff "
         "FROM l GROUP BY source", ("l", DOC_LINES_SQL)),
