@@ -29,8 +29,19 @@ RANGE_END = "2024-01-12 00:00:00"
 FIRST_PAGE = 10
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A supplied table.  Its schema is read from the Parquet footers once per
+    process and then declared, so later reads plan without a footer job."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 # --- inputs derived from the tables ------------------------------------------
