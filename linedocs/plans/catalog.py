@@ -295,7 +295,7 @@ def q_index_manifest(spark, sf):
     res = index_text_files(spark, write_texts(spark, sf), MANIFEST_INDEX, out, count=True,
                            manifest_dir=work_dir(spark, "manifests"))
     indexed = spark.read.parquet(out).count()
-    return spark.read.json(res.manifest).select(
+    return spark.read.schema(counts.MANIFEST_SCHEMA).json(res.manifest).select(
         "index", "doc_type", F.col("records").cast("bigint").alias("records"), "count", "name",
         F.lit(indexed).cast("bigint").alias("indexed"))
 

@@ -161,7 +161,7 @@ class TextFiles:
             F.max("_fsize").alias("_fsize"))
         out = work_dir(self.spark, "splits")
         per_split.write.mode("overwrite").parquet(out)
-        s = self.spark.read.parquet(out)
+        s = self.spark.read.schema(per_split.schema).parquet(out)
         by_file = Window.partitionBy("_fp")
         before = by_file.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
         file_bytes = F.sum("_bytes").over(by_file)
