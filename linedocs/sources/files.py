@@ -124,6 +124,7 @@ class TextFiles:
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     records: DataFrame | None = None  # pre-read records (a stream micro-batch)
     _splits: DataFrame | None = None
+    _stats: object = None
 
     def _records(self) -> DataFrame:
         if self.records is not None:
@@ -162,6 +163,10 @@ class TextFiles:
         out = work_dir(self.spark, "splits")
         per_split.write.mode("overwrite").parquet(out)
         s = self.spark.read.schema(per_split.schema).parquet(out)
+        # one small job over the split table: its size bound and the pre-count
+        self._stats = s.agg(F.count(F.lit(1)).alias("n"),
+                            F.coalesce(F.max(F.octet_length("_fp")), F.lit(0)).alias("w"),
+                            F.coalesce(F.sum("_lines"), F.lit(0)).alias("lines")).first()
         by_file = Window.partitionBy("_fp")
         before = by_file.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
         file_bytes = F.sum("_bytes").over(by_file)
@@ -175,15 +180,14 @@ class TextFiles:
 
     def line_count(self) -> int:
         """AGG1 pre-count from pass 1 (no extra job beyond the split table)."""
-        v = self.splits().agg(F.sum("_lines")).first()[0]
-        return int(v or 0)
+        self.splits()
+        return int(self._stats["lines"])
 
     def lines(self) -> DataFrame:
         """``path, offset, line`` for every line of every file."""
         splits = self.splits()
         # measured size bound of the split table: rows and longest path
-        size = splits.agg(F.count(F.lit(1)).alias("n"),
-                          F.coalesce(F.max(F.octet_length("_fp")), F.lit(0)).alias("w")).first()
+        size = self._stats
         est_bytes = size["n"] * (size["w"] + SPLIT_ROW_OVERHEAD)
         if size["n"] <= self.broadcast_rows and est_bytes <= self.broadcast_bytes:
             splits = F.broadcast(splits)
