@@ -67,7 +67,7 @@ def index_text_files(spark: SparkSession, path: str | list[str], index: str, out
     manifest_path = None
     if manifest_dir:
         m = counts.count_manifest(spark, ",".join(tf.paths), index, doc_type, records, secs)
-        manifest_path = writers.write_manifest(m, manifest_dir)
+        manifest_path = writers.write_manifest(m, manifest_dir, index)
     return IndexResult(",".join(tf.paths), index, doc_type, records,
                        str(records) if records is not None else "uncounted", secs, manifest_path)
 

@@ -9,10 +9,12 @@ batch id and overwritten, so a replay replaces instead of duplicating.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import safe_name
+from ..functions.text import UNSAFE_NAME_CHARS, safe_name
 
 
 def document_id(*cols: str | Column) -> Column:
@@ -104,13 +106,18 @@ def write_batch_text(batch: DataFrame, base: str, batch_id: int, prefix: str = "
     return target
 
 
-def write_manifest(manifest: DataFrame, out_dir: str) -> str:
+def write_manifest(manifest: DataFrame, out_dir: str, index: str | None = None) -> str:
     """SNK4: write the one-row count manifest to ``<out_dir>/<safe index>.count``.
 
     Last run wins (overwrite), like the original count file; the location is
-    a caller-chosen shared folder, not a driver-local /tmp.
+    a caller-chosen shared folder, not a driver-local /tmp.  With ``index``
+    given, the file name is derived on the driver from that option value
+    (same rule as ``safe_name``) instead of by a job.
     """
-    name = manifest.select(safe_name(F.col("index"))).first()[0]
+    if index is not None:
+        name = re.sub(UNSAFE_NAME_CHARS, "_", index)
+    else:
+        name = manifest.select(safe_name(F.col("index"))).first()[0]
     target = f"{out_dir.rstrip('/')}/{name}.count"
     manifest.coalesce(1).write.mode("overwrite").json(target)
     return target
