@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import safe_name, strip_scheme_host, strip_scheme_prefix
+from ..functions.text import safe_name, strip_scheme_host
 from ..operators import counts, documents, search
 from ..sinks import writers
 from ..session import work_dir
