@@ -192,3 +192,10 @@ def test_plain_lines_without_offsets(spark, tmp):
     (tmp / "d" / "f").write_bytes(b"a\r\nb\rc\n")
     rows = sorted((r["path"].rsplit("/", 1)[1], r["line"]) for r in read_plain_lines(spark, str(tmp)).collect())
     assert rows == [("f", "a"), ("f", "b"), ("f", "c")]
+
+
+def test_glob_filter_option(spark, tmp):
+    (tmp / "a.log").write_bytes(b"keep\n")
+    (tmp / "b.txt").write_bytes(b"drop\n")
+    rows = text_files(spark, str(tmp), glob_filter="*.log").lines().collect()
+    assert [r["line"] for r in rows] == ["keep"]

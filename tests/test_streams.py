@@ -142,3 +142,19 @@ def test_stored_lines_on_a_stream(spark, tmp):
     _drain(q)
     assert sorted((r["offset"], r["line"]) for r in spark.sql("select * from st_lines").collect()) == [
         (0, "ab"), (3, "cd")]
+
+
+def test_file_stream_documents_two_batches(spark, tmp):
+    import os
+    import time as _t
+    inbox = tmp / "in"
+    inbox.mkdir()
+    (inbox / "f1").write_bytes(b"one\ntwo\n")
+    os.utime(inbox / "f1", (_t.time() - 10, _t.time() - 10))
+    (inbox / "f2").write_bytes(b"three\r\nfour\n")
+    recs = ST.read_text_stream(spark, str(inbox), max_files_per_trigger=1)
+    _drain(jobs.file_stream_documents(spark, recs, str(tmp / "idx"), "files", str(tmp / "ck"),
+                                      available_now=True))
+    got = sorted((r["batch_id"], r["path"].rsplit("/", 1)[1], r["offset"], r["line"])
+                 for r in spark.read.parquet(str(tmp / "idx")).collect())
+    assert got == [(0, "f1", 0, "one"), (0, "f1", 4, "two"), (1, "f2", 0, "three"), (1, "f2", 7, "four")]
