@@ -62,6 +62,7 @@ def main(argv: list[str] | None = None) -> int:
             sp.add_argument("--min-partitions", type=int)
         if name == "totext":
             sp.add_argument("--mode", choices=["pair", "value"], default="pair")
+            sp.add_argument("--counts-out", help="folder for per-batch message counts")
         if name == "toindex":
             sp.add_argument("--index", required=True)
             sp.add_argument("--type", dest="doc_type")
@@ -82,7 +83,8 @@ def main(argv: list[str] | None = None) -> int:
         msgs = streams.read_topic(spark, a.brokers, a.topics, min_partitions=a.min_partitions)
         if a.cmd == "totext":
             q = jobs.topic_to_text(spark, msgs, a.out, a.checkpoint, interval=a.interval,
-                                   mode=a.mode, available_now=a.available_now)
+                                   mode=a.mode, available_now=a.available_now,
+                                   counts_out=a.counts_out)
         else:
             q = jobs.topic_to_index(spark, msgs, a.out, a.index, a.checkpoint, doc_type=a.doc_type,
                                     interval=a.interval, available_now=a.available_now)

@@ -82,12 +82,13 @@ def network_counts(spark: SparkSession, lines: DataFrame, out: str, checkpoint:
 
 def topic_to_text(spark: SparkSession, messages: DataFrame, out: str, checkpoint: str,
                   interval: int = runner.DEFAULT_INTERVAL, mode: str = "pair",
-                  available_now: bool = False) -> StreamingQuery:
+                  available_now: bool = False, counts_out: str | None = None) -> StreamingQuery:
     """Topic -> text (section 3.3): ``<out>/data-<batch_id>.txt`` per batch.
 
     ``mode="pair"`` writes ``(key,value)`` lines (DOC10), ``mode="value"`` the
     value only.  The message count of each batch is observed on the write
-    (AGG5) and logged.
+    (AGG5, no second pass), logged, and kept as one row under
+    ``<counts_out>/batch_id=<id>`` when ``counts_out`` is given.
     """
     if mode not in ("pair", "value"):
         raise ValueError("mode is 'pair' or 'value'")
@@ -97,7 +98,11 @@ def topic_to_text(spark: SparkSession, messages: DataFrame, out: str, checkpoint
                 else F.col("value").cast("string"))
         obs_df, obs = counts.observed(batch.select(text.alias("value")), "messages")
         target = writers.write_batch_text(obs_df, out, batch_id)
-        log.info("batch %s: %s messages -> %s", batch_id, obs.get.get("records"), target)
+        n = int(obs.get.get("records") or 0)
+        log.info("batch %s: %s messages -> %s", batch_id, n, target)
+        if counts_out:
+            (batch.sparkSession.createDataFrame([(n,)], "messages bigint")
+                 .write.mode("overwrite").parquet(f"{counts_out.rstrip('/')}/batch_id={batch_id}"))
 
     return runner.start(messages, process, checkpoint, interval, available_now)
 

@@ -57,9 +57,11 @@ def test_topic_to_text_pairs(spark, tmp):
     src.mkdir()
     spark.createDataFrame([(None, "m"), ("k", "v")], "key string, value string").write.parquet(str(src / "b0"))
     msgs = spark.readStream.schema("key string, value string").parquet(str(src / "b0"))
-    _drain(jobs.topic_to_text(spark, msgs, str(tmp / "out"), str(tmp / "ck"), available_now=True))
+    _drain(jobs.topic_to_text(spark, msgs, str(tmp / "out"), str(tmp / "ck"), available_now=True,
+                              counts_out=str(tmp / "counts")))
     got = sorted(r[0] for r in spark.read.text(str(tmp / "out" / "data-0.txt")).collect())
     assert got == ["(k,v)", "(null,m)"]
+    assert [(r["batch_id"], r["messages"]) for r in spark.read.parquet(str(tmp / "counts")).collect()] == [(0, 2)]
 
 
 def test_topic_to_index_dated(spark, tmp):
