@@ -177,7 +177,7 @@ def python_builder(name: str, fn: Callable, schema: T.StructType | str) -> Docum
     Runs once per Arrow batch through ``mapInPandas``; the input batch has the
     attributed-line columns.
     """
-    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
     def build(df: DataFrame) -> DataFrame:
         def run(batches):

@@ -72,3 +72,11 @@ def test_python_builder(spark, lines):
     D.python_builder("upper", upper, D.OFFSET_DOC)
     got = sorted(r["line"] for r in D.to_documents(lines, "upper").collect())
     assert got == ["2024-01-02T03:04:05 ONE", "SIX"]
+
+
+def test_python_builder_with_ddl_schema(spark, lines):
+    def path_only(pdf):
+        return pdf[["path"]]
+
+    D.python_builder("path_only", path_only, "path string")
+    assert D.to_documents(lines, "path_only").count() == 2
