@@ -8,7 +8,7 @@ index filter prunes directories and the other filters reach the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import has_token, has_token_prefix
@@ -58,8 +58,13 @@ def in_index(docs: DataFrame, index: str, doc_type: str | None = None) -> DataFr
     return docs.filter(cond)
 
 
-def time_range(docs: DataFrame, start, end, ts_col: str = "event_time") -> DataFrame:
+def time_range(docs: DataFrame, start, end, ts_col: str | Column = "event_time") -> DataFrame:
     """RET7: documents whose detected time lies in [start, end] (inclusive,
-    like SQL BETWEEN, which also evaluates the time expression only once)."""
-    t = docs.schema[ts_col].dataType.simpleString()
-    return docs.filter(F.col(ts_col).between(F.lit(start).cast(t), F.lit(end).cast(t)))
+    like SQL BETWEEN, which also evaluates the time expression only once).
+
+    ``ts_col`` is a ``timestamp_ntz`` column of ``docs`` (a stored document
+    table) or an expression over its columns, e.g.
+    ``event_time(col("line"), bind=True)`` for documents built on the fly.
+    """
+    ts = F.col(ts_col) if isinstance(ts_col, str) else ts_col
+    return docs.filter(ts.between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))

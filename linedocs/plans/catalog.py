@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import safe_name, strip_scheme_host
+from ..functions.text import event_time, safe_name, strip_scheme_host
 from ..operators import counts, documents, search
 from ..sinks import writers
 from ..session import work_dir
@@ -177,8 +177,9 @@ def q_dated_lines(spark, sf):
 
 def q_date_range(spark, sf):
     """RET7: dated documents whose detected time is in [RANGE_START, RANGE_END]."""
-    ev = documents.dated_documents_typed(_event_line(table(spark, sf, "events")))
-    return search.time_range(ev, RANGE_START, RANGE_END).drop("event_time")
+    # output columns in codegen; the filter binds its one regex pass per row
+    ev = documents.dated_documents(_event_line(table(spark, sf, "events")))
+    return search.time_range(ev, RANGE_START, RANGE_END, event_time(F.col("line"), bind=True))
 
 
 def q_stream_dated_lines(spark, sf):
