@@ -44,3 +44,18 @@ def test_stored_lines_add_no_shuffle_to_wide_inputs(spark):
     assert "Exchange" not in _plan(explode_lines(df, keep=["id"]))
     narrow = spark.range(0, 100, numPartitions=1).select("id", F.lit("a\nb").alias("text"))
     assert "Exchange hashpartitioning(id" in _plan(explode_lines(narrow, keep=["id"]))
+
+
+def test_no_row_caps_except_the_first_page(spark):
+    import os
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    for name, fn in E.queries().items():
+        ops = set(_ops(fn(spark, sf)))
+        capped = ops & {"GlobalLimit", "LocalLimit", "CollectLimit", "TakeOrderedAndProject", "Sample"}
+        if name == "first_page":
+            assert capped == {"TakeOrderedAndProject"}
+        else:
+            assert not capped, (name, capped)
