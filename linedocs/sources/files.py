@@ -14,9 +14,10 @@ How the offset is computed without an RDD and without shuffling the lines:
    ``octet_length + 1``.
 2. Pass 1 (small result): per input split ``(file, block start)`` the total
    record bytes and line count - a partial+final aggregate whose output has
-   one row per split.  It is written to the shared checkpoint folder, and a
-   window over that small table gives each split's starting byte (sum of all
-   earlier splits of its file) and each file's BOM correction.
+   one row per split - and a window over that small table giving each
+   split's starting byte (sum of all earlier splits of its file) and each
+   file's BOM correction.  The result is written to the shared checkpoint
+   folder.
 3. Pass 2: the same scan again; an iterator Arrow UDF keeps one running
    integer per split while the task streams through its rows (rows of a split
    arrive in file order inside one task), so each line's offset inside its
@@ -150,8 +151,9 @@ class TextFiles:
     def splits(self) -> DataFrame:
         """Pass 1: one row per input split with its start byte and BOM shift.
 
-        Materialised once in the shared checkpoint folder (survives executor
-        loss, and later joins read a few rows instead of re-running pass 1).
+        The per-split aggregate and the window over it (both small) are
+        materialised once in the shared checkpoint folder: it survives
+        executor loss, and pass 2 broadcasts a plain scan of a few rows.
         """
         if self._splits is not None:
             return self._splits
@@ -160,22 +162,24 @@ class TextFiles:
             F.sum(F.octet_length(rec) + 1).alias("_bytes"),
             F.sum(F.when(self._has_cr(rec), F.size(self._parts(rec))).otherwise(1)).alias("_lines"),
             F.max("_fsize").alias("_fsize"))
-        out = work_dir(self.spark, "splits")
-        per_split.write.mode("overwrite").parquet(out)
-        s = self.spark.read.schema(per_split.schema).parquet(out)
-        # one small job over the split table: its size bound and the pre-count
-        self._stats = s.agg(F.count(F.lit(1)).alias("n"),
-                            F.coalesce(F.max(F.octet_length("_fp")), F.lit(0)).alias("w"),
-                            F.coalesce(F.sum("_lines"), F.lit(0)).alias("lines")).first()
         by_file = Window.partitionBy("_fp")
         before = by_file.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-        file_bytes = F.sum("_bytes").over(by_file)
-        slack = F.col("_fsize") - file_bytes
+        slack = F.col("_fsize") - F.sum("_bytes").over(by_file)
         bom = (~F.col("_fp").rlike(COMPRESSED_EXT)) & slack.isin(UTF8_BOM_BYTES, UTF8_BOM_BYTES - 1)
-        self._splits = s.select(
+        table = per_split.select(
             "_fp", "_blk", "_lines",
+            # the decoded path is computed here, once per split, not per line
+            decode_file_uri(F.col("_fp")).alias("_path"),
             F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_base"),
             F.when(bom, F.lit(UTF8_BOM_BYTES)).otherwise(F.lit(0)).alias("_bom"))
+        out = work_dir(self.spark, "splits")
+        table.write.mode("overwrite").parquet(out)
+        s = self.spark.read.schema(table.schema).parquet(out)
+        # one small job over the split table: its size bound and the pre-count
+        self._stats = s.agg(F.count(F.lit(1)).alias("n"),
+                            F.coalesce(F.max(F.octet_length("_fp")), F.lit(0)).alias("w"),
+                            F.coalesce(F.sum("_lines"), F.lit(0)).alias("lines")).first()
+        self._splits = s
         return self._splits
 
     def line_count(self) -> int:
@@ -207,13 +211,12 @@ class TextFiles:
         # inline_outer: _parts is never empty, and the outer form keeps the
         # optimizer from inferring a row filter that it could push below the
         # running-sum UDF (which must see every record of its split)
-        ex = j.select("_fp", "_base", "_bom", F.inline_outer(
+        ex = j.select("_path", "_base", "_bom", F.inline_outer(
             F.arrays_zip(F.col("_offs").alias("_off"), F.col("_parts").alias("line"))))
         off = F.col("_base") + F.col("_off")
         # a skipped BOM shifts every line of its file except the very first
         off = off + F.when(off > 0, F.col("_bom")).otherwise(F.lit(0))
-        return ex.select(decode_file_uri(F.col("_fp")).alias("path"),
-                         off.cast("bigint").alias("offset"), "line")
+        return ex.select(F.col("_path").alias("path"), off.cast("bigint").alias("offset"), "line")
 
 
 def text_files(spark: SparkSession, paths: str | list[str], recursive: bool = True,

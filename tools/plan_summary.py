@@ -25,8 +25,8 @@ def main():
            "these test tables are one row group each, so the scan has fewer partitions",
            "than cores and the rows are hashed out once. A table with at least one",
            "partition per core gets no such exchange. In `file_lines_with_offset`",
-           "the only exchange is the window over the small per-split table, which is",
-           "then broadcast; the lines themselves are never shuffled.", ""]
+           "the small per-split table written by pass 1 is broadcast; pass 2 has no",
+           "shuffle and the lines themselves are never shuffled.", ""]
     for name, fn in catalog.QUERIES.items():
         df = fn(spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
