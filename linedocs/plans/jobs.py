@@ -62,7 +62,12 @@ def index_text_files(spark: SparkSession, path: str | list[str], index: str, out
     if records is not None and written != records:
         log.warning("indexed %s documents but counted %s lines", written, records)
     if bulk_out:
-        writers.write_bulk(docs, bulk_out, index, doc_type, max_writers=max_writers)
+        # from the table just written (partition-pruned to this index), not
+        # by running the text scan and the offset pass a second time
+        table = spark.read.format(fmt).load(out)
+        mine = table.filter((F.col("index") == index) & (F.col("doc_type") == doc_type))
+        writers.write_bulk(mine.select(*docs.columns), bulk_out, index, doc_type,
+                           max_writers=max_writers)
     secs = timer.secs()
     manifest_path = None
     if manifest_dir:
