@@ -116,6 +116,8 @@ def decode_file_uri(uri) -> Column:
 # classified by its length and separator characters, and parsed with the one
 # matching format (so each row pays one scan and at most one parse).  An
 # impossible date (month 13) gives null, as does a line without a date.
+# Fractional seconds and zone suffixes after a match are not part of it: the
+# result is the wall-clock time written in the line, to the second.
 # Normalised output is ISO-8601 ``yyyy-MM-dd'T'HH:mm:ss``.
 # ---------------------------------------------------------------------------
 DATE_FORMATS = [

@@ -45,6 +45,9 @@ def test_split_list():
     ("day 2024-01-02 only", "2024-01-02T00:00:00"),
     ("no date here", None),
     ("bad 2024-13-45 date", None),
+    ("2024-01-02T03:04:05.123Z done", "2024-01-02T03:04:05"),
+    ("at 2024-01-02T03:04:05+02:00", "2024-01-02T03:04:05"),
+    ("first 2024/05/06 07:08:09 then 2024-01-02", "2024-05-06T07:08:09"),
 ])
 def test_detect_date(spark, line, want):
     assert _one(spark, text.detect_date, [line]) == [want]
