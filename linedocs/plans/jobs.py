@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import counts, documents
@@ -64,7 +65,10 @@ def index_text_files(spark: SparkSession, path: str | list[str], index: str, out
     if bulk_out:
         # from the table just written (partition-pruned to this index), not
         # by running the text scan and the offset pass a second time
-        table = spark.read.format(fmt).load(out)
+        # declared schema: no inference pass (JSON inference would read it all)
+        schema = T.StructType(docs.schema.fields + [T.StructField("index", T.StringType()),
+                                                    T.StructField("doc_type", T.StringType())])
+        table = spark.read.schema(schema).format(fmt).load(out)
         mine = table.filter((F.col("index") == index) & (F.col("doc_type") == doc_type))
         writers.write_bulk(mine.select(*docs.columns), bulk_out, index, doc_type,
                            max_writers=max_writers)

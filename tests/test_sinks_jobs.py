@@ -106,7 +106,9 @@ def test_command_line_counts(spark, tmp):
 
 def test_json_document_table(spark, tmp):
     src = _golden(tmp)
-    index_text_files(spark, str(src), "j", str(tmp / "t"), fmt="json", builder="no_offset")
+    index_text_files(spark, str(src), "j", str(tmp / "t"), fmt="json", builder="no_offset",
+                     bulk_out=str(tmp / "bulk"))
+    assert spark.read.text(str(tmp / "bulk")).count() == 12
     rows = spark.read.json(str(tmp / "t")).collect()
     assert len(rows) == 6 and set(rows[0].asDict()) == {"path", "line", "index", "doc_type"}
 
