@@ -122,3 +122,11 @@ def test_repeated_lines_without_offsets_keep_all_documents(spark, tmp):
     bulk = [r[0] for r in spark.read.text(str(tmp / "bulk")).collect()]
     assert len(bulk) == 4 and all('"_id"' not in b for b in bulk)
     assert res.count == "uncounted"
+
+
+def test_command_line_rejects_missing_arguments():
+    import pytest
+    from linedocs.__main__ import main
+    for argv in (["totext"], ["toindex", "--brokers", "b"], ["index", "--path", "p"], []):
+        with pytest.raises(SystemExit):
+            main(argv)
