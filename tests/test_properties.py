@@ -44,3 +44,15 @@ def test_stored_offsets_point_at_the_line_bytes(spark, values):
         assert [line for _, _, line in got] == v.split("\n")
         for _, off, line in got:
             assert raw[off:off + len(line.encode())] == line.encode()
+
+
+def test_one_huge_text_is_linear(spark):
+    import time
+    n = 200_000
+    text = "\n".join(f"l{i}" for i in range(n))
+    df = spark.createDataFrame([(1, text)], "i int, text string")
+    t0 = time.time()
+    last = explode_lines(df, keep=["i"], line_no=True).filter(f"line_no = {n - 1}").first()
+    assert last["line"] == f"l{n - 1}"
+    assert last["offset"] == len(text.encode()) - len(f"l{n - 1}")
+    assert time.time() - t0 < 60  # a quadratic prefix sum would take far longer
