@@ -199,3 +199,16 @@ def test_glob_filter_option(spark, tmp):
     (tmp / "b.txt").write_bytes(b"drop\n")
     rows = text_files(spark, str(tmp), glob_filter="*.log").lines().collect()
     assert [r["line"] for r in rows] == ["keep"]
+
+
+def test_large_cr_only_file_is_linear(spark, tmp):
+    import time
+    n = 100_000
+    p = tmp / "mac-big.txt"
+    p.write_bytes(b"".join(f"r{i}\r".encode() for i in range(n)))
+    t0 = time.time()
+    df = read_lines(spark, str(p))
+    last = df.filter(f"line = 'r{n - 1}'").first()
+    assert last["offset"] == p.stat().st_size - len(f"r{n - 1}") - 1
+    assert df.count() == n
+    assert time.time() - t0 < 90
