@@ -1,24 +1,56 @@
 """The corpus pipeline: each stage is one operator, its output written as
-Parquet and read again as the next one's documents."""
+Parquet and read again as the next one's documents.
+
+All stages but the last return the columns of ``documents``; the last adds the mixture's.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linedocs.llm import simhash
+from linedocs.llm import decontam, linededup, mixing, quality, simhash
 from linedocs.llm.common import table, written
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    judged = quality.judge(spark, docs, table(spark, sf_dir, "labels"), again=True)
+    return judged.where("kept").select(*docs.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs are cut out of the texts; no document goes."""
+    out = linededup.dedup_lines(spark, docs)
+    length = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))
+    return out.withColumn("n_chars", length).select(*docs.columns)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class stays."""
     return simhash.keep_one(spark, docs, shingle=3, distance=2)
 
 
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    scanned = decontam.decontaminate(spark, docs, table(spark, sf_dir, "benchmark"), window=10)
+    return scanned.where("_scan.n_hit = 0").select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its source's weight, how often it is used, and in which blocks."""
+    return mixing.mixed(spark, docs)
+
+
 STAGES = [
+    ("quality rules", quality_stage),
+    ("line dedup", line_stage),
     ("simhash near-dedup", near_duplicate_stage),
+    ("benchmark decontamination", benchmark_stage),
+    ("source mixing", mixing_stage),
 ]
 
-#: Fingerprints, suffix ranks and the mixing exponent have no DuckDB form.
+#: Fitted thresholds, fingerprints and the mixing exponent have no DuckDB form.
 ORACLE_SQL = None
 
 

@@ -7,12 +7,19 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, tokens
+from . import chat, decontam, linededup, lmscore, mixing, quality, secrets, simhash, tokens, urlfilter
 from .common import table
 
 #: Name of the vocabulary file; its folder is that of the installed package.
 VOCABULARY = "word_bpe_49k.json"
 
+#: host, path, verdict
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+#: The conversation whose texts hold the template's own strings.
+PROBE = (-7, "\\### Assistant: </turn> ok")
+
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -25,9 +32,113 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = mixing.placements(spark, table(spark, sf_dir, "documents"))
+    return placed.select(F.col("_id").alias("doc_id"), "source", "n_tokens", "weight", "epoch", "place", "block")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, how many went, which ranges, and the text that stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long"))
+    out = linededup.dedup_lines(spark, docs)
+    gone = F.coalesce("_gone", F.array().cast("array<struct<from:int,to:int>>"))
+    return out.select(
+        "doc_id", "n_lines",
+        F.aggregate(gone, F.lit(0).cast("long"), lambda n, g: n + g["to"] - g["from"] + 1).alias("n_deleted"),
+        F.array_join(F.transform(gone, lambda g: F.concat_ws("-", g["from"], g["to"])), ",").alias("deleted"), "text")
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(spark, pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.decontaminate(spark, docs, table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "_scan.n_words", "_scan.n_hit", F.size("_scan.item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("_scan.item_ids", ","), 256).alias("items_sha256"),
+                        (F.col("_scan.n_hit") > 0).alias("contaminated"))
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(PROBE[0], 0, "user", PROBE[1]), (PROBE[0], 1, "assistant", PROBE[1])], rows.schema)
+    turns = rows.unionByName(probe).withColumn("parts", chat.text_part(F.col("text")))
+    return chat.read_back(chat.format_turns(turns))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(spark, table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return judged.select("doc_id", *[f"_f.{c}" for c in quality.COUNTS], "base_failed", "kept")
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_token_counts": op1_token_counts,
-    "op2_simhash": op2_simhash,
+    f.__name__: f for f in (op1_token_counts, op2_simhash, op3_mixing, op4_line_dedup, op5_url_filter, op6_decontamination,
+                            op7_chat_format, op8_secret_scan, op9_quality_rules, op10_lm_score)
 }
 
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op5_url_filter"] = r"""
+WITH p AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+rules(rhost, rpath, verdict) AS (VALUES """ + ", ".join(map(str, URL_RULES)) + r"""),
+fit AS (
+  SELECT page_id, rhost || rpath AS rule, verdict,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath) DESC) AS k
+  FROM h JOIN rules ON (host = rhost OR host LIKE '%.' || rhost) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM h LEFT JOIN (SELECT * FROM fit WHERE k = 1) USING (page_id)
+"""
+
+ORACLE_SQL["op6_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+bs AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS t FROM bs),
+sizes AS (SELECT DISTINCT n FROM win),
+ds AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n),
+hit AS (SELECT r, s, win.n AS n, item_id FROM (SELECT r, s, n, array_to_string(w[s:s + n - 1], ' ') AS t FROM ds) x
+        JOIN win ON x.n = win.n AND x.t = win.t),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+ORACLE_SQL["op7_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+f AS (
+  SELECT *, '<turn role=' || replace(replace(replace(role, '\', '\\'), '<', '\<'), '>', '\>') || '>' || chr(10)
+         || replace(replace(text, '\', '\\'), '<', '\<') || '</turn>' || chr(10) AS formatted FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, formatted)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, formatted), '')) AS loss_sha256,
+       CAST(sum(length(formatted)) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+"""
