@@ -135,8 +135,8 @@ def format_turns(df: DataFrame, role: str = "role", parts: str = "parts", expans
                             columns=["formatted", "loss", "attachments", "n_tokens"])
 
     names = ["formatted", "loss", "attachments", "n_tokens"]
-    out = df.withColumn("_turn", turn(F.col(role), F.col(parts)))
-    return out.withColumns({n: F.col("_turn")[n] for n in names}).drop("_turn")
+    out = df.withColumn("__turn", turn(F.col(role), F.col(parts)))
+    return out.withColumns({n: F.col("__turn")[n] for n in names}).drop("__turn")
 
 
 def read_turn(formatted: str) -> tuple[str, str]:

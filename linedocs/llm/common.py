@@ -32,11 +32,11 @@ def ascii_lower(c: Column) -> Column:
 def document_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """A row's identity where ids may be null or repeat: the id and 128 bits of
     its text.  Rows equal in both are the same document."""
-    return [F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_h1"),
-            F.xxhash64(F.lit("linedocs"), text).alias("_h2")]
+    return [F.col(doc_id).alias("__id"), F.xxhash64(text).alias("__h1"),
+            F.xxhash64(F.lit("linedocs"), text).alias("__h2")]
 
 
-KEY = ["_id", "_h1", "_h2"]
+KEY = ["__id", "__h1", "__h2"]
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:

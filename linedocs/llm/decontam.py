@@ -145,7 +145,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     merged = parts.groupBy(*KEY).agg(
         F.flatten(F.collect_list("hits")).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
-    merged = merged.select(*KEY, F.struct(union("hits").alias("hits"), "item_ids").alias("_m"))
+    merged = merged.select(*KEY, F.struct(union("hits").alias("hits"), "item_ids").alias("__m"))
     back = docs.withColumns(dict(zip(KEY, document_key(doc_id, text))))
     joined = null_safe(back, merged, KEY, "left")
 
@@ -159,4 +159,4 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
                          [(at[a][0], at[b][1]) for a, b in runs], [] if ids is None else list(ids)))
         return pd.DataFrame(rows, columns=["n_words", "n_hit", "hits", "spans", "item_ids"])
 
-    return joined.withColumn("_scan", place(F.coalesce(F.col(text), F.lit("")), F.col("_m"))).drop("_m", *KEY)
+    return joined.withColumn("_scan", place(F.coalesce(F.col(text), F.lit("")), F.col("__m"))).drop("__m", *KEY)

@@ -116,9 +116,9 @@ def later_copies(spark: SparkSession, docs: DataFrame, min_words: int, doc_id: s
     named = null_safe(head.withColumn("at", tail), ranked, [*KEY, "at"], "inner")
     named = named.withColumn("rb", F.col("r")[F.col("k")]).select(*KEY, "start", "l", "ra", "rb")
     name = ["l", "ra", "rb"]
-    place = F.struct(F.col("_id").isNull().alias("n"), *KEY, "start")
+    place = F.struct(F.col("__id").isNull().alias("n"), *KEY, "start")
     first = named.groupBy(*name).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    same = F.col("first._id").eqNullSafe(F.col("_id")) & (F.col("first._h1") == F.col("_h1")) & (F.col("first._h2") == F.col("_h2"))
+    same = F.col("first.__id").eqNullSafe(F.col("__id")) & (F.col("first.__h1") == F.col("__h1")) & (F.col("first.__h2") == F.col("__h2"))
     copies = named.join(first, name).where(~same | (F.col("start") >= F.col("first.start") + F.col("l")))
     # +1 where a copy starts, -1 behind it: the running sum tells the lines inside one
     steps = copies.select(*KEY, F.explode(F.array(
@@ -143,17 +143,17 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, min_words: int = 50, doc_i
     of document ids (null last, then by text hash) and places.  Rows equal in id
     and text are the same document and get the same result.  Null and empty texts
     stay as they are; a text may become empty but its row stays; an empty table
-    gives an empty one.  Columns other than ``_gone``, ``_id``, ``_h1``, ``_h2`` may have any name."""
+    gives an empty one.  Names that start with an underscore are reserved."""
     columns = docs.columns
     gone = written(spark, later_copies(spark, docs, min_words, doc_id, text), "gone")
     keyed = docs.withColumns(dict(zip(KEY, document_key(doc_id, text))))
     joined = null_safe(keyed, gone, KEY, "left")
     lines = F.split(F.col(text), "\n")
     starts = F.concat(F.array(F.lit(0)), F.transform("_gone", lambda g: g["to"] + 1))
-    ends = F.concat(F.transform("_gone", lambda g: g["from"]), F.array(F.size("_lines")))
+    ends = F.concat(F.transform("_gone", lambda g: g["from"]), F.array(F.size("__lines")))
     kept = F.flatten(F.transform(F.arrays_zip(starts.alias("s"), ends.alias("e")),
-                                 lambda x: F.slice("_lines", x["s"] + 1, F.greatest(x["e"] - x["s"], F.lit(0)))))
+                                 lambda x: F.slice("__lines", x["s"] + 1, F.greatest(x["e"] - x["s"], F.lit(0)))))
     # texts without copies are not split
-    joined = joined.withColumn("_lines", F.when(F.col("_gone").isNotNull(), lines))
+    joined = joined.withColumn("__lines", F.when(F.col("_gone").isNotNull(), lines))
     shorter = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     return joined.withColumn(text, shorter).select(*[F.col(f"`{c}`") for c in columns], "_gone")

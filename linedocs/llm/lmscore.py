@@ -431,16 +431,16 @@ def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
             yield frame
 
     all_rows = written(spark, rows.select("doc_id", (F.col("rest") == held).alias("held_out"),
-                                          F.xxhash64("text").alias("_h1"), F.xxhash64(F.lit("linedocs"), "text").alias("_h2"),
+                                          F.xxhash64("text").alias("__h1"), F.xxhash64(F.lit("linedocs"), "text").alias("__h2"),
                                           scored("text").alias("s")), "scored")
     base = F.lit(math.log10(n + 0.5 * (v + 1)))
     unseen = math.log10(0.5)
     # rare words by document text (equal texts have equal words)
-    rare = all_rows.select("_h1", "_h2", F.explode("s.rare").alias("r")).select("_h1", "_h2", "r.*").distinct()
+    rare = all_rows.select("__h1", "__h2", F.explode("s.rare").alias("r")).select("__h1", "__h2", "r.*").distinct()
     met = rare.join(tail.withColumn("word", F.col("word")), "word")
-    seen = met.groupBy("_h1", "_h2").agg(F.sum("f").alias("f"), F.sum(F.col("f") * F.log10(F.col("c") + 0.5)).alias("logs"))
-    joined = all_rows.select("doc_id", "held_out", "_h1", "_h2", "s.n_bytes", "s.n_tokens", "s.n_known", "s.known", "s.score").join(
-        seen, ["_h1", "_h2"], "left")
+    seen = met.groupBy("__h1", "__h2").agg(F.sum("f").alias("f"), F.sum(F.col("f") * F.log10(F.col("c") + 0.5)).alias("logs"))
+    joined = all_rows.select("doc_id", "held_out", "__h1", "__h2", "s.n_bytes", "s.n_tokens", "s.n_known", "s.known", "s.score").join(
+        seen, ["__h1", "__h2"], "left")
     f = F.coalesce("f", F.lit(0))
     missing = F.col("n_tokens") - F.col("n_known") - f
     logs = F.col("known") + F.coalesce("logs", F.lit(0.0)) + missing * F.lit(unseen)

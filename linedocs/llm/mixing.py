@@ -99,7 +99,7 @@ def weights(spark: SparkSession, documents: DataFrame, mix: Mixture) -> DataFram
 
 def placements(spark: SparkSession, docs: DataFrame, mix: Mixture = Mixture(), source: str = "source", doc_id: str = "doc_id",
                text: str = "text", tokens: Column | None = None, seed: int = 42) -> DataFrame:
-    """One row per document and epoch in which it is used: key (_id, _h1, _h2),
+    """One row per document and epoch in which it is used: key (__id, __h1, __h2),
     source, n_tokens, weight, epoch, place (tokens of the source before it) and block.
 
     Rows equal in id and text are one document.  A null source is a source of its own;
@@ -130,9 +130,9 @@ def mixed(spark: SparkSession, docs: DataFrame, mix: Mixture = Mixture(), source
     """``docs`` that the mixture uses, with weight, copies (times used) and
     blocks (where, ascending).  Columns of these names are replaced."""
     p = placements(spark, docs, mix, source, doc_id, text, tokens, seed)
-    per_doc = p.groupBy(*KEY).agg(F.first("weight").alias("_weight"), F.count("*").alias("_copies"),
-                                  F.array_sort(F.collect_list("block")).alias("_blocks"))
+    per_doc = p.groupBy(*KEY).agg(F.first("weight").alias("__weight"), F.count("*").alias("__copies"),
+                                  F.array_sort(F.collect_list("block")).alias("__blocks"))
     per_doc = written(spark, per_doc, "mixture")
     keyed = docs.drop("weight", "copies", "blocks").withColumns(dict(zip(KEY, document_key(doc_id, text))))
     joined = null_safe(keyed, per_doc, KEY, "inner").drop(*KEY)
-    return joined.withColumnsRenamed({"_weight": "weight", "_copies": "copies", "_blocks": "blocks"})
+    return joined.withColumnsRenamed({"__weight": "weight", "__copies": "copies", "__blocks": "blocks"})

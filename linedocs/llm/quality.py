@@ -110,8 +110,8 @@ def rates(f: str) -> dict[str, Column]:
 def labelled(labels: DataFrame) -> DataFrame:
     """One row (_label_id, good, fit) per labelled id: good without any bad label."""
     good = (F.min("quality") == 1) & (F.coalesce(F.max("toxic"), F.lit(0)) == 0)
-    return (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_label_id"))
-            .agg(good.alias("good")).withColumn("fit", F.pmod(F.xxhash64("_label_id", F.lit(7)), F.lit(2)) == 0))
+    return (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("__label_id"))
+            .agg(good.alias("good")).withColumn("fit", F.pmod(F.xxhash64("__label_id", F.lit(7)), F.lit(2)) == 0))
 
 
 def binomial_bound(k: int, n: int, level: float, upper: bool) -> float:
@@ -136,9 +136,9 @@ def binomial_bound(k: int, n: int, level: float, upper: bool) -> float:
 def lexicon_of(spark: SparkSession, docs: DataFrame, marks: DataFrame, limits: Limits, doc_id: str, text: str) -> list[str]:
     """Words of bad documents, from a bounded sample (by hash of the id) of the fitting half."""
     n = marks.where("fit").count()
-    kept = F.pmod(F.xxhash64("_label_id", F.lit(11)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, limits.fit_rows / max(n, 1)))
-    sample = marks.where(F.col("fit") & kept).select("_label_id", "good")  # about fit_rows narrow rows
-    rows = docs.select(F.col(doc_id).alias("_label_id"), F.col(text).alias("t")).join(F.broadcast(sample), "_label_id")
+    kept = F.pmod(F.xxhash64("__label_id", F.lit(11)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, limits.fit_rows / max(n, 1)))
+    sample = marks.where(F.col("fit") & kept).select("__label_id", "good")  # about fit_rows narrow rows
+    rows = docs.select(F.col(doc_id).alias("__label_id"), F.col(text).alias("t")).join(F.broadcast(sample), "__label_id")
     words = F.array_distinct(F.split(ascii_lower(F.col("t")), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
     by_word = (rows.select("good", F.explode(words).alias("word")).where("word <> ''").groupBy("word")
                .agg(F.count("*").alias("n"), F.sum((~F.col("good")).cast("int")).alias("bad")))
@@ -160,7 +160,7 @@ def excess(center: Column, unit: Column, f: str) -> Column:
 
 def thresholds(spark: SparkSession, features: DataFrame, marks: DataFrame, limits: Limits) -> DataFrame:
     """(stratum, center, unit, cutoff) from rows (_label_id, stratum, f)."""
-    rows = written(spark, features.join(marks, "_label_id"), "labelled")
+    rows = written(spark, features.join(marks, "__label_id"), "labelled")
     least = list(RATES.values())
     named = rates("f")
     centers = rows.where("fit and good").groupBy("stratum").agg(
@@ -199,9 +199,9 @@ def stratum_of(column: str) -> Column:
 
 def verdict(rows: DataFrame, limits: Limits) -> DataFrame:
     """``rows`` with base_failed and kept, from the columns _f and those of thresholds."""
-    f = F.col("_f")
+    f = F.col("__f")
     failed = (f["n_words"] < limits.least_words) | (100 * f["n_repeat_words"] > limits.repeat_percent * f["n_words"])
-    beyond = F.coalesce(excess(F.col("_center"), F.col("_unit"), "_f") > F.col("_cutoff"), F.lit(False))
+    beyond = F.coalesce(excess(F.col("__center"), F.col("__unit"), "__f") > F.col("__cutoff"), F.lit(False))
     return rows.withColumns({"base_failed": failed, "kept": ~failed & ~beyond})
 
 
@@ -219,13 +219,13 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, limits: Limit
     words = lexicon_of(spark, docs, marks, limits, doc_id, text)
     count = counted(spark, F.col(text), words)
     if again:
-        base = docs.select(*[F.col(f"`{c}`") for c in keep], stratum_of(stratum).alias("_stratum"), count.alias("_f"))
-        narrow = docs.select(F.col(doc_id).alias("_label_id"), stratum_of(stratum).alias("stratum"), count.alias("f"))
+        base = docs.select(*[F.col(f"`{c}`") for c in keep], stratum_of(stratum).alias("__stratum"), count.alias("__f"))
+        narrow = docs.select(F.col(doc_id).alias("__label_id"), stratum_of(stratum).alias("stratum"), count.alias("f"))
     else:
-        base = written(spark, docs.select(*[F.col(f"`{c}`") for c in keep], F.col(doc_id).alias("_label_id"),
-                                          stratum_of(stratum).alias("_stratum"), count.alias("_f")), "features")
-        narrow = base.select("_label_id", F.col("_stratum").alias("stratum"), F.col("_f").alias("f"))
+        base = written(spark, docs.select(*[F.col(f"`{c}`") for c in keep], F.col(doc_id).alias("__label_id"),
+                                          stratum_of(stratum).alias("__stratum"), count.alias("__f")), "features")
+        narrow = base.select("__label_id", F.col("__stratum").alias("stratum"), F.col("__f").alias("f"))
     cut = thresholds(spark, narrow, marks, limits).select(
-        F.col("stratum").alias("_stratum"), F.col("center").alias("_center"), F.col("unit").alias("_unit"), F.col("cutoff").alias("_cutoff"))
-    judged = verdict(base.join(cut, "_stratum", "left"), limits)
-    return judged.select(*[F.col(f"`{c}`") for c in keep], "_f", "base_failed", "kept")
+        F.col("stratum").alias("__stratum"), F.col("center").alias("__center"), F.col("unit").alias("__unit"), F.col("cutoff").alias("__cutoff"))
+    judged = verdict(base.join(cut, "__stratum", "left"), limits)
+    return judged.select(*[F.col(f"`{c}`") for c in keep], "__f", "base_failed", "kept")

@@ -34,7 +34,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = mixing.placements(spark, table(spark, sf_dir, "documents"))
-    return placed.select(F.col("_id").alias("doc_id"), "source", "n_tokens", "weight", "epoch", "place", "block")
+    return placed.select(F.col("__id").alias("doc_id"), "source", "n_tokens", "weight", "epoch", "place", "block")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
-    return judged.select("doc_id", *[f"_f.{c}" for c in quality.COUNTS], "base_failed", "kept")
+    return judged.select("doc_id", *[f"__f.{c}" for c in quality.COUNTS], "base_failed", "kept")
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -174,14 +174,14 @@ def links(spark: SparkSession, fps: DataFrame, distance: int, max_bucket: int =
 
 
 def classes(spark: SparkSession, ids: DataFrame, distance: int, max_bucket: int = 4096) -> DataFrame:
-    """(fp, component_id) for (doc_id, fp): exact copies meet in one fingerprint
+    """(fp, root, component_id) for (doc_id, fp): exact copies meet in one fingerprint
     first, then fingerprints link; the class is its smallest non-null doc_id."""
     fps = written(spark, ids.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
     roots = components(spark, links(spark, fps.select("fp"), distance, max_bucket))
     placed = fps.join(roots, fps["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return placed.join(least, "root").select("fp", "component_id")
+    return placed.join(least, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(spark: SparkSession, df: DataFrame, shingle: int = 3, distance: int = 2,
@@ -205,17 +205,10 @@ def keep_one(spark: SparkSession, df: DataFrame, shingle: int = 3, distance: int
     which one row stays.  Columns are those of ``df``."""
     columns = df.columns
     key = fingerprint_column(F.col(text), shingle)
-    ids = written(spark, df.select(F.col(doc_id).alias("_id"), key.alias("_fp")).distinct(), "fingerprint-rows")
-    reached = classes(spark, ids.select(F.col("_id").alias("doc_id"), F.col("_fp").alias("fp")), distance, max_bucket)
-    # a class of null ids alone is told by its smallest fingerprint
-    ranked = ids.join(reached.withColumnRenamed("fp", "_fp"), "_fp")
-    named = ranked.where("component_id is not null and _id = component_id").groupBy("_id").agg(F.min("_fp").alias("_fp"))
-    unnamed = ranked.where("component_id is null")
-    if not unnamed.isEmpty():
-        roots = components(spark, links(spark, unnamed.select(F.col("_fp").alias("fp")).distinct(), distance, max_bucket))
-        roots = roots.withColumnRenamed("node", "_fp")
-        named = named.unionByName(unnamed.join(roots, "_fp", "left_anti").select("_id", "_fp").unionByName(
-            roots.groupBy("root").agg(F.min(F.least("_fp", "root")).alias("_fp"))
-            .select(F.lit(None).cast(ids.schema["_id"].dataType).alias("_id"), "_fp")))
-    keyed = df.withColumn("_id", F.col(doc_id)).withColumn("_fp", key).dropDuplicates(["_id", "_fp"])
-    return null_safe(keyed, named, ["_id", "_fp"], "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    ids = written(spark, df.select(F.col(doc_id).alias("__id"), key.alias("__fp")).distinct(), "fingerprint-rows")
+    reached = classes(spark, ids.select(F.col("__id").alias("doc_id"), F.col("__fp").alias("fp")), distance, max_bucket)
+    ranked = ids.join(reached.withColumnRenamed("fp", "__fp"), "__fp")
+    first = ranked.groupBy("root").agg(F.min(F.struct(F.col("__id").isNull().alias("n"), "__id", "__fp")).alias("m"))
+    named = first.select("m.__id", "m.__fp")
+    keyed = df.withColumn("__id", F.col(doc_id)).withColumn("__fp", key).dropDuplicates(["__id", "__fp"])
+    return null_safe(keyed, named, ["__id", "__fp"], "left_semi").select(*[F.col(f"`{c}`") for c in columns])

@@ -106,6 +106,6 @@ def judge(spark: SparkSession, pages: DataFrame, rules: DataFrame, url: str = "u
     events = boundaries(rules).unionByName(
         keyed.select("k").distinct().select("k", F.lit(1).alias("kind"), no_rule().alias("top"))
         .withColumn("top", F.when(F.lit(False), F.col("top"))))
-    best = keyed.join(sweep(spark, events), "k").groupBy("host", "path").agg(F.max("top").alias("_top"))
+    best = keyed.join(sweep(spark, events), "k").groupBy("host", "path").agg(F.max("top").alias("__top"))
     joined = pages.join(best, ["host", "path"], "left")
-    return joined.withColumns({"rule": F.col("_top.rule"), "verdict": F.coalesce("_top.verdict", F.lit(default))}).drop("_top")
+    return joined.withColumns({"rule": F.col("__top.rule"), "verdict": F.coalesce("__top.verdict", F.lit(default))}).drop("__top")
