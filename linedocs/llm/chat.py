@@ -31,7 +31,8 @@ HEAD, HEAD_END, FOOT = "<turn role=", ">\n", "</turn>\n"
 ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 HEADER = re.compile(r"<turn role=((?:[^\\>]|\\.)*)>\n", re.DOTALL)
 
-PART = T.StructType.fromDDL("type string, text string, uri string, width int, height int, seconds double, pages int")
+PART = (T.StructType().add("type", T.StringType()).add("text", T.StringType()).add("uri", T.StringType())
+        .add("width", T.IntegerType()).add("height", T.IntegerType()).add("seconds", T.DoubleType()).add("pages", T.IntegerType()))
 TURN = ("formatted string, loss array<struct<start:long,end:long>>, "
         "attachments array<struct<ref:int,type:string,uri:string,tokens:long>>, n_tokens long")
 
