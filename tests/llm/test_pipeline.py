@@ -1,0 +1,53 @@
+import os
+
+import pytest
+
+import __spark_entry__ as E
+import corpus_pipeline
+from linedocs.llm import decontam, linededup, quality, simhash
+from linedocs.llm.common import table, written
+from tools.oracle_check import TABLES, digest
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+
+
+@pytest.mark.parametrize("name", ["op5_url_filter", "op6_decontamination", "op7_chat_format"])
+def test_query_matches_oracle(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in TABLES:
+        if os.path.exists(f"{SF}/{t}.parquet"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df = E.queries()[name](spark, SF)
+    rel = con.sql(E.oracle_sql()[name])
+    cols, rows = rel.columns, rel.fetchall()
+    mine = [tuple(r) for r in df.collect()]
+    assert sorted(df.columns) == sorted(cols) and len(mine) == len(rows)
+    assert digest(df.columns, mine)[0] == digest(cols, rows)[0]
+
+
+def test_stages_take_effect(spark):
+    docs = table(spark, SF, "documents")
+    after = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        after.append(written(spark, stage(spark, after[-1], SF), "stage"))
+    for df in after[1:-1]:
+        assert df.columns == docs.columns
+    ids = [{r["doc_id"] for r in df.select("doc_id").collect()} for df in after]
+    judged = quality.judge(spark, docs, table(spark, SF, "labels"))
+    assert ids[1] == {r["doc_id"] for r in judged.where("kept").collect()}
+    assert ids[2] == ids[1]
+    lines = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark, after[1]).collect()}
+    assert lines == {r["doc_id"]: r["text"] for r in after[2].collect()}
+    assert all(r["n_chars"] == len(r["text"]) for r in after[2].collect())
+    components = simhash.near_duplicates(spark, after[2]).collect()
+    assert ids[3] == {r["component_id"] for r in components}
+    scanned = decontam.decontaminate(spark, after[3], table(spark, SF, "benchmark")).collect()
+    assert ids[4] == {r["doc_id"] for r in scanned if not r["_scan"]["n_hit"]}
+    assert ids[5] == ids[4] and all(r["copies"] >= 1 for r in after[5].collect())
+    assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SF).collect()) == sorted(ids[5])
+    empty = docs.where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0
