@@ -210,25 +210,34 @@ def learn_mixer(streams: list[bytes], coder: Coder, tables: list[np.ndarray], ro
     weights = np.zeros((64, 4), np.float64)
     weights[:, :3] = 0.4
     value = logits()
-    parts = [coder.decisions(b) for b in batches_of(iter(streams))]
-    node = np.concatenate([p[0] for p in parts])
-    bit = np.concatenate([p[2] for p in parts])
-    codes = [t[np.concatenate([p[1][i] for p in parts])] for i, t in enumerate(tables)]
-    gate = gates(codes)
-    x = np.stack([value[c] * ((c & 3) > 0) for c in codes] + [np.full(len(bit), 0.3)], axis=1)
+    parts = []  # five bytes a decision are kept
+    for b in batches_of(iter(streams)):
+        node, slots, bit, _ = coder.decisions(b)
+        parts.append((node, bit, *(np.take(t, s) for t, s in zip(tables, slots))))
+    node, bit, *codes = (np.concatenate(c) for c in zip(*parts))
+    del parts
+
+    def inputs(s: slice) -> tuple[np.ndarray, np.ndarray]:
+        part = [c[s] for c in codes]
+        known = [value[c] * ((c & 3) > 0) for c in part]
+        return gates(part), np.stack([*known, np.full(len(part[0]), 0.3)], axis=1)
+
     step = 0.02
     for r in range(rounds):
         for at in range(0, len(bit), batch):
             s = slice(at, at + batch)
-            g, xs = gate[s], x[s]
+            g, xs = inputs(s)
             error = bit[s] - squash((weights[g] * xs).sum(axis=1))
             seen = np.maximum(np.bincount(g, minlength=64), 1)[:, None]
             change = np.zeros_like(weights)
             np.add.at(change, g, error[:, None] * xs)
             weights += step * change / np.sqrt(seen)
         step /= 2
-    mixed = (weights[gate] * x).sum(axis=1)
-    place = node.astype(np.int64) * QUANTA + quantised(mixed.astype(np.float32))
+    place = np.empty(len(bit), np.int32)
+    for at in range(0, len(bit), 1 << 16):
+        s = slice(at, at + (1 << 16))
+        g, xs = inputs(s)
+        place[s] = node[s].astype(np.int32) * QUANTA + quantised((weights[g] * xs).sum(axis=1).astype(np.float32))
     total = np.bincount(place, minlength=256 * QUANTA)
     ones = np.bincount(place, weights=bit, minlength=256 * QUANTA)
     center = squash((np.arange(QUANTA) + 0.5) / QUANTA * 2 * QLIMIT - QLIMIT)
@@ -379,7 +388,7 @@ def count_tables(spark: SparkSession, texts: DataFrame, tree: dict) -> list[np.n
 
 
 def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 5, held: int = 1,
-          head_words: int = 100_000, fit_docs: int = 500, fit_bytes: int = 2 << 20) -> DataFrame:
+          head_words: int = 100_000, fit_docs: int = 500, fit_bytes: int = 1 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_bytes (of the stream), n_tokens, n_known,
     train_tokens, base_score, score, bits_per_byte.
 
