@@ -37,7 +37,9 @@ def main(argv: list[str] | None = None) -> int:
     ix.add_argument("--path", required=True, help="directory, glob or comma list")
     ix.add_argument("--index", required=True)
     ix.add_argument("--type", dest="doc_type")
-    ix.add_argument("--out", required=True, help="document table folder")
+    to = ix.add_mutually_exclusive_group(required=True)
+    to.add_argument("--out", help="document table folder")
+    to.add_argument("--es-nodes", help="index nodes (host:port,...): write through the index connector")
     ix.add_argument("--builder", default="offset")
     ix.add_argument("--count", action="store_true", help="pre-count lines (no extra job)")
     ix.add_argument("--format", default="parquet")
@@ -54,12 +56,17 @@ def main(argv: list[str] | None = None) -> int:
         sp.add_argument("--interval", type=int, default=10)
         sp.add_argument("--available-now", action="store_true")
         if name == "counts":
-            sp.add_argument("--dir", required=True, help="directory receiving text files")
+            src = sp.add_mutually_exclusive_group(required=True)
+            src.add_argument("--dir", help="directory receiving text files")
+            src.add_argument("--host", help="socket peer sending lines (with --port)")
+            sp.add_argument("--port", type=int)
             sp.add_argument("--show", type=int, default=10)
         else:
             sp.add_argument("--brokers", required=True)
             sp.add_argument("--topics", required=True)
             sp.add_argument("--min-partitions", type=int)
+            sp.add_argument("--starting-offsets", help="default: earliest with --available-now, else latest")
+            sp.add_argument("--max-offsets-per-trigger", type=int)
         if name == "totext":
             sp.add_argument("--mode", choices=["pair", "value"], default="pair")
             sp.add_argument("--counts-out", help="folder for per-batch message counts")
@@ -68,19 +75,24 @@ def main(argv: list[str] | None = None) -> int:
             sp.add_argument("--type", dest="doc_type")
 
     a = p.parse_args(argv)
+    if a.cmd == "counts" and (a.host is None) != (a.port is None):
+        p.error("--host and --port go together")
     spark = _session(f"linedocs-{a.cmd}")
     if a.cmd == "index":
         res = jobs.index_text_files(spark, a.path, a.index, a.out, doc_type=a.doc_type,
                                     builder=a.builder, count=a.count, fmt=a.format,
                                     max_writers=a.max_writers, manifest_dir=a.manifest_dir,
-                                    bulk_out=a.bulk_out)
+                                    bulk_out=a.bulk_out, nodes=a.es_nodes)
         print(json.dumps(res.__dict__))
         return 0
     if a.cmd == "counts":
-        q = jobs.network_counts(spark, streams.read_line_stream(spark, a.dir), a.out, a.checkpoint,
+        lines = streams.read_socket(spark, a.host, a.port) if a.host else streams.read_line_stream(spark, a.dir)
+        q = jobs.network_counts(spark, lines, a.out, a.checkpoint,
                                 interval=a.interval, show=a.show, available_now=a.available_now)
     else:
-        msgs = streams.read_topic(spark, a.brokers, a.topics, min_partitions=a.min_partitions)
+        msgs = streams.read_topic(spark, a.brokers, a.topics, min_partitions=a.min_partitions,
+                                  starting_offsets=a.starting_offsets or ("earliest" if a.available_now else "latest"),
+                                  max_offsets_per_trigger=a.max_offsets_per_trigger)
         if a.cmd == "totext":
             q = jobs.topic_to_text(spark, msgs, a.out, a.checkpoint, interval=a.interval,
                                    mode=a.mode, available_now=a.available_now,

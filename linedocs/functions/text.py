@@ -9,6 +9,7 @@ a final line terminator.
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -71,9 +72,19 @@ def safe_name(name) -> Column:
 def split_list(value: str | list[str] | tuple[str, ...]) -> list[str]:
     """STR5: a comma list (``"a,b"``) or a sequence -> list of non-empty items.
 
-    This runs on the driver on an *option value* (paths, topics), never on data.
+    A comma inside braces belongs to a glob (``/in/{a,b}/*.log``) and does not
+    split.  This runs on the driver on an *option value* (paths, topics), never on data.
     """
-    items = value.split(",") if isinstance(value, str) else list(value)
+    if not isinstance(value, str):
+        items = list(value)
+    else:
+        items, depth, start = [], 0, 0
+        for i, c in enumerate(value):
+            depth += (c == "{") - (c == "}")
+            if c == "," and depth <= 0:
+                items.append(value[start:i])
+                start = i + 1
+        items.append(value[start:])
     return [i.strip() for i in items if i and i.strip()]
 
 
@@ -85,19 +96,28 @@ def tokens(line) -> Column:
 TOKEN_CHAR = r"[\p{L}\p{N}]"
 
 
+def _term_tokens(term: str) -> list[str]:
+    """The tokens of a search term (Python's view of ``TOKEN_SEPARATOR``)."""
+    found = "".join(c if unicodedata.category(c)[0] in "LN" else " " for c in term.lower()).split()
+    if not found:
+        raise ValueError(f"the search term {term!r} has no letter or digit")
+    return found
+
+
 def has_token(line, term: str) -> Column:
     """RET4 predicate: ``term`` is one of the line's tokens (case-insensitive).
 
-    Same answer as ``array_contains(tokens(line), term)``, as one regex test
-    on the lower-cased line: the term bounded by non-token characters.
+    Same answer as ``array_contains(tokens(line), term)`` for a term that is one
+    token, as one regex test on the lower-cased line.  A term of several tokens
+    (``foo-bar``) matches them in a row with any separator between them.
     """
-    t = re.escape(term.lower())
+    t = TOKEN_SEPARATOR.join(map(re.escape, _term_tokens(term)))
     return F.lower(_c(line)).rlike(f"(?:^|(?<!{TOKEN_CHAR})){t}(?!{TOKEN_CHAR})")
 
 
 def has_token_prefix(line, prefix: str) -> Column:
     """RET3 predicate: some token starts with ``prefix`` (query ``me*``)."""
-    p = re.escape(prefix.lower().rstrip("*"))
+    p = TOKEN_SEPARATOR.join(map(re.escape, _term_tokens(prefix.rstrip("*"))))
     return F.lower(_c(line)).rlike(f"(?<!{TOKEN_CHAR}){p}")
 
 
@@ -113,8 +133,9 @@ def decode_file_uri(uri) -> Column:
 # FN5 date detection (our own choice of formats; the original leaves it as a
 # to-do).  The leftmost date-like text in the line is found with ONE regex
 # pass; at one position the longer forms are tried first.  The match is then
-# classified by its length and separator characters, and parsed with the one
-# matching format (so each row pays one scan and at most one parse).  An
+# classified by its length and separator characters, and rewritten as ISO text
+# (so each row pays one scan and one cast).  Digits on either side of a date
+# keep it from being one.  An
 # impossible date (month 13) gives null, as does a line without a date.
 # Fractional seconds and zone suffixes after a match are not part of it: the
 # result is the wall-clock time written in the line, to the second.
@@ -127,8 +148,8 @@ DATE_FORMATS = [
     ("access_log", r"\d{2}/[A-Z][a-z]{2}/\d{4}:\d{2}:\d{2}:\d{2}", "dd/MMM/yyyy:HH:mm:ss"),
     ("date_only", r"\d{4}-\d{2}-\d{2}", "yyyy-MM-dd"),
 ]
-DATE_PATTERN = "(?:" + "|".join(p for _, p, _ in DATE_FORMATS) + ")"
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
+DATE_PATTERN = r"(?<!\d)(?:" + "|".join(p for _, p, _ in DATE_FORMATS) + r")(?!\d)"
+MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
 
 def _date_kind(found: Column) -> dict[str, Column]:
@@ -144,12 +165,15 @@ def _date_kind(found: Column) -> dict[str, Column]:
 
 
 def _parse_found(found: Column) -> Column:
+    """Straight to a time without zone: through an ISO text, never through a
+    timestamp of the session's zone, where some wall-clock times do not exist."""
     kinds = _date_kind(found)
-    parsed = None
-    for name, _, fmt in DATE_FORMATS:
-        branch = F.try_to_timestamp(found, F.lit(fmt))
-        parsed = F.when(kinds[name], branch) if parsed is None else parsed.when(kinds[name], branch)
-    return F.to_timestamp_ntz(parsed)
+    month = F.lpad(((F.instr(F.lit(MONTHS), F.substring(found, 4, 3)) + 2) / 3).cast("int").cast("string"), 2, "0")
+    access = F.concat(F.substring(found, 8, 4), F.lit("-"), month, F.lit("-"), F.substring(found, 1, 2),
+                      F.lit(" "), F.substring(found, 13, 8))
+    iso = (F.when(kinds["slashes"], F.translate(found, "/", "-"))
+            .when(kinds["access_log"], access).when(F.length(found) > 0, found))
+    return iso.try_cast("timestamp_ntz")
 
 
 def event_time(line, bind: bool = False) -> Column:
@@ -168,6 +192,12 @@ def event_time(line, bind: bool = False) -> Column:
     return _parse_found(found)
 
 
+def iso_text(time: Column) -> Column:
+    """A whole-second ``timestamp_ntz`` as ``yyyy-MM-dd'T'HH:mm:ss`` (a format function would take
+    it through the session's zone)."""
+    return F.translate(time.cast("string"), " ", "T")
+
+
 def detect_date(line) -> Column:
     """FN5: normalised ISO-8601 date string of the line, or null."""
-    return F.date_format(event_time(line), ISO_FORMAT)
+    return iso_text(event_time(line))

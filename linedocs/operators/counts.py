@@ -81,18 +81,21 @@ def zero_filled_counts(df: DataFrame, ts_col: str, line_col: str = "line",
     w = df.select(_window(F.col(ts_col), every).start.alias("window_start"),
                   F.lit(1).cast("bigint").alias("l"),
                   F.size(_words(line_col)).cast("bigint").alias("wd"))
-    bounds = w.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
+    # windows as whole seconds: no time passes through the driver's or the session's zone
+    zoned = w.schema["window_start"].dataType.simpleString() == "timestamp"
+    at = (F.unix_seconds("window_start") if zoned
+          else F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', window_start)"))
+    bounds = w.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+    if bounds["lo"] is None:
         return w.select("window_start", F.col("window_start").alias("window_end"),
-                        F.col("l").alias("lines"), F.col("wd").alias("words")).limit(0)
-    lo, hi = bounds["lo"], bounds["hi"]
-    n = int((hi - lo).total_seconds() // secs) + 1
-    # through a string: a Python datetime literal would pass through the
-    # driver's local time zone, a string cast does not
-    lo_lit = F.lit(lo.isoformat(sep=" ")).cast(w.schema["window_start"].dataType)
-    grid = spark.range(0, n).select(
-        (lo_lit + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id") * secs))
-        .alias("window_start"), F.lit(0).cast("bigint").alias("l"), F.lit(0).cast("bigint").alias("wd"))
+                        F.col("l").alias("lines"), F.col("wd").alias("words")).where("false")
+    n = (bounds["hi"] - bounds["lo"]) // secs + 1
+    seconds = F.col("id") * secs + bounds["lo"]
+    start = (F.timestamp_seconds(seconds) if zoned
+             else F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(
+                 F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")))
+    grid = spark.range(0, n).select(start.alias("window_start"), F.lit(0).cast("bigint").alias("l"),
+                                    F.lit(0).cast("bigint").alias("wd"))
     total = w.unionByName(grid).groupBy("window_start").agg(
         F.sum("l").alias("lines"), F.sum("wd").alias("words"))
     return total.select(

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import ISO_FORMAT, detect_date, event_time, strip_scheme_host, strip_scheme_prefix
+from ..functions.text import detect_date, event_time, iso_text, strip_scheme_host, strip_scheme_prefix
 
 OFFSET_DOC = T.StructType([
     T.StructField("path", T.StringType()),
@@ -37,6 +37,7 @@ DATED_DOC = T.StructType([
     T.StructField("date", T.StringType()),
     T.StructField("line", T.StringType()),
 ])
+DATED_TYPED_DOC = T.StructType([*DATED_DOC.fields, T.StructField("event_time", T.TimestampNTZType())])
 MAP_DOC = T.StructType([T.StructField("doc", T.MapType(T.StringType(), T.StringType()))])
 STREAM_LINE = T.StructType([T.StructField("line", T.StringType())])
 STREAM_DATED_LINE = T.StructType([
@@ -112,18 +113,18 @@ def dated_documents_typed(df: DataFrame) -> DataFrame:
     ts = event_time(F.col("line"), bind=True)
     return df.select(strip_scheme_host("path").alias("path"),
                      F.col("offset").cast("bigint").alias("offset"),
-                     F.date_format(ts, ISO_FORMAT).alias("date"), "line", ts.alias("event_time"))
+                     iso_text(ts).alias("date"), "line", ts.alias("event_time"))
 
 
-def stream_line_documents(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """DOC7: a stream message becomes ``{line}``."""
-    return df.select(F.col(value_col).cast("string").alias("line"))
+def stream_line_documents(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """DOC7: a stream message becomes ``{line}`` (after the columns ``keep``)."""
+    return df.select(*keep, F.col(value_col).cast("string").alias("line"))
 
 
-def stream_dated_line_documents(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """DOC6 for streams: ``{date, line}``, date null when none is found."""
+def stream_dated_line_documents(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """DOC6 for streams: ``{date, line}`` (after ``keep``), date null when none is found."""
     line = F.col(value_col).cast("string")
-    return df.select(detect_date(line).alias("date"), line.alias("line"))
+    return df.select(*keep, detect_date(line).alias("date"), line.alias("line"))
 
 
 def json_source(*cols: str) -> Column:
@@ -207,5 +208,9 @@ register_builder("no_offset", line_documents, LINE_DOC)
 register_builder("prefix_offset", prefix_stripped_documents, OFFSET_DOC)
 register_builder("map", map_documents, MAP_DOC)
 register_builder("dated", dated_documents, DATED_DOC)
+register_builder("dated_typed", dated_documents_typed, DATED_TYPED_DOC)
 register_builder("stream_line", stream_line_documents, STREAM_LINE)
 register_builder("stream_dated_line", stream_dated_line_documents, STREAM_DATED_LINE)
+
+#: Built-in builders that read no offset: one pass over the files is enough.
+WITHOUT_OFFSET = {"no_offset", "stream_line", "stream_dated_line"}

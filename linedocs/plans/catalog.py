@@ -15,12 +15,12 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import event_time, safe_name, strip_scheme_host
+from ..functions.text import (FILE_SCHEME_FULL, FILE_SCHEME_PREFIX, HDFS_SCHEME_FULL, HDFS_SCHEME_PREFIX, event_time,
+                              safe_name, strip_scheme_host)
 from ..operators import counts, documents, search
 from ..sinks import writers
-from ..session import work_dir
-from ..sources.files import read_lines
-from ..sources.stored import explode_lines, spread
+from ..sources.stored import explode_lines
+from . import end_to_end
 
 SEARCH_TERM = "the"
 SEARCH_PREFIX = "me*"
@@ -81,7 +81,7 @@ def _event_line(ev: DataFrame) -> DataFrame:
                                                F.lit("] "), et, F.lit(" "), props))
              .when(et == "error", F.concat_ws(" ", F.date_format(ts, "yyyy-MM-dd"), et, props))
              .otherwise(F.concat_ws(" ", et, props)))
-    return spread(ev, ["event_id"]).select(
+    return ev.select(
         F.concat(F.lit("/events/"), F.col("user_id").cast("string")).alias("path"),
         F.col("event_id").alias("offset"), line.alias("line"))
 
@@ -241,8 +241,9 @@ def q_search_prefix_me(spark, sf):
 
 
 def q_search_total(spark, sf):
-    """RET1: match-all hit total per index (one index per source)."""
-    return search.total_hits(document_lines(spark, sf, offsets=False).withColumnRenamed("source", "index"), by=["index"])
+    """RET1: match-all hit total per index (one index per source), without a row per line."""
+    docs = table(spark, sf, "documents").withColumnRenamed("source", "index")
+    return counts.text_line_totals(docs, by=["index"]).withColumnRenamed("lines", "total")
 
 
 def q_first_page(spark, sf):
@@ -250,76 +251,6 @@ def q_first_page(spark, sf):
     return search.first_page(documents.offset_documents(document_lines(spark, sf)), FIRST_PAGE)
 
 
-FILE_BUCKET_DOCS = 1000
-
-
-def write_texts(spark: SparkSession, sf: str) -> str:
-    """The ``documents`` texts as text files in the shared work folder:
-    ``source=<s>/bucket=<doc_id div 1000>/part-*.txt``, one file per
-    directory, texts in doc_id order, each text followed by a newline."""
-    out = work_dir(spark, "texts")
-    d = (table(spark, sf, "documents").filter(F.col("text").isNotNull())
-         .select("source", F.floor(F.col("doc_id") / FILE_BUCKET_DOCS).cast("bigint").alias("bucket"),
-                 "doc_id", "text"))
-    (d.repartition("source", "bucket").sortWithinPartitions("source", "bucket", "doc_id")
-      .select("source", "bucket", "text").write.partitionBy("source", "bucket").text(out))
-    return out
-
-
-def q_file_lines_with_offset(spark, sf):
-    """SRC1-SRC4 + SRC3 on real files: the texts are written as text files,
-    then read back with the file reader (two passes, per-file byte offsets).
-
-    Layout: ``source=<s>/bucket=<doc_id div 1000>/part-*.txt``, one file per
-    directory, texts in doc_id order.  A source holding a third of all texts
-    still spreads over many buckets, so no single writer task gets it all.
-    """
-    lines = read_lines(spark, write_texts(spark, sf))
-    return lines.select(
-        F.regexp_extract("path", r"/source=([^/]+)/", 1).alias("source"),
-        F.regexp_extract("path", r"/bucket=(\d+)/", 1).cast("bigint").alias("bucket"),
-        "offset", "line")
-
-
-MANIFEST_INDEX = "docs.v1"
-
-
-def q_index_manifest(spark, sf):
-    """The batch indexer end to end (section 3.1): texts written as files,
-    indexed with pre-count into a document table, count manifest written
-    (AGG1, AGG7, SNK1, SNK4, STR4).  Returns the manifest without its clock
-    fields, plus the number of documents found in the written table.
-    """
-    from .jobs import index_text_files  # noqa: PLC0415 (jobs imports this module's peers)
-
-    out = work_dir(spark, "index")
-    res = index_text_files(spark, write_texts(spark, sf), MANIFEST_INDEX, out, count=True,
-                           manifest_dir=work_dir(spark, "manifests"))
-    indexed = spark.read.parquet(out).count()
-    return spark.read.schema(counts.MANIFEST_SCHEMA).json(res.manifest).select(
-        "index", "doc_type", F.col("records").cast("bigint").alias("records"), "count", "name",
-        F.lit(indexed).cast("bigint").alias("indexed"))
-
-
-def q_reconcile_counts(spark, sf):
-    """AGG1 + SNK1 + AGG6: index every source, read the table back, compare counts.
-
-    The document table (one index per source) is written to the shared
-    checkpoint folder.  The source side is the pre-count pass (AGG1): lines
-    per text summed per source, a partial+final aggregate over the texts
-    that never materialises a row per line.
-    The indexed side counts the written table per index partition.
-    """
-    docs = document_lines(spark, sf).select(
-        F.col("source").alias("index"), strip_scheme_host("path").alias("path"), "offset", "line")
-    out = work_dir(spark, "reconcile")
-    writers.write_documents(docs, out, index=None, doc_type="line")
-    written = spark.read.parquet(out).select("index")
-    source = counts.text_line_totals(
-        table(spark, sf, "documents").withColumnRenamed("source", "index"), by=["index"])
-    return counts.reconcile(source, written, "index", source_weight="lines")
-
-
 def q_bulk_lines(spark, sf):
     """SNK1b + SNK6: bulk request lines (action + source) with deterministic ids."""
     docs = documents.offset_documents(document_lines(spark, sf))
@@ -364,20 +295,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_prefix_me": q_search_prefix_me,
     "search_total": q_search_total,
     "first_page": q_first_page,
-    "file_lines_with_offset": q_file_lines_with_offset,
-    "index_manifest": q_index_manifest,
-    "reconcile_counts": q_reconcile_counts,
     "bulk_lines": q_bulk_lines,
     "conversation_lines": q_conversation_lines,
     "words_per_role": q_words_per_role,
+    **end_to_end.QUERIES,
 }
 
 
 _W = WORDS_SQL.format(l="line")
 _TOK = TOKENS_SQL.format(l="line")
-_STRIP1 = ("regexp_replace(regexp_replace({p}, '^file:(?://)?/', '/'), "
-           "'^hdfs://(?:[\\w.-]+(?::\\d+)?)?/', '/')")
-_STRIP2 = "regexp_replace(regexp_replace({p}, '^file:', ''), '^hdfs://[\\w.-]+(?:\\d+)?', '')"
+_STRIP1 = f"regexp_replace(regexp_replace({{p}}, '{FILE_SCHEME_FULL}', '/'), '{HDFS_SCHEME_FULL}', '/')"
+_STRIP2 = f"regexp_replace(regexp_replace({{p}}, '{FILE_SCHEME_PREFIX}', ''), '{HDFS_SCHEME_PREFIX}', '')"
 _DATED = "SELECT path, \"offset\", date, line FROM ev"
 _CONV_LINES = """
 WITH d AS (
@@ -449,20 +377,6 @@ ORACLE_SQL: dict[str, str] = {
                           ("l", DOC_LINES_SQL)),
     "first_page": _with(f'SELECT path, "offset", line FROM l ORDER BY path, "offset" LIMIT {FIRST_PAGE}',
                         ("l", DOC_LINES_SQL)),
-    "file_lines_with_offset": (
-        f"WITH d AS (SELECT source, CAST(floor(doc_id / {FILE_BUCKET_DOCS}) AS BIGINT) AS bucket, doc_id, "
-        "string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL), "
-        "u AS (SELECT source, bucket, doc_id, unnest(ls) AS line, unnest(generate_series(1, len(ls))) AS k FROM d) "
-        "SELECT source, bucket, CAST(SUM(strlen(line) + 1) OVER (PARTITION BY source, bucket ORDER BY doc_id, k) "
-        "- (strlen(line) + 1) AS BIGINT) AS \"offset\", line FROM u"),
-    "index_manifest": _with(
-        f"SELECT '{MANIFEST_INDEX}' AS index, '{MANIFEST_INDEX}' AS doc_type, CAST(count(*) AS BIGINT) AS records, "
-        f"CAST(count(*) AS VARCHAR) AS count, "
-        f"'{MANIFEST_INDEX.replace('.', '_')}' AS name, CAST(count(*) AS BIGINT) AS indexed FROM l",
-        ("l", DOC_LINES_SQL)),
-    "reconcile_counts": _with(
-        "SELECT source AS index, count(*) AS source_n, count(*) AS indexed_n, CAST(0 AS BIGINT) AS diff "
-        "FROM l GROUP BY source", ("l", DOC_LINES_SQL)),
     "bulk_lines": _with(
         "SELECT value FROM ("
         "SELECT json_object('index', json_object('_index', 'docs', '_type', 'line', '_id', "
@@ -475,3 +389,5 @@ ORACLE_SQL: dict[str, str] = {
     "words_per_role": _CONV_LINES + (
         f"SELECT role, word, count(*) AS n FROM (SELECT role, unnest({_W}) AS word FROM u) GROUP BY role, word"),
 }
+
+ORACLE_SQL |= end_to_end.oracle_sql(DOC_LINES_SQL, EVENT_LINES_SQL, _W, ORACLE_SQL["bulk_lines"])

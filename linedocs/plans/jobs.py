@@ -16,12 +16,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import counts, documents
 from ..sinks import writers
-from ..sources.files import lines_of_records, text_files
+from ..sources.files import TextFiles, pinned_splits, read_plain_lines, text_files
 from ..streaming import runner
 
 log = logging.getLogger(__name__)
@@ -38,37 +37,50 @@ class IndexResult:
     manifest: str | None
 
 
-def index_text_files(spark: SparkSession, path: str | list[str], index: str, out: str,
+def index_text_files(spark: SparkSession, path: str | list[str], index: str, out: str | None = None,
                      doc_type: str | None = None, builder: str = "offset", count: bool = False,
                      fmt: str = "parquet", max_writers: int | None = None,
-                     manifest_dir: str | None = None, bulk_out: str | None = None) -> IndexResult:
-    """Batch indexer (section 3.1 of the survey).
-
-    ``count=True`` takes the line count from the split table that the offset
-    computation builds anyway, so it costs no extra job.  The written count
-    is observed on the write itself and logged next to it.
+                     manifest_dir: str | None = None, bulk_out: str | None = None,
+                     nodes: str | None = None, connector: str = writers.INDEX_CONNECTOR_FORMAT,
+                     options: dict[str, str] | None = None) -> IndexResult:
+    """Batch indexer (section 3.1 of the survey): to the document table ``out``, or with
+    ``nodes`` to a search index through its connector.
+
+    The lines read are observed on the write and compared with the split table
+    that the offset computation builds anyway: a difference fails the job.
+    ``count=True`` reports that count, at no extra job.
     """
+    if (out is None) == (nodes is None):
+        raise ValueError("either a table folder (out) or index nodes")
+    if bulk_out and out is None:
+        raise ValueError("a bulk file is written from the document table (out)")
     timer = counts.Timer()
     doc_type = doc_type or index
-    tf = text_files(spark, path)
-    records = tf.line_count() if count else None
-    docs = documents.to_documents(tf.lines(), builder)
-    observed, obs = counts.observed(docs)
-    # a document id needs the offset: (path, line) would collide for a line
-    # repeated in one file.  Without it the table is still replay-safe
-    # (dynamic partition overwrite), only connector upserts lose their key.
-    writers.write_documents(observed, out, index, doc_type, fmt=fmt, max_writers=max_writers,
-                            id_cols=writers.id_columns(docs))
-    written = obs.get.get("records")
-    if records is not None and written != records:
-        log.warning("indexed %s documents but counted %s lines", written, records)
+    with pinned_splits(spark):
+        tf = text_files(spark, path)
+        with_offsets = builder not in documents.WITHOUT_OFFSET
+        counted = tf.line_count() if with_offsets else None
+        lines, obs = counts.observed(tf.lines() if with_offsets else read_plain_lines(spark, path))
+        docs = documents.to_documents(lines, builder)
+        # a document id needs the offset: (path, line) would collide for a line
+        # repeated in one file.  Without it the table is still replay-safe
+        # (its folder is replaced), only connector upserts lose their key.
+        ids = writers.id_columns(docs)
+        if nodes is not None:
+            addressed = writers.with_address(docs, index, doc_type, ids).drop("index", "doc_type")
+            writers.save_to_index(addressed, f"{index}/{doc_type}", nodes, id_col="_id" if ids else None,
+                                  fmt=connector, max_writers=max_writers, options=options)
+        else:
+            writers.write_documents(docs, out, index, doc_type, fmt=fmt, max_writers=max_writers, id_cols=ids)
+        read = int(obs.get.get("records") or 0)
+        tf.release()
+    if counted is not None and read != counted:
+        raise RuntimeError(f"read {read} lines but counted {counted}: the files changed while they were indexed")
+    records = read if count else None
     if bulk_out:
         # from the table just written (partition-pruned to this index), not
         # by running the text scan and the offset pass a second time
-        # declared schema: no inference pass (JSON inference would read it all)
-        schema = T.StructType(docs.schema.fields + [T.StructField("index", T.StringType()),
-                                                    T.StructField("doc_type", T.StringType())])
-        table = spark.read.schema(schema).format(fmt).load(out)
+        table = writers.read_documents(spark, out, docs.schema, fmt)
         mine = table.filter((F.col("index") == index) & (F.col("doc_type") == doc_type))
         writers.write_bulk(mine.select(*docs.columns), bulk_out, index, doc_type,
                            max_writers=max_writers)
@@ -120,11 +132,16 @@ def topic_to_index(spark: SparkSession, messages: DataFrame, out: str, index: st
                    doc_type: str | None = None, interval: int = runner.DEFAULT_INTERVAL,
                    dated: bool = True, available_now: bool = False) -> StreamingQuery:
     """Stream -> documents (SNK2): ``{date, line}`` (or ``{line}``) per message,
-    written under ``batch_id=<id>`` inside the index partition (replay-safe)."""
+    written under ``batch_id=<id>`` inside the index partition (replay-safe).
+    Messages that carry topic, partition and offset get an ``_id`` of them (SNK6)."""
     build = documents.stream_dated_line_documents if dated else documents.stream_line_documents
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        docs = build(batch).withColumn("batch_id", F.lit(batch_id))
+        identity = ("topic", "partition", "offset")
+        keyed = batch
+        if set(identity) <= set(batch.columns):
+            keyed = batch.withColumn("_id", writers.document_id(*identity))
+        docs = build(keyed, keep=("_id",) if "_id" in keyed.columns else ()).withColumn("batch_id", F.lit(batch_id))
         docs = writers.with_address(docs, index, doc_type, id_cols=None)
         (docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("index", "doc_type", "batch_id").parquet(out))
@@ -142,10 +159,19 @@ def file_stream_documents(spark: SparkSession, records: DataFrame, out: str, ind
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        docs = documents.to_documents(lines_of_records(batch), builder)
-        docs = writers.with_address(docs.withColumn("batch_id", F.lit(batch_id)), index, doc_type,
-                                    id_cols=writers.id_columns(docs))
-        (docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("index", "doc_type", "batch_id").parquet(out))
+        spark = batch.sparkSession
+        with pinned_splits(spark):
+            tf = TextFiles(spark, [], records=batch)
+            counted = tf.line_count()
+            lines, obs = counts.observed(tf.lines())
+            docs = documents.to_documents(lines, builder)
+            docs = writers.with_address(docs.withColumn("batch_id", F.lit(batch_id)), index, doc_type,
+                                        id_cols=writers.id_columns(docs))
+            (docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("index", "doc_type", "batch_id").parquet(out))
+            tf.release()
+        read = int(obs.get.get("records") or 0)
+        if read != counted:
+            raise RuntimeError(f"batch {batch_id}: read {read} lines but counted {counted}")
 
     return runner.start(records, process, checkpoint, interval, available_now)

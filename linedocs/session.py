@@ -9,7 +9,6 @@ session without that setting gets a scratch folder of its own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,13 +70,7 @@ def work_dir(spark: SparkSession, name: str | None = None) -> str:
     return base.rstrip("/") + "/" + sub
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable; returns the folder in use."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        spark.sparkContext.setCheckpointDir(conf)
-        return conf
-    return os.path.dirname(work_dir(spark))
+def drop_work_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``work_dir`` named, through the file system it is on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import UNSAFE_NAME_CHARS, safe_name
 
@@ -42,10 +43,23 @@ def with_address(docs: DataFrame, index: str | None, doc_type: str | None = None
 
 
 def throttle(df: DataFrame, max_writers: int | None) -> DataFrame:
-    """SNK7: cap concurrent writer tasks without a shuffle (narrow coalesce)."""
-    if max_writers and df.rdd.getNumPartitions() > max_writers:
-        return df.coalesce(max_writers)
-    return df
+    """SNK7: at most ``max_writers`` tasks write at a time.
+
+    The documents are dealt to that many writers behind a shuffle, so reading
+    and shaping them keeps its own parallelism; a narrow coalesce would run the
+    whole scan on the few writer tasks.  No job runs to decide it.
+    """
+    return df.repartition(max_writers) if max_writers else df
+
+
+# Characters that a partition folder's name cannot hold; they are written as %XX.
+_FOLDER_SPECIAL = {*map(chr, range(1, 32)), *"\"#%'*/:=?\\{[]^\x7f"}
+
+
+def partition_folder(out: str, **values: str) -> str:
+    """The folder of one partition of a table, named as Spark's writer names it."""
+    parts = [f"{k}=" + "".join(f"%{ord(c):02X}" if c in _FOLDER_SPECIAL else c for c in v) for k, v in values.items()]
+    return "/".join([out.rstrip("/"), *parts])
 
 
 def write_documents(docs: DataFrame, out: str, index: str | None, doc_type: str | None = None,
@@ -53,14 +67,29 @@ def write_documents(docs: DataFrame, out: str, index: str | None, doc_type: str
                     id_cols: tuple[str, ...] | None = ("path", "offset")) -> None:
     """SNK1a: document table partitioned by ``index``/``doc_type``.
 
-    Dynamic partition overwrite: re-indexing one index replaces exactly its
-    directory and leaves other indexes alone.
+    With a fixed index its folder is replaced, also by nothing when no document is
+    left.  Without one, the partitions that receive documents are (dynamic
+    partition overwrite).  Other indexes stay as they are either way.
     """
     df = throttle(with_address(docs, index, doc_type, id_cols), max_writers)
+    if index is not None:
+        folder = partition_folder(out, index=index, doc_type=doc_type or index)
+        df.drop("index", "doc_type").write.mode("overwrite").format(fmt).save(folder)
+        return
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("index", "doc_type").format(fmt).save(out))
 
 
+def read_documents(spark: SparkSession, out: str, schema: T.StructType, fmt: str = "parquet",
+                   extra: dict[str, T.DataType] | None = None) -> DataFrame:
+    """The document table under ``out``: ``schema`` (a builder's), then ``extra`` columns, ``index`` and
+    ``doc_type``.  Declared, so nothing is inferred: index ``007`` stays a string."""
+    full = T.StructType(list(schema.fields))
+    for name, kind in ((extra or {}) | {"index": T.StringType(), "doc_type": T.StringType()}).items():
+        full = full.add(name, kind)
+    return spark.read.schema(full).format(fmt).load(out)
+
+
 def id_columns(docs: DataFrame) -> tuple[str, ...] | None:
     """Identity of a line document: (path, offset); none without an offset."""
     return ("path", "offset") if {"path", "offset"} <= set(docs.columns) else None

@@ -21,11 +21,15 @@ How the offset is computed without an RDD and without shuffling the lines:
 3. Pass 2: the same scan again; an iterator Arrow UDF keeps one running
    integer per split while the task streams through its rows (rows of a split
    arrive in file order inside one task), so each line's offset inside its
-   split needs neither shuffle nor sort.  Only the key and the line lengths
-   cross to Python; the text stays in the JVM.
-4. The split table joins back on ``(file, block start)``: broadcast when its
-   measured size (rows x longest path) is within ``broadcast_rows`` and
-   ``broadcast_bytes``, a shuffle join otherwise.
+   split needs neither shuffle nor sort.  Only a hash of the file, the block start and
+   the line lengths cross to Python; text and path stay in the JVM.
+4. The split table joins back on two hashes of the file and the block start,
+   so a broadcast row is a few integers whatever the length of the paths: it is
+   broadcast up to ``broadcast_bytes`` (rows x ``SPLIT_ROW_BYTES``), a shuffle
+   join beyond that.  It is a left join that *raises* where a split has no
+   entry: both passes use one listing of the files, and should the splits be
+   planned anew in between (another core count or split size) no line can be lost
+   silently.  The jobs pin the split settings over both passes.
 5. Records holding a CR are cut into the lines a CR/CRLF-aware reader sees
    (before pass 2's UDF, which then places each of them; linear in lines).
 
@@ -35,26 +39,26 @@ pre-count re-reads rather than serialising to disk).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import decode_file_uri, split_list
-from ..session import work_dir
+from ..session import drop_work_dir, work_dir
 
 # Hadoop picks a decompression codec by file extension; for those files the
 # stored size says nothing about the text length, so no BOM correction.
 COMPRESSED_EXT = r"(?i)\.(gz|bz2|deflate|zst|lz4|snappy|br|xz)\z"
 UTF8_BOM_BYTES = 3
-DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
-SPLIT_ROW_OVERHEAD = 48  # block start, base, BOM shift, line count, row header
+SPLIT_ROW_BYTES = 96  # five integers, row header and hash table entry
+SPLIT_COUNT = "spark.sql.files.minPartitionNum"
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
@@ -62,7 +66,7 @@ def _line_offsets_in_split(
         batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """Offsets of the lines of each record, relative to the start of its split.
 
-    Input per row: file, block start, the record's byte length (LF
+    Input per row: hash of the file, block start, the record's byte length (LF
     included) and the byte lengths (terminator included) of the lines inside
     the LF-ended record.  A record's offset is
     the running sum of all earlier records of the same (file, block) run; its
@@ -86,12 +90,10 @@ def _line_offsets_in_split(
         flat_excl = np.cumsum(flat) - flat
         rec_len = np.asarray(n.fill_null(0), dtype=np.int64)
         bv = np.asarray(blk.fill_null(-1), dtype=np.int64)
-        fps = fp.fill_null("")
+        fv = np.asarray(fp.fill_null(0), dtype=np.int64)
         new_run = np.zeros(size, dtype=bool)
-        if size > 1:
-            changed = pc.or_(pc.not_equal(fps[1:], fps[:-1]), pa.array(bv[1:] != bv[:-1]))
-            new_run[1:] = np.asarray(changed, dtype=bool)
-        new_run[0] = (fps[0].as_py(), int(bv[0])) != last_key
+        new_run[1:] = (fv[1:] != fv[:-1]) | (bv[1:] != bv[:-1])
+        new_run[0] = (int(fv[0]), int(bv[0])) != last_key
         excl = np.cumsum(rec_len) - rec_len
         # index of the row that opened each row's run, -1 = run carried over
         run_start = np.maximum.accumulate(np.where(new_run, np.arange(size), -1))
@@ -100,7 +102,7 @@ def _line_offsets_in_split(
         first_of_list = np.append(flat_excl, 0)[list_off[:-1]]
         line_off = flat_excl - np.repeat(first_of_list, counts) + np.repeat(local, counts)
         yield pa.ListArray.from_arrays(pa.array(list_off.astype(np.int32)), pa.array(line_off, pa.int64()))
-        last_key = (fps[size - 1].as_py(), int(bv[size - 1]))
+        last_key = (int(fv[size - 1]), int(bv[size - 1]))
         carried = int(local[size - 1] + rec_len[size - 1])
 
 
@@ -113,6 +115,10 @@ def record_columns(df: DataFrame) -> DataFrame:
         F.col("_metadata.file_size").alias("_fsize"))
 
 
+def _file_hashes() -> list[Column]:
+    return [F.xxhash64("_fp").alias("_f1"), F.xxhash64(F.lit("file"), "_fp").alias("_f2")]
+
+
 @dataclass
 class TextFiles:
     """A set of text files, read as attributed lines."""
@@ -121,10 +127,10 @@ class TextFiles:
     paths: list[str]
     recursive: bool = True
     glob_filter: str | None = None
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     records: DataFrame | None = None  # pre-read records (a stream micro-batch)
     _splits: DataFrame | None = None
+    _splits_dir: str | None = None
     _stats: object = None
 
     def _records(self) -> DataFrame:
@@ -135,7 +141,8 @@ class TextFiles:
             r = r.option("recursiveFileLookup", "true")
         if self.glob_filter:
             r = r.option("pathGlobFilter", self.glob_filter)
-        return record_columns(r.text(self.paths))
+        self.records = record_columns(r.text(self.paths))  # one listing for both passes
+        return self.records
 
     @staticmethod
     def _has_cr(rec: Column) -> Column:
@@ -167,21 +174,23 @@ class TextFiles:
         slack = F.col("_fsize") - F.sum("_bytes").over(by_file)
         bom = (~F.col("_fp").rlike(COMPRESSED_EXT)) & slack.isin(UTF8_BOM_BYTES, UTF8_BOM_BYTES - 1)
         table = per_split.select(
-            "_fp", "_blk", "_lines",
-            # the decoded path is computed here, once per split, not per line
-            decode_file_uri(F.col("_fp")).alias("_path"),
+            *_file_hashes(), "_blk", "_lines",
             F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_base"),
             F.when(bom, F.lit(UTF8_BOM_BYTES)).otherwise(F.lit(0)).alias("_bom"))
-        out = work_dir(self.spark, "splits")
-        table.write.mode("overwrite").parquet(out)
-        s = self.spark.read.schema(table.schema).parquet(out)
+        self._splits_dir = work_dir(self.spark, "splits")
+        table.write.mode("overwrite").parquet(self._splits_dir)
+        s = self.spark.read.schema(table.schema).parquet(self._splits_dir)
         # one small job over the split table: its size bound and the pre-count
-        self._stats = s.agg(F.count(F.lit(1)).alias("n"),
-                            F.coalesce(F.max(F.octet_length("_fp")), F.lit(0)).alias("w"),
-                            F.coalesce(F.sum("_lines"), F.lit(0)).alias("lines")).first()
+        self._stats = s.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_lines"), F.lit(0)).alias("lines")).first()
         self._splits = s
         return self._splits
 
+    def release(self) -> None:
+        """Delete the split table, once everything read through it is written."""
+        if self._splits_dir:
+            drop_work_dir(self.spark, self._splits_dir)
+            self._splits = self._splits_dir = None
+
     def line_count(self) -> int:
         """AGG1 pre-count from pass 1 (no extra job beyond the split table)."""
         self.splits()
@@ -190,28 +199,29 @@ class TextFiles:
     def lines(self) -> DataFrame:
         """``path, offset, line`` for every line of every file."""
         splits = self.splits()
-        # measured size bound of the split table: rows and longest path
-        size = self._stats
-        est_bytes = size["n"] * (size["w"] + SPLIT_ROW_OVERHEAD)
-        if size["n"] <= self.broadcast_rows and est_bytes <= self.broadcast_bytes:
+        if self._stats["n"] * SPLIT_ROW_BYTES <= self.broadcast_bytes:
             splits = F.broadcast(splits)
         rec = F.col("_rec")
         n = (F.octet_length(rec) + 1).cast("bigint")
-        recs = self._records().select("_fp", "_blk", "_rec", self._parts(rec).alias("_parts"))
+        recs = self._records().select(*_file_hashes(), "_fp", "_blk", "_rec", self._parts(rec).alias("_parts"))
         recs = recs.select(
-            "_fp", "_blk", "_parts",
+            "_f1", "_f2", "_fp", "_blk", "_parts",
             _line_offsets_in_split(
-                "_fp", "_blk", n,
+                "_f1", "_blk", n,
                 # one line (the record) unless a CR cuts it; the lambda only
                 # runs for records that hold a CR
                 F.when(self._has_cr(rec), F.transform(
                     "_parts", lambda x: (F.octet_length(x) + 1).cast("bigint"))).otherwise(F.array(n)))
             .alias("_offs"))
-        j = recs.join(splits, ["_fp", "_blk"])
+        j = recs.join(splits.drop("_lines"), ["_f1", "_f2", "_blk"], "left")
         # inline_outer: _parts is never empty, and the outer form keeps the
         # optimizer from inferring a row filter that it could push below the
         # running-sum UDF (which must see every record of its split)
-        ex = j.select("_path", "_base", "_bom", F.inline_outer(
+        base = F.coalesce("_base", F.raise_error(F.lit(
+            "the input splits were planned anew between the two passes; read the lines again")).cast("bigint"))
+        # few paths need decoding, and only those pay for it
+        path = F.when(F.col("_fp").contains("%"), decode_file_uri(F.col("_fp"))).otherwise(F.col("_fp"))
+        ex = j.select(path.alias("_path"), base.alias("_base"), "_bom", F.inline_outer(
             F.arrays_zip(F.col("_offs").alias("_off"), F.col("_parts").alias("line"))))
         off = F.col("_base") + F.col("_off")
         # a skipped BOM shifts every line of its file except the very first
@@ -219,10 +229,24 @@ class TextFiles:
         return ex.select(F.col("_path").alias("path"), off.cast("bigint").alias("offset"), "line")
 
 
+@contextmanager
+def pinned_splits(spark: SparkSession) -> Iterator[None]:
+    """Plan file splits alike for all reads inside, whatever happens to the core count
+    (with dynamic allocation it is what else decides their size)."""
+    before = spark.conf.get(SPLIT_COUNT, None)
+    if before is None:
+        spark.conf.set(SPLIT_COUNT, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SPLIT_COUNT)
+
+
 def text_files(spark: SparkSession, paths: str | list[str], recursive: bool = True,
-               glob_filter: str | None = None, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> TextFiles:
+               glob_filter: str | None = None, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> TextFiles:
     """``paths``: directory, glob, or comma list / sequence of them (STR5)."""
-    return TextFiles(spark, split_list(paths), recursive, glob_filter, broadcast_rows)
+    return TextFiles(spark, split_list(paths), recursive, glob_filter, broadcast_bytes)
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], recursive: bool = True,
@@ -240,10 +264,10 @@ def read_plain_lines(spark: SparkSession, paths: str | list[str], recursive: boo
         decode_file_uri(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("line"))
 
 
-def lines_of_records(records: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def lines_of_records(records: DataFrame, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Attributed lines of already-read records (see ``record_columns``).
 
     Used on a micro-batch of the streaming text source: a file arrives whole
     in one batch, so its offsets are exact.
     """
-    return TextFiles(records.sparkSession, [], broadcast_rows=broadcast_rows, records=records).lines()
+    return TextFiles(records.sparkSession, [], broadcast_bytes=broadcast_bytes, records=records).lines()

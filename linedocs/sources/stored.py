@@ -43,28 +43,6 @@ def split_lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def spread(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Give a narrow input at least one partition per core.
-
-    A table stored as a few large row groups scans as a few tasks, and all
-    the per-line work after it would run on those few cores.  When the scan
-    has fewer partitions than the cluster has cores, the rows are hash
-    partitioned on ``keys`` (one shuffle of the input rows).  Hashing, unlike
-    round-robin, is deterministic under task retries without the extra
-    local sort Spark adds before a round-robin exchange.  A large table
-    already scans as many more partitions than cores and is left untouched,
-    so no shuffle is added at scale.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    if keys:
-        return df.repartition(cores, *keys)
-    return df.repartition(cores)
-
-
 def explode_lines(df: DataFrame, text_col: str = "text", keep: list[str] | None = None,
                   line_no: bool = False, offsets: bool = True) -> DataFrame:
     """One row per line: ``keep`` columns + [line_no] + offset + line.
@@ -75,7 +53,6 @@ def explode_lines(df: DataFrame, text_col: str = "text", keep: list[str] | None
     the optimizer cannot drop an unused field of a generated struct itself.
     """
     keep = list(keep or [])
-    df = spread(df, keep)
     if not offsets:
         lines = split_lines(F.col(text_col))
         if line_no:

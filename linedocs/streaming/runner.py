@@ -77,14 +77,16 @@ class CountsSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         per_word, obs = batch_word_counts(batch, self.line_col)
-        per_word.write.mode("overwrite").parquet(f"{self.out}/words/batch_id={batch_id}")
+        words = f"{self.out}/words/batch_id={batch_id}"
+        per_word.write.mode("overwrite").parquet(words)
         tot = obs.get
         totals = spark.createDataFrame([(int(tot.get("lines") or 0), int(tot.get("words") or 0))],
                                        "lines bigint, words bigint")
         totals.coalesce(1).write.mode("overwrite").parquet(f"{self.out}/totals/batch_id={batch_id}")
         if self.show:
+            # the rows just written, not the batch a second time
             totals.show(self.show)
-            per_word.orderBy(F.desc("n"), "word").show(self.show, truncate=False)
+            spark.read.schema(per_word.schema).parquet(words).show(self.show, truncate=False)
 
 
 def event_time_counts(stream: DataFrame, ts_col: str, line_col: str = "value",

@@ -78,3 +78,19 @@ def test_text_line_totals_and_weighted_reconcile(spark):
     got = {r["index"]: r["diff"] for r in C.reconcile(C.text_line_totals(df, by=["index"]), idx,
                                                       source_weight="lines").collect()}
     assert got == {"a": 0, "b": 1}
+
+
+def test_zero_filled_counts_of_both_time_types_in_any_zone(spark):
+    from linedocs.operators.counts import zero_filled_counts
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            for kind in ("timestamp", "timestamp_ntz"):
+                df = spark.createDataFrame([("2024-03-09 23:59:58", "a b"), ("2024-03-10 00:00:31", "c")], "t string, line string")
+                out = zero_filled_counts(df.withColumn("t", df["t"].cast(kind)), "t").selectExpr(
+                    "cast(window_start as string) s", "lines", "words").orderBy("s").collect()
+                assert [tuple(r) for r in out] == [("2024-03-09 23:59:50", 1, 2), ("2024-03-10 00:00:00", 0, 0), ("2024-03-10 00:00:10", 0, 0),
+                                                   ("2024-03-10 00:00:20", 0, 0), ("2024-03-10 00:00:30", 1, 1)], (zone, kind)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -145,7 +145,7 @@ def test_cr_only_file_matches_hadoop(spark, tmp):
 def test_shuffle_join_beyond_broadcast_bound(spark, tmp):
     (tmp / "a").write_bytes(b"one\ntwo\n")
     (tmp / "b").write_bytes(b"x\r\ny\n")
-    tf = text_files(spark, str(tmp), broadcast_rows=0)
+    tf = text_files(spark, str(tmp), broadcast_bytes=0)
     df = tf.lines()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in plan or "AdaptiveSparkPlan" in plan
@@ -212,3 +212,53 @@ def test_large_cr_only_file_is_linear(spark, tmp):
     assert last["offset"] == p.stat().st_size - len(f"r{n - 1}") - 1
     assert df.count() == n
     assert time.time() - t0 < 90
+
+
+def _key(r):
+    return r["path"], r["offset"], r["line"]
+
+
+def test_replanned_splits_lose_nothing(spark, tmp):
+    """Other split settings between the passes, and after the DataFrame was made: all lines
+    with exact offsets, or an error; never fewer rows."""
+    import pytest as _pytest
+    from pyspark.errors import PySparkException
+    data = b"".join(b"line %07d of one file\n" % i for i in range(120_000))
+    (tmp / "big").write_bytes(data)
+    for i in range(9):
+        (tmp / f"small{i}").write_bytes(data[:30_000 * i])
+    names = {"spark.sql.leafNodeDefaultParallelism": ("4", "7", "1", "13"),
+             "spark.sql.files.maxPartitionBytes": ("400000", "130000", "1100000", "77777"),
+             "spark.sql.files.minPartitionNum": ("3", "11", "1", "40")}
+    expected = sorted(map(_key, read_lines(spark, str(tmp)).collect()))
+    assert len(expected) == 120_000 + sum(d.count(b"\n") + (not d.endswith(b"\n") and len(d) > 0)
+                                           for d in (data[:30_000 * i] for i in range(9)))
+    outcomes = set()
+    for name, (first, *later) in names.items():
+        old = spark.conf.get(name, None)
+        try:
+            spark.conf.set(name, first)
+            tf = text_files(spark, str(tmp))
+            assert tf.line_count() == len(expected)
+            df = tf.lines()
+            for value in later:
+                spark.conf.set(name, value)
+                for frame in (tf.lines(), df.where("true")):
+                    try:
+                        assert sorted(map(_key, frame.collect())) == expected
+                        outcomes.add("exact")
+                    except PySparkException as e:
+                        assert "planned anew" in str(e)
+                        outcomes.add("error")
+        finally:
+            spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+    assert "error" in outcomes and "exact" in outcomes
+    assert _pytest
+
+
+def test_braces_in_a_comma_list(spark, tmp):
+    for d in ("a", "b", "c"):
+        (tmp / d).mkdir()
+        (tmp / d / "x.log").write_text(f"{d}\n")
+    lines = read_lines(spark, f"{tmp}/{{a,b}}/*.log, {tmp}/c")
+    assert sorted(r["line"] for r in lines.collect()) == ["a", "b", "c"]

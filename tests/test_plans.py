@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from linedocs.operators.counts import word_counts
+from linedocs.plans import catalog
 from linedocs.sources.files import read_lines
 from linedocs.sources.stored import explode_lines
 
@@ -38,12 +39,32 @@ def test_word_counts_aggregate_before_the_shuffle(spark):
     assert ops[i - 1] == "HashAggregate" and ops[i + 1] == "HashAggregate"
 
 
-def test_stored_lines_add_no_shuffle_to_wide_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
-    df = spark.range(0, 100, numPartitions=cores).select("id", F.lit("a\nb").alias("text"))
-    assert "Exchange" not in _plan(explode_lines(df, keep=["id"]))
-    narrow = spark.range(0, 100, numPartitions=1).select("id", F.lit("a\nb").alias("text"))
-    assert "Exchange hashpartitioning(id" in _plan(explode_lines(narrow, keep=["id"]))
+def test_stored_lines_add_no_shuffle_whatever_the_input(spark):
+    for parts in (1, 2, 64):
+        df = spark.range(0, 100, numPartitions=parts).select("id", F.lit("a\nb").alias("text"))
+        assert "Exchange" not in _plan(explode_lines(df, keep=["id"]))
+
+
+def test_words_per_role_aggregate_before_their_only_shuffle(spark):
+    import __spark_entry__ as E
+    ops = _ops(E.queries()["words_per_role"](spark, "/root/testdata/sf0.001"))
+    assert ops.count("Exchange") == 1
+    i = ops.index("Exchange")
+    assert ops[i - 1] == "HashAggregate" and ops[i + 1] == "HashAggregate"
+
+
+def test_throttled_write_keeps_the_scan_and_starts_no_job(spark, tmp):
+    from linedocs.sinks.writers import throttle
+    for i in range(12):
+        (tmp / f"f{i}").write_bytes(b"x\n" * 2_000_000)
+    df = spark.read.text(str(tmp))
+    scan = df.rdd.getNumPartitions()
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    out = throttle(df, 2)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert out.rdd.getNumPartitions() == 2 and scan > 2 and "RoundRobinPartitioning(2)" in _plan(out)
+    assert throttle(df, None) is df
 
 
 def test_no_row_caps_except_the_first_page(spark):
@@ -52,7 +73,7 @@ def test_no_row_caps_except_the_first_page(spark):
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
         return
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         ops = set(_ops(fn(spark, sf)))
         capped = ops & {"GlobalLimit", "LocalLimit", "CollectLimit", "TakeOrderedAndProject", "Sample"}
         if name == "first_page":

@@ -71,13 +71,6 @@ def test_batch_text_replay_overwrites(spark, tmp):
     assert sorted(r[0] for r in spark.read.text(p1).collect()) == ["x", "y"]
 
 
-def test_throttle_is_narrow(spark):
-    df = spark.range(0, 100, numPartitions=8)
-    t = W.throttle(df, 2)
-    assert t.rdd.getNumPartitions() == 2
-    assert "Exchange" not in t._jdf.queryExecution().executedPlan().toString()
-
-
 def test_index_connector_missing_fails_loudly(spark):
     import pytest
     df = spark.createDataFrame([("/p", 0, "x", "id")], "path string, offset bigint, line string, _id string")
@@ -130,3 +123,39 @@ def test_command_line_rejects_missing_arguments():
     for argv in (["totext"], ["toindex", "--brokers", "b"], ["index", "--path", "p"], []):
         with pytest.raises(SystemExit):
             main(argv)
+
+
+def test_reindexing_an_emptied_source_clears_its_index_only(spark, tmp):
+    from linedocs.operators import documents
+    from linedocs.sinks.writers import read_documents, write_documents
+    docs = spark.createDataFrame([("/p", 0, "x"), ("/p", 2, "y")], "path string, offset bigint, line string")
+    out = str(tmp / "t")
+    for index in ("007", "a:b/c d%"):
+        write_documents(docs, out, index)
+    table = read_documents(spark, out, documents.OFFSET_DOC)
+    assert {r["index"]: r["count"] for r in table.groupBy("index").count().collect()} == {"007": 2, "a:b/c d%": 2}
+    write_documents(docs.where("false"), out, "007")
+    assert {r["index"] for r in read_documents(spark, out, documents.OFFSET_DOC).select("index").distinct().collect()} == {"a:b/c d%"}
+
+
+def test_index_job_to_the_connector(spark, tmp, monkeypatch):
+    """The connector is not installed: what the job would hand to it."""
+    from linedocs.plans import jobs
+    from linedocs.sinks import writers
+    (tmp / "f").write_text("a\nb\n")
+    seen = {}
+
+    def take(docs, resource, nodes, id_col="_id", fmt=None, max_writers=None, options=None):
+        seen.update(resource=resource, nodes=nodes, id_col=id_col, columns=docs.columns, rows=docs.count(), writers=max_writers)
+        docs.write.format("noop").mode("overwrite").save()
+
+    monkeypatch.setattr(writers, "save_to_index", take)
+    res = jobs.index_text_files(spark, str(tmp), "i", nodes="h:9200", count=True, max_writers=3)
+    assert res.records == 2 and seen == {"resource": "i/i", "nodes": "h:9200", "id_col": "_id", "columns": ["path", "offset", "line", "_id"],
+                                         "rows": 2, "writers": 3}
+
+
+def test_stored_time_prunes_the_scan(spark):
+    from linedocs.plans.end_to_end import q_date_range_stored
+    plan = q_date_range_stored(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(event_time" in plan and "PartitionFilters: [isnotnull(index" in plan and "regexp" not in plan.lower()

@@ -69,3 +69,30 @@ def test_token_predicates_agree_with_tokens(spark):
     for r in rows:
         assert r["h"] == ("the" in r["t"]), r
         assert r["p"] == any(t.startswith("me") for t in r["t"]), r
+
+
+def test_times_ignore_the_session_zone(spark):
+    from linedocs.functions.text import detect_date
+    lines = [("2024-03-10 02:30:00 gap", "2024-03-10T02:30:00"), ("[10/Mar/2024:02:30:00 +0100]", "2024-03-10T02:30:00"),
+             ("2024/03/10 02:59:59", "2024-03-10T02:59:59"), ("12024-01-105", None), ("x2024-01-10y", "2024-01-10T00:00:00"),
+             ("99/Xyz/2024:00:00:00", None), ("2024-13-01", None), ("2024-02-30 01:02:03", None), ("31/Dec/2023:23:59:59", "2023-12-31T23:59:59")]
+    df = spark.createDataFrame(lines, "line string, date string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            for r in df.select("line", "date", detect_date("line").alias("got")).collect():
+                assert r["got"] == r["date"], (zone, r["line"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_search_terms_of_several_tokens(spark):
+    import pytest
+    from linedocs.functions.text import has_token, has_token_prefix
+    df = spark.createDataFrame([("a foo-bar b",), ("foo bar",), ("foobar",), ("xfoo bar",)], "line string")
+    assert [r["line"] for r in df.where(has_token("line", "foo-bar")).collect()] == ["a foo-bar b", "foo bar"]
+    assert df.where(has_token_prefix("line", "foo b*")).count() == 2
+    for term in ("", "*", " - "):
+        with pytest.raises(ValueError):
+            has_token("line", term)
