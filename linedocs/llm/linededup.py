@@ -147,7 +147,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, min_words: int = 50, doc_i
     columns = docs.columns
     gone = written(spark, later_copies(spark, docs, min_words, doc_id, text), "gone")
     keyed = docs.withColumns(dict(zip(KEY, document_key(doc_id, text))))
-    joined = null_safe(keyed, gone, KEY, "left")
+    # texts are dealt by key at every size: how much is deleted has no bound that would prove a broadcast
+    joined = null_safe(keyed, gone.hint("merge"), KEY, "left")
     lines = F.split(F.col(text), "\n")
     starts = F.concat(F.array(F.lit(0)), F.transform("_gone", lambda g: g["to"] + 1))
     ends = F.concat(F.transform("_gone", lambda g: g["from"]), F.array(F.size("__lines")))
