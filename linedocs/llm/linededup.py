@@ -117,7 +117,8 @@ def later_copies(spark: SparkSession, docs: DataFrame, min_words: int, doc_id: s
     named = named.withColumn("rb", F.col("r")[F.col("k")]).select(*KEY, "start", "l", "ra", "rb")
     name = ["l", "ra", "rb"]
     place = F.struct(F.col("__id").isNull().alias("n"), *KEY, "start")
-    first = named.groupBy(*name).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # written, so that the join below deals it anew and a passage with very many copies can be split
+    first = written(spark, named.groupBy(*name).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first")
     same = F.col("first.__id").eqNullSafe(F.col("__id")) & (F.col("first.__h1") == F.col("__h1")) & (F.col("first.__h2") == F.col("__h2"))
     copies = named.join(first, name).where(~same | (F.col("start") >= F.col("first.start") + F.col("l")))
     # +1 where a copy starts, -1 behind it: the running sum tells the lines inside one
