@@ -51,6 +51,12 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> D
     return left.join(r, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def few(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """``df`` to be broadcast if it has at most ``rows`` rows, else as it is: joined by a
+    shuffle whose hot keys adaptive execution splits."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Connected components of ``edges`` (a, b: long) by alternating large-star
     and small-star steps: (node, root), root the smallest node of the

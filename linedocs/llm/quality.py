@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, written
+from .common import ascii_lower, few, written
 from .decontam import words_of
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -169,7 +169,7 @@ def thresholds(spark: SparkSession, features: DataFrame, marks: DataFrame, limit
     centers = centers.select("stratum", "center", F.transform(
         F.arrays_zip(F.col("high").alias("h"), F.col("center").alias("c"), F.array(*map(F.lit, least)).alias("u")),
         lambda x: F.greatest(x["h"] - x["c"], x["u"])).alias("unit"))
-    scored = rows.join(centers, "stratum").withColumn("x", excess(F.col("center"), F.col("unit"), "f"))
+    scored = rows.join(few(written(spark, centers, "centers")), "stratum").withColumn("x", excess(F.col("center"), F.col("unit"), "f"))
     held = F.col("good") & ~F.col("fit")
     bad = ~F.col("good") & F.col("fit")
     table = scored.groupBy("stratum", "center", "unit").agg(
@@ -227,5 +227,5 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, limits: Limit
         narrow = base.select("__label_id", F.col("__stratum").alias("stratum"), F.col("__f").alias("f"))
     cut = thresholds(spark, narrow, marks, limits).select(
         F.col("stratum").alias("__stratum"), F.col("center").alias("__center"), F.col("unit").alias("__unit"), F.col("cutoff").alias("__cutoff"))
-    judged = verdict(base.join(cut, "__stratum", "left"), limits)
+    judged = verdict(base.join(few(cut), "__stratum", "left"), limits)
     return judged.select(*[F.col(f"`{c}`") for c in keep], "__f", "base_failed", "kept")
