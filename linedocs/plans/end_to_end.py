@@ -7,6 +7,8 @@ tables' size (``FILE_BYTES``), never by a fixed number of rows.
 
 from __future__ import annotations
 
+import contextlib
+import io
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -178,9 +180,10 @@ def q_throttled_bulk(spark, sf):
 def _stream_counts(spark, sf) -> str:
     """Live counts over the texts' files, several batches, then a restart that finds nothing new."""
     source, out, checkpoint = write_texts(spark, texts(spark, sf)), work_dir(spark, "counts"), work_dir(spark, "checkpoint")
-    for _ in range(2):
-        lines = streams.read_line_stream(spark, source, max_files_per_trigger=8)
-        finish(jobs.network_counts(spark, lines, out, checkpoint, available_now=True, show=10))
+    with contextlib.redirect_stdout(io.StringIO()):  # the first ten of each batch are shown to nobody here
+        for _ in range(2):
+            lines = streams.read_line_stream(spark, source, max_files_per_trigger=8)
+            finish(jobs.network_counts(spark, lines, out, checkpoint, available_now=True, show=10))
     return out
 
 
