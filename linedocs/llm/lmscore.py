@@ -1,21 +1,21 @@
 """Language-model scores by online logistic mixing of hashed-context predictors.
 
-A text is its lower-cased words, each followed by a space, the last by a line
-end.  A byte is a path through a binary code tree built from the corpus (frequent bytes
-have short paths), so a byte is a few binary decisions.  Three predictors look
-each decision up by a hash of the tree node and a context: the last two bytes, the last
-four bytes (across words), the word so far.
-
-1. One pass counts words, bytes; a second counts decisions per hashed slot over
-   all training texts.  Every task adds up its own tables, slices of them are
-   summed after a shuffle in two levels.  Slots become one byte each:
-   a quantised logit and how often the slot was seen.
-2. The mixer is learned online on calibration texts, which are training texts
-   kept out of the tables so that it sees how the tables do on new text: the
-   logits are combined by weights that a gate chooses from the three levels of experience,
-   with a step along the gradient after each small batch.  An adaptive map then
-   refines the mixed probability per tree node.  The sample is bounded by ``fit_docs`` and ``fit_bytes``.
-3. All texts are scored: per decision three look-ups, three weighted logits,
+A text is its lower-cased words, each followed by a space, then a line end.  A byte
+is a path through a binary code tree (frequent bytes have short paths), so a byte is a
+few binary decisions.  Three predictors look each decision up by a hash of the tree
+node and a context: the last two bytes, the last four bytes (across words), the word so far.
+
+1. A bounded sample of the training texts (``fit_docs``, ``fit_bytes``) calibrates: its bytes shape the code
+   tree, and in step 3 it shows the mixer how the tables do on text that they have not seen.
+2. One pass over all other training texts counts words, three-byte sequences and, in a table of
+   hashed slots, the decisions after four bytes.  Two-byte contexts are filled from the sequences, the
+   word-so-far contexts from the counted words, so neither is updated decision by decision.  Every task adds
+   up its own tables, slices of them are summed after a shuffle in two levels.  Slots
+   become one byte each: a quantised logit and how often the slot was seen.
+3. The mixer is learned online: the logits are combined by weights that a gate
+   chooses from the three levels of experience, with a step along the gradient after each
+   small batch.  An adaptive map then refines the mixed probability per tree node.
+4. All texts are scored: per decision three look-ups, three weighted logits,
    one cost.  What is broadcast has the fixed size of the tables.
 
 The base score needs every word's count.  The ``head_words`` most frequent are
@@ -27,6 +27,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections import Counter
+from itertools import islice
 from typing import Iterator
 
 import numpy as np
@@ -46,10 +47,11 @@ LEVELS, LIMIT = 64, 8.0
 QUANTA, QLIMIT = 384, 12.0
 CHUNK = 1 << 15
 PAD = 4
+MOST_WORDS = 600_000  # distinct words that a task counts before it passes them on
 
 
 def stream_of(words: list[bytes]) -> bytes:
-    return b" ".join(words) + b"\n"
+    return b" ".join([*words, b"\n"])
 
 
 def code_tree(counts: np.ndarray) -> dict:
@@ -104,36 +106,101 @@ class Coder:
         """Decisions of the bytes of ``head``."""
         return int(self.tree["length"][np.frombuffer(head, np.uint8)].sum())
 
-    def decisions(self, streams: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-        """node of every decision of the streams, its slot in each table, its bit, and where each stream starts.
+    def contexts(self, streams: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+        """Bytes, decisions of each byte, the bytes' contexts (two, four, the word so far), where streams start.
 
-        A stream sees nothing of the one before it: each begins after ``PAD`` line ends."""
-        tree = self.tree
+        A stream sees nothing of the one before it: each begins after ``PAD`` line ends, which are only context."""
         pad = b"\n" * PAD
         x = np.frombuffer(pad + pad.join(streams), np.uint8)
         n = len(x)
-        lengths = np.array([len(s) for s in streams], np.int64)
-        begin = np.concatenate([[0], (lengths + PAD).cumsum()[:-1]]) + PAD
-        reps = np.take(tree["length"], x)
-        reps[(begin[:, None] - np.arange(1, PAD + 1)).ravel()] = 0  # the padding is only context
+        lengths = np.fromiter(map(len, streams), np.int64, len(streams))
+        begin = (lengths + PAD).cumsum() - lengths
+        reps = np.take(self.tree["length"], x)
+        reps[(begin[:, None] - np.arange(1, PAD + 1)).ravel()] = 0
         wide = np.concatenate([np.zeros(PAD, np.uint32), x.astype(np.uint32)])
         two = wide[3:-1] | wide[2:-2] << np.uint32(8)
         four = two | wide[1:-3] << np.uint32(16) | wide[:-4] << np.uint32(24)
         # hash of the word so far: sum of byte * odd^position from its start to here, scaled back
         self.grow(n + 1)
-        power, back, upward = self.power, self.back, self.upward
-        sums = np.concatenate([np.zeros(1, np.uint32), np.cumsum((wide[PAD:] + np.uint32(1)) * power[:n], dtype=np.uint32)[:-1]])
-        edge = np.where((x == SPACE) | (x == STOP), upward[1:n + 1], 0)
+        sums = np.concatenate([np.zeros(1, np.uint32), np.cumsum((wide[PAD:] + np.uint32(1)) * self.power[:n], dtype=np.uint32)[:-1]])
+        edge = np.where((x == SPACE) | (x == STOP), self.upward[1:n + 1], 0)
         word = np.concatenate([np.zeros(1, np.intp), np.maximum.accumulate(edge)[:-1]])
-        so_far = (sums - np.take(sums, word)) * np.take(back, word)
-        contexts = [mixed_hash(c + np.uint32(i + 1)) for i, c in enumerate((two, four, so_far))]
+        so_far = (sums - np.take(sums, word)) * np.take(self.back, word)
+        return x, reps, [two, four, so_far], begin
+
+    def expand(self, x: np.ndarray, reps: np.ndarray, contexts: dict[int, np.ndarray]) -> tuple:
+        """node of every decision of the bytes, its slot in the table of each given predictor, its bit."""
+        tree = self.tree
+        self.grow(1)
         ends = reps.cumsum()
-        total, first = int(ends[-1]), ends - reps
-        flat = np.repeat(np.take(tree["start"], x) - first, reps)
-        flat += upward[:total] if total <= len(upward) else np.arange(total)
+        total = int(ends[-1])
+        flat = np.repeat(np.take(tree["start"], x) - (ends - reps), reps)
+        flat += self.upward[:total] if total <= len(self.upward) else np.arange(total)
         salt = np.take(tree["salt"], flat)
-        slots = [((np.repeat(c, reps) + salt) & np.uint32((1 << bits) - 1)).astype(np.intp) for c, bits in zip(contexts, TABLE_BITS)]
-        return np.take(tree["node"], flat), slots, np.take(tree["bit"], flat), first[begin]
+        slots = {i: ((np.repeat(mixed_hash(c + np.uint32(i + 1)), reps) + salt) & np.uint32((1 << TABLE_BITS[i]) - 1)).astype(np.intp)
+                 for i, c in contexts.items()}
+        return np.take(tree["node"], flat), slots, np.take(tree["bit"], flat)
+
+    def decisions(self, streams: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+        """node of every decision of the streams, its slot in each table, its bit, and where each stream starts."""
+        x, reps, contexts, begin = self.contexts(streams)
+        node, slots, bit = self.expand(x, reps, dict(enumerate(contexts)))
+        return node, list(slots.values()), bit, (reps.cumsum() - reps)[begin]
+
+
+class Counts:
+    """What one task gathers from texts: decisions after four bytes, and three-byte sequences."""
+
+    def __init__(self, coder: Coder):
+        self.coder = coder
+        self.tables = [np.zeros(2 << bits, np.uint32) for bits in TABLE_BITS]
+        self.threes = np.zeros(1 << 24, np.uint32)
+
+    def add(self, slots: np.ndarray, bit: np.ndarray, table: int, weight: np.ndarray | None = None) -> None:
+        # numpy's fast path: an index of machine words, values of the table's type
+        weight = np.ones(len(bit), np.uint32) if weight is None else weight.astype(np.uint32)
+        np.add.at(self.tables[table], (slots << 1) + bit, weight)
+
+    def text(self, streams: list[bytes], context: int = 0) -> None:
+        """Count streams; of a piece of one, the first ``context`` bytes are known already."""
+        x, reps, (two, four, _), _ = self.coder.contexts(streams)
+        if context:
+            reps[:PAD + context] = 0
+        np.add.at(self.threes, ((two << np.uint32(8)) | x)[reps > 0].astype(np.intp), np.ones(int((reps > 0).sum()), np.uint32))
+        _, slots, bit = self.coder.expand(x, reps, {1: four})
+        self.add(slots[1], bit, 1)
+
+    def texts(self, streams: Iterator[bytes]) -> None:
+        long: list[bytes] = []
+        for batch in batches_of(short_of(streams, long)):
+            self.text(batch)
+        for piece, context in (p for s in long for p in pieces_of(s)):
+            self.text([piece], context)
+
+    def words(self, words: list[str], counts: np.ndarray) -> None:
+        """Count the word-so-far decisions of words and of ends, as often as each occurs."""
+        todo = ((w.encode() + (b"" if w == END else b" "), c) for w, c in zip(words, counts))
+        pieces = ((p, c) for w, c in todo for p in pieces_of(w))
+        while batch := list(islice(pieces, 4000)):
+            x, reps, (_, _, so_far), begin = self.coder.contexts([p for (p, _), _ in batch])
+            heads = np.array([h for (_, h), _ in batch])
+            for b, h in zip(begin[heads > 0], heads[heads > 0]):
+                reps[b:b + h] = 0
+            _, slots, bit = self.coder.expand(x, reps, {2: so_far})
+            weight = np.repeat(np.array([c for _, c in batch], np.uint32), np.add.reduceat(reps, begin))
+            self.add(slots[2], bit, 2, weight)
+
+    def finish(self) -> list[np.ndarray]:
+        """The tables, with the two-byte contexts filled from the sequences."""
+        seen = np.flatnonzero(self.threes)
+        for at in range(0, len(seen), 1 << 16):
+            part = seen[at:at + (1 << 16)]
+            x, two = (part & 255).astype(np.uint8), (part >> 8).astype(np.uint32)
+            reps = np.take(self.coder.tree["length"], x)
+            _, slots, bit = self.coder.expand(x, reps, {0: two})
+            self.add(slots[0], bit, 0, np.repeat(self.threes[part], reps))
+        self.threes[seen] = 0
+        return self.tables
 
 
 def batches_of(streams: Iterator[bytes]) -> Iterator[list[bytes]]:
@@ -173,12 +240,6 @@ def short_of(streams: Iterator[bytes], long: list[bytes]) -> Iterator[bytes]:
             long.append(s)
 
 
-def add_counts(tables: list[np.ndarray], slots: list[np.ndarray], bit: np.ndarray) -> None:
-    one = np.ones(len(bit), np.uint32)  # of the tables' type: numpy's fast path
-    for t, s in zip(tables, slots):
-        np.add.at(t, (s << 1) + bit, one)
-
-
 def codes_of(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """A byte per slot: quantised logit and level of experience."""
     n = zeros + ones
@@ -288,74 +349,65 @@ def split_words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def count_words(texts: DataFrame) -> DataFrame:
-    """(word, c) of rows (text): the words and one end for each text."""
+ROWS = "word string, c long, slice int, salt int, data binary"
+
+
+def packed(tables: list[np.ndarray], salt: int) -> Iterator[pd.DataFrame]:
+    """The slices of the tables that hold anything, as rows."""
+    codec, first = pa.Codec("zstd"), 0
+    for t in tables:
+        pairs = t.reshape(-1, 2 * SLICE)
+        for i, p in enumerate(pairs):
+            if p.any():
+                yield pd.DataFrame({"word": [None], "c": [None], "slice": [first + i], "salt": [salt],
+                                    "data": [codec.compress(p.tobytes(), asbytes=True)]})
+        first += len(pairs)
+
+
+def counted(texts: DataFrame, tree: dict) -> DataFrame:
+    """Rows (word, c) and slices of tables from rows (text); partial counts, to be added up."""
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
+        from pyspark import TaskContext
+
+        counts, seen = Counts(Coder(tree)), Counter()
         for f in frames:
+            words: list[list[bytes]] = []
             for t in f["text"]:
-                seen.update(split_words(t))
+                words.append(split_words(t))
+                seen.update(words[-1])
+                if len(words) == 256:
+                    counts.texts(map(stream_of, words))
+                    words = []
+                if len(seen) > MOST_WORDS:
+                    yield frame(seen)
+                    seen = Counter()
+            counts.texts(map(stream_of, words))
             seen[b"\n"] += len(f)
-            if len(seen) > 300_000:
-                yield frame(seen)
-                seen = Counter()
         if seen:
             yield frame(seen)
+        yield from packed(counts.finish(), TaskContext.get().partitionId() % 64)
 
     def frame(seen: Counter) -> pd.DataFrame:
-        return pd.DataFrame({"word": [w.decode() for w in seen], "c": list(seen.values())})
+        return pd.DataFrame({"word": [w.decode() for w in seen], "c": list(seen.values()), "slice": None, "salt": None, "data": None})
 
-    return texts.mapInPandas(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return texts.mapInPandas(count, ROWS)
 
 
-def byte_counts(words: DataFrame) -> np.ndarray:
-    """How often each byte occurs in the streams of the counted words."""
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(256)
-        for f in frames:
-            for w, c in zip(f["word"], f["c"]):
-                if w != END:
-                    np.add.at(total, np.frombuffer(w.encode(), np.uint8), c)
-                    total[SPACE] += c
-                else:
-                    total[STOP] += c
-        yield pd.DataFrame({"byte": np.arange(256), "n": total})
-
-    rows = words.mapInPandas(count, "byte int, n double").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(256)
-    for r in rows:
-        out[r["byte"]] = r["n"]
-    return out
-
-
-def count_tables(spark: SparkSession, texts: DataFrame, tree: dict) -> list[np.ndarray]:
-    """The predictors' tables over rows (text), as one byte per slot."""
-    def packed(part: int, salt: int, tables: list[np.ndarray]) -> Iterator[pd.DataFrame]:
-        codec = pa.Codec("zstd")
-        first = 0
-        for t in tables:
-            pairs = t.reshape(-1, 2 * SLICE)
-            for i, p in enumerate(pairs):
-                if p.any():
-                    yield pd.DataFrame({"slice": [first + i], "salt": [salt], "data": [codec.compress(p.tobytes(), asbytes=True)]})
-            first += len(pairs)
-
+def word_tables(words: DataFrame, tree: dict) -> DataFrame:
+    """Slices of the word-so-far table from rows (word, c)."""
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        coder = Coder(tree)
-        tables = [np.zeros(2 << bits, np.uint32) for bits in TABLE_BITS]
+        counts = Counts(Coder(tree))
         for f in frames:
-            long = []
-            for batch in batches_of(short_of((stream_of(split_words(t)) for t in f["text"]), long)):
-                add_counts(tables, *coder.decisions(batch)[1:3])
-            for piece, context in (p for s in long for p in pieces_of(s)):
-                _, slots, bit, _ = coder.decisions([piece])
-                skip = coder.skipped(piece[:context])
-                add_counts(tables, [s[skip:] for s in slots], bit[skip:])
-        part = TaskContext.get().partitionId()
-        yield from packed(part, part % 64, tables)
+            counts.words(f["word"].tolist(), f["c"].to_numpy())
+        yield from packed(counts.tables, TaskContext.get().partitionId() % 64)
+
+    return words.mapInPandas(count, ROWS)
+
 
+def summed_tables(spark: SparkSession, slices: DataFrame) -> list[np.ndarray]:
+    """The tables as one byte per slot, from rows (slice, salt, data)."""
     def added(frames: Iterator[pd.DataFrame], last: bool) -> Iterator[pd.DataFrame]:
         codec, sums = pa.Codec("zstd"), {}
         for f in frames:
@@ -373,10 +425,9 @@ def count_tables(spark: SparkSession, texts: DataFrame, tree: dict) -> list[np.n
                 p = np.minimum(p, (1 << 32) - 1).astype(np.uint32)
                 yield pd.DataFrame({"slice": [k], "salt": [salt], "data": [codec.compress(p.tobytes(), asbytes=True)]})
 
-    slices = sum((1 << b) // SLICE for b in TABLE_BITS)
-    parts = texts.mapInPandas(count, "slice int, salt int, data binary")
-    some = parts.repartition(slices, "slice", "salt").mapInPandas(lambda f: added(f, False), "slice int, salt int, data binary")
-    done = some.repartition(slices, "slice").mapInPandas(lambda f: added(f, True), "slice int, data binary")
+    most = sum((1 << b) // SLICE for b in TABLE_BITS)
+    some = slices.repartition(most, "slice", "salt").mapInPandas(lambda f: added(f, False), "slice int, salt int, data binary")
+    done = some.repartition(most, "slice").mapInPandas(lambda f: added(f, True), "slice int, data binary")
     got = {r["slice"]: r["data"] for r in written(spark, done, "tables").collect()}  # 5.5 MB, whatever the corpus
     blank = codes_of(np.zeros(1), np.zeros(1)).tobytes() * SLICE
     out, first = [], 0
@@ -388,7 +439,7 @@ def count_tables(spark: SparkSession, texts: DataFrame, tree: dict) -> list[np.n
 
 
 def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 5, held: int = 1,
-          head_words: int = 100_000, fit_docs: int = 500, fit_bytes: int = 1 << 20) -> DataFrame:
+          head_words: int = 200_000, fit_docs: int = 500, fit_bytes: int = 1 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_bytes (of the stream), n_tokens, n_known,
     train_tokens, base_score, score, bits_per_byte.
 
@@ -398,45 +449,58 @@ def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
     rest = remainder(F.col(doc_id), folds)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), rest.alias("rest"))
     train = rows.where(F.col("rest") != held)
-    words = written(spark, count_words(train.select("text")), "words")
-    n, v = words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    tree = code_tree(byte_counts(words))
     # calibration: training texts by a hash of id and text, about fit_docs of them
     many = train.select("rest").count()
     share = int((1 << 20) * min(0.25, fit_docs / max(many, 1)))
     calibration = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share
-    tables = count_tables(spark, train.where(~calibration).select("text"), tree)
-    sample, size = [], 0
+    sample, size = [stream_of([])], 0
     for r in train.where(calibration).select(F.substring("text", 1, fit_bytes // 16).alias("text")).toLocalIterator():
         if size < fit_bytes:
             sample.append(stream_of(split_words(r["text"])))
             size += len(sample[-1])
-    mixer = learn_mixer(sample or [b"\n"], Coder(tree), tables)
-    head = {r["word"]: r["c"] for r in words.orderBy(F.desc("c"), "word").limit(head_words).collect()}
-    tail = words.join(F.broadcast(words.orderBy(F.desc("c"), "word").limit(head_words).select("word")), "word", "left_anti")
-    model = spark.sparkContext.broadcast((tree, tables, mixer, {w.encode(): (c, math.log10(c + 0.5)) for w, c in head.items()}))
+    tree = code_tree(np.bincount(np.frombuffer(b"".join(sample), np.uint8), minlength=256))
+    # the calibration texts' words count in the base score, but not in the predictors' tables
+    parts = written(spark, counted(train.where(~calibration).select("text"), tree), "counts")
+    held_back = counted(train.where(calibration).select("text"), tree).where("word is not null").select("word", "c", F.lit(0).alias("t"))
+    words = written(spark, parts.where("word is not null").select("word", "c", F.col("c").alias("t")).unionByName(held_back)
+                    .groupBy("word").agg(F.sum("c").alias("c"), F.sum("t").alias("t")), "words")
+    n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    slices = parts.where("slice is not null").unionByName(word_tables(words.where("t > 0").select("word", F.col("t").alias("c")), tree))
+    tables = summed_tables(spark, slices.select("slice", "salt", "data"))
+    mixer = learn_mixer(sample, Coder(tree), tables)
+    top = written(spark, words.select("word", "c").orderBy(F.desc("c"), "word").limit(head_words), "head")
+    tail = words.select("word", "c").join(F.broadcast(top.select("word")), "word", "left_anti")
+    head = {r["word"].encode(): r["c"] for r in top.toLocalIterator()}
+    model = spark.sparkContext.broadcast((tree, tables, mixer, head))
+    del head
 
     @F.pandas_udf("n_bytes long, n_tokens long, n_known long, known double, score double, rare array<struct<word:string,f:long>>")
     def scored(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tree, tables, mixer, head = model.value
         coder = Coder(tree)
+        logs = {w: math.log10(c + 0.5) for w, c in head.items()}
         for texts in frames:
-            streams, out = [], []
+            streams, out, scores, size = [], [], [], 0
             for t in texts:
                 w = split_words(t)
                 streams.append(stream_of(w))
                 w.append(b"\n")
                 known, total, rare = 0, 0.0, []
                 for x, f in Counter(w).items():
-                    c = head.get(x)
-                    if c is None:
+                    log = logs.get(x)
+                    if log is None:
                         rare.append({"word": x.decode(), "f": f})
                     else:
                         known += f
-                        total += f * c[1]
+                        total += f * log
                 out.append((len(streams[-1]), len(w), known, total, rare))
+                size += out[-1][0]
+                if size > 1 << 22:
+                    scores += log10_probabilities(streams, coder, tables, mixer)
+                    streams, size = [], 0
+            scores += log10_probabilities(streams, coder, tables, mixer)
             frame = pd.DataFrame(out, columns=["n_bytes", "n_tokens", "n_known", "known", "rare"])
-            frame.insert(4, "score", log10_probabilities(streams, coder, tables, mixer))
+            frame.insert(4, "score", scores)
             yield frame
 
     all_rows = written(spark, rows.select("doc_id", (F.col("rest") == held).alias("held_out"),
@@ -445,8 +509,9 @@ def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
     base = F.lit(math.log10(n + 0.5 * (v + 1)))
     unseen = math.log10(0.5)
     # rare words by document text (equal texts have equal words)
-    rare = all_rows.select("__h1", "__h2", F.explode("s.rare").alias("r")).select("__h1", "__h2", "r.*").distinct()
-    met = rare.join(tail.withColumn("word", F.col("word")), "word")
+    once = all_rows.select("__h1", "__h2", "s.rare").dropDuplicates(["__h1", "__h2"])
+    rare = once.select("__h1", "__h2", F.explode("rare").alias("r")).select("__h1", "__h2", "r.*")
+    met = rare.join(tail, "word")
     seen = met.groupBy("__h1", "__h2").agg(F.sum("f").alias("f"), F.sum(F.col("f") * F.log10(F.col("c") + 0.5)).alias("logs"))
     joined = all_rows.select("doc_id", "held_out", "__h1", "__h2", "s.n_bytes", "s.n_tokens", "s.n_known", "s.known", "s.score").join(
         seen, ["__h1", "__h2"], "left")
