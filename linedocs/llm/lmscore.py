@@ -45,7 +45,7 @@ SLICE = 1 << 16
 MIX, ODD = 0x9E3779B1, 0x85EBCA6B
 LEVELS, LIMIT = 64, 8.0
 QUANTA, QLIMIT = 384, 12.0
-CHUNK = 1 << 15
+CHUNK = 1 << 14
 PAD = 4
 MOST_WORDS = 600_000  # distinct words that a task counts before it passes them on
 
@@ -131,14 +131,19 @@ class Coder:
     def expand(self, x: np.ndarray, reps: np.ndarray, contexts: dict[int, np.ndarray]) -> tuple:
         """node of every decision of the bytes, its slot in the table of each given predictor, its bit."""
         tree = self.tree
-        self.grow(1)
+        self.grow(len(x))
         ends = reps.cumsum()
         total = int(ends[-1])
-        flat = np.repeat(np.take(tree["start"], x) - (ends - reps), reps)
+        of = np.repeat(self.upward[:len(x)], reps)  # the one costly step: all else are look-ups by it
+        flat = np.take(np.take(tree["start"], x) - (ends - reps), of)
         flat += self.upward[:total] if total <= len(self.upward) else np.arange(total)
         salt = np.take(tree["salt"], flat)
-        slots = {i: ((np.repeat(mixed_hash(c + np.uint32(i + 1)), reps) + salt) & np.uint32((1 << TABLE_BITS[i]) - 1)).astype(np.intp)
-                 for i, c in contexts.items()}
+        slots = {}
+        for i, c in contexts.items():
+            slot = np.take(mixed_hash(c + np.uint32(i + 1)), of)
+            slot += salt
+            slot >>= np.uint32(32 - TABLE_BITS[i])
+            slots[i] = slot.astype(np.intp)
         return np.take(tree["node"], flat), slots, np.take(tree["bit"], flat)
 
     def decisions(self, streams: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
@@ -366,31 +371,35 @@ def packed(tables: list[np.ndarray], salt: int) -> Iterator[pd.DataFrame]:
 
 def counted(texts: DataFrame, tree: dict) -> DataFrame:
     """Rows (word, c) and slices of tables from rows (text); partial counts, to be added up."""
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         counts, seen = Counts(Coder(tree)), Counter()
-        for f in frames:
+        for batch in batches:
             words: list[list[bytes]] = []
-            for t in f["text"]:
+            for t in batch.column(0).to_pylist():
                 words.append(split_words(t))
                 seen.update(words[-1])
                 if len(words) == 256:
                     counts.texts(map(stream_of, words))
                     words = []
                 if len(seen) > MOST_WORDS:
-                    yield frame(seen)
+                    yield rows(seen)
                     seen = Counter()
             counts.texts(map(stream_of, words))
-            seen[b"\n"] += len(f)
-        if seen:
-            yield frame(seen)
-        yield from packed(counts.finish(), TaskContext.get().partitionId() % 64)
+            seen[b"\n"] += len(batch)
+        yield rows(seen)
+        for f in packed(counts.finish(), TaskContext.get().partitionId() % 64):
+            yield pa.RecordBatch.from_pandas(f, schema=schema, preserve_index=False)
 
-    def frame(seen: Counter) -> pd.DataFrame:
-        return pd.DataFrame({"word": [w.decode() for w in seen], "c": list(seen.values()), "slice": None, "salt": None, "data": None})
+    def rows(seen: Counter) -> pa.RecordBatch:
+        n = len(seen)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(seen), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64()),
+             *(pa.nulls(n, t) for t in schema.types[2:])], schema=schema)
 
-    return texts.mapInPandas(count, ROWS)
+    schema = pa.schema([("word", pa.string()), ("c", pa.int64()), ("slice", pa.int32()), ("salt", pa.int32()), ("data", pa.binary())])
+    return texts.mapInArrow(count, ROWS)
 
 
 def word_tables(words: DataFrame, tree: dict) -> DataFrame:
@@ -439,12 +448,12 @@ def summed_tables(spark: SparkSession, slices: DataFrame) -> list[np.ndarray]:
 
 
 def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 5, held: int = 1,
-          head_words: int = 200_000, fit_docs: int = 500, fit_bytes: int = 1 << 20) -> DataFrame:
+          head_words: int = 400_000, fit_docs: int = 500, fit_bytes: int = 1 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_bytes (of the stream), n_tokens, n_known,
     train_tokens, base_score, score, bits_per_byte.
 
     Null and empty texts are one end token; a null id counts as empty text in the
-    split; rows pass one to one, repeated ones too (and each counts in training); an empty table gives
+    split; of a calibration text at most the first ``fit_bytes`` / 16 characters are used; rows pass one to one, repeated ones too (and each counts in training); an empty table gives
     an empty one; other columns are not looked at."""
     rest = remainder(F.col(doc_id), folds)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), rest.alias("rest"))
@@ -470,50 +479,47 @@ def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
     mixer = learn_mixer(sample, Coder(tree), tables)
     top = written(spark, words.select("word", "c").orderBy(F.desc("c"), "word").limit(head_words), "head")
     tail = words.select("word", "c").join(F.broadcast(top.select("word")), "word", "left_anti")
-    head = {r["word"].encode(): r["c"] for r in top.toLocalIterator()}
-    model = spark.sparkContext.broadcast((tree, tables, mixer, head))
-    del head
-
-    @F.pandas_udf("n_bytes long, n_tokens long, n_known long, known double, score double, rare array<struct<word:string,f:long>>")
-    def scored(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        tree, tables, mixer, head = model.value
-        coder = Coder(tree)
-        logs = {w: math.log10(c + 0.5) for w, c in head.items()}
-        for texts in frames:
-            streams, out, scores, size = [], [], [], 0
-            for t in texts:
-                w = split_words(t)
-                streams.append(stream_of(w))
-                w.append(b"\n")
-                known, total, rare = 0, 0.0, []
-                for x, f in Counter(w).items():
-                    log = logs.get(x)
-                    if log is None:
-                        rare.append({"word": x.decode(), "f": f})
-                    else:
-                        known += f
-                        total += f * log
-                out.append((len(streams[-1]), len(w), known, total, rare))
-                size += out[-1][0]
-                if size > 1 << 22:
-                    scores += log10_probabilities(streams, coder, tables, mixer)
-                    streams, size = [], 0
-            scores += log10_probabilities(streams, coder, tables, mixer)
-            frame = pd.DataFrame(out, columns=["n_bytes", "n_tokens", "n_known", "known", "rare"])
-            frame.insert(4, "score", scores)
-            yield frame
-
-    all_rows = written(spark, rows.select("doc_id", (F.col("rest") == held).alias("held_out"),
-                                          F.xxhash64("text").alias("__h1"), F.xxhash64(F.lit("linedocs"), "text").alias("__h2"),
-                                          scored("text").alias("s")), "scored")
+    logs = {r["word"].encode(): math.log10(r["c"] + 0.5) for r in top.toLocalIterator()}
+    model = spark.sparkContext.broadcast((tree, tables, mixer, logs))
+    del logs
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, tables, mixer, logs = model.value
+        coder, get = Coder(tree), logs.get
+        for batch in batches:
+            for at in range(0, len(batch), 400):
+                part = batch.slice(at, 400)
+                streams, out = [], []
+                for t in part.column("text").to_pylist():
+                    w = split_words(t)
+                    streams.append(stream_of(w))
+                    w.append(b"\n")
+                    found = list(map(get, w))
+                    rare = Counter(x for x, v in zip(w, found) if v is None)
+                    known = [v for v in found if v is not None] if rare else found
+                    out.append((len(streams[-1]), len(w), len(known), sum(known), list(rare), list(rare.values())))
+                columns = list(zip(*out))
+                new = [pa.array(c, t) for c, t in zip(columns[:4], (pa.int64(), pa.int64(), pa.int64(), pa.float64()))]
+                rare = [pa.array(columns[4], pa.list_(pa.binary())).cast(pa.list_(pa.string())), pa.array(columns[5], pa.list_(pa.int64()))]
+                score = pa.array(log10_probabilities(streams, coder, tables, mixer), pa.float64())
+                kept = [part.column(c) for c in ("doc_id", "held_out", "__h1", "__h2")]
+                yield pa.RecordBatch.from_arrays([*kept, *new, score, *rare], names)
+
+    names = ["doc_id", "held_out", "__h1", "__h2", "n_bytes", "n_tokens", "n_known", "known", "score", "rare", "times"]
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    all_rows = rows.select("doc_id", (F.col("rest") == held).alias("held_out"), F.xxhash64("text").alias("__h1"),
+                           F.xxhash64(F.lit("linedocs"), "text").alias("__h2"), "text").mapInArrow(
+        scored, f"doc_id {kind}, held_out boolean, __h1 long, __h2 long, n_bytes long, n_tokens long, n_known long, known double, "
+                "score double, rare array<string>, times array<long>")
+    all_rows = written(spark, all_rows, "scored")
     base = F.lit(math.log10(n + 0.5 * (v + 1)))
     unseen = math.log10(0.5)
     # rare words by document text (equal texts have equal words)
-    once = all_rows.select("__h1", "__h2", "s.rare").dropDuplicates(["__h1", "__h2"])
-    rare = once.select("__h1", "__h2", F.explode("rare").alias("r")).select("__h1", "__h2", "r.*")
+    once = all_rows.select("__h1", "__h2", "rare", "times").dropDuplicates(["__h1", "__h2"])
+    rare = once.select("__h1", "__h2", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("f"))))
     met = rare.join(tail, "word")
     seen = met.groupBy("__h1", "__h2").agg(F.sum("f").alias("f"), F.sum(F.col("f") * F.log10(F.col("c") + 0.5)).alias("logs"))
-    joined = all_rows.select("doc_id", "held_out", "__h1", "__h2", "s.n_bytes", "s.n_tokens", "s.n_known", "s.known", "s.score").join(
+    joined = all_rows.select("doc_id", "held_out", "__h1", "__h2", "n_bytes", "n_tokens", "n_known", "known", "score").join(
         seen, ["__h1", "__h2"], "left")
     f = F.coalesce("f", F.lit(0))
     missing = F.col("n_tokens") - F.col("n_known") - f
