@@ -21,11 +21,8 @@ def main():
            "before AQE re-optimisation). Operators from the root down to the scans;",
            "`Exchange` is a shuffle, `BroadcastExchange` a broadcast, `ArrowEvalPython`",
            "the Arrow prefix-sum UDF. `ReadSchema` is what the Parquet scan reads.", "",
-           "The `Exchange` right above a `documents`/`conversations`/`events` scan is `spread()`:",
-           "these test tables are one row group each, so the scan has fewer partitions",
-           "than cores and the rows are hashed out once. A table with at least one",
-           "partition per core gets no such exchange. In `file_lines_with_offset`",
-           "the small per-split table written by pass 1 is broadcast; pass 2 has no",
+           "In `file_lines_with_offset` the small per-split table written by pass 1 is",
+           "broadcast (within its size bound); pass 2 has no",
            "shuffle and the lines themselves are never shuffled.", ""]
     for name, fn in catalog.QUERIES.items():
         df = fn(spark, sf)
