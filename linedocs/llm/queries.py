@@ -142,3 +142,28 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(length(formatted)) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id
 """
+
+ORACLE_SQL["op4_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents WHERE text IS NOT NULL),
+w AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l),
+s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq, sum(n) OVER (PARTITION BY doc_id ORDER BY pos) AS upto
+      FROM w WHERE n > 0),
+pairs AS (SELECT x.doc_id, x.seq AS a, y.seq AS b FROM s x JOIN s y ON x.doc_id = y.doc_id AND y.seq >= x.seq AND y.upto - x.upto + x.n >= 50),
+runs AS (SELECT doc_id, a, min(b) AS b FROM pairs GROUP BY doc_id, a UNION SELECT doc_id, max(a), b FROM pairs GROUP BY doc_id, b),
+named AS (SELECT r.doc_id, r.a, r.b, string_agg(line, chr(10) ORDER BY seq) AS name
+          FROM runs r JOIN s ON s.doc_id = r.doc_id AND s.seq BETWEEN r.a AND r.b GROUP BY r.doc_id, r.a, r.b),
+placed AS (SELECT *, first_value(doc_id) OVER p AS fd, first_value(a) OVER p AS fa FROM named WINDOW p AS (PARTITION BY name ORDER BY doc_id, a)),
+gone AS (SELECT DISTINCT p.doc_id, s.seq, s.pos FROM placed p JOIN s ON s.doc_id = p.doc_id AND s.seq BETWEEN p.a AND p.b
+         WHERE p.doc_id <> p.fd OR p.a > p.fa + p.b - p.a),
+ranges AS (SELECT doc_id, min(pos) AS f, max(pos) AS t
+           FROM (SELECT *, seq - row_number() OVER (PARTITION BY doc_id ORDER BY seq) AS k FROM gone) GROUP BY doc_id, k),
+per AS (SELECT doc_id, sum(t - f + 1) AS n_deleted, string_agg(f || '-' || t, ',' ORDER BY f) AS deleted FROM ranges GROUP BY doc_id),
+kept AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM l LEFT JOIN ranges r ON l.doc_id = r.doc_id AND pos BETWEEN f AND t
+         WHERE f IS NULL GROUP BY l.doc_id)
+SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(n_deleted, 0) AS BIGINT) AS n_deleted, coalesce(deleted, '') AS deleted,
+       CASE WHEN n_deleted IS NULL THEN d.text ELSE coalesce(kept.text, '') END AS text
+FROM documents d LEFT JOIN per USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

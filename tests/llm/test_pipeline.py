@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
 
-@pytest.mark.parametrize("name", ["op5_url_filter", "op6_decontamination", "op7_chat_format"])
+@pytest.mark.parametrize("name", ["op4_line_dedup", "op5_url_filter", "op6_decontamination", "op7_chat_format"])
 def test_query_matches_oracle(spark, name):
     import duckdb
 
@@ -51,3 +51,52 @@ def test_stages_take_effect(spark):
     empty = docs.where("false")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_run_as_brute_force(spark):
+    """All five stages by plain Python over the smallest tables (too few labels there for any cutoff beyond the base rules)."""
+    from test_decontam import words
+    from test_linededup import brute
+    from test_mixing import brute_exponent, shares, weights_at
+    from test_quality import brute_counts
+    from test_simhash import brute_classes, brute_fingerprint
+
+    from linedocs.llm.mixing import Mixture
+
+    rows = table(spark, SF, "documents").collect()
+    docs = {}
+    for r in rows:
+        n, *_, repeated = brute_counts(r["text"]) if len(r["text"]) < 20000 else quality.counts_of(r["text"])[:5]
+        if n >= 50 and 100 * repeated <= 50 * n:
+            docs[r["doc_id"]] = r["text"]
+    docs = brute(sorted(docs.items()), 50)
+    prints = {d: brute_fingerprint(t) for d, t in docs.items()}
+    distinct = sorted(set(prints.values()))
+    root = dict(zip(distinct, brute_classes(distinct, 2)))
+    first = {}
+    for d in sorted(docs):
+        first.setdefault(root[prints[d]], d)
+    docs = {d: docs[d] for d in first.values()}
+    windows = {}
+    for item in table(spark, SF, "benchmark").collect():
+        w = words(item["text"])
+        for s in range(len(w) - min(10, len(w)) + 1 if w else 0):
+            windows.setdefault(min(10, len(w)), set()).add(tuple(w[s:s + 10]))
+
+    def clean(text):
+        w = words(text)
+        return not any(tuple(w[i:i + k]) in some for k, some in windows.items() for i in range(len(w) - k + 1))
+
+    docs = {d: t for d, t in docs.items() if clean(t)}
+    source = {r["doc_id"]: r["source"] for r in rows}
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == docs and len(got) == len(docs)
+    tokens, p = shares([(d, source[d], t) for d, t in docs.items()])
+    weight = weights_at(p, brute_exponent(p, Mixture()))
+    budget = max(tokens[s] / weight[s] for s in tokens)
+    used = dict.fromkeys(tokens, 0)
+    for r in got:
+        assert abs(r["weight"] - weight[r["source"]]) < 2e-4 and r["copies"] == len(r["blocks"]) >= 1
+        used[r["source"]] += r["copies"] * len(r["text"].split())
+    for s, n in tokens.items():  # up to one document more than the budget
+        assert weight[s] * budget - 1e-3 * n <= used[s] <= weight[s] * budget + max(len(t.split()) for d, t in docs.items() if source[d] == s) + 1e-3 * n
