@@ -272,6 +272,15 @@ def q_words_per_role(spark, sf):
     return counts.word_counts(lines, by=["role"])
 
 
+def q_python_builder(spark, sf):
+    """UDF1, UDF2: a user's own Python document builder, one call per Arrow batch."""
+    def with_length(frame):
+        return frame[["path", "line"]].assign(n=frame["line"].str.len())
+
+    documents.python_builder("line_length", with_length, "path string, line string, n bigint")
+    return documents.to_documents(document_lines(spark, sf, offsets=False).select("path", "line"), "line_length")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lines_with_offset": q_lines_with_offset,
     "lines_no_offset": q_lines_no_offset,
@@ -298,6 +307,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bulk_lines": q_bulk_lines,
     "conversation_lines": q_conversation_lines,
     "words_per_role": q_words_per_role,
+    "python_builder": q_python_builder,
     **end_to_end.QUERIES,
 }
 
@@ -390,4 +400,5 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT role, word, count(*) AS n FROM (SELECT role, unnest({_W}) AS word FROM u) GROUP BY role, word"),
 }
 
+ORACLE_SQL["python_builder"] = _with("SELECT path, line, length(line) AS n FROM l", ("l", DOC_LINES_SQL))
 ORACLE_SQL |= end_to_end.oracle_sql(DOC_LINES_SQL, EVENT_LINES_SQL, _W, ORACLE_SQL["bulk_lines"])
