@@ -1,12 +1,12 @@
 """Language-model scores by online logistic mixing of hashed-context predictors.
 
 A text is its lower-cased words, each followed by a space, then a line end.  A byte
-is a path through a binary code tree (frequent bytes have short paths), so a byte is a
-few binary decisions.  Three predictors look each decision up by a hash of the tree
+is a path through a binary code tree chosen by the byte before (frequent bytes have short paths), so a
+byte is a few binary decisions.  Three predictors look each decision up by a hash of the tree
 node and a context: the last two bytes, the last four bytes (across words), the word so far.
 
 1. A bounded sample of the training texts (``fit_docs``, ``fit_bytes``) calibrates: its bytes shape the code
-   tree, and in step 3 it shows the mixer how the tables do on text that they have not seen.
+   trees, and in step 3 it shows the mixer how the tables do on text that they have not seen.
 2. One pass over all other training texts counts words, three-byte sequences and, in a table of
    hashed slots, the decisions after four bytes.  Two-byte contexts are filled from the sequences, the
    word-so-far contexts from the counted words, so neither is updated decision by decision.  Every task adds
@@ -14,7 +14,7 @@ node and a context: the last two bytes, the last four bytes (across words), the
    become one byte each: a quantised logit and how often the slot was seen.
 3. The mixer is learned online: the logits are combined by weights that a gate
    chooses from the three levels of experience, with a step along the gradient after each
-   small batch.  An adaptive map then refines the mixed probability per tree node.
+   small batch.  An adaptive map then refines the mixed probability per depth in the tree.
 4. All texts are scored: per decision three look-ups, three weighted logits,
    one cost.  What is broadcast has the fixed size of the tables.
 
@@ -44,8 +44,8 @@ TABLE_BITS = (18, 20, 22)  # slots of each predictor
 SLICE = 1 << 16
 MIX, ODD = 0x9E3779B1, 0x85EBCA6B
 LEVELS, LIMIT = 64, 8.0
-QUANTA, QLIMIT = 384, 12.0
-CHUNK = 1 << 14
+QUANTA, QLIMIT, DEPTHS = 384, 12.0, 16
+CHUNK = 1 << 15
 PAD = 4
 MOST_WORDS = 600_000  # distinct words that a task counts before it passes them on
 
@@ -54,8 +54,8 @@ def stream_of(words: list[bytes]) -> bytes:
     return b" ".join([*words, b"\n"])
 
 
-def code_tree(counts: np.ndarray) -> dict:
-    """Binary code of the 256 bytes: for each its decisions (node, bit), flat."""
+def code_tree(counts: np.ndarray) -> list[list[tuple[int, int]]]:
+    """Binary code of the 256 bytes for how often each occurs: its decisions (node, bit)."""
     heap = [(int(c) + 1, i, i) for i, c in enumerate(counts)]
     heapq.heapify(heap)
     children, nxt = {}, 256
@@ -73,11 +73,20 @@ def code_tree(counts: np.ndarray) -> dict:
         else:
             for bit, child in enumerate(children[node]):
                 todo.append((child, [*path, (node - 256, bit)]))
-    length = np.array([len(p) for p in paths], np.intp)
-    node = np.array([n for p in paths for n, _ in p], np.uint8)
-    return {"length": length, "start": length.cumsum() - length, "node": node,
-            "salt": mixed_hash(node.astype(np.uint32) + np.uint32(77)),
-            "bit": np.array([b for p in paths for _, b in p], np.uint8)}
+    return paths
+
+
+def code_trees(sample: bytes) -> dict:
+    """A code for each byte before: tables by (byte before, byte) of its decisions' number and place in flat
+    tables of their bit, depth and a hash of their node."""
+    x = np.frombuffer(sample, np.uint8).astype(np.int64)
+    counts = np.bincount(x[:-1] * 256 + x[1:], minlength=1 << 16).reshape(256, 256)
+    codes = [path for row in counts for path in code_tree(row)]
+    length = np.array([len(p) for p in codes], np.intp)
+    node = np.array([(i & ~255) | n for i, p in enumerate(codes) for n, _ in p], np.uint32)
+    return {"length": length, "start": length.cumsum() - length, "salt": mixed_hash(node + np.uint32(77)),
+            "bit": np.array([b for p in codes for _, b in p], np.uint8),
+            "depth": np.array([min(d, DEPTHS - 1) for p in codes for d in range(len(p))], np.uint8)}
 
 
 def mixed_hash(x: np.ndarray) -> np.ndarray:
@@ -103,19 +112,22 @@ class Coder:
             self.upward = np.arange(8 * self.size, dtype=np.intp)
 
     def skipped(self, head: bytes) -> int:
-        """Decisions of the bytes of ``head``."""
-        return int(self.tree["length"][np.frombuffer(head, np.uint8)].sum())
+        """Decisions of the bytes of ``head`` at the start of a text."""
+        x = np.frombuffer(b" " + head, np.uint8).astype(np.intp)
+        return int(self.tree["length"][x[:-1] << 8 | x[1:]].sum())
 
     def contexts(self, streams: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-        """Bytes, decisions of each byte, the bytes' contexts (two, four, the word so far), where streams start.
+        """(byte before, byte) as a number, decisions of each, the contexts (two, four, the word so far), where streams start.
 
-        A stream sees nothing of the one before it: each begins after ``PAD`` line ends, which are only context."""
-        pad = b"\n" * PAD
+        A stream sees nothing of the one before it: each begins after ``PAD`` spaces, which are only context."""
+        pad = b" " * PAD
         x = np.frombuffer(pad + pad.join(streams), np.uint8)
         n = len(x)
         lengths = np.fromiter(map(len, streams), np.int64, len(streams))
         begin = (lengths + PAD).cumsum() - lengths
-        reps = np.take(self.tree["length"], x)
+        pair = np.concatenate([np.zeros(1, np.intp), x[:-1].astype(np.intp) << 8])
+        pair |= x
+        reps = np.take(self.tree["length"], pair)
         reps[(begin[:, None] - np.arange(1, PAD + 1)).ravel()] = 0
         wide = np.concatenate([np.zeros(PAD, np.uint32), x.astype(np.uint32)])
         two = wide[3:-1] | wide[2:-2] << np.uint32(8)
@@ -126,16 +138,16 @@ class Coder:
         edge = np.where((x == SPACE) | (x == STOP), self.upward[1:n + 1], 0)
         word = np.concatenate([np.zeros(1, np.intp), np.maximum.accumulate(edge)[:-1]])
         so_far = (sums - np.take(sums, word)) * np.take(self.back, word)
-        return x, reps, [two, four, so_far], begin
+        return pair, reps, [two, four, so_far], begin
 
-    def expand(self, x: np.ndarray, reps: np.ndarray, contexts: dict[int, np.ndarray]) -> tuple:
-        """node of every decision of the bytes, its slot in the table of each given predictor, its bit."""
+    def expand(self, pair: np.ndarray, reps: np.ndarray, contexts: dict[int, np.ndarray]) -> tuple:
+        """depth of every decision of the bytes, its slot in the table of each given predictor, its bit."""
         tree = self.tree
-        self.grow(len(x))
+        self.grow(len(pair))
         ends = reps.cumsum()
         total = int(ends[-1])
-        of = np.repeat(self.upward[:len(x)], reps)  # the one costly step: all else are look-ups by it
-        flat = np.take(np.take(tree["start"], x) - (ends - reps), of)
+        of = np.repeat(self.upward[:len(pair)], reps)  # the one costly step: all else are look-ups by it
+        flat = np.take(np.take(tree["start"], pair) - (ends - reps), of)
         flat += self.upward[:total] if total <= len(self.upward) else np.arange(total)
         salt = np.take(tree["salt"], flat)
         slots = {}
@@ -144,13 +156,13 @@ class Coder:
             slot += salt
             slot >>= np.uint32(32 - TABLE_BITS[i])
             slots[i] = slot.astype(np.intp)
-        return np.take(tree["node"], flat), slots, np.take(tree["bit"], flat)
+        return np.take(tree["depth"], flat), slots, np.take(tree["bit"], flat)
 
     def decisions(self, streams: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-        """node of every decision of the streams, its slot in each table, its bit, and where each stream starts."""
-        x, reps, contexts, begin = self.contexts(streams)
-        node, slots, bit = self.expand(x, reps, dict(enumerate(contexts)))
-        return node, list(slots.values()), bit, (reps.cumsum() - reps)[begin]
+        """depth of every decision of the streams, its slot in each table, its bit, and where each stream starts."""
+        pair, reps, contexts, begin = self.contexts(streams)
+        depth, slots, bit = self.expand(pair, reps, dict(enumerate(contexts)))
+        return depth, list(slots.values()), bit, (reps.cumsum() - reps)[begin]
 
 
 class Counts:
@@ -168,11 +180,12 @@ class Counts:
 
     def text(self, streams: list[bytes], context: int = 0) -> None:
         """Count streams; of a piece of one, the first ``context`` bytes are known already."""
-        x, reps, (two, four, _), _ = self.coder.contexts(streams)
+        pair, reps, (two, four, _), _ = self.coder.contexts(streams)
         if context:
             reps[:PAD + context] = 0
-        np.add.at(self.threes, ((two << np.uint32(8)) | x)[reps > 0].astype(np.intp), np.ones(int((reps > 0).sum()), np.uint32))
-        _, slots, bit = self.coder.expand(x, reps, {1: four})
+        threes = ((two >> np.uint32(8) << np.uint32(16)) | pair.astype(np.uint32))[reps > 0]
+        np.add.at(self.threes, threes.astype(np.intp), np.ones(len(threes), np.uint32))
+        _, slots, bit = self.coder.expand(pair, reps, {1: four})
         self.add(slots[1], bit, 1)
 
     def texts(self, streams: Iterator[bytes]) -> None:
@@ -187,11 +200,11 @@ class Counts:
         todo = ((w.encode() + (b"" if w == END else b" "), c) for w, c in zip(words, counts))
         pieces = ((p, c) for w, c in todo for p in pieces_of(w))
         while batch := list(islice(pieces, 4000)):
-            x, reps, (_, _, so_far), begin = self.coder.contexts([p for (p, _), _ in batch])
+            pair, reps, (_, _, so_far), begin = self.coder.contexts([p for (p, _), _ in batch])
             heads = np.array([h for (_, h), _ in batch])
             for b, h in zip(begin[heads > 0], heads[heads > 0]):
                 reps[b:b + h] = 0
-            _, slots, bit = self.coder.expand(x, reps, {2: so_far})
+            _, slots, bit = self.coder.expand(pair, reps, {2: so_far})
             weight = np.repeat(np.array([c for _, c in batch], np.uint32), np.add.reduceat(reps, begin))
             self.add(slots[2], bit, 2, weight)
 
@@ -200,9 +213,10 @@ class Counts:
         seen = np.flatnonzero(self.threes)
         for at in range(0, len(seen), 1 << 16):
             part = seen[at:at + (1 << 16)]
-            x, two = (part & 255).astype(np.uint8), (part >> 8).astype(np.uint32)
-            reps = np.take(self.coder.tree["length"], x)
-            _, slots, bit = self.coder.expand(x, reps, {0: two})
+            pair = part & 0xFFFF
+            two = ((part >> 16) << 8 | (part >> 8) & 255).astype(np.uint32)
+            reps = np.take(self.coder.tree["length"], pair)
+            _, slots, bit = self.coder.expand(pair, reps, {0: two})
             self.add(slots[0], bit, 0, np.repeat(self.threes[part], reps))
         self.threes[seen] = 0
         return self.tables
@@ -272,15 +286,15 @@ def quantised(x: np.ndarray) -> np.ndarray:
 
 
 def learn_mixer(streams: list[bytes], coder: Coder, tables: list[np.ndarray], rounds: int = 3, batch: int = 4096) -> dict:
-    """Weights (gate, predictor and bias) and the refined cost of a decision (node, quantum, bit)."""
+    """Weights (gate, predictor and bias) and the refined cost of a decision (depth, quantum, bit)."""
     weights = np.zeros((64, 4), np.float64)
     weights[:, :3] = 0.4
     value = logits()
     parts = []  # five bytes a decision are kept
     for b in batches_of(iter(streams)):
-        node, slots, bit, _ = coder.decisions(b)
-        parts.append((node, bit, *(np.take(t, s) for t, s in zip(tables, slots))))
-    node, bit, *codes = (np.concatenate(c) for c in zip(*parts))
+        depth, slots, bit, _ = coder.decisions(b)
+        parts.append((depth, bit, *(np.take(t, s) for t, s in zip(tables, slots))))
+    depth, bit, *codes = (np.concatenate(c) for c in zip(*parts))
     del parts
 
     def inputs(s: slice) -> tuple[np.ndarray, np.ndarray]:
@@ -303,11 +317,11 @@ def learn_mixer(streams: list[bytes], coder: Coder, tables: list[np.ndarray], ro
     for at in range(0, len(bit), 1 << 16):
         s = slice(at, at + (1 << 16))
         g, xs = inputs(s)
-        place[s] = node[s].astype(np.int32) * QUANTA + quantised((weights[g] * xs).sum(axis=1).astype(np.float32))
-    total = np.bincount(place, minlength=256 * QUANTA)
-    ones = np.bincount(place, weights=bit, minlength=256 * QUANTA)
+        place[s] = depth[s].astype(np.int32) * QUANTA + quantised((weights[g] * xs).sum(axis=1).astype(np.float32))
+    total = np.bincount(place, minlength=DEPTHS * QUANTA)
+    ones = np.bincount(place, weights=bit, minlength=DEPTHS * QUANTA)
     center = squash((np.arange(QUANTA) + 0.5) / QUANTA * 2 * QLIMIT - QLIMIT)
-    prior = np.tile(center, 256)
+    prior = np.tile(center, DEPTHS)
     p = np.clip((ones + 16 * prior) / (total + 16), 1e-5, 1 - 1e-5)
     cost = np.stack([np.log10(1 - p), np.log10(p)], axis=1).ravel().astype(np.float32)
     lut = np.stack([weights[:, i:i + 1] * (value * ((np.arange(256) & 3) > 0))[None, :] for i in range(3)])
@@ -316,14 +330,14 @@ def learn_mixer(streams: list[bytes], coder: Coder, tables: list[np.ndarray], ro
 
 def decision_costs(streams: list[bytes], coder: Coder, tables: list[np.ndarray], mixer: dict) -> tuple[np.ndarray, np.ndarray]:
     """log10 probability of each decision, and where each stream starts."""
-    node, slots, bit, starts = coder.decisions(streams)
+    depth, slots, bit, starts = coder.decisions(streams)
     codes = [np.take(t, s) for t, s in zip(tables, slots)]
     gate = gates(codes)
     mixed = np.take(mixer["bias"], gate)
     row = gate << 8
     for lut, c in zip(mixer["lut"], codes):
         mixed += np.take(lut, row + c)
-    place = (node.astype(np.intp) * QUANTA + quantised(mixed)) * 2 + bit
+    place = (depth.astype(np.intp) * QUANTA + quantised(mixed)) * 2 + bit
     return np.take(mixer["cost"], place), starts
 
 
@@ -467,7 +481,7 @@ def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
         if size < fit_bytes:
             sample.append(stream_of(split_words(r["text"])))
             size += len(sample[-1])
-    tree = code_tree(np.bincount(np.frombuffer(b"".join(sample), np.uint8), minlength=256))
+    tree = code_trees(b"".join(sample))
     # the calibration texts' words count in the base score, but not in the predictors' tables
     parts = written(spark, counted(train.where(~calibration).select("text"), tree), "counts")
     held_back = counted(train.where(calibration).select("text"), tree).where("word is not null").select("word", "c", F.lit(0).alias("t"))
