@@ -491,9 +491,17 @@ def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
     slices = parts.where("slice is not null").unionByName(word_tables(words.where("t > 0").select("word", F.col("t").alias("c")), tree))
     tables = summed_tables(spark, slices.select("slice", "salt", "data"))
     mixer = learn_mixer(sample, Coder(tree), tables)
-    top = written(spark, words.select("word", "c").orderBy(F.desc("c"), "word").limit(head_words), "head")
-    tail = words.select("word", "c").join(F.broadcast(top.select("word")), "word", "left_anti")
-    logs = {r["word"].encode(): math.log10(r["c"] + 0.5) for r in top.toLocalIterator()}
+    # the most frequent words by a bound on their count, found from a histogram of counts (some thousand
+    # bins at most), never by sorting all words in one place
+    level = F.floor(F.log2("c") * 64)
+    head, least = 0, math.inf
+    for r in sorted(words.groupBy(level.alias("b")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["b"]):
+        head += r["n"]
+        if head > head_words:
+            break
+        least = r["b"]
+    tail = words.where(level < F.lit(float(least))).select("word", "c")
+    logs = {r["word"].encode(): math.log10(r["c"] + 0.5) for r in words.where(level >= F.lit(float(least))).toLocalIterator()}
     model = spark.sparkContext.broadcast((tree, tables, mixer, logs))
     del logs
 
