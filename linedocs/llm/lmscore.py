@@ -501,7 +501,8 @@ def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
             break
         least = r["b"]
     tail = words.where(level < F.lit(float(least))).select("word", "c")
-    logs = {r["word"].encode(): math.log10(r["c"] + 0.5) for r in words.where(level >= F.lit(float(least))).toLocalIterator()}
+    top = written(spark, words.where(level >= F.lit(float(least))).select("word", "c").repartition(8), "head")
+    logs = {r["word"].encode(): math.log10(r["c"] + 0.5) for r in top.toLocalIterator()}
     model = spark.sparkContext.broadcast((tree, tables, mixer, logs))
     del logs
 
