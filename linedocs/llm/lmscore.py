@@ -5,17 +5,18 @@ is a path through a binary code tree chosen by the byte before (frequent bytes h
 byte is a few binary decisions.  Three predictors look each decision up by a hash of the tree
 node and a context: the last two bytes, the last four bytes (across words), the word so far.
 
-1. A bounded sample of the training texts (``fit_docs``, ``fit_bytes``) calibrates: its bytes shape the code
-   trees, and in step 3 it shows the mixer how the tables do on text that they have not seen.
-2. One pass over all other training texts counts words, three-byte sequences and, in a table of
+1. The pairs of neighbouring bytes in all training texts, counted in tasks, shape the code trees.
+2. Every training text belongs to one of two folds (by a hash of the text, so that equal texts are together).
+   One pass over each fold counts words, three-byte sequences and, in a table of
    hashed slots, the decisions after four bytes.  Two-byte contexts are filled from the sequences, the
    word-so-far contexts from the counted words, so neither is updated decision by decision.  Every task adds
    up its own tables, slices of them are summed after a shuffle in two levels.  Slots
-   become one byte each: a quantised logit and how often the slot was seen.
-3. The mixer is learned online: the logits are combined by weights that a gate
-   chooses from the three levels of experience, with a step along the gradient after each
-   small batch.  An adaptive map then refines the mixed probability per depth in the tree.
-4. All texts are scored: per decision three look-ups, three weighted logits,
+   become one byte each: a quantised logit and how often the slot was seen; once per fold and once for both.
+3. The mixer is learned online in tasks, over all training texts, each with the tables of the fold that it is
+   not in: the logits are combined by weights that a gate chooses from the three levels of experience, with a
+   step along the gradient after each small batch.  An adaptive map of the mixed probability per depth in the
+   tree is counted on the way.  The tasks' weights are averaged by how often each gate was used, their maps summed.
+4. All texts are scored with the tables of both folds: per decision three look-ups, three weighted logits,
    one cost.  What is broadcast has the fixed size of the tables.
 
 The base score needs every word's count.  The ``head_words`` most frequent are
@@ -76,11 +77,20 @@ def code_tree(counts: np.ndarray) -> list[list[tuple[int, int]]]:
     return paths
 
 
-def code_trees(sample: bytes) -> dict:
-    """A code for each byte before: tables by (byte before, byte) of its decisions' number and place in flat
-    tables of their bit, depth and a hash of their node."""
+def pairs_of(sample: bytes) -> np.ndarray:
+    """How often each (byte before, byte) occurs, as flat counts."""
     x = np.frombuffer(sample, np.uint8).astype(np.int64)
-    counts = np.bincount(x[:-1] * 256 + x[1:], minlength=1 << 16).reshape(256, 256)
+    return np.bincount(x[:-1] * 256 + x[1:], minlength=1 << 16)
+
+
+def code_trees(sample: bytes) -> dict:
+    return trees_of(pairs_of(sample))
+
+
+def trees_of(counts: np.ndarray) -> dict:
+    """A code for each byte before, from the counts of pairs: tables by (byte before, byte) of its decisions'
+    number and place in flat tables of their bit, depth and a hash of their node."""
+    counts = counts.reshape(256, 256)
     codes = [path for row in counts for path in code_tree(row)]
     length = np.array([len(p) for p in codes], np.intp)
     node = np.array([(i & ~255) | n for i, p in enumerate(codes) for n, _ in p], np.uint32)
@@ -285,41 +295,50 @@ def quantised(x: np.ndarray) -> np.ndarray:
     return ((np.clip(x, -QLIMIT, QLIMIT - 1e-3) + np.float32(QLIMIT)) * np.float32(QUANTA / (2 * QLIMIT))).astype(np.int32)
 
 
-def learn_mixer(streams: list[bytes], coder: Coder, tables: list[np.ndarray], rounds: int = 3, batch: int = 4096) -> dict:
-    """Weights (gate, predictor and bias) and the refined cost of a decision (depth, quantum, bit)."""
-    weights = np.zeros((64, 4), np.float64)
-    weights[:, :3] = 0.4
-    value = logits()
-    parts = []  # five bytes a decision are kept
-    for b in batches_of(iter(streams)):
-        depth, slots, bit, _ = coder.decisions(b)
-        parts.append((depth, bit, *(np.take(t, s) for t, s in zip(tables, slots))))
-    depth, bit, *codes = (np.concatenate(c) for c in zip(*parts))
-    del parts
-
-    def inputs(s: slice) -> tuple[np.ndarray, np.ndarray]:
-        part = [c[s] for c in codes]
-        known = [value[c] * ((c & 3) > 0) for c in part]
-        return gates(part), np.stack([*known, np.full(len(part[0]), 0.3)], axis=1)
-
-    step = 0.02
-    for r in range(rounds):
+class Mixer:
+    """Learns online: weights (gate, predictor and bias), how often each gate was used, and the adaptive map's
+    counts (depth, quantum) of decisions and of ones."""
+
+    def __init__(self):
+        self.weights = np.zeros((64, 4), np.float64)
+        self.weights[:, :3] = 0.4
+        self.used = np.zeros(64, np.int64)
+        self.total = np.zeros(DEPTHS * QUANTA, np.int64)
+        self.ones = np.zeros(DEPTHS * QUANTA, np.int64)
+        self.value, self.steps = logits() * ((np.arange(256) & 3) > 0), 0
+
+    def learn(self, depth: np.ndarray, bit: np.ndarray, codes: list[np.ndarray], batch: int = 4096) -> None:
         for at in range(0, len(bit), batch):
             s = slice(at, at + batch)
-            g, xs = inputs(s)
-            error = bit[s] - squash((weights[g] * xs).sum(axis=1))
-            seen = np.maximum(np.bincount(g, minlength=64), 1)[:, None]
-            change = np.zeros_like(weights)
-            np.add.at(change, g, error[:, None] * xs)
-            weights += step * change / np.sqrt(seen)
-        step /= 2
-    place = np.empty(len(bit), np.int32)
-    for at in range(0, len(bit), 1 << 16):
-        s = slice(at, at + (1 << 16))
-        g, xs = inputs(s)
-        place[s] = depth[s].astype(np.int32) * QUANTA + quantised((weights[g] * xs).sum(axis=1).astype(np.float32))
-    total = np.bincount(place, minlength=DEPTHS * QUANTA)
-    ones = np.bincount(place, weights=bit, minlength=DEPTHS * QUANTA)
+            b, part = bit[s], [c[s] for c in codes]
+            g = gates(part)
+            xs = [*(np.take(self.value, c) for c in part), np.full(len(b), 0.3, np.float32)]
+            w = self.weights.astype(np.float32)
+            mixed = sum(np.take(w[:, i], g) * x for i, x in enumerate(xs))
+            place = depth[s].astype(np.intp) * QUANTA + quantised(mixed)
+            self.total += np.bincount(place, minlength=len(self.total))
+            self.ones += np.bincount(place[b > 0], minlength=len(self.ones))
+            error = b - squash(mixed)
+            seen = np.bincount(g, minlength=64)
+            change = np.stack([np.bincount(g, weights=error * x, minlength=64) for x in xs], axis=1)
+            self.weights += 0.02 / math.sqrt(1 + self.steps / 500) * change / np.sqrt(np.maximum(seen, 1))[:, None]
+            self.used += seen
+            self.steps += 1
+
+    def streams(self, streams: list[bytes], coder: Coder, tables: list[np.ndarray]) -> None:
+        long: list[bytes] = []
+        for b in batches_of(short_of(iter(streams), long)):
+            depth, slots, bit, _ = coder.decisions(b)
+            self.learn(depth, bit, [np.take(t, s) for t, s in zip(tables, slots)])
+        for piece, context in (p for s in long for p in pieces_of(s)):
+            depth, slots, bit, _ = coder.decisions([piece])
+            skip = coder.skipped(piece[:context])
+            self.learn(depth[skip:], bit[skip:], [np.take(t, s[skip:]) for t, s in zip(tables, slots)])
+
+
+def mixer_of(weights: np.ndarray, total: np.ndarray, ones: np.ndarray) -> dict:
+    """Look-ups of the weighted logits (gate, code), and the refined cost of a decision (depth, quantum, bit)."""
+    value = logits()
     center = squash((np.arange(QUANTA) + 0.5) / QUANTA * 2 * QLIMIT - QLIMIT)
     prior = np.tile(center, DEPTHS)
     p = np.clip((ones + 16 * prior) / (total + 16), 1e-5, 1 - 1e-5)
@@ -328,6 +347,15 @@ def learn_mixer(streams: list[bytes], coder: Coder, tables: list[np.ndarray], ro
     return {"lut": lut.astype(np.float32).reshape(3, -1), "bias": (0.3 * weights[:, 3]).astype(np.float32), "cost": cost}
 
 
+def learn_mixer(streams: list[bytes], coder: Coder, tables: list[np.ndarray], rounds: int = 3) -> dict:
+    """The mixer learned in one place, in rounds; the map is that of the last one."""
+    mixer = Mixer()
+    for _ in range(rounds):
+        mixer.total[:], mixer.ones[:] = 0, 0
+        mixer.streams(streams, coder, tables)
+    return mixer_of(mixer.weights, mixer.total, mixer.ones)
+
+
 def decision_costs(streams: list[bytes], coder: Coder, tables: list[np.ndarray], mixer: dict) -> tuple[np.ndarray, np.ndarray]:
     """log10 probability of each decision, and where each stream starts."""
     depth, slots, bit, starts = coder.decisions(streams)
@@ -368,6 +396,60 @@ def split_words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def pair_counts(texts: DataFrame) -> np.ndarray:
+    """How often each (byte before, byte) occurs in the streams of rows (text): at most 65,536 sums."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                total += pairs_of(b" " + stream_of(split_words(t))) if len(t) > CHUNK else 0
+            short = [stream_of(split_words(t)) for t in batch.column(0).to_pylist() if len(t) <= CHUNK]
+            for some in batches_of(iter(short)):
+                total += pairs_of(b" " + b" ".join(some))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["pair", "n"])
+
+    out = np.zeros(1 << 16, np.int64)
+    for r in texts.mapInArrow(count, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r["pair"]] = r["n"]
+    return out
+
+
+def mixed_in_tasks(spark: SparkSession, train: DataFrame, tree: dict, folds: list[list[np.ndarray]]) -> Mixer:
+    """The mixer from rows (text, fold), each learned from with the tables of the other fold.  A task learns online over
+    its rows; gates' weights (times their use) and the map's counts are summed in a shuffle to fixed numbers of rows."""
+    model = spark.sparkContext.broadcast((tree, folds))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, folds = model.value
+        coder, mixer = Coder(tree), Mixer()
+        for batch in batches:
+            for at in range(0, len(batch), 400):
+                part = batch.slice(at, 400)
+                streams: list[list[bytes]] = [[], []]
+                for t, f in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    streams[f].append(stream_of(split_words(t)))
+                for f in (0, 1):
+                    mixer.streams(streams[f], coder, folds[1 - f])
+        at, used = np.flatnonzero(mixer.total), np.flatnonzero(mixer.used)
+        sums = mixer.weights[used] * mixer.used[used, None]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([used, 64 + at]), pa.int32()), pa.array(np.concatenate([mixer.used[used], mixer.total[at]]), pa.int64()),
+             *(pa.array(np.concatenate([sums[:, i], mixer.ones[at] if i == 0 else np.zeros(len(at))]), pa.float64()) for i in range(4))],
+            ["place", "n", *names])
+
+    names = ["w0", "w1", "w2", "w3"]
+    sums = train.select("text", "fold").mapInArrow(learn, "place int, n long, w0 double, w1 double, w2 double, w3 double")
+    mixer = Mixer()
+    for r in sums.groupBy("place").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in names]).collect():  # 64 and 6,144 rows at most
+        if r["place"] < 64:
+            mixer.weights[r["place"]] = [r[c] / r["n"] for c in names]
+        else:
+            mixer.total[r["place"] - 64], mixer.ones[r["place"] - 64] = r["n"], r["w0"]
+    model.unpersist()
+    return mixer
+
+
 ROWS = "word string, c long, slice int, salt int, data binary"
 
 
@@ -429,68 +511,66 @@ def word_tables(words: DataFrame, tree: dict) -> DataFrame:
     return words.mapInPandas(count, ROWS)
 
 
-def summed_tables(spark: SparkSession, slices: DataFrame) -> list[np.ndarray]:
-    """The tables as one byte per slot, from rows (slice, salt, data)."""
+def summed_tables(spark: SparkSession, slices: DataFrame) -> list[list[np.ndarray]]:
+    """The tables of fold 0, of fold 1 and of both as one byte per slot, from rows (fold, slice, salt, data)."""
     def added(frames: Iterator[pd.DataFrame], last: bool) -> Iterator[pd.DataFrame]:
         codec, sums = pa.Codec("zstd"), {}
         for f in frames:
-            for k, salt, data in zip(f["slice"], f["salt"], f["data"]):
+            for fold, k, salt, data in zip(f["fold"], f["slice"], f["salt"], f["data"]):
                 p = np.frombuffer(codec.decompress(data, 8 * SLICE, asbytes=True), np.uint32)
-                key = (k, 0 if last else salt)
-                if key in sums:
-                    sums[key] += p
-                else:
-                    sums[key] = p.astype(np.uint64)
-        for (k, salt), p in sums.items():
+                for key in [(fold, k, 0), (2, k, 0)] if last else [(fold, k, salt)]:
+                    if key in sums:
+                        sums[key] += p
+                    else:
+                        sums[key] = p.astype(np.uint64)
+        for (fold, k, salt), p in sums.items():
             if last:
-                yield pd.DataFrame({"slice": [k], "data": [codes_of(p[::2].astype(float), p[1::2].astype(float)).tobytes()]})
+                data = codes_of(p[::2].astype(float), p[1::2].astype(float)).tobytes()
             else:
-                p = np.minimum(p, (1 << 32) - 1).astype(np.uint32)
-                yield pd.DataFrame({"slice": [k], "salt": [salt], "data": [codec.compress(p.tobytes(), asbytes=True)]})
+                data = codec.compress(np.minimum(p, (1 << 32) - 1).astype(np.uint32).tobytes(), asbytes=True)
+            yield pd.DataFrame({"fold": [fold], "slice": [k], "salt": [salt], "data": [data]})
 
+    kind = "fold int, slice int, salt int, data binary"
     most = sum((1 << b) // SLICE for b in TABLE_BITS)
-    some = slices.repartition(most, "slice", "salt").mapInPandas(lambda f: added(f, False), "slice int, salt int, data binary")
-    done = some.repartition(most, "slice").mapInPandas(lambda f: added(f, True), "slice int, data binary")
-    got = {r["slice"]: r["data"] for r in written(spark, done, "tables").collect()}  # 5.5 MB, whatever the corpus
+    some = slices.repartition(most, "fold", "slice", "salt").mapInPandas(lambda f: added(f, False), kind)
+    done = some.repartition(most, "slice").mapInPandas(lambda f: added(f, True), kind)
+    got = {(r["fold"], r["slice"]): r["data"] for r in written(spark, done, "tables").collect()}  # 3 x 5.5 MB, whatever the corpus
     blank = codes_of(np.zeros(1), np.zeros(1)).tobytes() * SLICE
-    out, first = [], 0
-    for bits in TABLE_BITS:
-        n = (1 << bits) // SLICE
-        out.append(np.frombuffer(b"".join(bytes(got.get(first + i, blank)) for i in range(n)), np.uint8))
-        first += n
+    out = []
+    for fold in range(3):
+        first, tables = 0, []
+        for bits in TABLE_BITS:
+            n = (1 << bits) // SLICE
+            tables.append(np.frombuffer(b"".join(bytes(got.get((fold, first + i), blank)) for i in range(n)), np.uint8))
+            first += n
+        out.append(tables)
     return out
 
 
 def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 5, held: int = 1,
-          head_words: int = 400_000, fit_docs: int = 500, fit_bytes: int = 1 << 20) -> DataFrame:
+          head_words: int = 400_000, fit_docs: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_bytes (of the stream), n_tokens, n_known,
     train_tokens, base_score, score, bits_per_byte.
 
     Null and empty texts are one end token; a null id counts as empty text in the
-    split; of a calibration text at most the first ``fit_bytes`` / 16 characters are used; rows pass one to one, repeated ones too (and each counts in training); an empty table gives
-    an empty one; other columns are not looked at."""
+    split; rows pass one to one, repeated ones too (and each counts in training); an empty table gives
+    an empty one; other columns are not looked at.  ``fit_docs`` has no effect: all training texts calibrate."""
     rest = remainder(F.col(doc_id), folds)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), rest.alias("rest"))
-    train = rows.where(F.col("rest") != held)
-    # calibration: training texts by a hash of id and text, about fit_docs of them
-    many = train.select("rest").count()
-    share = int((1 << 20) * min(0.25, fit_docs / max(many, 1)))
-    calibration = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share
-    sample, size = [stream_of([])], 0
-    for r in train.where(calibration).select(F.substring("text", 1, fit_bytes // 16).alias("text")).toLocalIterator():
-        if size < fit_bytes:
-            sample.append(stream_of(split_words(r["text"])))
-            size += len(sample[-1])
-    tree = code_trees(b"".join(sample))
-    # the calibration texts' words count in the base score, but not in the predictors' tables
-    parts = written(spark, counted(train.where(~calibration).select("text"), tree), "counts")
-    held_back = counted(train.where(calibration).select("text"), tree).where("word is not null").select("word", "c", F.lit(0).alias("t"))
-    words = written(spark, parts.where("word is not null").select("word", "c", F.col("c").alias("t")).unionByName(held_back)
-                    .groupBy("word").agg(F.sum("c").alias("c"), F.sum("t").alias("t")), "words")
+    train = rows.where(F.col("rest") != held).select("text", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("fold"))
+    tree = trees_of(pair_counts(train.select("text")))
+    # a fold at a time, so that a task holds one set of tables
+    parts = written(spark, counted(train.where("fold = 0").select("text"), tree).withColumn("fold", F.lit(0)).unionByName(
+        counted(train.where("fold = 1").select("text"), tree).withColumn("fold", F.lit(1))), "counts")
+    words = written(spark, parts.where("word is not null").groupBy("word").agg(
+        F.sum("c").alias("c"), *[F.sum(F.when(F.col("fold") == f, F.col("c")).otherwise(0)).alias(f"c{f}") for f in (0, 1)]), "words")
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    slices = parts.where("slice is not null").unionByName(word_tables(words.where("t > 0").select("word", F.col("t").alias("c")), tree))
-    tables = summed_tables(spark, slices.select("slice", "salt", "data"))
-    mixer = learn_mixer(sample, Coder(tree), tables)
+    slices = parts.where("slice is not null")
+    for f in (0, 1):
+        slices = slices.unionByName(word_tables(words.where(f"c{f} > 0").select("word", F.col(f"c{f}").alias("c")), tree).withColumn("fold", F.lit(f)))
+    *halves, tables = summed_tables(spark, slices.select("fold", "slice", "salt", "data"))
+    learned = mixed_in_tasks(spark, train, tree, halves)
+    mixer = mixer_of(learned.weights, learned.total, learned.ones)
     # the most frequent words by a bound on their count, found from a histogram of counts (some thousand
     # bins at most), never by sorting all words in one place
     level = F.floor(F.log2("c") * 64)

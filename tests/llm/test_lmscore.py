@@ -146,3 +146,19 @@ def test_rows(spark, odd_docs):
     docs = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     check_base(lmscore.score(spark, odd_docs).collect(), docs)
     assert lmscore.score(spark, odd_docs.where("false")).count() == 0
+
+
+def test_mixer_learns_from_every_training_text(spark, texts):
+    """Tasks' sums hold each decision of all texts once, past 500 texts and 1 MB, long ones whole."""
+    some = texts + [" ".join(texts * 8)]
+    assert sum(map(len, some)) > 1 << 20
+    streams = streams_of(some)
+    df = spark.createDataFrame([(t, i % 2) for i, t in enumerate(some)], "text string, fold int").repartition(4)
+    pairs = lmscore.pair_counts(df.select("text"))
+    assert pairs[ord("e") << 8 | ord("t")] == sum(s.count(b"et") for s in streams)
+    coder = lmscore.Coder(lmscore.trees_of(pairs))
+    blank = [np.zeros(1 << b, np.uint8) for b in lmscore.TABLE_BITS]
+    mixer = lmscore.mixed_in_tasks(spark, df, coder.tree, [blank, blank])
+    assert mixer.total.sum() == sum(coder.skipped(s) for s in streams)
+    ones = sum(int(coder.decisions([s])[2].sum()) for s in streams[:-1])
+    assert ones < mixer.ones.sum() < mixer.total.sum()
