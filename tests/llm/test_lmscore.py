@@ -162,3 +162,14 @@ def test_mixer_learns_from_every_training_text(spark, texts):
     assert mixer.total.sum() == sum(coder.skipped(s) for s in streams)
     ones = sum(int(coder.decisions([s])[2].sum()) for s in streams[:-1])
     assert ones < mixer.ones.sum() < mixer.total.sum()
+
+
+def test_no_training_text_is_withheld_from_the_tables(spark):
+    """Copies of training texts are known ones, all of them."""
+    rng = random.Random(11)
+    ids = {h: [i for i in range(2000) if (zlib.crc32(str(i).encode()) % 5 == 1) == h] for h in (False, True)}
+    own = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(10)) for _ in range(60)]
+    docs = list(zip(ids[False], own)) + list(zip(ids[True], own))
+    rows = lmscore.score(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).where("held_out").collect()
+    bits = sorted(r["bits_per_byte"] for r in rows)
+    assert len(bits) == 60 and bits[-1] < 1.3 * bits[0]
