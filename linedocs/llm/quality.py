@@ -18,8 +18,9 @@ the other cutoffs are chosen from labels, per stratum (language):
 * Of the valid cutoffs the most lenient is taken that catches nearly as many
   bad fitting documents as the strictest one: a stricter one would only cost good documents.
 
-With too few good holdout documents in a stratum no cutoff is valid, and only
-the base rules reject there.
+Strata with too few good holdout documents for any cutoff to be valid are one joint stratum, with
+its own median, percentile, cutoff and bound; which these are is told from their numbers of documents alone.
+With too few in the joint stratum too, only the base rules reject there.
 """
 
 from __future__ import annotations
@@ -158,9 +159,30 @@ def excess(center: Column, unit: Column, f: str) -> Column:
     return F.greatest(*[(c - center[i]) / unit[i] for i, c in enumerate(rates(f).values())])
 
 
+POOL = "*"  # the joint stratum: no other has this name
+
+
+def carrying(sizes: dict[int, int], level: float, risk: float) -> int:
+    """The fewest good holdout documents with which a stratum stands alone, from how many strata have how many:
+    as many of the largest as can each carry the bound, the level divided by their number and one for the rest."""
+    alone, least = 0, 1 << 62
+    for n in sorted(sizes, reverse=True):
+        alone += sizes[n]
+        if binomial_bound(0, n, level / (alone + (n > min(sizes))), True) > risk:
+            break
+        least = n
+    return least
+
+
 def thresholds(spark: SparkSession, features: DataFrame, marks: DataFrame, limits: Limits) -> DataFrame:
     """(stratum, center, unit, cutoff) from rows (_label_id, stratum, f)."""
     rows = written(spark, features.join(marks, "__label_id"), "labelled")
+    size = rows.groupBy(F.col("stratum").alias("own")).agg(F.sum((F.col("good") & ~F.col("fit")).cast("long")).alias("size"))
+    size = written(spark, size, "sizes")
+    sizes = size.groupBy(F.least("size", F.lit(10_000)).alias("size")).agg(F.count("*").alias("n")).collect()  # 10,001 rows at most
+    alone = F.col("size") >= carrying({r["size"]: r["n"] for r in sizes}, limits.level, limits.risk)
+    groups = size.select("own", F.when(alone, F.col("own")).otherwise(F.lit(POOL)).alias("stratum"))
+    rows = rows.withColumnRenamed("stratum", "own").join(few(groups), "own")
     least = list(RATES.values())
     named = rates("f")
     centers = rows.where("fit and good").groupBy("stratum").agg(
@@ -190,7 +212,8 @@ def thresholds(spark: SparkSession, features: DataFrame, marks: DataFrame, limit
             out.append(GRID[useful[0]] if useful else math.inf)
         return pd.Series(out)
 
-    return written(spark, table.select("stratum", "center", "unit", cutoff("n", "wrong", "caught").alias("cutoff")), "thresholds")
+    found = table.select("stratum", "center", "unit", cutoff("n", "wrong", "caught").alias("cutoff"))
+    return written(spark, groups.join(found, "stratum").select(F.col("own").alias("stratum"), "center", "unit", "cutoff"), "thresholds")
 
 
 def stratum_of(column: str) -> Column:

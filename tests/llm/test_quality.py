@@ -89,3 +89,19 @@ def test_rows(spark, odd_docs):
             assert tuple(r["__f"][c] for c in quality.COUNTS) == counts
             assert r["base_failed"] == (n < 50 or 100 * repeated > 50 * n) and r["kept"] <= (not r["base_failed"])
         assert quality.judge(spark, odd_docs.drop("kept").where("false"), lab).count() == 0
+
+
+def test_small_languages_share_a_cutoff(spark):
+    """Each of three languages has too few labels for a bound of its own; together they have enough."""
+    docs, labels = labelled_corpus(6000)
+    d = spark.createDataFrame([(i, t, ("de", "fr", "es")[i % 7 % 3] if i % 2 else "en") for i, t, _ in docs], "doc_id long, text string, lang string")
+    lab = spark.createDataFrame([x for x in labels if x[0] % 2], "doc_id long, quality int, toxic int")
+    out = quality.judge(spark, d, lab).where("lang <> 'en'").collect()
+    junk = [r for r in out if "###" in r["text"]]
+    assert len(junk) > 300 and sum(not r["kept"] for r in junk) >= 0.97 * len(junk)
+    assert sum(not r["kept"] for r in out if "###" not in r["text"] and "zounds" not in r["text"]) <= 0.01 * len(out)
+
+
+def test_strata_that_stand_alone():
+    assert quality.carrying({5000: 3, 100: 1}, 0.05, 0.01) == 5000 and quality.carrying({299: 1}, 0.05, 0.01) == 299
+    assert quality.carrying({437: 4}, 0.05, 0.01) == 437 and quality.carrying({435: 4}, 0.05, 0.01) > 435
