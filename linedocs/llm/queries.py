@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, linededup, lmscore, mixing, quality, secrets, simhash, tokens, urlfilter
+from . import chat, decontam, linededup, lmscore, mixing, quality, secrets, simhash, tokens, urlfilter, warc
 from .common import table
 
 #: Name of the vocabulary file; its folder is that of the installed package.
@@ -83,9 +83,14 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write_warc(spark, table(spark, sf_dir, "pages"))
+    return warc.page_records(warc.read_warc(spark, files))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_simhash, op3_mixing, op4_line_dedup, op5_url_filter, op6_decontamination,
-                            op7_chat_format, op8_secret_scan, op9_quality_rules, op10_lm_score)
+                            op7_chat_format, op8_secret_scan, op9_quality_rules, op10_lm_score, op11_warc)
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -167,3 +172,14 @@ SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT)
        CASE WHEN n_deleted IS NULL THEN d.text ELSE coalesce(kept.text, '') END AS text
 FROM documents d LEFT JOIN per USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+ORACLE_SQL["op11_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + CAST((CAST('0x' || substr(hex, 10 * CAST(i // 8 AS INT) + 1, 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS INT)) & 31 AS INT), 1)), '') AS payload_digest,
+       CASE WHEN first IS NULL OR page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""
