@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import work_dir
 
@@ -24,6 +25,20 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def placed(spark: SparkSession, df: DataFrame, column: str, name: str, first: int = 0) -> tuple[DataFrame, int]:
+    """``df`` written, with each row's place in the order it was written in (dense, from ``first``), and the
+    number of rows.  A place is that within its partition, after the partitions before it: no sort."""
+    raw = written(spark, df.withColumn("__at", F.monotonically_increasing_id()), f"{name}-raw").withColumn(
+        "__part", F.shiftright("__at", 33))
+    sizes = raw.groupBy("__part").agg(F.count("*").alias("__size"))
+    # one row per partition of the job that wrote them
+    starts = sizes.select("__part", (F.sum("__size").over(Window.orderBy("__part")) - F.col("__size")).alias("__start"))
+    total = sizes.agg(F.coalesce(F.sum("__size"), F.lit(0))).first()[0]
+    place = F.col("__at") - F.shiftleft(F.col("__part"), 33) + F.col("__start") + first
+    out = raw.join(F.broadcast(starts), "__part").withColumn(column, place).select(*[F.col(f"`{c}`") for c in df.columns], column)
+    return out, total
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z and leaves every other character alone."""
     return F.translate(c, UPPER, UPPER.lower())

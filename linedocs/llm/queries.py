@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, linededup, lmscore, mixing, quality, secrets, simhash, tokens, urlfilter, warc
+from . import chat, decontam, linededup, lmscore, mixing, phrases, quality, repair, secrets, simhash, tokens, urlfilter, warc
 from .common import table
 
 #: Name of the vocabulary file; its folder is that of the installed package.
@@ -88,9 +88,19 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.read_warc(spark, files))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repair(spark, repair.damaged(rows), conversations=rows)
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spark, table(spark, sf_dir, "documents"), min_count=10, inside_percent=50, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_simhash, op3_mixing, op4_line_dedup, op5_url_filter, op6_decontamination,
-                            op7_chat_format, op8_secret_scan, op9_quality_rules, op10_lm_score, op11_warc)
+                            op7_chat_format, op8_secret_scan, op9_quality_rules, op10_lm_score, op11_warc,
+                            op12_conversation_repair, op13_phrases)
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -183,3 +193,94 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
        CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM f
 """
+
+ORACLE_SQL["op13_phrases"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS s FROM w, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, w[s:s + k - 1] AS gram, CAST(count(*) AS HUGEINT) AS a FROM g GROUP BY ALL),
+total AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT * FROM f WHERE k > 1 AND a >= 10),
+longer AS (SELECT lang, gram, max(a) AS a FROM (
+  SELECT lang, gram[1:2] AS gram, a FROM cand WHERE k = 3 UNION ALL SELECT lang, gram[2:3], a FROM cand WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT c.* FROM cand c LEFT JOIN longer o ON c.lang = o.lang AND c.gram = o.gram WHERE o.a IS NULL OR 100 * o.a < 50 * c.a),
+cuts AS (SELECT lang, gram, a, unnest(range(1, k)) AS cut FROM kept),
+scored AS (
+  SELECT c.lang, c.gram, c.a, c.cut, x.a AS l, y.a AS r, (1000000 * c.a * c.a) // (x.a * y.a) AS score FROM cuts c
+  JOIN f x ON x.lang = c.lang AND x.gram = c.gram[1:c.cut] JOIN f y ON y.lang = c.lang AND y.gram = c.gram[c.cut + 1:len(c.gram)]),
+worst AS (SELECT *, array_to_string(gram, ' ') AS phrase, row_number() OVER (PARTITION BY lang, gram ORDER BY score, cut) AS i FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst WHERE i = 1)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+def _edited(value: str, cost: int, edit: str) -> str:
+    """SQL: a (cost, audit) string of 12 digits and edits, with one more edit."""
+    return f"(lpad(CAST(CAST(substr({value}, 1, 12) AS BIGINT) + {cost} AS VARCHAR), 12, '0') || substr({value}, 13) || '{edit}')"
+
+
+def _kept(value: str, initial: str) -> str:
+    """SQL: ``value`` with the row kept, or with it reroled to the same state; null if it must go."""
+    add = "(CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END)"
+    keep = f"CASE WHEN initial = '{initial}' THEN {_edited(value, add, 'K')} END"
+    return f"CASE WHEN coalesce(fault, '') NOT IN ('blank', 'duplicate') THEN least({keep}, {_edited(value, f'(1 + {add})', 'R')}) END"
+
+
+# the least (cost, audit) to each state, row by row
+ORACLE_SQL["op12_conversation_repair"] = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY c) AS t FROM (SELECT c, list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(c))),
+h AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+      lambda x: CAST(ascii(x) AS BIGINT))), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 20 AS dmg
+  FROM conversations, crc),
+d AS (
+  SELECT coalesce('=' || conv_id, '') AS k, turn, CASE WHEN dmg = 4 THEN 'user' ELSE role END AS role,
+    CASE dmg WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN dmg = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE dmg <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, text, copy) AS i, substr(role, 1, 1) AS initial FROM d),
+f AS (
+  SELECT *, lag(initial) OVER (PARTITION BY k ORDER BY i) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+         WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 THEN 'duplicate'
+         WHEN regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM o),
+w(k, i, s0, s1, s2, s3) AS (
+  SELECT DISTINCT k, CAST(0 AS BIGINT), '000000000000', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM f
+  UNION ALL
+  SELECT k, i, {_edited('s0', 2, 'D')},
+    least({_edited('s1', 2, 'D')}, CASE WHEN coalesce(fault, '') NOT IN ('blank', 'duplicate') AND initial = 's'
+                                   THEN {_edited('s0', "(CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END)", 'K')} END),
+    least({_edited('e2', 2, 'D')}, {_kept('s0', 'u')}, {_kept('s1', 'u')}, {_kept('e3', 'u')}),
+    least({_edited('e3', 2, 'D')}, {_kept('e2', 'a')})
+  FROM (SELECT *, least(s3, {_edited('e2', 5, 'I')}) AS e3
+        FROM (SELECT w.k, f.i, f.initial, f.fault, s0, s1, s2, s3, least(s2, {_edited('s0', 5, 'I')}, {_edited('s1', 5, 'I')}, {_edited('s3', 5, 'I')}) AS e2
+              FROM w JOIN f ON f.k = w.k AND f.i = w.i + 1))),
+last AS (
+  SELECT k, least(s0, s3, {_edited('s2', 5, 'I')}, {_edited('s1', 10, 'II')}) AS best
+  FROM w QUALIFY row_number() OVER (PARTITION BY k ORDER BY i DESC) = 1),
+a AS (SELECT k, CAST(substr(best, 1, 12) AS BIGINT) AS cost, substr(best, 13) AS audit FROM last),
+e AS (SELECT k, unnest(string_split(audit, '')) AS edit, unnest(range(1, length(audit) + 1)) AS j FROM a WHERE audit <> ''),
+n AS (SELECT *, CASE WHEN edit <> 'I' THEN count(*) FILTER (edit <> 'I') OVER (PARTITION BY k ORDER BY j) END AS i,
+        count(*) FILTER (edit <> 'D') OVER (PARTITION BY k ORDER BY j) AS m FROM e),
+x AS (SELECT n.*, f.role, f.text, max(CASE WHEN edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY n.k) AS has_s
+      FROM n LEFT JOIN f ON f.k = n.k AND f.i = n.i),
+r AS (SELECT k, string_agg(CASE WHEN edit = 'K' THEN role WHEN (m - has_s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY j) AS t
+      FROM x WHERE edit <> 'D' GROUP BY k),
+g AS (
+  SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY k),
+c AS (SELECT DISTINCT conv_id, coalesce('=' || conv_id, '') AS k FROM conversations)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM c LEFT JOIN g USING (k) LEFT JOIN a USING (k) LEFT JOIN r USING (k)
+"""

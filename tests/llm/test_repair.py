@@ -1,0 +1,135 @@
+import hashlib
+import itertools
+import random
+import zlib
+from functools import lru_cache
+
+import pytest
+from pyspark.sql import functions as F
+
+from linedocs.llm import repair
+
+WS = " \t\n\x0b\x0c\r"
+
+
+def brute(rows):
+    """Counts, cost, audit and repaired lines of one conversation's rows (turn, role, text), in order."""
+    faults, seen = [], set()
+    for _, role, text in rows:
+        body = text.strip(WS)
+        faults.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else None)
+        seen.add((role, text))
+    nxt = {"": "u", "s": "u", "u": "a", "a": "u"}
+
+    @lru_cache(maxsize=None)
+    def best(i, state, inserts):
+        out = []
+        if i == len(rows) and state in ("", "a"):
+            out.append((0, "", ()))
+        if inserts < 2:
+            c, a, t = best(i, nxt[state], inserts + 1)
+            out.append((c + 5, "I" + a, (("user" if nxt[state] == "u" else "assistant", ""),) + t))
+        if i < len(rows):
+            _, role, text = rows[i]
+            c, a, t = best(i + 1, state, 0)
+            out.append((c + 2, "D" + a, t))
+            if faults[i] not in ("blank", "duplicate"):
+                add = 5 * (faults[i] == "truncated")
+                if role[:1] == nxt[state] or (state, role[:1]) == ("", "s"):
+                    c, a, t = best(i + 1, role[:1], 0)
+                    out.append((c + add, "K" + a, ((role, text),) + t))
+                c, a, t = best(i + 1, nxt[state], 0)
+                out.append((c + add + 1, "R" + a, (("user" if nxt[state] == "u" else "assistant", text),) + t))
+        return min(out, default=(10 ** 9, "~", ()))
+
+    cost, audit, lines = best(0, "", 0)
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum((a[1][:1] + b[1][:1]) not in ("su", "ua", "au") for a, b in itertools.pairwise(rows))
+    sha = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in lines).encode()).hexdigest()
+    return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha)
+
+
+def brute_all(rows):
+    by = {}
+    for c, t, r, x in rows:
+        by.setdefault(c, []).append((t, " " if r is None else r, " " if x is None else x))
+    return {c: brute(sorted(v, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))) for c, v in by.items()}
+
+
+def random_conversations(seed, n, longest):
+    r = random.Random(seed)
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", None, "u"]
+    texts = ["a.", "b!", "c?", "d", "", " \n", None, "é 😀", "漢. \t", "a.", "e\x85", "f.\xa0"]
+    return [(c, r.choice([i, i, i, i + 2, None]), r.choice(roles), r.choice(texts) if r.random() < .5 else f"{i} text.")
+            for c in range(n) for i in range(r.randrange(longest))]
+
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def result(df):
+    rows = list(map(tuple, df.collect()))
+    assert len(rows) == len({r[0] for r in rows})
+    return {r[0]: r[1:] for r in rows}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force(spark, seed):
+    rows = random_conversations(seed, 120, 12)
+    assert result(repair.repair(spark, spark.createDataFrame(rows, SCHEMA))) == brute_all(rows)
+
+
+def test_long_conversations_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(repair, "BLOCK_BITS", 2)
+    monkeypatch.setattr(repair, "LEVEL_BITS", 1)
+    rows = random_conversations(3, 6, 90)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    assert result(repair.repair(spark, df)) == brute_all(rows)
+
+
+def test_odd_rows(spark):
+    rows = [(None, None, None, None), (None, None, "user", "x."), (1, 5, "user", "q."), (1, 5, "user", "q."), (1, 9, "assistant", "long " * 60_000),
+            (2, 0, "system", "s."), (3, 0, "assistant", ""), (4, None, "user", "a."), (4, None, "user", "b."), (2 ** 62, -3, "user", "?"), (2 ** 62, 3, "assistant", "!")]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(1) for c in ("at", "g", "fault", "conv", "x.y", "cost", "audit")})
+    assert result(repair.repair(spark, df)) == brute_all(rows)
+    ids = spark.createDataFrame([(1,), (77,), (None,)], "conv_id long")
+    got = result(repair.repair(spark, df, conversations=ids))
+    assert set(got) == {1, 77, None} and got[77] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert result(repair.repair(spark, df.where("false"))) == {}
+
+
+def test_damage(spark):
+    rows = [(c, t, r, x) for c in (0, 1, -5, None) for t in (*range(30), None) for r, x in ((None, "a.b!"), ("system", None), ("user", "q? no"))]
+    want = []
+    for c, t, r, x in rows:
+        k = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        r, x = " " if r is None else r, " " if x is None else x
+        x = "" if k == 1 else "".join(ch for ch in x if ch not in ".!?") if k == 2 else x
+        want += [(c, t, "user" if k == 4 else r, x)] * (0 if k == 0 else 2 if k == 3 else 1)
+    got = repair.damaged(spark.createDataFrame(rows, SCHEMA))
+    assert got.columns == ["conv_id", "turn", "role", "text"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_prices_are_distances():
+    r = random.Random(5)
+    for _ in range(60):
+        layers = [repair.row_arcs(repair.row_code(r.choice("sua?"), r.random() < .2, r.random() < .3)) for _ in range(r.randrange(1, 25))]
+        for exit_ in range(4):
+            price, ok = repair.auction(layers, exit_)
+            far = [[10 ** 9] * 4 for _ in layers] + [[0 if s == exit_ else 10 ** 9 for s in range(4)]]
+            for i in range(len(layers) - 1, -1, -1):
+                for _ in range(4):
+                    for s in range(4):
+                        far[i][s] = min([far[i][s]] + [c + far[i + d][t] for _, c, d, t in layers[i][s]])
+            assert all(ok[i][s] == (far[i][s] < 10 ** 9) and (not ok[i][s] or price[i][s] == far[i][s]) for i in range(len(far)) for s in range(4))
+
+
+def test_auction_is_linear():
+    import time
+    r = random.Random(6)
+    codes = "".join(repair.row_code(r.choice("sua?"), r.random() < .2, r.random() < .3) for _ in range(20_000))
+    start = time.time()
+    repair.auction([repair.row_arcs(c) for c in codes], repair.USER)
+    assert time.time() - start < 5
