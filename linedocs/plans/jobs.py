@@ -47,7 +47,7 @@ def index_text_files(spark: SparkSession, path: str | list[str], index: str, out
     ``nodes`` to a search index through its connector.
 
     The lines read are observed on the write and compared with the split table
-    that the offset computation builds anyway: a difference fails the job.
+    that the offset computation builds anyway: a difference fails the job before the index is published.
     ``count=True`` reports that count, at no extra job.
     """
     if (out is None) == (nodes is None):
@@ -64,26 +64,25 @@ def index_text_files(spark: SparkSession, path: str | list[str], index: str, out
         docs = documents.to_documents(lines, builder)
         # a document id needs the offset: (path, line) would collide for a line
         # repeated in one file.  Without it the table is still replay-safe
-        # (its folder is replaced), only connector upserts lose their key.
+        # (the index is replaced), only connector upserts lose their key.
         ids = writers.id_columns(docs)
+
+        def complete() -> None:
+            if counted is not None and int(obs.get.get("records") or 0) != counted:
+                raise RuntimeError(f"read {obs.get['records']} lines but counted {counted}: the files changed while they were indexed")
+
         if nodes is not None:
             addressed = writers.with_address(docs, index, doc_type, ids).drop("index", "doc_type")
             writers.save_to_index(addressed, f"{index}/{doc_type}", nodes, id_col="_id" if ids else None,
                                   fmt=connector, max_writers=max_writers, options=options)
+            complete()
         else:
-            writers.write_documents(docs, out, index, doc_type, fmt=fmt, max_writers=max_writers, id_cols=ids)
-        read = int(obs.get.get("records") or 0)
+            writers.write_documents(docs, out, index, doc_type, fmt=fmt, max_writers=max_writers, id_cols=ids, check=complete)
         tf.release()
-    if counted is not None and read != counted:
-        raise RuntimeError(f"read {read} lines but counted {counted}: the files changed while they were indexed")
-    records = read if count else None
+    records = int(obs.get.get("records") or 0) if count else None
     if bulk_out:
-        # from the table just written (partition-pruned to this index), not
-        # by running the text scan and the offset pass a second time
-        table = writers.read_documents(spark, out, docs.schema, fmt)
-        mine = table.filter((F.col("index") == index) & (F.col("doc_type") == doc_type))
-        writers.write_bulk(mine.select(*docs.columns), bulk_out, index, doc_type,
-                           max_writers=max_writers)
+        # from the files of the index just written, not by running the text scan and the offset pass again
+        writers.write_bulk_from(spark, out, docs.schema, bulk_out, index, doc_type, fmt, max_writers=max_writers)
     secs = timer.secs()
     manifest_path = None
     if manifest_dir:

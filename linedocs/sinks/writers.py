@@ -2,20 +2,23 @@
 directories and the count manifest.
 
 Replay safety: a task or a whole batch may run twice (executor loss, stream
-restart).  Documents carry a deterministic id (SNK6), the document table
-overwrites only the partitions it writes, and per-batch output is named by
-batch id and overwritten, so a replay replaces instead of duplicating.
+restart).  Documents carry a deterministic id (SNK6), an index of the document
+table is replaced at one instant by a published snapshot (``snapshots``), and
+per-batch output is named by batch id and overwritten, so a replay replaces
+instead of duplicating.
 """
 
 from __future__ import annotations
 
 import re
+from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import UNSAFE_NAME_CHARS, safe_name
+from .snapshots import Snapshot, SnapshotTable, partition_folder
 
 
 def document_id(*cols: str | Column) -> Column:
@@ -43,51 +46,56 @@ def with_address(docs: DataFrame, index: str | None, doc_type: str | None = None
 
 
 def throttle(df: DataFrame, max_writers: int | None) -> DataFrame:
-    """SNK7: at most ``max_writers`` tasks write at a time.
+    """SNK7: at most ``max_writers`` tasks read, shape and write at a time.
 
-    The documents are dealt to that many writers behind a shuffle, so reading
-    and shaping them keeps its own parallelism; a narrow coalesce would run the
-    whole scan on the few writer tasks.  No job runs to decide it.
+    The scan's partitions are dealt to that many tasks, which take them one after the other: no
+    document moves, and lines that follow each other stay so.  A task is then as long as its share of
+    the input; ``write_bulk_from`` bounds it by writing in waves.
     """
-    return df.repartition(max_writers) if max_writers else df
-
-
-# Characters that a partition folder's name cannot hold; they are written as %XX.
-_FOLDER_SPECIAL = {*map(chr, range(1, 32)), *"\"#%'*/:=?\\{[]^\x7f"}
-
-
-def partition_folder(out: str, **values: str) -> str:
-    """The folder of one partition of a table, named as Spark's writer names it."""
-    parts = [f"{k}=" + "".join(f"%{ord(c):02X}" if c in _FOLDER_SPECIAL else c for c in v) for k, v in values.items()]
-    return "/".join([out.rstrip("/"), *parts])
+    return df.coalesce(max_writers) if max_writers else df
 
 
 def write_documents(docs: DataFrame, out: str, index: str | None, doc_type: str | None = None,
                     fmt: str = "parquet", max_writers: int | None = None,
-                    id_cols: tuple[str, ...] | None = ("path", "offset")) -> None:
-    """SNK1a: document table partitioned by ``index``/``doc_type``.
-
-    With a fixed index its folder is replaced, also by nothing when no document is
-    left.  Without one, the partitions that receive documents are (dynamic
-    partition overwrite).  Other indexes stay as they are either way.
+                    id_cols: tuple[str, ...] | None = ("path", "offset"),
+                    check: Callable[[], None] | None = None) -> Snapshot:
+    """SNK1a: replace indexes of the versioned document table under ``out``, partitioned by ``index``/``doc_type``.
+
+    The documents go to a new folder and are published by one commit when all are written: until then, and if
+    the job dies, readers see the old index.  With a fixed index it is replaced, also by nothing when no
+    document is left.  Without one, the indexes that receive documents are, all at once.  Other indexes stay
+    as they are either way.  ``check`` is called between writing and publishing; what it raises leaves the old state.
     """
     df = throttle(with_address(docs, index, doc_type, id_cols), max_writers)
+    table = SnapshotTable(docs.sparkSession, out)
+    data = table.stage()
+    if index is not None:
+        address = (index, doc_type or index)
+        folder = partition_folder(table.staged_folder(data), index=address[0], doc_type=address[1])
+        df.drop("index", "doc_type").write.format(fmt).save(folder)
+    else:
+        df.write.partitionBy("index", "doc_type").format(fmt).save(table.staged_folder(data))
+    if check:
+        check()
     if index is not None:
-        folder = partition_folder(out, index=index, doc_type=doc_type or index)
-        df.drop("index", "doc_type").write.mode("overwrite").format(fmt).save(folder)
-        return
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("index", "doc_type").format(fmt).save(out))
+        return table.commit({address: data})
+    return table.commit({address: data for address in table.staged_indexes(data)})
 
 
 def read_documents(spark: SparkSession, out: str, schema: T.StructType, fmt: str = "parquet",
-                   extra: dict[str, T.DataType] | None = None) -> DataFrame:
+                   extra: dict[str, T.DataType] | None = None, version: int | None = None) -> DataFrame:
     """The document table under ``out``: ``schema`` (a builder's), then ``extra`` columns, ``index`` and
-    ``doc_type``.  Declared, so nothing is inferred: index ``007`` stays a string."""
+    ``doc_type``.  Declared, so nothing is inferred: index ``007`` stays a string.
+
+    A versioned table is read as of its last commit, or as of ``version``; a table that a
+    stream appends to has no commits and is read as it is."""
     full = T.StructType(list(schema.fields))
-    for name, kind in ((extra or {}) | {"index": T.StringType(), "doc_type": T.StringType()}).items():
+    for name, kind in (extra or {}).items():
         full = full.add(name, kind)
-    return spark.read.schema(full).format(fmt).load(out)
+    table = SnapshotTable(spark, out)
+    if version is not None or table.exists():
+        return table.read(full, fmt, version)
+    return spark.read.schema(full.add("index", T.StringType()).add("doc_type", T.StringType())).format(fmt).load(out)
 
 
 def id_columns(docs: DataFrame) -> tuple[str, ...] | None:
@@ -103,7 +111,7 @@ def bulk_lines(docs: DataFrame, index: str, doc_type: str | None = None,
     ``{"index":{"_index":..,"_type":..,"_id":..}}`` then the JSON source
     (no ``_id`` when ``id_cols`` is None: the index assigns one).  Output
     column ``value`` (one line per row), ordered action-then-source inside
-    each document; the pair stays together in one task.
+    each document.  Write it without another shuffle, which would part the pairs.
     """
     fields = fields or tuple(docs.columns)
     addr = [F.lit(index).alias("_index"), F.lit(doc_type or index).alias("_type")]
@@ -116,13 +124,44 @@ def bulk_lines(docs: DataFrame, index: str, doc_type: str | None = None,
 
 def write_bulk(docs: DataFrame, out: str, index: str, doc_type: str | None = None,
                compression: str | None = None, max_writers: int | None = None) -> None:
-    """SNK1b to text files, ready for a bulk loader."""
-    w = throttle(bulk_lines(docs, index, doc_type, id_columns(docs)), max_writers).write.mode("overwrite")
+    """SNK1b to text files, ready for a bulk loader: every action is followed by its source."""
+    w = bulk_lines(throttle(docs, max_writers), index, doc_type, id_columns(docs)).write.mode("overwrite")
     if compression:
         w = w.option("compression", compression)
     w.text(out)
 
 
+def waves(files: list[tuple[str, int]], size: int) -> list[list[str]]:
+    """Paths in groups of about ``size`` bytes, at least one each, in order."""
+    out, held = [], 0
+    for path, n in files:
+        if not out or held >= size:
+            out.append([])
+            held = 0
+        out[-1].append(path)
+        held += n
+    return out
+
+
+def write_bulk_from(spark: SparkSession, table: str, schema: T.StructType, out: str, index: str, doc_type: str | None = None,
+                    fmt: str = "parquet", compression: str | None = None, max_writers: int | None = None,
+                    task_bytes: int = 1 << 30) -> int:
+    """SNK7 + SNK1b: the bulk file of one index of a document table, by at most ``max_writers`` tasks at a time.
+
+    The index's files are written wave by wave, ``wave=<n>`` below ``out``: a wave has as many bytes as its writers
+    may take each, so a task that is lost repeats about ``task_bytes`` and no more, however few the writers are.
+    Documents stay in the task that reads them.  Returns the number of waves."""
+    doc_type = doc_type or index
+    files = SnapshotTable(spark, table).files(index, doc_type)
+    groups = waves(files, task_bytes * max_writers) if max_writers else [[p for p, _ in files]] * bool(files)
+    target = spark._jvm.org.apache.hadoop.fs.Path(out)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    for k, group in enumerate(groups):
+        docs = spark.read.schema(schema).format(fmt).load(group)
+        write_bulk(docs, f"{out.rstrip('/')}/wave={k:06d}", index, doc_type, compression, max_writers)
+    return len(groups)
+
+
 def write_batch_text(batch: DataFrame, base: str, batch_id: int, prefix: str = "data",
                      suffix: str = "txt", value_col: str = "value") -> str:
     """SNK3: one text directory per micro-batch, ``<base>/<prefix>-<batch_id>.<suffix>``.

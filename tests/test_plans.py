@@ -53,17 +53,17 @@ def test_words_per_role_aggregate_before_their_only_shuffle(spark):
     assert ops[i - 1] == "HashAggregate" and ops[i + 1] == "HashAggregate"
 
 
-def test_throttled_write_keeps_the_scan_and_starts_no_job(spark, tmp):
-    from linedocs.sinks.writers import throttle
+def test_throttle_moves_no_row_and_starts_no_job(spark, tmp):
+    from linedocs.sinks.writers import bulk_lines, throttle
     for i in range(12):
         (tmp / f"f{i}").write_bytes(b"x\n" * 2_000_000)
     df = spark.read.text(str(tmp))
     scan = df.rdd.getNumPartitions()
     tracker = spark.sparkContext.statusTracker()
     before = len(tracker.getJobIdsForGroup(None))
-    out = throttle(df, 2)
+    out = bulk_lines(throttle(df, 2), "i", id_cols=None)
     assert len(tracker.getJobIdsForGroup(None)) == before
-    assert out.rdd.getNumPartitions() == 2 and scan > 2 and "RoundRobinPartitioning(2)" in _plan(out)
+    assert out.rdd.getNumPartitions() == 2 and scan > 2 and "Exchange" not in _plan(out) and "Coalesce 2" in _plan(out)
     assert throttle(df, None) is df
 
 

@@ -2,11 +2,21 @@
 
 import json
 
+from pyspark.sql import types as T
+
+from linedocs.operators import documents
 from linedocs.operators import search as S
 from linedocs.plans.jobs import index_text_files
 from linedocs.sinks import writers as W
 
 
+def _stored(spark, out, schema=documents.OFFSET_DOC, fmt="parquet", extra=None):
+    return W.read_documents(spark, out, schema, fmt, extra)
+
+
+ID = {"_id": T.StringType()}
+
+
 def _golden(tmp):
     src = tmp / "search-data"
     (src / "dir2").mkdir(parents=True)
@@ -21,7 +31,7 @@ def test_index_text_files_golden(spark, tmp):
     res = index_text_files(spark, str(src), "my-index.v1", out, count=True, manifest_dir=man,
                            bulk_out=str(tmp / "bulk"))
     assert res.records == 6 and res.count == "6" and res.doc_type == "my-index.v1"
-    docs = spark.read.parquet(out)
+    docs = _stored(spark, out)
     assert S.total_hits(docs).first()["total"] == 6
     assert S.in_index(docs, "my-index.v1", "my-index.v1").count() == 6
     six = S.find_documents(docs, line="six").first()
@@ -33,9 +43,9 @@ def test_index_text_files_golden(spark, tmp):
     assert len(bulk) == 12
     sources = [json.loads(b) for b in bulk if not b.startswith('{"index"')]
     assert {"path", "offset", "line"} == set(sources[0])
-    # rerun: same ids, same partition replaced, no duplicates
+    # rerun: same ids, same index replaced, no duplicates
     index_text_files(spark, str(src), "my-index.v1", out)
-    again = spark.read.parquet(out)
+    again = _stored(spark, out, extra=ID)
     assert again.count() == 6 and again.select("_id").distinct().count() == 6
 
 
@@ -52,7 +62,7 @@ def test_other_index_untouched(spark, tmp):
     index_text_files(spark, str(src), "a", out)
     index_text_files(spark, str(src / "dir2"), "b", out)
     index_text_files(spark, str(src / "dir2"), "a", out)
-    got = {r["index"]: r["total"] for r in S.total_hits(spark.read.parquet(out), ["index"]).collect()}
+    got = {r["index"]: r["total"] for r in S.total_hits(_stored(spark, out), ["index"]).collect()}
     assert got == {"a": 3, "b": 3}
 
 
@@ -84,7 +94,7 @@ def test_command_line_index(spark, tmp, capsys):
     assert main(["index", "--path", str(src), "--index", "cli", "--out", str(tmp / "t"), "--count"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["records"] == 6 and out["count"] == "6" and out["doc_type"] == "cli"
-    assert spark.read.parquet(str(tmp / "t")).count() == 6
+    assert _stored(spark, str(tmp / "t")).count() == 6
 
 
 def test_command_line_counts(spark, tmp):
@@ -102,7 +112,7 @@ def test_json_document_table(spark, tmp):
     index_text_files(spark, str(src), "j", str(tmp / "t"), fmt="json", builder="no_offset",
                      bulk_out=str(tmp / "bulk"))
     assert spark.read.text(str(tmp / "bulk")).count() == 12
-    rows = spark.read.json(str(tmp / "t")).collect()
+    rows = _stored(spark, str(tmp / "t"), documents.LINE_DOC, "json").collect()
     assert len(rows) == 6 and set(rows[0].asDict()) == {"path", "line", "index", "doc_type"}
 
 
@@ -111,7 +121,7 @@ def test_repeated_lines_without_offsets_keep_all_documents(spark, tmp):
     (tmp / "in" / "f").write_bytes(b"same\nsame\n")
     res = index_text_files(spark, str(tmp / "in"), "r", str(tmp / "t"), builder="no_offset",
                            bulk_out=str(tmp / "bulk"))
-    assert spark.read.parquet(str(tmp / "t")).count() == 2
+    assert _stored(spark, str(tmp / "t"), documents.LINE_DOC).count() == 2
     bulk = [r[0] for r in spark.read.text(str(tmp / "bulk")).collect()]
     assert len(bulk) == 4 and all('"_id"' not in b for b in bulk)
     assert res.count == "uncounted"
