@@ -104,6 +104,18 @@ def _term_tokens(term: str) -> list[str]:
     return found
 
 
+def _has_literal(line, found: list[str]) -> Column:
+    """The longest token is somewhere in the line: a byte search, which spares most lines the regex."""
+    return F.contains(F.lower(_c(line)), F.lit(max(found, key=len)))
+
+
+def _starts(token: str) -> str:
+    """No token character before this place.  Behind the first letter's own test, so that the look-behind runs
+    where that letter is and not at every character."""
+    first = re.escape(token[0])
+    return f"(?={first})(?<!{TOKEN_CHAR})"
+
+
 def has_token(line, term: str) -> Column:
     """RET4 predicate: ``term`` is one of the line's tokens (case-insensitive).
 
@@ -111,14 +123,16 @@ def has_token(line, term: str) -> Column:
     token, as one regex test on the lower-cased line.  A term of several tokens
     (``foo-bar``) matches them in a row with any separator between them.
     """
-    t = TOKEN_SEPARATOR.join(map(re.escape, _term_tokens(term)))
-    return F.lower(_c(line)).rlike(f"(?:^|(?<!{TOKEN_CHAR})){t}(?!{TOKEN_CHAR})")
+    found = _term_tokens(term)
+    t = TOKEN_SEPARATOR.join(map(re.escape, found))
+    return _has_literal(line, found) & F.lower(_c(line)).rlike(f"{_starts(found[0])}{t}(?!{TOKEN_CHAR})")
 
 
 def has_token_prefix(line, prefix: str) -> Column:
     """RET3 predicate: some token starts with ``prefix`` (query ``me*``)."""
-    p = TOKEN_SEPARATOR.join(map(re.escape, _term_tokens(prefix.rstrip("*"))))
-    return F.lower(_c(line)).rlike(f"(?<!{TOKEN_CHAR}){p}")
+    found = _term_tokens(prefix.rstrip("*"))
+    p = TOKEN_SEPARATOR.join(map(re.escape, found))
+    return _has_literal(line, found) & F.lower(_c(line)).rlike(_starts(found[0]) + p)
 
 
 def decode_file_uri(uri) -> Column:
@@ -164,7 +178,7 @@ def _date_kind(found: Column) -> dict[str, Column]:
     }
 
 
-def _parse_found(found: Column) -> Column:
+def iso_of_found(found: Column) -> Column:
     """Straight to a time without zone: through an ISO text, never through a
     timestamp of the session's zone, where some wall-clock times do not exist."""
     kinds = _date_kind(found)
@@ -188,8 +202,8 @@ def event_time(line, bind: bool = False) -> Column:
     """
     found = F.regexp_extract(_c(line), DATE_PATTERN, 0)
     if bind:
-        return F.element_at(F.transform(F.array(found), _parse_found), 1)
-    return _parse_found(found)
+        return F.element_at(F.transform(F.array(found), iso_of_found), 1)
+    return iso_of_found(found)
 
 
 def iso_text(time: Column) -> Column:

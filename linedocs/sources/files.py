@@ -196,10 +196,16 @@ class TextFiles:
         self.splits()
         return int(self._stats["lines"])
 
-    def lines(self) -> DataFrame:
-        """``path, offset, line`` for every line of every file."""
+    def splits_fit_broadcast(self) -> bool:
+        """Whether a table with a row per split is small enough for a broadcast."""
+        self.splits()
+        return self._stats["n"] * SPLIT_ROW_BYTES <= self.broadcast_bytes
+
+    def lines(self, split: bool = False) -> DataFrame:
+        """``path, offset, line`` for every line of every file; with ``split`` also the columns that
+        name its input split (``_f1, _f2, _blk``), whose lines a task streams in order."""
         splits = self.splits()
-        if self._stats["n"] * SPLIT_ROW_BYTES <= self.broadcast_bytes:
+        if self.splits_fit_broadcast():
             splits = F.broadcast(splits)
         rec = F.col("_rec")
         n = (F.octet_length(rec) + 1).cast("bigint")
@@ -221,12 +227,13 @@ class TextFiles:
             "the input splits were planned anew between the two passes; read the lines again")).cast("bigint"))
         # few paths need decoding, and only those pay for it
         path = F.when(F.col("_fp").contains("%"), decode_file_uri(F.col("_fp"))).otherwise(F.col("_fp"))
-        ex = j.select(path.alias("_path"), base.alias("_base"), "_bom", F.inline_outer(
+        named = ["_f1", "_f2", "_blk"] if split else []
+        ex = j.select(*named, path.alias("_path"), base.alias("_base"), "_bom", F.inline_outer(
             F.arrays_zip(F.col("_offs").alias("_off"), F.col("_parts").alias("line"))))
         off = F.col("_base") + F.col("_off")
         # a skipped BOM shifts every line of its file except the very first
         off = off + F.when(off > 0, F.col("_bom")).otherwise(F.lit(0))
-        return ex.select(F.col("_path").alias("path"), off.cast("bigint").alias("offset"), "line")
+        return ex.select(*named, F.col("_path").alias("path"), off.cast("bigint").alias("offset"), "line")
 
 
 @contextmanager
