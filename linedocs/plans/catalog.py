@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import (FILE_SCHEME_FULL, FILE_SCHEME_PREFIX, HDFS_SCHEME_FULL, HDFS_SCHEME_PREFIX, event_time,
-                              safe_name, strip_scheme_host)
-from ..operators import counts, documents, search
+                              iso_text, safe_name, strip_scheme_host)
+from ..operators import counts, dates, documents, search
 from ..sinks import writers
 from ..sources.stored import explode_lines
 from . import end_to_end
@@ -182,6 +182,21 @@ def q_date_range(spark, sf):
     return search.time_range(ev, RANGE_START, RANGE_END, event_time(F.col("line"), bind=True))
 
 
+def _two_order_lines(ev: DataFrame) -> DataFrame:
+    """Events as log lines of one file per user; half of the users write the day first, half the month."""
+    day_first = F.col("user_id") % 2 == 0
+    when = F.when(day_first, F.date_format("ts", "dd/MM/yyyy HH:mm:ss")).otherwise(F.date_format("ts", "MM/dd/yyyy HH:mm:ss"))
+    return ev.select(F.concat(F.lit("/events/"), F.col("user_id").cast("string")).alias("path"), F.col("event_id").alias("offset"),
+                     F.concat_ws(" ", when, "event_type", "props").alias("line"))
+
+
+def q_dates_by_vote(spark, sf):
+    """FN5: dates whose day and month are both numbers, read as the lines of their file vote."""
+    lines = _two_order_lines(table(spark, sf, "events"))
+    timed = dates.voted_time(lines, ["path"], dates.date_votes(lines, ["path"]))
+    return timed.select("path", "offset", iso_text(F.col("event_time")).alias("date"), "line")
+
+
 def q_stream_dated_lines(spark, sf):
     """DOC6/DOC7 stream shapes: message value -> {date, line}."""
     msgs = _event_line(table(spark, sf, "events")).select(F.col("line").alias("value"))
@@ -291,6 +306,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "doc_map": q_doc_map,
     "dated_lines": q_dated_lines,
     "date_range": q_date_range,
+    "dates_by_vote": q_dates_by_vote,
     "stream_dated_lines": q_stream_dated_lines,
     "word_frequency": q_word_frequency,
     "line_count": q_line_count,
@@ -401,4 +417,19 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 ORACLE_SQL["python_builder"] = _with("SELECT path, line, length(line) AS n FROM l", ("l", DOC_LINES_SQL))
-ORACLE_SQL |= end_to_end.oracle_sql(DOC_LINES_SQL, EVENT_LINES_SQL, _W, ORACLE_SQL["bulk_lines"])
+ORACLE_SQL |= end_to_end.oracle_sql(DOC_LINES_SQL, EVENT_LINES_SQL, _W)
+ORACLE_SQL["live_zero_filled"] = ORACLE_SQL["counts_zero_filled"]
+ORACLE_SQL["dates_by_vote"] = """
+WITH l AS (
+  SELECT '/events/' || CAST(user_id AS VARCHAR) AS path, event_id AS "offset",
+    concat_ws(' ', CASE WHEN user_id % 2 = 0 THEN strftime(ts, '%d/%m/%Y %H:%M:%S') ELSE strftime(ts, '%m/%d/%Y %H:%M:%S') END,
+              event_type, props) AS line FROM events),
+a AS (SELECT *, CAST(substr(line, 1, 2) AS INT) AS x, CAST(substr(line, 4, 2) AS INT) AS y FROM l),
+v AS (SELECT path, sum(CASE WHEN x > 12 THEN 1 WHEN y > 12 THEN -1 ELSE 0 END) AS margin FROM a GROUP BY path),
+o AS (SELECT a.*, CASE WHEN x > 12 THEN true WHEN y > 12 THEN false ELSE margin >= 0 END AS day_first FROM a JOIN v USING (path))
+SELECT path, "offset", substr(line, 7, 4) || '-' || CASE WHEN day_first THEN substr(line, 4, 2) || '-' || substr(line, 1, 2)
+       ELSE substr(line, 1, 2) || '-' || substr(line, 4, 2) END || 'T' || substr(line, 12, 8) AS date, line FROM o
+"""
+ORACLE_SQL["search_term_stored"] = ORACLE_SQL["search_term"]
+ORACLE_SQL["search_prefix_stored"] = ORACLE_SQL["search_prefix_me"]
+ORACLE_SQL["lines_in_file_order"] = _with('SELECT path, line_no, "offset", line FROM l', ("l", DOC_LINES_SQL))

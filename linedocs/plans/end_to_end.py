@@ -11,15 +11,21 @@ import contextlib
 import io
 from typing import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from ..operators import counts, documents, search
+from ..operators import counts, dates, documents, reconcile, search, token_index
 from ..session import drop_work_dir, work_dir
 from ..sinks import writers
+from ..sinks.line_store import LineStore
+from ..sinks.snapshots import SnapshotTable
 from ..sources import streams
-from ..sources.files import read_lines
+from ..sources.files import read_lines, text_files
+from ..sources.ranges import read_line_ranges
+from ..streaming import live
 from . import jobs
 
 #: About this many bytes of text per file of all sources together.
@@ -27,6 +33,8 @@ FILE_BYTES = 512 * 1024 * 1024
 KINDS = {"plain": None, "gzip": "gzip", "bzip2": "bzip2"}
 RANGE = ("2024-01-10 00:00:00", "2024-01-12 00:00:00")
 ONE_INDEX = "src1"
+EMPTIED_INDEX = "src2"
+REPLAY_PARTS = 4
 MANIFEST_INDEX = "docs.v1"
 
 
@@ -82,8 +90,11 @@ def event_messages(spark: SparkSession, sf: str) -> DataFrame:
     lines = _event_line(ev).select(F.col("offset").alias("event_id"), "line")
     out = work_dir(spark, "messages")
     msgs = rows.join(lines, "event_id").select(F.col("key").cast("binary").alias("key"), F.col("line").cast("binary").alias("value"))
-    msgs.repartition(4, "value").write.parquet(out)
-    stream = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", "2").parquet(out)
+    n = ev.count()
+    # four files or more, none of more than a million messages; about four batches
+    per_file = max(1, min(1_000_000, -(-n // 4)))
+    msgs.write.option("maxRecordsPerFile", per_file).parquet(out)
+    stream = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", max(2, n // per_file // 4)).parquet(out)
     return stream.select(F.col("key").cast("string").alias("key"), "value")
 
 
@@ -100,6 +111,11 @@ def q_file_lines_with_offset(spark, sf):
     return read_lines(spark, write_texts(spark, texts(spark, sf))).select(*places(), "offset", "line")
 
 
+def q_range_lines_with_offset(spark, sf):
+    """SRC3 in one pass: the texts as files, read by byte ranges."""
+    return read_line_ranges(spark, write_texts(spark, texts(spark, sf))).select(*places(), "offset", "line")
+
+
 def q_files_of_many_paths(spark, sf):
     """SRC5-SRC7, SET1, STR5: plain, gzip and bzip2 files (by document id), read through one comma
     list of a brace glob, a folder, a path with its scheme, and a glob that overlaps them."""
@@ -129,6 +145,15 @@ def q_index_manifest(spark, sf):
         F.lit(indexed).cast("bigint").alias("indexed"))
 
 
+def q_dates_carried(spark, sf):
+    """FN5: event lines as files; a line without a date has that of the last dated line before it in its file."""
+    from .catalog import _event_line, table
+
+    lines = _event_line(table(spark, sf, "events"))
+    source = write_texts(spark, lines.select(F.lit("events").alias("source"), F.col("offset").alias("doc_id"), F.col("line").alias("text")))
+    return dates.dated_file_lines(text_files(spark, source)).select(places()[1], "offset", "date", "dated", "line")
+
+
 # --- written tables --------------------------------------------------------------
 
 def q_reconcile_counts(spark, sf):
@@ -139,6 +164,21 @@ def q_reconcile_counts(spark, sf):
     return counts.reconcile(source, written_lines(spark, sf).select("index"), "index", source_weight="lines")
 
 
+def q_reconcile_content(spark, sf):
+    """AGG6 by content: a table that lost the blank lines, has the lines with a pipe twice, and holds others in another
+    case; exactly these lines are named."""
+    from .catalog import document_lines
+
+    read = document_lines(spark, sf).select(F.col("source").alias("index"), "path", "offset", "line")
+    blank, piped, shouted = F.col("line") == "", F.col("line").contains(" | "), F.col("line").startswith("Re")
+    copies = F.when(blank, 0).when(piped, 2).otherwise(1)
+    damaged = read.withColumn("line", F.when(shouted & ~piped, F.upper("line")).otherwise(F.col("line")))
+    damaged = damaged.withColumn("k", F.explode(F.sequence(F.lit(1), F.greatest(copies, F.lit(1))))).where(~blank).drop("k")
+    out = work_dir(spark, "documents")
+    writers.write_documents(damaged, out, index=None, doc_type="line")
+    return reconcile.reconcile_content(read, writers.read_documents(spark, out, documents.OFFSET_DOC), ["index", "path"])
+
+
 def q_find_by_fields(spark, sf):
     """RET5 on a written table: first lines of files (offset 0) of one type."""
     return search.find_documents(written_lines(spark, sf), offset=0, doc_type="line").select("path", "offset", "line")
@@ -167,12 +207,72 @@ def q_date_range_stored(spark, sf):
 
 
 def q_throttled_bulk(spark, sf):
-    """SNK7 + SNK1b: a bulk file written by two writers, read back."""
+    """SNK7 + SNK1b: a bulk file written by at most two writers at a time, read back in the order of its lines:
+    every action with the line behind it."""
+    from .catalog import document_lines
+
+    out, table = work_dir(spark, "bulk"), work_dir(spark, "documents")
+    writers.write_documents(documents.offset_documents(document_lines(spark, sf)), table, "docs", "line", id_cols=None)
+    writers.write_bulk_from(spark, table, documents.OFFSET_DOC, out, "docs", "line", max_writers=2)
+    after = Window.partitionBy("path").orderBy("offset")
+    lines = read_lines(spark, out).select(
+        F.col("line").alias("action"), F.lead("line").over(after).alias("source"), F.row_number().over(after).alias("k"))
+    return lines.where("k % 2 = 1").select("action", "source")
+
+
+def q_index_versions(spark, sf):
+    """SNK1, SNK6: an index replaced by other documents and another by none, while a third job fails before
+    it publishes; the hits of every version, the last one being what readers see."""
+    from .catalog import document_lines
+
+    out = work_dir(spark, "versions")
+    lines = document_lines(spark, sf).withColumnRenamed("source", "index")
+    writers.write_documents(lines.select("index", *documents.OFFSET_DOC.names), out, index=None, doc_type="line")
+    own = documents.offset_documents(lines.where(F.col("index") == ONE_INDEX))
+    writers.write_documents(own.where("offset > 0"), out, ONE_INDEX, "line")
+    broken = own.withColumn("line", F.when(F.col("offset") > 0, F.raise_error(F.lit("lost"))).otherwise(F.col("line")))
+    with contextlib.suppress(PySparkException):
+        writers.write_documents(broken, out, ONE_INDEX, "line")
+    writers.write_documents(own.where("line is null"), out, EMPTIED_INDEX, "line")
+    last = SnapshotTable(spark, out).snapshot().version
+    seen = None
+    for v in range(1, last + 1):
+        hits = search.total_hits(writers.read_documents(spark, out, documents.OFFSET_DOC, version=v if v < last else None), ["index"])
+        hits = hits.withColumn("version", F.lit(v))
+        seen = hits if seen is None else seen.unionByName(hits)
+    return seen
+
+
+def line_store(spark, sf) -> LineStore:
+    """The lines of all documents, clustered by file."""
     from .catalog import document_lines
 
-    out = work_dir(spark, "bulk")
-    writers.write_bulk(documents.offset_documents(document_lines(spark, sf)), out, "docs", "line", max_writers=2)
-    return spark.read.text(out)
+    return LineStore.write(documents.offset_documents(document_lines(spark, sf)), work_dir(spark, "lines"))
+
+
+def q_lines_in_file_order(spark, sf):
+    """ORD1 on a table clustered by file: every line with its number, without an exchange of lines."""
+    return line_store(spark, sf).numbered()
+
+
+def _postings(spark, sf) -> tuple[LineStore, DataFrame]:
+    store, out = line_store(spark, sf), work_dir(spark, "postings")
+    token_index.write_postings(store, out)
+    return store, token_index.read_postings(spark, out)
+
+
+def q_search_term_stored(spark, sf):
+    """RET4 on stored postings."""
+    from .catalog import SEARCH_TERM
+
+    return token_index.term_search(*_postings(spark, sf), SEARCH_TERM)
+
+
+def q_search_prefix_stored(spark, sf):
+    """RET3 on stored postings."""
+    from .catalog import SEARCH_PREFIX
+
+    return token_index.prefix_search(*_postings(spark, sf), SEARCH_PREFIX)
 
 
 # --- streams ---------------------------------------------------------------------
@@ -241,16 +341,47 @@ def q_file_stream_offsets(spark, sf):
     return stored.select(*places(), "offset", "line")
 
 
+def q_live_zero_filled(spark, sf):
+    """STM7 live: the events replayed in four parts, a row for every 10 seconds from the first event to the last,
+    also where nothing happens; the query is restarted in the middle.  A last message after the end moves the
+    watermark past the last interval."""
+    from .catalog import table
+
+    # whole seconds: no time passes through the session's zone
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    at = F.timestamp_seconds(F.timestamp_diff("SECOND", epoch, F.col("ts").cast("timestamp_ntz")))
+    ev = table(spark, sf, "events").select(at.alias("ts"), F.coalesce("props", F.lit("")).alias("value"))
+    seconds = F.unix_seconds("ts")
+    lo, hi = ev.agg(F.min(seconds), F.max(seconds)).first()
+    source, out, checkpoint = work_dir(spark, "replay"), work_dir(spark, "intervals"), work_dir(spark, "checkpoint")
+    if lo is None:
+        return live.interval_counts(ev).drop("counter")
+    step = (hi - lo) // REPLAY_PARTS + 1
+    delay = f"{step} seconds"  # the files of a part are read in any order
+    end = spark.range(1).select(F.timestamp_seconds(F.lit(hi + step + 60)).alias("ts"), F.lit(None).cast("string").alias("value"))
+    parts = [ev.where(seconds.between(lo + k * step, lo + k * step + step - 1)) for k in range(REPLAY_PARTS)]
+    half = len(parts) // 2
+    for group in (parts[:half], [*parts[half:], end]):
+        for part in group:
+            part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "1").parquet(source)
+        finish(live.start(spark, live.interval_counts(stream, "10 seconds", ts_col="ts", watermark=delay), out, checkpoint, available_now=True))
+    seen = live.read(spark, out).where(F.unix_seconds("window_start") <= hi)
+    return seen.select(*[(epoch + F.make_dt_interval(secs=F.unix_seconds(c).cast("decimal(18,6)"))).alias(c) for c in ("window_start", "window_end")],
+                       "lines", "words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__[2:]: f for f in (
-        q_file_lines_with_offset, q_files_of_many_paths, q_index_manifest, q_reconcile_counts, q_find_by_fields, q_one_index,
-        q_lines_in_order, q_date_range_stored, q_throttled_bulk, q_stream_word_counts, q_stream_totals, q_topic_text,
-        q_topic_batch_counts, q_topic_index_dated, q_topic_index_lines, q_file_stream_offsets)
+        q_file_lines_with_offset, q_range_lines_with_offset, q_files_of_many_paths, q_dates_carried, q_index_manifest, q_reconcile_counts, q_reconcile_content, q_find_by_fields, q_one_index,
+        q_lines_in_order, q_lines_in_file_order, q_search_term_stored,
+        q_search_prefix_stored, q_date_range_stored, q_throttled_bulk, q_index_versions, q_stream_word_counts, q_stream_totals, q_topic_text,
+        q_topic_batch_counts, q_topic_index_dated, q_topic_index_lines, q_file_stream_offsets, q_live_zero_filled)
 }
 
 
-def oracle_sql(lines: str, events: str, words: str, bulk: str) -> dict[str, str]:
-    """From the catalog's SQL for document lines, event lines, words of ``line`` and bulk lines."""
+def oracle_sql(lines: str, events: str, words: str) -> dict[str, str]:
+    """From the catalog's SQL for document lines, event lines and words of ``line``."""
     width = (f"(SELECT greatest(1, {FILE_BYTES} * count(text) // sum(strlen(text) + 1)) FROM documents WHERE text IS NOT NULL)")
     files = (f"WITH d AS (SELECT source, CAST(doc_id // {width} AS BIGINT) AS bucket, doc_id, "
              "string_split(text, chr(10)) AS ls, CAST(doc_id % 3 AS INT) AS m FROM documents WHERE text IS NOT NULL), "
@@ -263,18 +394,35 @@ def oracle_sql(lines: str, events: str, words: str, bulk: str) -> dict[str, str]
             "AS text FROM events JOIN ev ON event_id = \"offset\"")
     return {
         "file_lines_with_offset": one_file,
+        "range_lines_with_offset": one_file,
         "file_stream_offsets": one_file,
         "files_of_many_paths": files + f"SELECT ([{kinds}])[m + 1] AS kind, source, bucket, {offset.format(by='m, source, bucket')}, line FROM u",
+        "dates_carried": ev + f", w AS (SELECT greatest(1, {FILE_BYTES} * count(line) // sum(strlen(line) + 1)) AS width FROM ev), "
+                              "b AS (SELECT ev.*, CAST(\"offset\" // width AS BIGINT) AS bucket FROM ev, w WHERE line IS NOT NULL), "
+                              "c AS (SELECT bucket, \"offset\" AS id, line, date FROM b) "
+                              "SELECT bucket, CAST(SUM(strlen(line) + 1) OVER f - (strlen(line) + 1) AS BIGINT) AS \"offset\", "
+                              "last_value(date IGNORE NULLS) OVER f AS date, date IS NOT NULL AS dated, line FROM c "
+                              "WINDOW f AS (PARTITION BY bucket ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
         "index_manifest": ln + f"SELECT '{MANIFEST_INDEX}' AS index, '{MANIFEST_INDEX}' AS doc_type, count(*) AS records, "
                                f"CAST(count(*) AS VARCHAR) AS count, '{MANIFEST_INDEX.replace('.', '_')}' AS name, count(*) AS indexed FROM l",
         "reconcile_counts": ln + "SELECT source AS index, count(*) AS source_n, count(*) AS indexed_n, CAST(0 AS BIGINT) AS diff "
                                  "FROM l GROUP BY source",
+        "reconcile_content": ln + ", s AS (SELECT *, CASE WHEN line = '' THEN 0 WHEN contains(line, ' | ') THEN 2 ELSE 1 END AS n, "
+                                  "CASE WHEN starts_with(line, 'Re') AND NOT contains(line, ' | ') THEN upper(line) ELSE line END AS new FROM l) "
+                                  "SELECT source AS index, path, \"offset\", CASE n WHEN 0 THEN 'lost' WHEN 2 THEN 'doubled' ELSE 'altered' END AS status, "
+                                  "line AS source_line, CASE WHEN n > 0 THEN new END AS indexed_line, CAST(1 AS BIGINT) AS source_n, "
+                                  "CAST(n AS BIGINT) AS indexed_n FROM s WHERE n <> 1 OR new <> line",
         "find_by_fields": ln + "SELECT path, \"offset\", line FROM l WHERE \"offset\" = 0",
         "one_index": ln + f"SELECT path, \"offset\", line, source AS index, 'line' AS doc_type FROM l WHERE source = '{ONE_INDEX}'",
         "lines_in_order": ln + "SELECT path, \"offset\", line FROM l ORDER BY path, \"offset\"",
         "date_range_stored": ev + "SELECT path, \"offset\", date, line FROM ev "
                                   f"WHERE CAST(date AS TIMESTAMP) BETWEEN TIMESTAMP '{RANGE[0]}' AND TIMESTAMP '{RANGE[1]}'",
-        "throttled_bulk": bulk,
+        "throttled_bulk": ln + "SELECT json_object('index', json_object('_index', 'docs', '_type', 'line', '_id', "
+                               "sha256(path || chr(0) || CAST(\"offset\" AS VARCHAR)))) AS action, "
+                               "json_object('path', path, 'offset', \"offset\", 'line', line) AS source FROM l",
+        "index_versions": ln + "SELECT source AS index, CAST(v AS INT) AS version, count(*) AS total FROM l, (VALUES (1), (2), (3)) t(v) "
+                               f"WHERE NOT (v > 1 AND source = '{ONE_INDEX}' AND \"offset\" = 0) AND NOT (v > 2 AND source = '{EMPTIED_INDEX}') "
+                               "GROUP BY source, v",
         "stream_word_counts": ln + f"SELECT word, count(*) AS n FROM (SELECT unnest({words}) AS word FROM l) GROUP BY word",
         "stream_totals": ln + f"SELECT count(*) AS lines, CAST(sum(len({words})) AS BIGINT) AS words FROM l",
         "topic_text": ev + pair,
