@@ -184,7 +184,7 @@ CHUNKS = "lang string, words array<string>, counts array<long>, codes binary"
 
 def chunked(docs: DataFrame, lang: str, text: str) -> DataFrame:
     """Texts as chunks of one language: distinct words, their counts, and the text as numbers of
-    these words (from 1), with a zero at the end of each piece."""
+    these words (from 1), with a zero at the end of each piece, byte plane by byte plane."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.string(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary()]
 
@@ -194,7 +194,8 @@ def chunked(docs: DataFrame, lang: str, text: str) -> DataFrame:
                     continue
                 codes = np.array(codes, np.uint32)
                 counts = np.bincount(codes, minlength=len(number) + 1)[1:]
-                row = [pa.array([v], t) for v, t in zip((name, list(number), counts, codes.tobytes()), kinds)]
+                planes = codes.view(np.uint8).reshape(-1, 4).T.tobytes()  # the high bytes are mostly zero, and compress
+                row = [pa.array([v], t) for v, t in zip((name, list(number), counts, planes), kinds)]
                 row[1] = row[1].cast(pa.list_(pa.string()))
                 yield pa.RecordBatch.from_arrays(row, ["lang", "words", "counts", "codes"])
 
@@ -245,7 +246,8 @@ def counted_ngrams(spark: SparkSession, chunks: DataFrame, words: DataFrame, voc
                 size, pos, ids, codes = (batch.column(k)[i] for k in range(4))
                 id_of = np.zeros(size.as_py() + 1, np.uint64)
                 id_of[pos.values.to_numpy(zero_copy_only=False) + 1] = ids.values.to_numpy(zero_copy_only=False)
-                g = id_of[np.frombuffer(codes.as_buffer(), np.uint32)]
+                planes = np.frombuffer(codes.as_buffer(), np.uint8).reshape(4, -1)
+                g = id_of[np.ascontiguousarray(planes.T).view(np.uint32).reshape(-1)]
                 two = (g[:-1] > 0) & (g[1:] > 0)
                 at = np.flatnonzero(two)
                 three = np.flatnonzero(two[:-1] & two[1:])
