@@ -63,10 +63,17 @@ def parse_header(head: bytes) -> dict[str, str] | None:
     return fields if fields.get("content-length", "").isdigit() and "warc-type" in fields else None
 
 
-def open_input(path: str):
+def located(path: str) -> tuple:
+    """Arrow's file system of a path, and the path in it."""
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
+    if re.match("file:/|/", path):
+        return fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+    return fs.FileSystem.from_uri(path)
+
+
+def open_input(path: str):
+    system, inner = located(path)
     return system.open_input_file(inner)
 
 
@@ -211,9 +218,7 @@ def write_warc(spark: SparkSession, pages: DataFrame, out: str | None = None, pa
         "__bytes", "__sha1", F.when(refers.isNull(), F.col(f"`{payload}`").cast("binary")).alias("payload"))
 
     def archived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        system, folder = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", out))
+        system, folder = located(out)
         system.create_dir(folder, recursive=True)
         name, sink, size, n, done = "", None, 0, 0, []
         info = b"software: linedocs\r\nformat: WARC File Format 1.1\r\n"

@@ -44,8 +44,8 @@ def test_round_trip(spark, min_bytes):
 
 def test_payloads_and_listing(spark, tmp):
     pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
-    warc.write_warc(spark, pages, f"{tmp}/a", file_bytes=2000)
-    files = warc.archives(spark, f"{tmp}/a")
+    warc.write_warc(spark, pages, f"{tmp}/a b", file_bytes=2000)
+    files = warc.archives(spark, f"{tmp}/a b")
     assert files.count() > 1
     read = warc.read_warc(spark, files, payload=True, split_bytes=300).where("record_type = 'response'")
     want = {(i, h or "") for i, _, h in ROWS if (i, h) != (None, "<p>x</p>") and i not in (7, 5, 9)}
