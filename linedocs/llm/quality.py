@@ -1,13 +1,13 @@
 """Quality rules with risk-controlled thresholds.
 
 Each document has rates that grow with junk: symbols, duplicate lines, repeated
-words, capitals, word length, and words of a lexicon.  Base rules have fixed limits;
-the other cutoffs are chosen from labels, per stratum (language):
+words, capitals, word length, and the evidence of its words.  Base rules have fixed limits;
+the other cutoffs are chosen from labels, per stratum (language), among the documents that the base rules let pass:
 
 * One half of the labelled documents (by a hash of the id) fits: the median and
-  the 99th percentile of each rate among good documents, and the lexicon, words
-  whose share of bad documents has an exact binomial lower bound over 0.8, corrected
-  for the number of words tested.
+  the 99th percentile of each rate among good documents, and the words of each language that are in bad documents more often
+  than chance allows (exact binomial test against the language's share of bad documents, corrected for all words tested).
+  A document's evidence is the sum of its distinct words' smoothed log-odds of being in a bad one.
 * A document's excess is its largest rate in units of (99th percentile - median)
   above the median.  So one number moves the cutoffs of all rules together.
 * The other half is the holdout.  Going from the most lenient cutoff to
@@ -39,20 +39,20 @@ from .common import ascii_lower, few, written
 from .decontam import words_of
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-MORE = ["n_lines", "n_capitals", "n_lexicon"]
+MORE = ["n_lines", "n_capitals", "evidence"]  # evidence in thousandths
 FEATURES = ", ".join(f"{c} long" for c in COUNTS + MORE)
 SPACE = " \t\n\x0b\x0c\r"
 CAPITALS = bytes(range(65, 91))
 
 #: Rates, and the least that counts as one unit of each.
-RATES = {"symbols": 0.01, "dup_lines": 0.05, "repeats": 0.05, "capitals": 0.05, "length": 1.0, "lexicon": 0.2}
+RATES = {"symbols": 0.01, "dup_lines": 0.05, "repeats": 0.05, "capitals": 0.05, "length": 1.0, "evidence": 0.2}
 GRID = [12.0, 10.0, 8.0, 7.0, 6.0, 5.0, 4.5, 4.0, 3.5, 3.0, 2.75, 2.5, 2.25, 2.0, 1.75, 1.5, 1.25, 1.0]
 
 
 @dataclass(frozen=True)
 class Limits:
     """Fixed limits of the base rules, risk and error level of the others, and
-    the bounds of the fitting sample: labelled documents, words of the lexicon."""
+    the number of labelled documents that words are fitted on, shared by the languages."""
 
     least_words: int = 50
     repeat_percent: int = 50
@@ -60,11 +60,10 @@ class Limits:
     level: float = 0.05
     catch: float = 0.99
     fit_rows: int = 50_000
-    lexicon_words: int = 2_000
 
 
-def counts_of(text: str | None, lexicon: frozenset[bytes] = frozenset()) -> tuple:
-    """The counts of one text: COUNTS, then lines with a word, capitals, lexicon words."""
+def counts_of(text: str | None, weights: dict[bytes, float] | None = None) -> tuple:
+    """The counts of one text: COUNTS, then lines with a word, capitals, evidence."""
     text = text or ""
     raw = text.encode()
     words = raw.split()
@@ -83,19 +82,19 @@ def counts_of(text: str | None, lexicon: frozenset[bytes] = frozenset()) -> tupl
                     repeated += i + 3 - max(end, i)
                     end = i + 3
     return (n, chars, symbols, len(lines) - len(set(lines)), repeated, len(lines),
-            len(raw) - len(raw.translate(None, CAPITALS)), sum(w in lexicon for w in words_of(text)) if lexicon else 0)
+            len(raw) - len(raw.translate(None, CAPITALS)), round(1000 * math.fsum(weights[w] for w in set(words_of(text)) & weights.keys())) if weights else 0)
 
 
-def counted(spark: SparkSession, text: Column, lexicon: list[str]) -> Column:
-    known = spark.sparkContext.broadcast(frozenset(w.encode() for w in lexicon))
+def counted(spark: SparkSession, text: Column, stratum: Column, weights: dict[str, dict[bytes, float]]) -> Column:
+    known = spark.sparkContext.broadcast(weights)
 
     @F.pandas_udf(FEATURES)
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            yield pd.DataFrame(np.array([counts_of(t, known.value) for t in texts], np.int64).reshape(-1, len(COUNTS + MORE)),
+    def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, strata in batches:
+            yield pd.DataFrame(np.array([counts_of(t, known.value.get(s)) for t, s in zip(texts, strata)], np.int64).reshape(-1, len(COUNTS + MORE)),
                                columns=COUNTS + MORE)
 
-    return of(F.coalesce(text, F.lit("")))
+    return of(F.coalesce(text, F.lit("")), stratum)
 
 
 def rates(f: str) -> dict[str, Column]:
@@ -105,7 +104,7 @@ def rates(f: str) -> dict[str, Column]:
 
     return {"symbols": per("n_symbols", "word_chars"), "dup_lines": per("n_dup_lines", "n_lines"),
             "repeats": per("n_repeat_words", "n_words"), "capitals": per("n_capitals", "word_chars"),
-            "length": per("word_chars", "n_words"), "lexicon": F.least(F.col(f"{f}.n_lexicon"), F.lit(1)).cast("double")}
+            "length": per("word_chars", "n_words"), "evidence": F.col(f"{f}.evidence") / 1000}
 
 
 def labelled(labels: DataFrame) -> DataFrame:
@@ -134,24 +133,51 @@ def binomial_bound(k: int, n: int, level: float, upper: bool) -> float:
     return high
 
 
-def lexicon_of(spark: SparkSession, docs: DataFrame, marks: DataFrame, limits: Limits, doc_id: str, text: str) -> list[str]:
-    """Words of bad documents, from a bounded sample (by hash of the id) of the fitting half."""
-    n = marks.where("fit").count()
-    kept = F.pmod(F.xxhash64("__label_id", F.lit(11)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, limits.fit_rows / max(n, 1)))
-    sample = marks.where(F.col("fit") & kept).select("__label_id", "good")  # about fit_rows narrow rows
-    rows = docs.select(F.col(doc_id).alias("__label_id"), F.col(text).alias("t")).join(F.broadcast(sample), "__label_id")
-    words = F.array_distinct(F.split(ascii_lower(F.col("t")), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
-    by_word = (rows.select("good", F.explode(words).alias("word")).where("word <> ''").groupBy("word")
-               .agg(F.count("*").alias("n"), F.sum((~F.col("good")).cast("int")).alias("bad")))
-    tested = written(spark, by_word.where("bad >= 20 and bad >= 0.8 * n"), "words")
-    many = tested.count()
+def binomial_tail(k: int, n: int, p: float) -> float:
+    """Probability of k or more of n, each with probability p."""
+    if k <= 0:
+        return 1.0
+    if p <= 0 or k > n:
+        return 0.0
+    if p >= 1:
+        return 1.0
+    i = np.arange(k, n + 1)
+    logs = np.array([math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) for j in i]) + i * math.log(p) + (n - i) * math.log1p(-p)
+    return min(1.0, float(np.exp(logs).sum()))
+
+
+def word_weights(spark: SparkSession, docs: DataFrame, marks: DataFrame, limits: Limits, doc_id: str, text: str,
+                 stratum: Column) -> dict[str, dict[bytes, float]]:
+    """Log-odds of the words that tell bad documents, by stratum, from a bounded sample (by hash of the id) of the
+    fitting half.  Strata have equal shares of the sample, so a small language is not lost in it; a word
+    is told by the exact test alone, whatever its count."""
+    fit = docs.select(F.col(doc_id).alias("__label_id"), stratum.alias("stratum")).join(marks.where("fit"), "__label_id")
+    sizes = written(spark, fit.groupBy("stratum").agg(F.count("*").alias("size")), "fit-sizes")
+    share = F.least(F.lit(1.0), F.lit(limits.fit_rows / max(1, sizes.count())) / F.col("size"))
+    kept = F.pmod(F.xxhash64("__label_id", F.lit(11)), F.lit(1 << 20)) < share * (1 << 20)
+    sample = fit.join(few(sizes), "stratum").where(kept).select("__label_id", "good").distinct()  # about fit_rows narrow rows
+    rows = docs.select(F.col(doc_id).alias("__label_id"), stratum.alias("stratum"), F.col(text).alias("t")).join(F.broadcast(sample), "__label_id")
+    words = F.array_distinct(F.split(ascii_lower(F.coalesce("t", F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
+    rows = written(spark, rows.select("stratum", "good", words.alias("words")), "fit-words")
+    bad = F.sum((~F.col("good")).cast("int"))
+    shares = rows.groupBy("stratum").agg(((bad + 1) / (F.count("*") + 2)).alias("base"))
+    by_word = rows.select("stratum", "good", F.explode("words").alias("word")).where("word <> ''").groupBy("stratum", "word").agg(
+        F.count("*").alias("n"), bad.alias("bad"))
+    by_word = written(spark, by_word, "words")
+    many = by_word.count()
 
     @F.pandas_udf("double")
-    def least(bad: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([binomial_bound(int(b), int(m), limits.level / max(many, 1), False) for b, m in zip(bad, n)])
+    def tail(bad: pd.Series, n: pd.Series, base: pd.Series) -> pd.Series:
+        return pd.Series([binomial_tail(int(b), int(m), p) for b, m, p in zip(bad, n, base)])
 
-    found = tested.where(least("bad", "n") >= 0.8).orderBy(F.desc("bad"), "word").limit(limits.lexicon_words)
-    return [r["word"] for r in found.collect()]
+    tested = by_word.join(few(written(spark, shares, "shares")), "stratum").where(F.col("bad") > F.col("base") * F.col("n"))
+    # a word needs several bad documents to pass, so those that do are few against the sample's words
+    told = tested.where(tail("bad", "n", "base") <= limits.level / max(many, 1))
+    odds = F.log((F.col("bad") + 1) / (F.col("n") - F.col("bad") + 1)) - F.log(F.col("base") / (1 - F.col("base")))
+    out: dict[str, dict[bytes, float]] = {}
+    for r in told.select("stratum", "word", F.round(odds, 6).alias("weight")).where("weight > 0").collect():
+        out.setdefault(r["stratum"], {})[r["word"].encode()] = r["weight"]
+    return out
 
 
 def excess(center: Column, unit: Column, f: str) -> Column:
@@ -176,7 +202,8 @@ def carrying(sizes: dict[int, int], level: float, risk: float) -> int:
 
 def thresholds(spark: SparkSession, features: DataFrame, marks: DataFrame, limits: Limits) -> DataFrame:
     """(stratum, center, unit, cutoff) from rows (_label_id, stratum, f)."""
-    rows = written(spark, features.join(marks, "__label_id"), "labelled")
+    # what the base rules reject is rejected whatever the cutoff, and spends no risk
+    rows = written(spark, features.join(marks, "__label_id").where(~base_failed("f", limits)), "labelled")
     size = rows.groupBy(F.col("stratum").alias("own")).agg(F.sum((F.col("good") & ~F.col("fit")).cast("long")).alias("size"))
     size = written(spark, size, "sizes")
     sizes = size.groupBy(F.least("size", F.lit(10_000)).alias("size")).agg(F.count("*").alias("n")).collect()  # 10,001 rows at most
@@ -220,17 +247,22 @@ def stratum_of(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit(""))
 
 
-def verdict(rows: DataFrame, limits: Limits) -> DataFrame:
-    """``rows`` with base_failed and kept, from the columns _f and those of thresholds."""
-    f = F.col("__f")
-    failed = (f["n_words"] < limits.least_words) | (100 * f["n_repeat_words"] > limits.repeat_percent * f["n_words"])
+def base_failed(f: str, limits: Limits) -> Column:
+    return (F.col(f"{f}.n_words") < limits.least_words) | (100 * F.col(f"{f}.n_repeat_words") > limits.repeat_percent * F.col(f"{f}.n_words"))
+
+
+def verdict(rows: DataFrame, limits: Limits, names: tuple[str, str]) -> DataFrame:
+    """``rows`` with the columns ``names``, base_failed and kept, from the columns _f and those of thresholds."""
+    failed = base_failed("__f", limits)
     beyond = F.coalesce(excess(F.col("__center"), F.col("__unit"), "__f") > F.col("__cutoff"), F.lit(False))
-    return rows.withColumns({"base_failed": failed, "kept": ~failed & ~beyond})
+    return rows.withColumns({names[0]: failed, names[1]: ~failed & ~beyond})
 
 
 def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), keep: list[str] | None = None,
-          doc_id: str = "doc_id", text: str = "text", stratum: str = "lang", again: bool = False) -> DataFrame:
-    """The columns ``keep`` (all) of ``docs`` with the struct ``_f`` of counts, base_failed and kept.
+          doc_id: str = "doc_id", text: str = "text", stratum: str = "lang", again: bool = False,
+          verdict_names: tuple[str, str] = ("base_failed", "kept")) -> DataFrame:
+    """The columns ``keep`` (all) of ``docs`` with the struct ``_f`` of counts, base_failed and kept.  These replace
+    columns of the same names, unless ``verdict_names`` has others.
 
     Null and empty texts have no words and fail the base rules; a null stratum is one of its own; ids
     without a label, null ids included, are judged like all others; several
@@ -239,8 +271,8 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, limits: Limit
     result instead of being carried with it, so that whole rows are never written or shuffled."""
     keep = docs.columns if keep is None else keep
     marks = written(spark, labelled(labels), "marks")
-    words = lexicon_of(spark, docs, marks, limits, doc_id, text)
-    count = counted(spark, F.col(text), words)
+    weights = word_weights(spark, docs, marks, limits, doc_id, text, stratum_of(stratum))
+    count = counted(spark, F.col(text), stratum_of(stratum), weights)
     if again:
         base = docs.select(*[F.col(f"`{c}`") for c in keep], stratum_of(stratum).alias("__stratum"), count.alias("__f"))
         narrow = docs.select(F.col(doc_id).alias("__label_id"), stratum_of(stratum).alias("stratum"), count.alias("f"))
@@ -250,5 +282,5 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, limits: Limit
         narrow = base.select("__label_id", F.col("__stratum").alias("stratum"), F.col("__f").alias("f"))
     cut = thresholds(spark, narrow, marks, limits).select(
         F.col("stratum").alias("__stratum"), F.col("center").alias("__center"), F.col("unit").alias("__unit"), F.col("cutoff").alias("__cutoff"))
-    judged = verdict(base.join(few(cut), "__stratum", "left"), limits)
-    return judged.select(*[F.col(f"`{c}`") for c in keep], "__f", "base_failed", "kept")
+    judged = verdict(base.join(few(cut), "__stratum", "left"), limits, verdict_names)
+    return judged.select(*[F.col(f"`{c}`") for c in keep if c not in verdict_names], "__f", *verdict_names)

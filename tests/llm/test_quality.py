@@ -102,6 +102,35 @@ def test_small_languages_share_a_cutoff(spark):
     assert sum(not r["kept"] for r in out if "###" not in r["text"] and "zounds" not in r["text"]) <= 0.01 * len(out)
 
 
+def test_words_of_each_language_and_documents_that_the_base_rules_reject(spark):
+    """Insults of four languages, few of them in the small ones, and good labels on texts that are too short anyway."""
+    rng = random.Random(12)
+    insults = {"en": "zounds", "de": "réêou", "fr": "achkeiter", "es": "漢字"}
+    docs, labels = [], []
+    for i in range(7000):
+        lang = rng.choice(["en"] * 7 + ["de", "fr", "es"])
+        toxic = rng.random() < 0.1
+        short = not toxic and rng.random() < 0.05
+        text = clean(rng, 20 if short else 80) + (f" {insults[lang].upper() if lang == 'en' else insults[lang]}, {clean(rng, 5)}" if toxic else "")
+        docs.append((i, text, lang))
+        if i % 5:
+            labels.append((i, 1, int(toxic)))
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)
+    out = quality.judge(spark, d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    for lang, word in insults.items():
+        own = [r for r in out if r["lang"] == lang]
+        toxic = [r for r in own if word in r["text"].lower()]
+        clean_ones = [r for r in own if word not in r["text"].lower() and not r["base_failed"]]
+        assert len(toxic) > 40 and sum(not r["kept"] for r in toxic) >= 0.97 * len(toxic), lang
+        assert sum(not r["kept"] for r in clean_ones) <= 0.01 * len(clean_ones) + 2, lang
+    assert sum(r["base_failed"] for r in out) > 200
+
+
+@pytest.mark.parametrize("k,n,p", [(0, 5, .2), (3, 5, .2), (5, 5, .3), (18, 18, .1), (40, 90, .4), (3, 2, .5), (1, 3, 0.0), (2, 3, 1.0)])
+def test_exact_binomial_tails(k, n, p):
+    assert abs(quality.binomial_tail(k, n, p) - sum(math.comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(k, n + 1))) < 1e-12
+
+
 def test_strata_that_stand_alone():
     assert quality.carrying({5000: 3, 100: 1}, 0.05, 0.01) == 5000 and quality.carrying({299: 1}, 0.05, 0.01) == 299
     assert quality.carrying({437: 4}, 0.05, 0.01) == 437 and quality.carrying({435: 4}, 0.05, 0.01) > 435
