@@ -10,10 +10,11 @@ and lag-1 serial correlation.  Their Bonferroni combination is the candidate's
 p-value.  A secret is random, so a *rejected* candidate is ordinary text; what
 the battery cannot reject is reported.
 
-False dismissals of random strings are held below ``rate`` over the whole table
-by a step-up procedure with the same weight for every candidate: whatever its
-length and its neighbours', a random string is dismissed with chance ``rate`` at most.  The
-threshold needs only counts of p-values on a fine grid (rounded up, so the
+False dismissals of random strings are held below ``rate`` by a step-up procedure in each
+class of length (20 to 31 symbols, 32 to 63, and so on by doubling): a long string has a sharper battery than a short one, so
+the classes have thresholds of their own, and neither the many short candidates of a table nor its ordinary
+text decide how long ones are judged.  In each class a random string is dismissed with chance ``rate`` at
+most.  The thresholds need only counts of p-values by class on a fine grid (rounded up, so the
 rate still holds), never the candidates themselves, in one place.
 """
 
@@ -138,21 +139,26 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("_scan", of(F.coalesce(F.col(text), F.lit(""))))
 
 
-def dismissal(found: DataFrame, rate: float) -> tuple[float, float]:
-    """(mean symbols, threshold) from rows (symbols, logp): a candidate is
-    dismissed as ordinary text when logp >= threshold.
-    The step-up rule at level ``rate``; without candidates nothing is."""
-    m, total = found.agg(F.count("*"), F.sum("symbols")).first()
-    if not m:
-        return 1.0, math.inf
-    bins = (found.select(F.floor(F.greatest(F.col("logp"), F.lit(0.0)) / STEP).alias("bin"))
-            .groupBy("bin").agg(F.count("*").alias("n")).collect())  # at most one row per grid step
-    passed, threshold = 0, math.inf
-    for b in sorted(bins, key=lambda r: -r["bin"]):
-        passed += b["n"]
-        if 10 ** (-b["bin"] * STEP) <= rate * passed / m:
-            threshold = b["bin"] * STEP
-    return total / m, threshold
+def length_class(symbols: int) -> int:
+    """Doubling classes of length."""
+    return symbols.bit_length()
+
+
+def dismissal(found: DataFrame, rate: float) -> dict[int, float]:
+    """Threshold by length class from rows (symbols, logp): a candidate is dismissed as ordinary text when
+    logp >= threshold.  The step-up rule at level ``rate`` in each class; a class without candidates has none."""
+    step = F.floor(F.greatest(F.col("logp"), F.lit(0.0)) / STEP).alias("bin")
+    bins = (found.select(F.length(F.bin("symbols")).alias("class"), step).groupBy("class", "bin")
+            .agg(F.count("*").alias("n")).collect())  # at most one row per class and grid step
+    out = {}
+    for c in {b["class"] for b in bins}:
+        own = sorted((b for b in bins if b["class"] == c), key=lambda b: -b["bin"])
+        total, passed, out[c] = sum(b["n"] for b in own), 0, math.inf
+        for b in own:
+            passed += b["n"]
+            if 10 ** (-b["bin"] * STEP) <= rate * passed / total:
+                out[c] = b["bin"] * STEP
+    return out
 
 
 def joined(kinds_and_spans: list[tuple[int, int, int]]) -> str:
@@ -168,7 +174,7 @@ def find_secrets(spark: SparkSession, df: DataFrame, keep: list[str], text: str
     one; an empty table gives an empty one.  Texts are scanned once, spans and
     p-values are written to the shared folder."""
     rows = written(spark, scan(df.select(*[F.col(k) for k in keep], F.col(text).alias("__text")), "__text").drop("__text"), "spans")
-    _, threshold = dismissal(rows.select(F.explode("_scan.found").alias("c")).select("c.symbols", "c.logp"), rate)
+    thresholds = dismissal(rows.select(F.explode("_scan.found").alias("c")).select("c.symbols", "c.logp"), rate)
 
     @F.pandas_udf("n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
     def report(scans: pd.DataFrame) -> pd.DataFrame:
@@ -176,7 +182,7 @@ def find_secrets(spark: SparkSession, df: DataFrame, keep: list[str], text: str
         for base, found in zip(scans["base"], scans["found"]):
             fixed = [(s["kind"], s["start"], s["end"]) for s in base]
             more = [(3, c["start"], c["end"]) for c in found
-                    if math.floor(max(0.0, c["logp"]) / STEP) * STEP < threshold  # the same steps as the bins
+                    if math.floor(max(0.0, c["logp"]) / STEP) * STEP < thresholds[length_class(c["symbols"])]  # the same steps as the bins
                     and not any(a <= c["start"] and c["end"] <= b for _, a, b in fixed)]
             kinds = [k for k, _, _ in fixed]
             out.append((kinds.count(0), kinds.count(1), kinds.count(2),

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import math
 import random
 import re
 
@@ -40,16 +41,30 @@ def test_battery_keeps_random_strings_and_dismisses_others():
     assert secrets.battery(np.arange(48), 64) < 1e-3
 
 
-def test_step_up_rule(spark):
+def step_up(logp, rate):
+    """Threshold of the plain rule over all p-values given, on the grid."""
+    grid = sorted((math.floor(max(0.0, x) / secrets.STEP) for x in logp), reverse=True)
+    good = [g for i, g in enumerate(grid) if 10 ** (-g * secrets.STEP) <= rate * sum(h >= g for h in grid) / len(grid)]
+    return min(good) * secrets.STEP if good else math.inf
+
+
+def test_step_up_rule_by_length(spark):
+    """Short candidates are mostly ordinary, long ones mostly random: one rule for all lengths is another."""
     rng = np.random.default_rng(2)
-    n, logp = rng.integers(20, 80, 500), np.concatenate([rng.exponential(0.43, 450), rng.uniform(3, 20, 50)])
-    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(n, logp)], "symbols int, logp double")
-    mean, threshold = secrets.dismissal(df, 0.05)
-    score = np.sort(np.maximum(0, logp + np.log10(n / n.mean())))[::-1]
-    k = max((i + 1 for i, s in enumerate(score) if 10 ** -s <= 0.05 * (i + 1) / len(score)), default=0)
-    flagged = int((np.floor(score / secrets.STEP) * secrets.STEP >= threshold - 1e-9).sum())
-    assert abs(mean - n.mean()) < 1e-9 and k - 3 <= flagged <= k and flagged >= 45
-    assert secrets.dismissal(df.where("false"), 0.05)[1] == float("inf")
+    short = [(int(n), float(x)) for n, x in zip(rng.integers(20, 32, 900), np.concatenate([rng.exponential(0.43, 60), rng.uniform(2, 20, 840)]))]
+    long = [(int(n), float(x)) for n, x in zip(rng.integers(300, 500, 300), np.concatenate([rng.exponential(0.43, 290), rng.uniform(6, 20, 10)]))]
+    got = secrets.dismissal(spark.createDataFrame(short + long, "symbols int, logp double"), 0.05)
+    classes = {}
+    for n, x in short + long:
+        classes.setdefault(secrets.length_class(n), []).append(x)
+    assert got.keys() == classes.keys() and len(got) > 1
+    assert all(abs(got[c] - step_up(xs, 0.05)) < 1e-9 for c, xs in classes.items())
+    assert abs(step_up([x for _, x in short + long], 0.05) - got[secrets.length_class(400)]) > 0.5
+    # a random long string is dismissed about as often as the rate says, among however many ordinary short ones
+    missed = sum(x >= got[secrets.length_class(n)] for n, x in long[:290]) / 290
+    unclassed = sum(x >= step_up([x for _, x in short + long], 0.05) for _, x in long[:290]) / 290
+    assert missed <= 0.05 and missed < unclassed
+    assert secrets.dismissal(spark.createDataFrame([], "symbols int, logp double"), 0.05) == {}
 
 
 def test_rows(spark, odd_docs):
