@@ -6,7 +6,7 @@ the other cutoffs are chosen from labels, per stratum (language), among the docu
 
 * One half of the labelled documents (by a hash of the id) fits: the median and
   the 99th percentile of each rate among good documents, and the words of each language that are in bad documents more often
-  than chance allows (exact binomial test against the language's share of bad documents, corrected for all words tested).
+  than chance allows (exact binomial test against the language's share of bad documents; a step-up rule over its words).
   A document's evidence is the sum of its distinct words' smoothed log-odds of being in a bad one.
 * A document's excess is its largest rate in units of (99th percentile - median)
   above the median.  So one number moves the cutoffs of all rules together.
@@ -34,6 +34,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import ascii_lower, few, written
 from .decontam import words_of
@@ -46,7 +47,8 @@ CAPITALS = bytes(range(65, 91))
 
 #: Rates, and the least that counts as one unit of each.
 RATES = {"symbols": 0.01, "dup_lines": 0.05, "repeats": 0.05, "capitals": 0.05, "length": 1.0, "evidence": 0.2}
-GRID = [12.0, 10.0, 8.0, 7.0, 6.0, 5.0, 4.5, 4.0, 3.5, 3.0, 2.75, 2.5, 2.25, 2.0, 1.75, 1.5, 1.25, 1.0]
+#: The lenient end is for evidence, which single words have by accident and bad documents many times over.
+GRID = [100.0, 80.0, 60.0, 50.0, 40.0, 30.0, 25.0, 20.0, 17.0, 14.0, 12.0, 10.0, 8.0, 7.0, 6.0, 5.0, 4.5, 4.0, 3.5, 3.0, 2.75, 2.5, 2.25, 2.0, 1.75, 1.5, 1.25, 1.0]
 
 
 @dataclass(frozen=True)
@@ -150,7 +152,8 @@ def word_weights(spark: SparkSession, docs: DataFrame, marks: DataFrame, limits:
                  stratum: Column) -> dict[str, dict[bytes, float]]:
     """Log-odds of the words that tell bad documents, by stratum, from a bounded sample (by hash of the id) of the
     fitting half.  Strata have equal shares of the sample, so a small language is not lost in it; a word
-    is told by the exact test alone, whatever its count."""
+    is told by the exact test alone, whatever its count: the share of words told by chance is held below ``level`` by the
+    step-up rule, and what they cost good documents is seen in the holdout."""
     fit = docs.select(F.col(doc_id).alias("__label_id"), stratum.alias("stratum")).join(marks.where("fit"), "__label_id")
     sizes = written(spark, fit.groupBy("stratum").agg(F.count("*").alias("size")), "fit-sizes")
     share = F.least(F.lit(1.0), F.lit(limits.fit_rows / max(1, sizes.count())) / F.col("size"))
@@ -164,15 +167,18 @@ def word_weights(spark: SparkSession, docs: DataFrame, marks: DataFrame, limits:
     by_word = rows.select("stratum", "good", F.explode("words").alias("word")).where("word <> ''").groupBy("stratum", "word").agg(
         F.count("*").alias("n"), bad.alias("bad"))
     by_word = written(spark, by_word, "words")
-    many = by_word.count()
+    many = by_word.groupBy("stratum").agg(F.count("*").alias("many"))
 
     @F.pandas_udf("double")
     def tail(bad: pd.Series, n: pd.Series, base: pd.Series) -> pd.Series:
         return pd.Series([binomial_tail(int(b), int(m), p) for b, m, p in zip(bad, n, base)])
 
-    tested = by_word.join(few(written(spark, shares, "shares")), "stratum").where(F.col("bad") > F.col("base") * F.col("n"))
-    # a word needs several bad documents to pass, so those that do are few against the sample's words
-    told = tested.where(tail("bad", "n", "base") <= limits.level / max(many, 1))
+    known = few(written(spark, shares.join(many, "stratum"), "shares"))
+    tested = by_word.join(known, "stratum").where(F.col("bad") > F.col("base") * F.col("n")).withColumn("p", tail("bad", "n", "base"))
+    # words of a bounded sample: a window over those of one language
+    by_p = Window.partitionBy("stratum").orderBy("p")
+    step = tested.where(F.col("p") <= limits.level).withColumn("passes", F.col("p") * F.col("many") <= limits.level * F.count("*").over(by_p))
+    told = step.withColumn("last", F.max(F.when(F.col("passes"), F.col("p"))).over(Window.partitionBy("stratum"))).where("p <= last")
     odds = F.log((F.col("bad") + 1) / (F.col("n") - F.col("bad") + 1)) - F.log(F.col("base") / (1 - F.col("base")))
     out: dict[str, dict[bytes, float]] = {}
     for r in told.select("stratum", "word", F.round(odds, 6).alias("weight")).where("weight > 0").collect():
