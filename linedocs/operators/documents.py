@@ -14,6 +14,8 @@ Arrow batches, one call per batch, never per row).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -189,6 +191,28 @@ def python_builder(name: str, fn: Callable, schema: T.StructType | str) -> Docum
     return register_builder(name, build, st)
 
 
+def jvm_builder(name: str, columns: dict[str, str | tuple[str, str, tuple[str, ...]]]) -> DocumentBuilder:
+    """Register a builder whose columns static methods of JVM classes give, named as text: the classes are looked
+    up where the lines are, on the cluster's class path, and no Python worker runs.
+
+    ``columns``: an input column, or (class, method, input columns); a method takes strings, numbers or booleans, and its result is
+    text, null if an input is.  A class or method that does not exist, or does not fit, is an error when the plan is made."""
+    def build(df: DataFrame) -> DataFrame:
+        out = []
+        for column, how in columns.items():
+            if isinstance(how, str):
+                out.append(F.col(how).alias(column))
+            else:
+                of, method, inputs = how
+                given = reduce(and_, [F.col(c).isNotNull() for c in inputs], F.lit(True))
+                out.append(F.when(given, F.java_method(F.lit(of), F.lit(method), *[F.col(c) for c in inputs])).alias(column))
+        return df.select(*out)
+
+    known = {f.name: f.dataType for f in OFFSET_DOC.fields}
+    schema = T.StructType([T.StructField(c, known[how] if isinstance(how, str) else T.StringType()) for c, how in columns.items()])
+    return register_builder(name, build, schema)
+
+
 def _same_fields(a: T.StructType, b: T.StructType) -> bool:
     return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
 

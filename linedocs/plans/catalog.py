@@ -296,6 +296,13 @@ def q_python_builder(spark, sf):
     return documents.to_documents(document_lines(spark, sf, offsets=False).select("path", "line"), "line_length")
 
 
+def q_jvm_builder(spark, sf):
+    """UDF1, UDF2: a document builder of JVM methods, named as text."""
+    documents.jvm_builder("line_digest", {"path": "path", "line": "line",
+                                          "sha1": ("org.apache.commons.codec.digest.DigestUtils", "sha1Hex", ("line",))})
+    return documents.to_documents(document_lines(spark, sf, offsets=False).select("path", "line"), "line_digest")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lines_with_offset": q_lines_with_offset,
     "lines_no_offset": q_lines_no_offset,
@@ -324,6 +331,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conversation_lines": q_conversation_lines,
     "words_per_role": q_words_per_role,
     "python_builder": q_python_builder,
+    "jvm_builder": q_jvm_builder,
     **end_to_end.QUERIES,
 }
 
@@ -417,6 +425,7 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 ORACLE_SQL["python_builder"] = _with("SELECT path, line, length(line) AS n FROM l", ("l", DOC_LINES_SQL))
+ORACLE_SQL["jvm_builder"] = _with("SELECT path, line, sha1(line) AS sha1 FROM l", ("l", DOC_LINES_SQL))
 ORACLE_SQL |= end_to_end.oracle_sql(DOC_LINES_SQL, EVENT_LINES_SQL, _W)
 ORACLE_SQL["live_zero_filled"] = ORACLE_SQL["counts_zero_filled"]
 ORACLE_SQL["dates_by_vote"] = """

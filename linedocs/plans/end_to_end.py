@@ -26,6 +26,7 @@ from ..sources import streams
 from ..sources.files import read_lines, text_files
 from ..sources.ranges import read_line_ranges
 from ..streaming import live
+from ..streaming.progress import ProgressTable
 from . import jobs
 
 #: About this many bytes of text per file of all sources together.
@@ -314,6 +315,18 @@ def q_topic_batch_counts(spark, sf):
     return spark.read.schema("messages bigint, batch_id int").parquet(kept).agg(F.sum("messages").alias("messages"))
 
 
+def q_stream_progress(spark, sf):
+    """AGG5, SNK5: the reports of a topic's batches, kept as a table: its messages, and whether each batch has a report."""
+    out = work_dir(spark, "progress")
+    with ProgressTable(spark, out) as reports:
+        query = jobs.topic_to_text(spark, event_messages(spark, sf), work_dir(spark, "topic-text"), work_dir(spark, "checkpoint"),
+                                   mode="value", available_now=True)
+        finish(query)
+        reports.wait(query)
+    batches = F.count_distinct("batch_id")
+    return reports.read().where("input_rows > 0").agg(F.sum("input_rows").alias("messages"), (batches == F.max("batch_id") + 1).alias("complete"))
+
+
 def _topic_index(spark, sf, dated: bool, schema) -> DataFrame:
     out = work_dir(spark, "topic-index")
     finish(jobs.topic_to_index(spark, event_messages(spark, sf), out, "events", work_dir(spark, "checkpoint"), doc_type="line",
@@ -376,7 +389,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         q_file_lines_with_offset, q_range_lines_with_offset, q_files_of_many_paths, q_dates_carried, q_index_manifest, q_reconcile_counts, q_reconcile_content, q_find_by_fields, q_one_index,
         q_lines_in_order, q_lines_in_file_order, q_search_term_stored,
         q_search_prefix_stored, q_date_range_stored, q_throttled_bulk, q_index_versions, q_stream_word_counts, q_stream_totals, q_topic_text,
-        q_topic_batch_counts, q_topic_index_dated, q_topic_index_lines, q_file_stream_offsets, q_live_zero_filled)
+        q_topic_batch_counts, q_stream_progress, q_topic_index_dated, q_topic_index_lines, q_file_stream_offsets, q_live_zero_filled)
 }
 
 
@@ -427,6 +440,7 @@ def oracle_sql(lines: str, events: str, words: str) -> dict[str, str]:
         "stream_totals": ln + f"SELECT count(*) AS lines, CAST(sum(len({words})) AS BIGINT) AS words FROM l",
         "topic_text": ev + pair,
         "topic_batch_counts": "SELECT count(*) AS messages FROM events",
+        "stream_progress": "SELECT count(*) AS messages, true AS complete FROM events",
         "topic_index_dated": ev + "SELECT date, line, 'events' AS index, 'line' AS doc_type FROM ev",
         "topic_index_lines": ev + "SELECT line, 'events' AS index, 'line' AS doc_type FROM ev",
     }
