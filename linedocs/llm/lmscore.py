@@ -14,7 +14,7 @@ node and a context: the last two bytes, the last four bytes (across words), the
    become one byte each: a quantised logit and how often the slot was seen; once per fold and once for both.
 3. The mixer is learned online in tasks, over all training texts, each with the tables of the fold that it is
    not in: the logits are combined by weights that a gate chooses from the three levels of experience, with a
-   step along the gradient after each small batch.  An adaptive map of the mixed probability per depth in the
+   step along the gradient after each small batch, in shards and an order that hashes of id and text give.  An adaptive map of the mixed probability per depth in the
    tree is counted on the way.  The tasks' weights are averaged by how often each gate was used, their maps summed.
 4. All texts are scored with the tables of both folds: per decision three look-ups, three weighted logits,
    one cost.  What is broadcast has the fixed size of the tables.
@@ -48,6 +48,7 @@ LEVELS, LIMIT = 64, 8.0
 QUANTA, QLIMIT, DEPTHS = 384, 12.0, 16
 CHUNK = 1 << 15
 PAD = 4
+SHARD_BYTES, MOST_SHARDS = 16 << 20, 100_000  # bytes of text that a mixer is learned on in one place
 MOST_WORDS = 600_000  # distinct words that a task counts before it passes them on
 
 
@@ -178,15 +179,15 @@ class Coder:
 class Counts:
     """What one task gathers from texts: decisions after four bytes, and three-byte sequences."""
 
-    def __init__(self, coder: Coder):
+    def __init__(self, coder: Coder, kind: type = np.uint32):
         self.coder = coder
-        self.tables = [np.zeros(2 << bits, np.uint32) for bits in TABLE_BITS]
+        self.tables = [np.zeros(2 << bits, kind) for bits in TABLE_BITS]
         self.threes = np.zeros(1 << 24, np.uint32)
 
     def add(self, slots: np.ndarray, bit: np.ndarray, table: int, weight: np.ndarray | None = None) -> None:
         # numpy's fast path: an index of machine words, values of the table's type
-        weight = np.ones(len(bit), np.uint32) if weight is None else weight.astype(np.uint32)
-        np.add.at(self.tables[table], (slots << 1) + bit, weight)
+        kind = self.tables[table].dtype
+        np.add.at(self.tables[table], (slots << 1) + bit, np.ones(len(bit), kind) if weight is None else weight.astype(kind))
 
     def text(self, streams: list[bytes], context: int = 0) -> None:
         """Count streams; of a piece of one, the first ``context`` bytes are known already."""
@@ -215,7 +216,7 @@ class Counts:
             for b, h in zip(begin[heads > 0], heads[heads > 0]):
                 reps[b:b + h] = 0
             _, slots, bit = self.coder.expand(pair, reps, {2: so_far})
-            weight = np.repeat(np.array([c for _, c in batch], np.uint32), np.add.reduceat(reps, begin))
+            weight = np.repeat(np.array([c for _, c in batch], np.uint64), np.add.reduceat(reps, begin))
             self.add(slots[2], bit, 2, weight)
 
     def finish(self) -> list[np.ndarray]:
@@ -308,22 +309,27 @@ class Mixer:
         self.value, self.steps = logits() * ((np.arange(256) & 3) > 0), 0
 
     def learn(self, depth: np.ndarray, bit: np.ndarray, codes: list[np.ndarray], batch: int = 4096) -> None:
+        gate = gates(codes)
+        values = [np.take(self.value, c) for c in codes]
+        all_mixed = np.empty(len(bit), np.float32)
         for at in range(0, len(bit), batch):
             s = slice(at, at + batch)
-            b, part = bit[s], [c[s] for c in codes]
-            g = gates(part)
-            xs = [*(np.take(self.value, c) for c in part), np.full(len(b), 0.3, np.float32)]
-            w = self.weights.astype(np.float32)
-            mixed = sum(np.take(w[:, i], g) * x for i, x in enumerate(xs))
-            place = depth[s].astype(np.intp) * QUANTA + quantised(mixed)
-            self.total += np.bincount(place, minlength=len(self.total))
-            self.ones += np.bincount(place[b > 0], minlength=len(self.ones))
-            error = b - squash(mixed)
+            g, xs = gate[s], [v[s] for v in values]
+            w = np.ascontiguousarray(self.weights.T, np.float32)
+            mixed = np.take(w[3] * np.float32(0.3), g, out=all_mixed[s], mode="clip")
+            for row, x in zip(w, xs):
+                mixed += np.take(row, g) * x
+            error = (bit[s] - squash(mixed)).astype(np.float64)
             seen = np.bincount(g, minlength=64)
-            change = np.stack([np.bincount(g, weights=error * x, minlength=64) for x in xs], axis=1)
+            change = np.stack([*(np.bincount(g, weights=error * x, minlength=64) for x in xs), 0.3 * np.bincount(g, weights=error, minlength=64)], axis=1)
             self.weights += 0.02 / math.sqrt(1 + self.steps / 500) * change / np.sqrt(np.maximum(seen, 1))[:, None]
             self.used += seen
             self.steps += 1
+        # the map's counts of all batches at once
+        place = (depth.astype(np.intp) * QUANTA + quantised(all_mixed)) * 2 + bit
+        both = np.bincount(place, minlength=2 * len(self.total)).reshape(-1, 2)
+        self.total += both.sum(axis=1)
+        self.ones += both[:, 1]
 
     def streams(self, streams: list[bytes], coder: Coder, tables: list[np.ndarray]) -> None:
         long: list[bytes] = []
@@ -415,9 +421,11 @@ def pair_counts(texts: DataFrame) -> np.ndarray:
     return out
 
 
-def mixed_in_tasks(spark: SparkSession, train: DataFrame, tree: dict, folds: list[list[np.ndarray]]) -> Mixer:
-    """The mixer from rows (text, fold), each learned from with the tables of the other fold.  A task learns online over
-    its rows; gates' weights (times their use) and the map's counts are summed in a shuffle to fixed numbers of rows."""
+def mixed_in_tasks(spark: SparkSession, train: DataFrame, tree: dict, folds: list[list[np.ndarray]], size: int) -> Mixer:
+    """The mixer from rows (text, fold, place), each learned from with the tables of the other fold.  A task learns online over
+    a shard, in order of ``place``, a hash of id and text; the number of shards follows from the ``size`` of the texts alone. So what is
+    learned does not depend on how the rows lie.  Gates' weights (times their use) and the map's counts are summed in
+    a shuffle to fixed numbers of rows."""
     model = spark.sparkContext.broadcast((tree, folds))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -439,7 +447,9 @@ def mixed_in_tasks(spark: SparkSession, train: DataFrame, tree: dict, folds: lis
             ["place", "n", *names])
 
     names = ["w0", "w1", "w2", "w3"]
-    sums = train.select("text", "fold").mapInArrow(learn, "place int, n long, w0 double, w1 double, w2 double, w3 double")
+    shards = max(1, min(MOST_SHARDS, -(-size // SHARD_BYTES)))
+    ordered = train.repartition(shards, "place").sortWithinPartitions("place", "text").select("text", "fold")
+    sums = ordered.mapInArrow(learn, "place int, n long, w0 double, w1 double, w2 double, w3 double")
     mixer = Mixer()
     for r in sums.groupBy("place").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in names]).collect():  # 64 and 6,144 rows at most
         if r["place"] < 64:
@@ -461,7 +471,7 @@ def packed(tables: list[np.ndarray], salt: int) -> Iterator[pd.DataFrame]:
         for i, p in enumerate(pairs):
             if p.any():
                 yield pd.DataFrame({"word": [None], "c": [None], "slice": [first + i], "salt": [salt],
-                                    "data": [codec.compress(p.tobytes(), asbytes=True)]})
+                                    "data": [codec.compress(p.astype(np.uint64).tobytes(), asbytes=True)]})
         first += len(pairs)
 
 
@@ -503,7 +513,7 @@ def word_tables(words: DataFrame, tree: dict) -> DataFrame:
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        counts = Counts(Coder(tree))
+        counts = Counts(Coder(tree), np.uint64)  # counts of a whole corpus
         for f in frames:
             counts.words(f["word"].tolist(), f["c"].to_numpy())
         yield from packed(counts.tables, TaskContext.get().partitionId() % 64)
@@ -517,17 +527,17 @@ def summed_tables(spark: SparkSession, slices: DataFrame) -> list[list[np.ndarra
         codec, sums = pa.Codec("zstd"), {}
         for f in frames:
             for fold, k, salt, data in zip(f["fold"], f["slice"], f["salt"], f["data"]):
-                p = np.frombuffer(codec.decompress(data, 8 * SLICE, asbytes=True), np.uint32)
+                p = np.frombuffer(codec.decompress(data, 16 * SLICE, asbytes=True), np.uint64)
                 for key in [(fold, k, 0), (2, k, 0)] if last else [(fold, k, salt)]:
                     if key in sums:
                         sums[key] += p
                     else:
-                        sums[key] = p.astype(np.uint64)
+                        sums[key] = p.copy()
         for (fold, k, salt), p in sums.items():
             if last:
                 data = codes_of(p[::2].astype(float), p[1::2].astype(float)).tobytes()
             else:
-                data = codec.compress(np.minimum(p, (1 << 32) - 1).astype(np.uint32).tobytes(), asbytes=True)
+                data = codec.compress(p.tobytes(), asbytes=True)
             yield pd.DataFrame({"fold": [fold], "slice": [k], "salt": [salt], "data": [data]})
 
     kind = "fold int, slice int, salt int, data binary"
@@ -548,17 +558,19 @@ def summed_tables(spark: SparkSession, slices: DataFrame) -> list[list[np.ndarra
 
 
 def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 5, held: int = 1,
-          head_words: int = 400_000, fit_docs: int | None = None) -> DataFrame:
+          head_words: int = 400_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_bytes (of the stream), n_tokens, n_known,
     train_tokens, base_score, score, bits_per_byte.
 
     Null and empty texts are one end token; a null id counts as empty text in the
     split; rows pass one to one, repeated ones too (and each counts in training); an empty table gives
-    an empty one; other columns are not looked at.  ``fit_docs`` has no effect: all training texts calibrate."""
+    an empty one; other columns are not looked at."""
     rest = remainder(F.col(doc_id), folds)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), rest.alias("rest"))
-    train = rows.where(F.col("rest") != held).select("text", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("fold"))
-    tree = trees_of(pair_counts(train.select("text")))
+    train = rows.where(F.col("rest") != held).select("text", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("fold"),
+                                                     F.xxhash64("doc_id", "text").alias("place"))
+    pairs = pair_counts(train.select("text"))
+    tree = trees_of(pairs)
     # a fold at a time, so that a task holds one set of tables
     parts = written(spark, counted(train.where("fold = 0").select("text"), tree).withColumn("fold", F.lit(0)).unionByName(
         counted(train.where("fold = 1").select("text"), tree).withColumn("fold", F.lit(1))), "counts")
@@ -569,7 +581,7 @@ def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
     for f in (0, 1):
         slices = slices.unionByName(word_tables(words.where(f"c{f} > 0").select("word", F.col(f"c{f}").alias("c")), tree).withColumn("fold", F.lit(f)))
     *halves, tables = summed_tables(spark, slices.select("fold", "slice", "salt", "data"))
-    learned = mixed_in_tasks(spark, train, tree, halves)
+    learned = mixed_in_tasks(spark, train, tree, halves, int(pairs.sum()))
     mixer = mixer_of(learned.weights, learned.total, learned.ones)
     # the most frequent words by a bound on their count, found from a histogram of counts (some thousand
     # bins at most), never by sorting all words in one place

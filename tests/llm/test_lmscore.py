@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linedocs.llm import lmscore
 
@@ -139,7 +140,7 @@ def check_base(rows, docs, head=None):
 def test_scores_in_spark(spark, texts, head):
     docs = [(i, t) for i, t in enumerate(texts[:400])] + [(0, texts[0]), (7, None), (None, "ETA x"), (8, ""), (9, "K İ E")]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    check_base(lmscore.score(spark, df, head_words=head, fit_docs=40).collect(), docs)
+    check_base(lmscore.score(spark, df, head_words=head).collect(), docs)
 
 
 def test_rows(spark, odd_docs):
@@ -153,12 +154,12 @@ def test_mixer_learns_from_every_training_text(spark, texts):
     some = texts + [" ".join(texts * 8)]
     assert sum(map(len, some)) > 1 << 20
     streams = streams_of(some)
-    df = spark.createDataFrame([(t, i % 2) for i, t in enumerate(some)], "text string, fold int").repartition(4)
+    df = spark.createDataFrame([(t, i % 2, i) for i, t in enumerate(some)], "text string, fold int, place long").repartition(4)
     pairs = lmscore.pair_counts(df.select("text"))
     assert pairs[ord("e") << 8 | ord("t")] == sum(s.count(b"et") for s in streams)
     coder = lmscore.Coder(lmscore.trees_of(pairs))
     blank = [np.zeros(1 << b, np.uint8) for b in lmscore.TABLE_BITS]
-    mixer = lmscore.mixed_in_tasks(spark, df, coder.tree, [blank, blank])
+    mixer = lmscore.mixed_in_tasks(spark, df, coder.tree, [blank, blank], size=100 << 20)
     assert mixer.total.sum() == sum(coder.skipped(s) for s in streams)
     ones = sum(int(coder.decisions([s])[2].sum()) for s in streams[:-1])
     assert ones < mixer.ones.sum() < mixer.total.sum()
@@ -173,3 +174,58 @@ def test_no_training_text_is_withheld_from_the_tables(spark):
     rows = lmscore.score(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).where("held_out").collect()
     bits = sorted(r["bits_per_byte"] for r in rows)
     assert len(bits) == 60 and bits[-1] < 1.3 * bits[0]
+
+
+def test_scores_do_not_depend_on_partitions(spark, texts, monkeypatch):
+    monkeypatch.setattr(lmscore, "SHARD_BYTES", 50_000)
+    docs = [(i, t) for i, t in enumerate(texts[:500])] + [(i, texts[0]) for i in range(500, 540)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    one, many = ({r["doc_id"]: r["score"] for r in lmscore.score(spark, df.repartition(n)).collect()} for n in (1, 13))
+    assert one.keys() == many.keys() and all(abs(one[i] - many[i]) <= 1e-6 * abs(one[i]) for i in one)
+
+
+def test_scores_as_in_one_process(spark, texts):
+    """The model learned and applied in one process over all texts, shards of one."""
+    docs = [(i, t) for i, t in enumerate(texts[:300])] + [(301, None), (302, ""), (303, texts[0])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    full = F.coalesce("text", F.lit(""))
+    rows = df.select("doc_id", full.alias("text"), F.pmod(F.xxhash64(full), F.lit(2)).alias("fold"), F.xxhash64("doc_id", full).alias("place")).collect()
+    train = sorted((r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 5 != 1), key=lambda r: r["place"])
+    streams = {r["doc_id"]: lmscore.stream_of(lmscore.split_words(r["text"])) for r in rows}
+    coder = lmscore.Coder(lmscore.trees_of(sum(lmscore.pairs_of(b" " + streams[r["doc_id"]]) for r in train)))
+    sums = []
+    for fold in (0, 1):
+        own = [r for r in train if r["fold"] == fold]
+        words = Counter(w for r in own for w in [*lmscore.split_words(r["text"]), b"\n"])
+        counts = lmscore.Counts(coder)
+        counts.texts(streams[r["doc_id"]] for r in own)
+        counts.words([w.decode() for w in words], np.array(list(words.values())))
+        sums.append(counts.finish())
+    sums.append([a + b for a, b in zip(*sums)])
+    tables = [[lmscore.codes_of(t[::2].astype(float), t[1::2].astype(float)) for t in s] for s in sums]
+    mixer = lmscore.Mixer()
+    for at in range(0, len(train), 400):
+        part = train[at:at + 400]
+        for fold in (0, 1):
+            mixer.streams([streams[r["doc_id"]] for r in part if r["fold"] == fold], coder, tables[1 - fold])
+    model = lmscore.mixer_of(mixer.weights, mixer.total, mixer.ones)
+    want = dict(zip(streams, lmscore.log10_probabilities(list(streams.values()), coder, tables[2], model)))
+    got = {r["doc_id"]: r["score"] for r in lmscore.score(spark, df).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) <= 1e-5 * abs(want[i]) for i in want)
+
+
+def test_counts_of_a_whole_corpus_do_not_wrap(spark, model):
+    many = 5_000_000_000
+    words = spark.createDataFrame([("abc", many), ("abd", 3)], "word string, c long")
+    tree = model[0].tree
+    slices = lmscore.word_tables(words, tree)
+    pa_codec, total = __import__("pyarrow").Codec("zstd"), 0
+    for r in slices.collect():
+        total += int(np.frombuffer(pa_codec.decompress(bytes(r["data"]), 16 * lmscore.SLICE, asbytes=True), np.uint64).sum())
+    coder = lmscore.Coder(tree)
+    assert total == many * coder.skipped(b"abc ") + 3 * coder.skipped(b"abd ")
+    folded = slices.withColumn("fold", F.lit(0)).select("fold", "slice", "salt", "data")
+    codes = lmscore.summed_tables(spark, folded)[2][2]
+    counts = lmscore.Counts(coder, np.uint64)
+    counts.words(["abc", "abd"], np.array([many, 3]))
+    assert (codes == lmscore.codes_of(counts.tables[2][::2].astype(float), counts.tables[2][1::2].astype(float))).all()
