@@ -30,7 +30,8 @@ PARTS, STEPS, SLICES = 16, 9, 1024
 @dataclass(frozen=True)
 class Mixture:
     """Targets: entropy as a share of the largest possible, the most epochs of
-    any source, tokens in all (None: the fewest that use every document) and per block."""
+    any source, tokens in all (None: the fewest that use every document) and per block.  A budget that
+    even equal epochs cannot fill within the limit is not filled: ``weights`` reports what each source lacks."""
 
     entropy: float = 0.98
     max_epochs: float = 4.0
@@ -82,7 +83,8 @@ def exponent(sources: DataFrame, mix: Mixture) -> float:
 
 
 def weights(spark: SparkSession, documents: DataFrame, mix: Mixture) -> DataFrame:
-    """(s, tokens, weight, epochs) for rows (s, tokens) of documents."""
+    """(s, tokens, weight, epochs, lacking) for rows (s, tokens) of documents; lacking: tokens of the source's share
+    of the budget that more epochs than the limit would have to give."""
     sources = written(spark, documents.groupBy("s").agg(F.sum("tokens").alias("tokens")), "sources")
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     some = sources.where("tokens > 0").withColumn("p", F.col("tokens") / F.lit(float(total or 1)))
@@ -92,9 +94,12 @@ def weights(spark: SparkSession, documents: DataFrame, mix: Mixture) -> DataFram
     budget = mix.budget if mix.budget is not None else total * z * largest
     share = F.pow(F.col("tokens") / F.lit(float(total or 1)), F.lit(a)) / F.lit(z)
     epochs = F.col("weight") * F.lit(float(budget)) / F.col("tokens")
-    epochs = F.round(epochs, 9) if mix.budget is not None else F.greatest(F.lit(1.0), F.round(epochs, 9))
-    return sources.withColumn("weight", F.when(F.col("tokens") > 0, share).otherwise(F.lit(0.0))).withColumn(
-        "epochs", F.when(F.col("tokens") > 0, epochs).otherwise(F.lit(1.0)))
+    wanted = F.round(epochs, 9)
+    epochs = F.least(wanted, F.lit(float(mix.max_epochs))) if mix.budget is not None else F.greatest(F.lit(1.0), wanted)
+    lacking = F.greatest(F.lit(0.0), wanted - mix.max_epochs) * F.col("tokens") if mix.budget is not None else F.lit(0.0)
+    out = sources.withColumn("weight", F.when(F.col("tokens") > 0, share).otherwise(F.lit(0.0)))
+    return out.withColumns({"epochs": F.when(F.col("tokens") > 0, epochs).otherwise(F.lit(1.0)),
+                            "lacking": F.when(F.col("tokens") > 0, lacking).otherwise(F.lit(0.0))})
 
 
 def placements(spark: SparkSession, docs: DataFrame, mix: Mixture = Mixture(), source: str = "source", doc_id: str = "doc_id",
@@ -108,7 +113,7 @@ def placements(spark: SparkSession, docs: DataFrame, mix: Mixture = Mixture(), s
     count = word_count(text) if tokens is None else tokens
     rows = docs.select(*document_key(doc_id, text), F.col(source).alias("source"), count.alias("tokens"))
     rows = written(spark, rows.dropDuplicates(KEY).withColumn("s", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))), "tokens")
-    plan = weights(spark, rows.select("s", "tokens"), mix).withColumnRenamed("tokens", "total")
+    plan = weights(spark, rows.select("s", "tokens"), mix).withColumnRenamed("tokens", "total").drop("lacking")
     used = rows.join(plan, "s").where("epochs > 0")
     used = used.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.ceil("epochs").cast("int") - 1)))
     used = used.withColumn("h", F.xxhash64(F.lit(seed), "epoch", *KEY))

@@ -86,3 +86,17 @@ def test_rows(spark, odd_docs):
     assert mixing.mixed(spark, odd_docs.where("false")).count() == 0
     empty = odd_docs.where("doc_id in (2, 3, 4)")
     assert {(r["weight"], r["copies"]) for r in mixing.mixed(spark, empty).collect()} == {(0.0, 1)}
+
+
+def test_a_budget_does_not_break_the_limit(spark):
+    docs = spark.createDataFrame([(i, "w " * 10, "ab"[i % 5 == 0]) for i in range(100)], "doc_id long, text string, source string")
+    mix = mixing.Mixture(budget=10_000, max_epochs=2.0)
+    placed = mixing.placements(spark, docs, mix)
+    per_doc = placed.groupBy("__id").count()
+    assert per_doc.where("count <> 2").count() == 0 and per_doc.count() == 100
+    tokens = docs.selectExpr("concat('=', source) AS s", "10L AS tokens")
+    plan = {r["s"]: r for r in mixing.weights(spark, tokens, mix).collect()}
+    assert all(r["epochs"] == 2.0 for r in plan.values())
+    assert abs(sum(r["lacking"] for r in plan.values()) - (10_000 - 2 * 1000)) < 1e-3
+    small = mixing.weights(spark, tokens, mixing.Mixture(budget=500)).collect()
+    assert all(r["lacking"] == 0 for r in small) and abs(sum(r["epochs"] * r["tokens"] for r in small) - 500) < 1e-3
