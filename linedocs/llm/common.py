@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from typing import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import work_dir
+from ..session import drop_work_dir, work_dir
 
 #: ASCII white space of every contract here: space and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,10 +20,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def dropping_intermediates(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that ``written`` makes inside, on leaving.  What is returned lazily from inside reads
+    them, so write it before (outside of ``written``, or with ``keep``)."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            drop_work_dir(spark, path)
+
+
+def written(spark: SparkSession, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` as a table in the shared work folder: its lineage ends there, so
-    a lost executor costs a re-read and never a recomputation of all before."""
+    a lost executor costs a re-read and never a recomputation of all before.  It stays until an enclosing
+    ``dropping_intermediates`` ends; with ``keep``, until the one around that does."""
     path = work_dir(spark, name)
+    scopes = _open_scopes[:-1] if keep else _open_scopes
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

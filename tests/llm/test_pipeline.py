@@ -100,3 +100,57 @@ def test_run_as_brute_force(spark):
         used[r["source"]] += r["copies"] * len(r["text"].split())
     for s, n in tokens.items():  # up to one document more than the budget
         assert weight[s] * budget - 1e-3 * n <= used[s] <= weight[s] * budget + max(len(t.split()) for d, t in docs.items() if source[d] == s) + 1e-3 * n
+
+
+def test_stages_on_odd_rows(spark, odd_docs):
+    """Nulls, empty and long texts, repeated rows and clashing names through every stage."""
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    docs = odd_docs.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("base_failed", F.lit("theirs"))
+    extra = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+
+    def key(r):
+        return r["doc_id"], r["text"]
+
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        rows = out.collect()
+        before, after = Counter(map(key, docs.collect())), Counter(map(key, rows))
+        if name != "source mixing":
+            assert out.columns == docs.columns
+            assert all(r[c] == ("theirs" if c == "base_failed" else c) for r in rows for c in extra), name
+        if name == "quality rules":
+            assert not after - before and all(t for _, t in after)
+        elif name == "line dedup":
+            assert sum(after.values()) == sum(before.values()) and sum(t is None for _, t in after.elements()) == sum(t is None for _, t in before.elements())
+        elif name == "simhash near-dedup":
+            assert not after - before and len(after) < len(before)
+        else:
+            assert after == before, name
+
+
+def test_intermediates_go(spark, tmp_path):
+    import os
+
+    from linedocs.llm.common import dropping_intermediates
+
+    base = spark.conf.get("spark.checkpoint.dir")
+
+    def tables():
+        return set(os.listdir(base.replace("file://", "")))
+
+    start = tables()
+    with dropping_intermediates(spark):
+        kept = written(spark, spark.range(3), "kept", keep=True)
+        with dropping_intermediates(spark):
+            inner = written(spark, spark.range(4), "inner")
+            assert inner.count() == 4 and len(tables() - start) == 2
+            outer = written(spark, inner, "outer", keep=True)
+        assert outer.count() == 4 and len(tables() - start) == 2
+    assert kept.count() == 3 and len(tables() - start) == 1
+    result = corpus_pipeline.run(spark, SF)
+    names = {t.rsplit("-", 1)[0] for t in tables() - start}
+    assert {n.replace(" ", "-") for n, _ in corpus_pipeline.STAGES[:-1]} <= names and "labelled" not in names and "edges" not in names
+    assert result.count() > 0
