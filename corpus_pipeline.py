@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linedocs.llm import decontam, linededup, mixing, quality, simhash
-from linedocs.llm.common import table, written
+from linedocs.llm.common import dropping_intermediates, table, written
 
 
 def columns(docs: DataFrame) -> list[Column]:
@@ -69,7 +69,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents through all stages.  A stage's own tables go when its output is written; that stays, as
+    the result reads the last one."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(spark, stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with dropping_intermediates(spark):
+            docs = written(spark, stage(spark, docs, sf_dir), name.replace(" ", "-"), keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
