@@ -105,6 +105,21 @@ def test_command_line_counts(spark, tmp):
                  str(tmp / "ck"), "--available-now", "--show", "0"]) == 0
     tot = spark.read.parquet(str(tmp / "o" / "totals")).first()
     assert (tot["lines"], tot["words"]) == (1, 3)
+    assert main(["counts", "--dir", str(tmp / "in"), "--out", str(tmp / "o2"), "--checkpoint", str(tmp / "ck2"), "--available-now",
+                 "--show", "0", "--progress-out", str(tmp / "p")]) == 0
+    assert spark.read.json(str(tmp / "p")).first()["input_rows"] == 1
+
+
+def test_command_line_expire(spark, tmp, capsys):
+    from linedocs.__main__ import main
+    docs = spark.createDataFrame([("/p", 0, "x")], documents.OFFSET_DOC)
+    for _ in range(3):
+        W.write_documents(docs, str(tmp / "t"), "i")
+    assert main(["expire", "--out", str(tmp / "t"), "--keep", "1"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"expired": []}
+    assert main(["expire", "--out", str(tmp / "t"), "--keep", "1", "--older-than", "-1"]) == 0
+    assert len(json.loads(capsys.readouterr().out.strip().splitlines()[-1])["expired"]) == 2
+    assert _stored(spark, str(tmp / "t")).count() == 1
 
 
 def test_json_document_table(spark, tmp):
@@ -130,7 +145,8 @@ def test_repeated_lines_without_offsets_keep_all_documents(spark, tmp):
 def test_command_line_rejects_missing_arguments():
     import pytest
     from linedocs.__main__ import main
-    for argv in (["totext"], ["toindex", "--brokers", "b"], ["index", "--path", "p"], []):
+    for argv in (["totext"], ["toindex", "--brokers", "b"], ["index", "--path", "p"], [],
+                 ["counts", "--dir", "d", "--out", "o", "--checkpoint", "c", "--available-now", "--intervals-out", "i"]):
         with pytest.raises(SystemExit):
             main(argv)
 
