@@ -63,9 +63,10 @@ class LineStore:
     def lines(self) -> DataFrame:
         """All lines, with the bucketing declared (tables are known to their session only)."""
         name = "linedocs_lines_" + uuid.uuid5(uuid.NAMESPACE_URL, f"{self.out}?{self.buckets}").hex
+        quoted = self.out.replace("\\", "\\\\").replace("'", "\\'")
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LINES)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY (slot) SORTED BY (slot, path, part, `offset`) "
-                       f"INTO {self.buckets} BUCKETS LOCATION '{self.out}/lines'")
+                       f"INTO {self.buckets} BUCKETS LOCATION '{quoted}/lines'")
         return self.spark.table(name)
 
     def parts(self) -> DataFrame:

@@ -39,6 +39,7 @@ pre-count re-reads rather than serialising to disk).
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Iterator
@@ -236,18 +237,34 @@ class TextFiles:
         return ex.select(*named, F.col("_path").alias("path"), off.cast("bigint").alias("offset"), "line")
 
 
+_pins: dict[str, int] = {}
+_pins_lock = threading.Lock()
+
+
 @contextmanager
 def pinned_splits(spark: SparkSession) -> Iterator[None]:
     """Plan file splits alike for all reads inside, whatever happens to the core count
-    (with dynamic allocation it is what else decides their size)."""
-    before = spark.conf.get(SPLIT_COUNT, None)
-    if before is None:
-        spark.conf.set(SPLIT_COUNT, str(spark.sparkContext.defaultParallelism))
+    (with dynamic allocation it is what else decides their size).  Several jobs of a session may be
+    inside at a time: the setting goes with the last of them."""
+    session = spark._jsparkSession.sessionUUID()
+    with _pins_lock:
+        inside = _pins.get(session, 0)
+        if inside or spark.conf.get(SPLIT_COUNT, None) is None:  # else it is the user's, and stays
+            if not inside:
+                spark.conf.set(SPLIT_COUNT, str(spark.sparkContext.defaultParallelism))
+            _pins[session] = inside + 1
+            ours = True
+        else:
+            ours = False
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(SPLIT_COUNT)
+        if ours:
+            with _pins_lock:
+                _pins[session] -= 1
+                if not _pins[session]:
+                    del _pins[session]
+                    spark.conf.unset(SPLIT_COUNT)
 
 
 def text_files(spark: SparkSession, paths: str | list[str], recursive: bool = True,

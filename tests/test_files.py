@@ -262,3 +262,25 @@ def test_braces_in_a_comma_list(spark, tmp):
         (tmp / d / "x.log").write_text(f"{d}\n")
     lines = read_lines(spark, f"{tmp}/{{a,b}}/*.log, {tmp}/c")
     assert sorted(r["line"] for r in lines.collect()) == ["a", "b", "c"]
+
+
+def test_jobs_at_a_time_keep_their_pinned_splits(spark):
+    from linedocs.sources.files import SPLIT_COUNT, pinned_splits
+    assert spark.conf.get(SPLIT_COUNT, None) is None
+    first, second = pinned_splits(spark), pinned_splits(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(SPLIT_COUNT) == str(spark.sparkContext.defaultParallelism)  # the other job is still reading
+    with pinned_splits(spark.newSession()):
+        pass
+    assert spark.conf.get(SPLIT_COUNT, None) is not None
+    second.__exit__(None, None, None)
+    assert spark.conf.get(SPLIT_COUNT, None) is None
+    spark.conf.set(SPLIT_COUNT, "3")
+    try:
+        with pinned_splits(spark):
+            assert spark.conf.get(SPLIT_COUNT) == "3"
+        assert spark.conf.get(SPLIT_COUNT) == "3"
+    finally:
+        spark.conf.unset(SPLIT_COUNT)
