@@ -16,10 +16,16 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.text import UNSAFE_NAME_CHARS, safe_name
+from ..session import work_dir
+from ..sources.files import read_lines
 from .snapshots import Snapshot, SnapshotTable, partition_folder
 
+#: Bulk files are read back in parts of this many bytes.
+BULK_PART_BYTES = 32 << 20
+
 
 def document_id(*cols: str | Column) -> Column:
     """SNK6: SHA-256 over the NUL-joined string forms of the identity columns."""
@@ -162,6 +168,27 @@ def write_bulk_from(spark: SparkSession, table: str, schema: T.StructType, out:
     return len(groups)
 
 
+def read_bulk(spark: SparkSession, out: str, part_bytes: int = BULK_PART_BYTES) -> DataFrame:
+    """The pairs (action, source) of the bulk files below ``out``, by the order of their lines; of an odd number of
+    lines the last has no source.
+
+    A file is as long as its writer's share of the input, so it is paired in parts of ``part_bytes``.  The counts of the
+    parts before tell whether a part starts with a source; that line belongs to the part of its action."""
+    lines = read_lines(spark, out).withColumn("part", F.floor(F.col("offset") / part_bytes).cast("long"))
+    parts = lines.groupBy("path", "part").agg(F.count("*").alias("n"), F.min("offset").alias("first"))
+    by_file = Window.partitionBy("path").orderBy("part")  # a row per part
+    before = F.coalesce(F.sum("n").over(by_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    torn = parts.select("path", "first", before.alias("before"), F.lag("part").over(by_file).alias("home"))
+    place = work_dir(spark, "bulk-parts")
+    torn.write.parquet(place)
+    torn = spark.read.schema(torn.schema).parquet(place)
+    whole = lines.join(torn.where("before % 2 = 1").select("path", F.col("first").alias("offset"), "home"), ["path", "offset"], "left")
+    whole = whole.withColumn("part", F.coalesce("home", "part")).repartition(max(1, torn.count()), "path", "part")
+    after = Window.partitionBy("path", "part").orderBy("offset")
+    pairs = whole.select(F.col("line").alias("action"), F.lead("line").over(after).alias("source"), F.row_number().over(after).alias("k"))
+    return pairs.where("k % 2 = 1").select("action", "source")
+
+
 def write_batch_text(batch: DataFrame, base: str, batch_id: int, prefix: str = "data",
                      suffix: str = "txt", value_col: str = "value") -> str:
     """SNK3: one text directory per micro-batch, ``<base>/<prefix>-<batch_id>.<suffix>``.

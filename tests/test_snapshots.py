@@ -181,6 +181,19 @@ def W_id(path, offset):
     return hashlib.sha256(f"{path}\0{offset}".encode()).hexdigest()
 
 
+@pytest.mark.parametrize("part_bytes", [1, 150, 1000, 100_000])
+def test_bulk_pairs_are_read_in_parts(spark, tmp, part_bytes):
+    """Pairs are whole wherever a part ends, also behind a line longer than some parts; a last line may be alone."""
+    files = {f: [(f"{f} action {i}", f"{f} source {i} " + "x" * (i * i * 7 % (900 if i == 20 else 90))) for i in range(40)] for f in "ab"}
+    for f, pairs in files.items():
+        (tmp / f).write_text("".join(f"{a}\n{s}\n" for a, s in pairs))
+    (tmp / "odd").write_text("alone\n")
+    got = W.read_bulk(spark, str(tmp), part_bytes)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([*files["a"], *files["b"], ("alone", None)], key=str)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "part" in plan.split("windowspecdefinition(", 1)[1].split(")")[0]  # no whole file in one window
+
+
 def test_waves_have_about_their_size():
     files = [(f"f{i}", 10) for i in range(7)] + [("big", 1000), ("empty", 0)]
     assert W.waves(files, 30) == [["f0", "f1", "f2"], ["f3", "f4", "f5"], ["f6", "big"], ["empty"]]
