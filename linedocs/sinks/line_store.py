@@ -18,7 +18,9 @@ from pyspark.sql.window import Window
 
 PART_BYTES = 64 << 20
 #: About this many bytes of lines per bucket.
-BUCKET_BYTES = 256 << 20
+BUCKET_BYTES = 64 << 20
+#: Row groups of this size, so that a scan splits a bucket's file into many tasks.
+ROW_GROUP_BYTES = 8 << 20
 #: A file of more parts is read in order by a sort of its own instead of a union with a branch per part.
 MAX_BRANCHES = 200
 LINES = T.StructType().add("slot", "long").add("path", "string").add("part", "long").add("offset", "long").add("line", "string")
@@ -39,11 +41,13 @@ class LineStore:
         self.buckets, self.part_bytes = spark.read.schema(META).json(f"{self.out}/meta").first()
 
     @classmethod
-    def write(cls, docs: DataFrame, out: str, buckets: int | None = None, part_bytes: int = PART_BYTES) -> "LineStore":
-        """Write ``docs`` (path, offset, line).  The number of buckets follows from the bytes of the lines."""
+    def write(cls, docs: DataFrame, out: str, buckets: int | None = None, part_bytes: int = PART_BYTES, size: int | None = None) -> "LineStore":
+        """Write ``docs`` (path, offset, line).  The number of buckets follows from the bytes of the lines, their ends
+        included, which are counted unless ``size`` gives them."""
         spark, out = docs.sparkSession, out.rstrip("/")
         if buckets is None:
-            size = docs.agg(F.sum(F.octet_length("line") + 1)).first()[0] or 0
+            if size is None:
+                size = docs.agg(F.sum(F.octet_length("line") + 1)).first()[0] or 0
             buckets = max(1, -(-size // BUCKET_BYTES))
         part = F.floor(F.col("offset") / part_bytes).cast("long")
         rows = docs.select("path", part.alias("part"), "offset", "line").select(slot("path", "part").alias("slot"), "path", "part", "offset", "line")
@@ -51,7 +55,7 @@ class LineStore:
         name = f"linedocs_write_{uuid.uuid4().hex}"
         # dealt as the buckets are, so a task writes one file per bucket of its own
         (rows.repartition(buckets, "slot").sortWithinPartitions(*order).write.format("parquet")
-             .bucketBy(buckets, "slot").sortBy(*order).option("path", f"{out}/lines").saveAsTable(name))
+             .option("parquet.block.size", ROW_GROUP_BYTES).bucketBy(buckets, "slot").sortBy(*order).option("path", f"{out}/lines").saveAsTable(name))
         spark.sql(f"DROP TABLE {name}")  # an external table: the files stay
         spark.createDataFrame([(buckets, part_bytes)], META).coalesce(1).write.mode("overwrite").json(f"{out}/meta")
         store = cls(spark, out)

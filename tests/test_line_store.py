@@ -170,3 +170,35 @@ def test_a_search_reads_few_rows(tmp):
 def test_tokens_are_those_of_the_postings(spark, store, postings):
     lines = store.lines().select(F.size(F.array_distinct(tokens("line"))).alias("n"))
     assert postings.count() == lines.agg(F.sum("n")).first()[0]
+
+
+def test_blocks_hold_each_token_of_a_line_once():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"slot": [5, -7, 5, 9], "offset": pa.array([0, 4, None, 1], pa.int64()),
+                                        "tokens": pa.array([["b", "a", "b"], ["b"], [], None], pa.list_(pa.string()))})
+    got = [r for b in token_index.block_maker()(iter([batch, batch.slice(1, 1), batch.slice(2), batch.slice(0, 0)])) for r in b.to_pylist()]
+    want = [("a", 5, [5], [0]), ("b", -7, [-7], [4]), ("b", -7, [5, -7], [0, 4])]
+    assert sorted((tuple(r.values()) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_lines_are_tokenized_once_and_by_many_tasks(spark, tmp, monkeypatch):
+    """A bucket's file has several row groups, and its lines are read once for the postings."""
+    from pyspark.sql import functions as F
+
+    from linedocs.sinks import line_store
+    monkeypatch.setattr(line_store, "ROW_GROUP_BYTES", 64 << 10)
+    df = spark.range(0, 20000, 1, 4).selectExpr("concat('/p', id) AS path", "0L AS offset", "concat('w', sha2(cast(id AS string), 256)) AS line")
+    one = LineStore.write(df, str(tmp / "s"), size=1)
+    import pyarrow.parquet as pq
+    assert one.buckets == 1 and sum(pq.ParquetFile(f).num_row_groups for f in (tmp / "s" / "lines").glob("*.parquet")) > 3
+    seen = spark.sparkContext.accumulator(0)
+    plain = token_index.block_maker()
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield from plain(iter([b]))
+    monkeypatch.setattr(token_index, "block_maker", lambda: counted)
+    token_index.write_postings(one, str(tmp / "p"))
+    assert seen.value == 20000 and token_index.read_postings(spark, str(tmp / "p")).agg(F.count("*")).first()[0] == 20000
