@@ -175,10 +175,10 @@ def test_tokens_are_those_of_the_postings(spark, store, postings):
 def test_blocks_hold_each_token_of_a_line_once():
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_pydict({"slot": [5, -7, 5, 9], "offset": pa.array([0, 4, None, 1], pa.int64()),
+    batch = pa.RecordBatch.from_pydict({"slot": [5, -7, 5, 9], "mark": [1, 2, 1, 3], "offset": pa.array([0, 4, None, 1], pa.int64()),
                                         "tokens": pa.array([["b", "a", "b"], ["b"], [], None], pa.list_(pa.string()))})
     got = [r for b in token_index.block_maker()(iter([batch, batch.slice(1, 1), batch.slice(2), batch.slice(0, 0)])) for r in b.to_pylist()]
-    want = [("a", 5, [5], [0]), ("b", -7, [-7], [4]), ("b", -7, [5, -7], [0, 4])]
+    want = [("a", 5, [5], [1], [0]), ("b", -7, [-7], [2], [4]), ("b", -7, [5, -7], [1, 2], [0, 4])]
     assert sorted((tuple(r.values()) for r in got), key=str) == sorted(want, key=str)
 
 
