@@ -53,6 +53,8 @@ def lines_of(source, start: int, end: int | None) -> Iterator[tuple[int, bytes]]
     mark = 0
     if start == 0 and buffer.startswith(BOM):
         buffer, at, begins, mark = buffer[len(BOM):], len(BOM), len(BOM), len(BOM)
+        if end is not None:
+            end = max(end, len(BOM) + 1)  # the first line is this range's, even if the mark fills it
     head: list[bytes] = []  # what earlier blocks hold of the line
     while True:
         pos = 0
