@@ -5,11 +5,11 @@ is a path through a binary code tree chosen by the byte before (frequent bytes h
 byte is a few binary decisions.  Three predictors look each decision up by a hash of the tree
 node and a context: the last two bytes, the last four bytes (across words), the word so far.
 
-1. The pairs of neighbouring bytes in all training texts, counted in tasks, shape the code trees.
-2. Every training text belongs to one of two folds (by a hash of the text, so that equal texts are together).
-   One pass over each fold counts words, three-byte sequences and, in a table of
-   hashed slots, the decisions after four bytes.  Two-byte contexts are filled from the sequences, the
-   word-so-far contexts from the counted words, so neither is updated decision by decision.  Every task adds
+1. Every training text belongs to one of two folds (by a hash of the text, so that equal texts are together).
+   One pass counts, by fold, words and their heads: the first three bytes of a word after the three before
+   its space.
+2. The pairs of neighbouring bytes, from the counted words, shape the code trees.  No context goes from a later byte of a word to another word, so the tables of hashed slots are
+   filled from counted heads and counted words, not decision by decision.  Every task adds
    up its own tables, slices of them are summed after a shuffle in two levels.  Slots
    become one byte each: a quantised logit and how often the slot was seen; once per fold and once for both.
 3. The mixer is learned online in tasks, over all training texts, each with the tables of the fold that it is
@@ -19,6 +19,8 @@ node and a context: the last two bytes, the last four bytes (across words), the
 4. All texts are scored with the tables of both folds: per decision three look-ups, three weighted logits,
    one cost.  What is broadcast has the fixed size of the tables.
 
+In 4 a task keeps the costs of the heads and tails of words that it has met, in bounded memory.
+
 The base score needs every word's count.  The ``head_words`` most frequent are
 broadcast; the others are joined, a document's rare words at a time.
 """
@@ -29,7 +31,7 @@ import heapq
 import math
 from collections import Counter
 from itertools import islice
-from typing import Iterator
+from typing import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -48,6 +50,11 @@ LEVELS, LIMIT = 64, 8.0
 QUANTA, QLIMIT, DEPTHS = 384, 12.0, 16
 CHUNK = 1 << 15
 PAD = 4
+HEAD = 3  # bytes of a word whose contexts reach into the word before
+GROUP = 1 << 20  # bytes of texts whose words are looked up at once
+MOST_HEADS = 1 << 20  # heads that a task gathers before it counts them
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # of the first bytes of eight
+PART_BYTES = 48 << 20  # of the parts of words that a task remembers
 SHARD_BYTES, MOST_SHARDS = 16 << 20, 100_000  # bytes of text that a mixer is learned on in one place
 MOST_WORDS = 600_000  # distinct words that a task counts before it passes them on
 
@@ -131,11 +138,12 @@ class Coder:
         """(byte before, byte) as a number, decisions of each, the contexts (two, four, the word so far), where streams start.
 
         A stream sees nothing of the one before it: each begins after ``PAD`` spaces, which are only context."""
-        pad = b" " * PAD
-        x = np.frombuffer(pad + pad.join(streams), np.uint8)
-        n = len(x)
         lengths = np.fromiter(map(len, streams), np.int64, len(streams))
-        begin = (lengths + PAD).cumsum() - lengths
+        return self.contexts_in(padded(streams)[:-PAD], (lengths + PAD).cumsum() - lengths)
+
+    def contexts_in(self, x: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+        """The same of streams that are joined already, each after ``PAD`` spaces."""
+        n = len(x)
         pair = np.concatenate([np.zeros(1, np.intp), x[:-1].astype(np.intp) << 8])
         pair |= x
         reps = np.take(self.tree["length"], pair)
@@ -175,69 +183,139 @@ class Coder:
         depth, slots, bit = self.expand(pair, reps, dict(enumerate(contexts)))
         return depth, list(slots.values()), bit, (reps.cumsum() - reps)[begin]
 
+    def heads(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+        """As ``contexts``, of the heads with these keys: each a stream whose first ``PAD`` bytes are only context."""
+        x = np.full((len(keys), 2 * PAD + HEAD), SPACE, np.uint8)
+        for i, column in enumerate((4, 5, 6, 8, 9, 10)):
+            x[:, column] = keys >> (40 - 8 * i) & 255
+        begin = np.arange(len(keys)) * x.shape[1] + PAD
+        pair, reps, contexts, _ = self.contexts_in(x.ravel(), begin)
+        own = reps.reshape(x.shape)
+        own[:, :2 * PAD] = 0
+        own[x[:, 8] == STOP, 9:] = 0
+        own[x[:, 9] == SPACE, 10] = 0
+        return pair, reps, contexts, begin
+
+    def tails(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+        """As ``contexts``, of words and the space after each, without the decisions of their heads."""
+        pair, reps, contexts, begin = self.contexts([w + b" " for w in words])
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        for k in range(HEAD):
+            reps[begin[lengths > k] + k] = 0
+        return pair, reps, contexts, begin
+
+
+def padded(streams: list[bytes]) -> np.ndarray:
+    """The bytes of streams with ``PAD`` spaces before, between and after them."""
+    pad = b" " * PAD
+    return np.frombuffer(pad + pad.join([*streams, b""]), np.uint8)
+
+
+def head_keys(x: np.ndarray, step: int = GROUP) -> np.ndarray:
+    """A number for the head of each word of padded streams, in their order: the three bytes before the
+    space before the word, then the word's first ``HEAD`` (zero after its space, and after a line end)."""
+    out = [np.zeros(0, np.int64)]
+    for low in range(PAD, len(x) - 2, step):
+        part = x[low - PAD:min(low + step, len(x) - 2) + 2]
+        space = part == SPACE
+        at = np.flatnonzero(space[3:-3] & ~space[4:-2]) + 4
+        wide = part.astype(np.uint32)
+        three = wide[:-2] << np.uint32(16) | wide[1:-1] << np.uint32(8) | wide[2:]
+        own = np.take(three, at)
+        own &= np.where(np.take(space, at + 1), np.uint32(0xFFFF00), np.uint32(0xFFFFFF))
+        own[np.take(part, at) == STOP] = STOP << 16
+        out.append(np.take(three, at - 4).astype(np.int64) << 24 | own)
+    return np.concatenate(out)
+
+
+class Heads:
+    """Counts the heads of words."""
+
+    def __init__(self):
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.new, self.size = [], 0
+
+    def add(self, streams: Iterator[bytes]) -> None:
+        for batch in batches_of(streams, GROUP):
+            self.new.append(head_keys(padded(batch)))
+            self.size += len(self.new[-1])
+            if self.size > MOST_HEADS:
+                self.counted()
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct keys in order, and how often each occurs."""
+        if self.new:
+            keys, counts = np.unique(np.concatenate(self.new), return_counts=True)
+            self.new, self.size = [], 0
+            keys, counts = np.concatenate([self.keys, keys]), np.concatenate([self.counts, counts])
+            order = keys.argsort(kind="stable")
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+            self.keys, self.counts = keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+        return self.keys, self.counts
+
 
 class Counts:
-    """What one task gathers from texts: decisions after four bytes, and three-byte sequences."""
+    """What one task gathers from texts (the heads of their words) and from counted words (all else)."""
 
     def __init__(self, coder: Coder, kind: type = np.uint32):
         self.coder = coder
         self.tables = [np.zeros(2 << bits, kind) for bits in TABLE_BITS]
-        self.threes = np.zeros(1 << 24, np.uint32)
+        self.heads = Heads()
 
     def add(self, slots: np.ndarray, bit: np.ndarray, table: int, weight: np.ndarray | None = None) -> None:
         # numpy's fast path: an index of machine words, values of the table's type
         kind = self.tables[table].dtype
         np.add.at(self.tables[table], (slots << 1) + bit, np.ones(len(bit), kind) if weight is None else weight.astype(kind))
 
-    def text(self, streams: list[bytes], context: int = 0) -> None:
-        """Count streams; of a piece of one, the first ``context`` bytes are known already."""
-        pair, reps, (two, four, _), _ = self.coder.contexts(streams)
-        if context:
-            reps[:PAD + context] = 0
-        threes = ((two >> np.uint32(8) << np.uint32(16)) | pair.astype(np.uint32))[reps > 0]
-        np.add.at(self.threes, threes.astype(np.intp), np.ones(len(threes), np.uint32))
-        _, slots, bit = self.coder.expand(pair, reps, {1: four})
-        self.add(slots[1], bit, 1)
-
     def texts(self, streams: Iterator[bytes]) -> None:
-        long: list[bytes] = []
-        for batch in batches_of(short_of(streams, long)):
-            self.text(batch)
-        for piece, context in (p for s in long for p in pieces_of(s)):
-            self.text([piece], context)
-
-    def words(self, words: list[str], counts: np.ndarray) -> None:
-        """Count the word-so-far decisions of words and of ends, as often as each occurs."""
-        todo = ((w.encode() + (b"" if w == END else b" "), c) for w, c in zip(words, counts))
-        pieces = ((p, c) for w, c in todo for p in pieces_of(w))
+        self.heads.add(streams)
+
+    def counted_heads(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Count the decisions of heads, as often as each occurs: those after four bytes, and the first after two."""
+        for at in range(0, len(keys), 3000):
+            pair, reps, (two, four, _), begin = self.coder.heads(keys[at:at + 3000])
+            first = np.zeros(len(reps), bool)
+            first[begin + PAD] = True
+            self.weighted(pair, reps, {0: two, 1: four}, begin, counts[at:at + 3000], {0: first})
+
+    def weighted(self, pair: np.ndarray, reps: np.ndarray, contexts: dict[int, np.ndarray], begin: np.ndarray, times: np.ndarray, only: dict[int, np.ndarray]) -> None:
+        """Count decisions, ``times`` for each stream; in a table only those of bytes where ``only`` is true."""
+        _, slots, bit = self.coder.expand(pair, reps, contexts)
+        times = np.repeat(times, np.add.reduceat(reps, begin))
+        for i, slot in slots.items():
+            own = np.repeat(only[i], reps) if i in only else slice(None)
+            self.add(slot[own], bit[own], i, times[own])
+
+    def words(self, words: list[str], counts: np.ndarray, tables: tuple[int, ...] = (0, 1, 2)) -> None:
+        """Count the decisions of words and of ends, as often as each occurs: all after the word so far, those
+        after four bytes past the heads, and those after two bytes past the first."""
+        todo = ((w.encode() + (b"" if w == END else b" "), c) for w, c in zip(words, counts.tolist()))
+        pieces = ((p, h, c) for w, c in todo for p, h in pieces_of(w))
         while batch := list(islice(pieces, 4000)):
-            pair, reps, (_, _, so_far), begin = self.coder.contexts([p for (p, _), _ in batch])
-            heads = np.array([h for (_, h), _ in batch])
-            for b, h in zip(begin[heads > 0], heads[heads > 0]):
+            texts, known, times = zip(*batch)
+            pair, reps, contexts, begin = self.coder.contexts(texts)
+            known, lengths = np.array(known), np.fromiter(map(len, texts), np.int64, len(texts))
+            for b, h in zip(begin[known > 0], known[known > 0]):
                 reps[b:b + h] = 0
-            _, slots, bit = self.coder.expand(pair, reps, {2: so_far})
-            weight = np.repeat(np.array([c for _, c in batch], np.uint64), np.add.reduceat(reps, begin))
-            self.add(slots[2], bit, 2, weight)
+            past = {i: np.ones(len(reps), bool) for i in (0, 1)}
+            past[0][begin] = False
+            for k in range(HEAD):
+                past[1][begin[lengths > k] + k] = False
+            self.weighted(pair, reps, {i: contexts[i] for i in tables}, begin, np.array(times, np.uint64), past)
 
     def finish(self) -> list[np.ndarray]:
-        """The tables, with the two-byte contexts filled from the sequences."""
-        seen = np.flatnonzero(self.threes)
-        for at in range(0, len(seen), 1 << 16):
-            part = seen[at:at + (1 << 16)]
-            pair = part & 0xFFFF
-            two = ((part >> 16) << 8 | (part >> 8) & 255).astype(np.uint32)
-            reps = np.take(self.coder.tree["length"], pair)
-            _, slots, bit = self.coder.expand(pair, reps, {0: two})
-            self.add(slots[0], bit, 0, np.repeat(self.threes[part], reps))
-        self.threes[seen] = 0
+        """The tables, with all heads counted."""
+        self.counted_heads(*self.heads.counted())
         return self.tables
 
 
-def batches_of(streams: Iterator[bytes]) -> Iterator[list[bytes]]:
-    """Streams in lists of about CHUNK bytes; a longer one is alone."""
+def batches_of(streams: Iterator[bytes], most: int | None = None) -> Iterator[list[bytes]]:
+    """Streams in lists of about ``most`` bytes (CHUNK); a longer one is alone."""
+    most = most or CHUNK
     out, size = [], 0
     for s in streams:
-        if out and size + len(s) > CHUNK:
+        if out and size + len(s) > most:
             yield out
             out, size = [], 0
         out.append(s)
@@ -270,6 +348,95 @@ def short_of(streams: Iterator[bytes], long: list[bytes]) -> Iterator[bytes]:
             long.append(s)
 
 
+class Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = n = len(self)
+        return n
+
+
+class Lookup:
+    """Values by number keys, found once for each key that is met."""
+
+    def __init__(self, width: int):
+        self.keys, self.values = None, np.zeros((0, width))
+
+    def of(self, keys: np.ndarray, found: Callable) -> np.ndarray:
+        """A row of values for each of ``keys``; ``found`` gives those of keys not met before, from places where they stand."""
+        order = keys.argsort()
+        ranked = np.take(keys, order)
+        first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+        own = ranked[first]
+        known = self.keys is not None and len(self.keys)
+        fresh = np.take(self.keys, np.searchsorted(self.keys, own), mode="clip") != own if known else np.ones(len(own), bool)
+        if fresh.any():
+            both = np.concatenate([*([self.keys] if known else []), own[fresh]])
+            values = np.concatenate([self.values, found(order[first][fresh])])
+            by_key = both.argsort(kind="stable")
+            self.keys, self.values = both[by_key], values[by_key]
+        out = np.empty((len(keys), self.values.shape[1]))
+        out[order] = np.take(np.take(self.values, np.searchsorted(self.keys, own), axis=0), first.cumsum() - 1, axis=0)
+        return out
+
+
+class Parts:
+    """The heads and tails of the words that a scoring task has met, with their costs.  Equal parts have equal
+    decisions, so each is looked up once, and kept until too much is; so is what ``known`` says of a word.
+    Words of up to eight bytes are looked up by these as a number."""
+
+    def __init__(self, coder: Coder, tables: list[np.ndarray], mixer: dict, known: Callable = lambda word, other: other):
+        self.coder, self.tables, self.mixer, self.known = coder, tables, mixer, known
+        self.forget()
+
+    def forget(self) -> None:
+        self.heads, self.short = Lookup(1), Lookup(2)
+        self.long, self.long_values, self.long_size = Numbers(), np.zeros((0, 2)), 0
+
+    def costs(self, pair: np.ndarray, reps: np.ndarray, contexts: list[np.ndarray], begin: np.ndarray) -> np.ndarray:
+        """Sums over the decisions of each part (zero where it has none)."""
+        depth, slots, bit = self.coder.expand(pair, reps, dict(enumerate(contexts)))
+        cost = costs_of(depth, [np.take(t, s) for t, s in zip(self.tables, slots.values())], bit, self.mixer)
+        n = np.add.reduceat(reps, begin)
+        out, some = np.zeros(len(n)), n > 0
+        if some.any():
+            out[some] = np.add.reduceat(cost.astype(np.float64), (n.cumsum() - n)[some])
+        return out
+
+    def found(self, words: list[bytes]) -> np.ndarray:
+        """Rows of a tail's cost and what is known of the word."""
+        costs = np.concatenate([np.zeros(0), *(self.costs(*self.coder.tails(b)) for b in batches_of(iter(words)))])
+        return np.stack([costs, np.array([self.known(w, math.nan) for w in words], float)], axis=1)
+
+    def of(self, streams: list[bytes], words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word (and line end) of some short streams, in order: log10 probability, and what is known of it."""
+        if 16 * len(self.heads.values) + 24 * len(self.short.values) + self.long_size > PART_BYTES:
+            self.forget()
+        x = padded(streams)
+        keys = head_keys(x)
+        cost = self.heads.of(keys, lambda at: np.concatenate([
+            self.costs(*self.coder.heads(keys[at[i:i + 3000]])) for i in range(0, len(at), 3000)])[:, None])[:, 0]
+        space = x == SPACE
+        begin, end = np.flatnonzero(space[:-1] & ~space[1:]) + 1, np.flatnonzero(~space[:-1] & space[1:]) + 1
+        few = end - begin <= 8
+        short, long = np.flatnonzero(few), np.flatnonzero(~few)
+        values = np.empty((len(words), 2))
+        # the word's bytes and the space after it, if that is among the eight; zeros
+        eight = np.frombuffer(x.tobytes() + bytes(8), np.uint8)
+        eight = np.ndarray((len(x),), "<u8", eight, 0, (1,))[begin[short]]
+        eight &= np.take(MASKS, np.minimum((end - begin)[short] + 1, 8))
+        values[short] = self.short.of(eight, lambda at: self.found([words[i] for i in short[at].tolist()]))
+        if len(long):
+            before = len(self.long)
+            number = np.fromiter(map(self.long.__getitem__, [words[i] for i in long.tolist()]), np.intp, len(long))
+            new = list(islice(reversed(self.long), len(self.long) - before))[::-1]
+            if new:
+                self.long_values = np.concatenate([self.long_values, self.found(new)])
+                self.long_size += sum(map(len, new)) + 180 * len(new)
+            values[long] = np.take(self.long_values, number, axis=0)
+        return cost + values[:, 0], values[:, 1]
+
+
 def codes_of(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """A byte per slot: quantised logit and level of experience."""
     n = zeros + ones
@@ -309,17 +476,19 @@ class Mixer:
         self.value, self.steps = logits() * ((np.arange(256) & 3) > 0), 0
 
     def learn(self, depth: np.ndarray, bit: np.ndarray, codes: list[np.ndarray], batch: int = 4096) -> None:
-        gate = gates(codes)
+        gate, target = gates(codes), bit.astype(np.float32)
         values = [np.take(self.value, c) for c in codes]
         all_mixed = np.empty(len(bit), np.float32)
         for at in range(0, len(bit), batch):
             s = slice(at, at + batch)
             g, xs = gate[s], [v[s] for v in values]
-            w = np.ascontiguousarray(self.weights.T, np.float32)
+            w = self.weights.T.astype(np.float32, order="C")
             mixed = np.take(w[3] * np.float32(0.3), g, out=all_mixed[s], mode="clip")
             for row, x in zip(w, xs):
-                mixed += np.take(row, g) * x
-            error = (bit[s] - squash(mixed)).astype(np.float64)
+                term = np.take(row, g, mode="clip")
+                term *= x
+                mixed += term
+            error = (target[s] - squash(mixed)).astype(np.float64)
             seen = np.bincount(g, minlength=64)
             change = np.stack([*(np.bincount(g, weights=error * x, minlength=64) for x in xs), 0.3 * np.bincount(g, weights=error, minlength=64)], axis=1)
             self.weights += 0.02 / math.sqrt(1 + self.steps / 500) * change / np.sqrt(np.maximum(seen, 1))[:, None]
@@ -365,14 +534,17 @@ def learn_mixer(streams: list[bytes], coder: Coder, tables: list[np.ndarray], ro
 def decision_costs(streams: list[bytes], coder: Coder, tables: list[np.ndarray], mixer: dict) -> tuple[np.ndarray, np.ndarray]:
     """log10 probability of each decision, and where each stream starts."""
     depth, slots, bit, starts = coder.decisions(streams)
-    codes = [np.take(t, s) for t, s in zip(tables, slots)]
+    return costs_of(depth, [np.take(t, s) for t, s in zip(tables, slots)], bit, mixer), starts
+
+
+def costs_of(depth: np.ndarray, codes: list[np.ndarray], bit: np.ndarray, mixer: dict) -> np.ndarray:
     gate = gates(codes)
     mixed = np.take(mixer["bias"], gate)
     row = gate << 8
     for lut, c in zip(mixer["lut"], codes):
         mixed += np.take(lut, row + c)
     place = (depth.astype(np.intp) * QUANTA + quantised(mixed)) * 2 + bit
-    return np.take(mixer["cost"], place), starts
+    return np.take(mixer["cost"], place)
 
 
 def log10_probabilities(streams: list[bytes], coder: Coder, tables: list[np.ndarray], mixer: dict) -> list[float]:
@@ -393,6 +565,32 @@ def log10_probabilities(streams: list[bytes], coder: Coder, tables: list[np.ndar
     return out
 
 
+def text_scores(texts: list[list[bytes]], parts: Parts) -> Iterator[tuple]:
+    """Of each text, as words: bytes of its stream, tokens, known ones, the sum of their logs, log10 probability,
+    the unknown words and how often each occurs."""
+    streams, long = list(map(stream_of, texts)), []
+    scores = {}
+    at = 0
+    short = [i for i, s in enumerate(streams) if len(s) <= 2 * CHUNK]
+    for batch in batches_of(short_of(iter(streams), long), GROUP):
+        own, at = short[at:at + len(batch)], at + len(batch)
+        words = [w for i in own for w in (*texts[i], b"\n")]
+        cost, logs = parts.of(batch, words)
+        ends = np.cumsum([len(texts[i]) + 1 for i in own])
+        starts = np.concatenate([[0], ends[:-1]])
+        rare = np.flatnonzero(np.isnan(logs))
+        logs[rare] = 0
+        cuts = np.searchsorted(rare, np.concatenate([starts, ends[-1:]])).tolist()
+        for k, (i, c, v) in enumerate(zip(own, np.add.reduceat(cost, starts).tolist(), np.add.reduceat(logs, starts).tolist())):
+            scores[i] = c, v, Counter([words[j] for j in rare[cuts[k]:cuts[k + 1]].tolist()])
+    for i, c in zip((i for i, s in enumerate(streams) if len(s) > 2 * CHUNK), log10_probabilities(long, parts.coder, parts.tables, parts.mixer)):
+        found = [(w, parts.known(w, math.nan)) for w in (*texts[i], b"\n")]
+        scores[i] = c, sum(v for _, v in found if v == v), Counter(w for w, v in found if v != v)
+    for i, (words, stream) in enumerate(zip(texts, streams)):
+        cost, logs, rare = scores[i]
+        yield len(stream), len(words) + 1, len(words) + 1 - rare.total(), logs, cost, list(rare), list(rare.values())
+
+
 def remainder(doc_id: Column, folds: int = 5) -> Column:
     """crc32 of the id as text (null: of nothing) modulo ``folds``."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
@@ -402,11 +600,23 @@ def split_words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def pair_counts(texts: DataFrame) -> np.ndarray:
-    """How often each (byte before, byte) occurs in the streams of rows (text): at most 65,536 sums."""
+def pair_counts(rows: DataFrame) -> np.ndarray:
+    """How often each (byte before, byte) occurs in the streams of rows (text), or of texts given by rows (word, c)
+    of their counted words and ends: at most 65,536 sums."""
+    counted = "c" in rows.columns
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
+            if counted:
+                words, times = [w.encode() for w in batch.column(0).to_pylist()], batch.column(1).to_numpy()
+                # a word has the pairs from the space before it to the space after it, an end only the first
+                x = np.frombuffer(b" " + b" ".join([*words, b""]), np.uint8).astype(np.intp)
+                pairs = x[:-1] << 8 | x[1:]
+                each = np.repeat(times, np.fromiter(map(len, words), np.intp, len(words)) + 1)
+                np.add.at(total, pairs, each)
+                total[STOP << 8 | SPACE] = 0
+                continue
             for t in batch.column(0).to_pylist():
                 total += pairs_of(b" " + stream_of(split_words(t))) if len(t) > CHUNK else 0
             short = [stream_of(split_words(t)) for t in batch.column(0).to_pylist() if len(t) <= CHUNK]
@@ -416,7 +626,7 @@ def pair_counts(texts: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["pair", "n"])
 
     out = np.zeros(1 << 16, np.int64)
-    for r in texts.mapInArrow(count, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+    for r in rows.mapInArrow(count, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
         out[r["pair"]] = r["n"]
     return out
 
@@ -475,47 +685,73 @@ def packed(tables: list[np.ndarray], salt: int) -> Iterator[pd.DataFrame]:
         first += len(pairs)
 
 
-def counted(texts: DataFrame, tree: dict) -> DataFrame:
-    """Rows (word, c) and slices of tables from rows (text); partial counts, to be added up."""
+def counted(texts: DataFrame) -> DataFrame:
+    """Rows (word, c0, c1) and rows (fold, data) of heads and their counts from rows (text, fold); partial counts, to be added up."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        counts, seen = Counts(Coder(tree)), Counter()
+        heads, seen = [Heads(), Heads()], [Counter(), Counter()]
         for batch in batches:
-            words: list[list[bytes]] = []
-            for t in batch.column(0).to_pylist():
-                words.append(split_words(t))
-                seen.update(words[-1])
-                if len(words) == 256:
-                    counts.texts(map(stream_of, words))
-                    words = []
-                if len(seen) > MOST_WORDS:
-                    yield rows(seen)
-                    seen = Counter()
-            counts.texts(map(stream_of, words))
-            seen[b"\n"] += len(batch)
-        yield rows(seen)
-        for f in packed(counts.finish(), TaskContext.get().partitionId() % 64):
-            yield pa.RecordBatch.from_pandas(f, schema=schema, preserve_index=False)
-
-    def rows(seen: Counter) -> pa.RecordBatch:
-        n = len(seen)
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                streams: list[list[bytes]] = [[], []]
+                for t, f in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    words = split_words(t)
+                    seen[f].update(words)
+                    streams[f].append(stream_of(words))
+                for f in (0, 1):
+                    seen[f][b"\n"] += len(streams[f])
+                    heads[f].add(iter(streams[f]))
+                    if len(heads[f].keys) > MOST_HEADS:
+                        yield blob(f, heads[f])
+                        heads[f] = Heads()
+                if sum(map(len, seen)) > MOST_WORDS:
+                    yield rows(*seen)
+                    seen = [Counter(), Counter()]
+        yield rows(*seen)
+        for f in (0, 1):
+            yield blob(f, heads[f])
+
+    def blob(fold: int, heads: Heads) -> pa.RecordBatch:
+        data = pa.Codec("zstd").compress(np.concatenate(heads.counted()).tobytes(), asbytes=True)
+        return pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in schema.types[:3]), pa.array([fold], pa.int32()),
+                                           pa.array([len(heads.keys)], pa.int64()), pa.array([data], pa.binary())], schema=schema)
+
+    def rows(one: Counter, two: Counter) -> pa.RecordBatch:
+        words = list(one.keys() | two.keys())
+        n = len(words)
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64()),
-             *(pa.nulls(n, t) for t in schema.types[2:])], schema=schema)
+            [pa.array(words, pa.binary()).cast(pa.string()), *(pa.array([s[w] for w in words], pa.int64()) for s in (one, two)),
+             *(pa.nulls(n, t) for t in schema.types[3:])], schema=schema)
 
-    schema = pa.schema([("word", pa.string()), ("c", pa.int64()), ("slice", pa.int32()), ("salt", pa.int32()), ("data", pa.binary())])
-    return texts.mapInArrow(count, ROWS)
+    schema = pa.schema([("word", pa.string()), ("c0", pa.int64()), ("c1", pa.int64()), ("fold", pa.int32()), ("n", pa.int64()), ("data", pa.binary())])
+    return texts.mapInArrow(count, "word string, c0 long, c1 long, fold int, n long, data binary")
 
 
-def word_tables(words: DataFrame, tree: dict) -> DataFrame:
-    """Slices of the word-so-far table from rows (word, c)."""
+def head_tables(heads: DataFrame, tree: dict) -> DataFrame:
+    """Slices of tables with their fold from rows (fold, n, data) of counted heads."""
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        codec, coder = pa.Codec("zstd"), Coder(tree)
+        counts = [Counts(coder, np.uint64), Counts(coder, np.uint64)]
+        for f in frames:
+            for fold, n, data in zip(f["fold"], f["n"], f["data"]):
+                both = np.frombuffer(codec.decompress(data, 16 * n, asbytes=True), np.int64) if n else np.zeros(0, np.int64)
+                counts[fold].counted_heads(both[:n], both[n:])
+        for fold in (0, 1):
+            for f in packed(counts[fold].tables, TaskContext.get().partitionId() % 64):
+                yield f.assign(fold=fold)[["fold", "slice", "salt", "data"]]
+
+    return heads.mapInPandas(count, "fold int, slice int, salt int, data binary")
+
+
+def word_tables(words: DataFrame, tree: dict, tables: tuple[int, ...] = (2,)) -> DataFrame:
+    """Slices of the word-so-far table (or of those given) from rows (word, c)."""
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         counts = Counts(Coder(tree), np.uint64)  # counts of a whole corpus
         for f in frames:
-            counts.words(f["word"].tolist(), f["c"].to_numpy())
+            counts.words(f["word"].tolist(), f["c"].to_numpy(), tables)
         yield from packed(counts.tables, TaskContext.get().partitionId() % 64)
 
     return words.mapInPandas(count, ROWS)
@@ -569,18 +805,17 @@ def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), rest.alias("rest"))
     train = rows.where(F.col("rest") != held).select("text", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("fold"),
                                                      F.xxhash64("doc_id", "text").alias("place"))
-    pairs = pair_counts(train.select("text"))
-    tree = trees_of(pairs)
-    # a fold at a time, so that a task holds one set of tables
-    parts = written(spark, counted(train.where("fold = 0").select("text"), tree).withColumn("fold", F.lit(0)).unionByName(
-        counted(train.where("fold = 1").select("text"), tree).withColumn("fold", F.lit(1))), "counts")
+    parts = written(spark, counted(train.select("text", "fold")), "counts")
     words = written(spark, parts.where("word is not null").groupBy("word").agg(
-        F.sum("c").alias("c"), *[F.sum(F.when(F.col("fold") == f, F.col("c")).otherwise(0)).alias(f"c{f}") for f in (0, 1)]), "words")
+        F.sum(F.col("c0") + F.col("c1")).alias("c"), F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "words")
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    slices = parts.where("slice is not null")
+    pairs = pair_counts(words.select("word", "c"))
+    tree = trees_of(pairs)
+    slices = head_tables(parts.where("data is not null").select("fold", "n", "data"), tree)
     for f in (0, 1):
-        slices = slices.unionByName(word_tables(words.where(f"c{f} > 0").select("word", F.col(f"c{f}").alias("c")), tree).withColumn("fold", F.lit(f)))
-    *halves, tables = summed_tables(spark, slices.select("fold", "slice", "salt", "data"))
+        slices = slices.unionByName(word_tables(words.where(f"c{f} > 0").select("word", F.col(f"c{f}").alias("c")), tree, (0, 1, 2)).select(
+            F.lit(f).alias("fold"), "slice", "salt", "data"))
+    *halves, tables = summed_tables(spark, slices)
     learned = mixed_in_tasks(spark, train, tree, halves, int(pairs.sum()))
     mixer = mixer_of(learned.weights, learned.total, learned.ones)
     # the most frequent words by a bound on their count, found from a histogram of counts (some thousand
@@ -600,25 +835,15 @@ def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, tables, mixer, logs = model.value
-        coder, get = Coder(tree), logs.get
+        parts = Parts(Coder(tree), tables, mixer, logs.get)
         for batch in batches:
             for at in range(0, len(batch), 400):
                 part = batch.slice(at, 400)
-                streams, out = [], []
-                for t in part.column("text").to_pylist():
-                    w = split_words(t)
-                    streams.append(stream_of(w))
-                    w.append(b"\n")
-                    found = list(map(get, w))
-                    rare = Counter(x for x, v in zip(w, found) if v is None)
-                    known = [v for v in found if v is not None] if rare else found
-                    out.append((len(streams[-1]), len(w), len(known), sum(known), list(rare), list(rare.values())))
-                columns = list(zip(*out))
-                new = [pa.array(c, t) for c, t in zip(columns[:4], (pa.int64(), pa.int64(), pa.int64(), pa.float64()))]
-                rare = [pa.array(columns[4], pa.list_(pa.binary())).cast(pa.list_(pa.string())), pa.array(columns[5], pa.list_(pa.int64()))]
-                score = pa.array(log10_probabilities(streams, coder, tables, mixer), pa.float64())
+                columns = list(zip(*text_scores(list(map(split_words, part.column("text").to_pylist())), parts)))
+                new = [pa.array(c, t) for c, t in zip(columns[:5], (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+                rare = [pa.array(columns[5], pa.list_(pa.binary())).cast(pa.list_(pa.string())), pa.array(columns[6], pa.list_(pa.int64()))]
                 kept = [part.column(c) for c in ("doc_id", "held_out", "__h1", "__h2")]
-                yield pa.RecordBatch.from_arrays([*kept, *new, score, *rare], names)
+                yield pa.RecordBatch.from_arrays([*kept, *new, *rare], names)
 
     names = ["doc_id", "held_out", "__h1", "__h2", "n_bytes", "n_tokens", "n_known", "known", "score", "rare", "times"]
     kind = rows.schema["doc_id"].dataType.simpleString()
