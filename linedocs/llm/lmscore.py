@@ -8,10 +8,10 @@ node and a context: the last two bytes, the last four bytes (across words), the
 1. Every training text belongs to one of two folds (by a hash of the text, so that equal texts are together).
    One pass counts, by fold, words and their heads: the first three bytes of a word after the three before
    its space.
-2. The pairs of neighbouring bytes, from the counted words, shape the code trees.  No context goes from a later byte of a word to another word, so the tables of hashed slots are
-   filled from counted heads and counted words, not decision by decision.  Every task adds
-   up its own tables, slices of them are summed after a shuffle in two levels.  Slots
-   become one byte each: a quantised logit and how often the slot was seen; once per fold and once for both.
+2. The pairs of neighbouring bytes, from the counted words, shape the code trees.  No context goes from a
+   later byte of a word to another word, so the tables of hashed slots are filled from counted heads and
+   counted words, not decision by decision.  Every task adds up its own tables, slices of them are summed
+   after a shuffle in two levels.  Slots become one byte each: a quantised logit and how often the slot was seen; once per fold and once for both.
 3. The mixer is learned online in tasks, over all training texts, each with the tables of the fold that it is
    not in: the logits are combined by weights that a gate chooses from the three levels of experience, with a
    step along the gradient after each small batch, in shards and an order that hashes of id and text give.  An adaptive map of the mixed probability per depth in the
@@ -19,7 +19,7 @@ node and a context: the last two bytes, the last four bytes (across words), the
 4. All texts are scored with the tables of both folds: per decision three look-ups, three weighted logits,
    one cost.  What is broadcast has the fixed size of the tables.
 
-In 4 a task keeps the costs of the heads and tails of words that it has met, in bounded memory.
+In 4 a worker keeps the costs of the heads and tails of words that it has met, in bounded memory.
 
 The base score needs every word's count.  The ``head_words`` most frequent are
 broadcast; the others are joined, a document's rare words at a time.
@@ -54,7 +54,7 @@ HEAD = 3  # bytes of a word whose contexts reach into the word before
 GROUP = 1 << 20  # bytes of texts whose words are looked up at once
 MOST_HEADS = 1 << 20  # heads that a task gathers before it counts them
 MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # of the first bytes of eight
-PART_BYTES = 48 << 20  # of the parts of words that a task remembers
+PART_BYTES = 24 << 20  # of the heads, the short and the long words that a worker remembers, each
 SHARD_BYTES, MOST_SHARDS = 16 << 20, 100_000  # bytes of text that a mixer is learned on in one place
 MOST_WORDS = 600_000  # distinct words that a task counts before it passes them on
 
@@ -97,14 +97,18 @@ def code_trees(sample: bytes) -> dict:
 
 def trees_of(counts: np.ndarray) -> dict:
     """A code for each byte before, from the counts of pairs: tables by (byte before, byte) of its decisions'
-    number and place in flat tables of their bit, depth and a hash of their node."""
+    number and place in flat tables of their depth and bit, and of a hash of their node."""
     counts = counts.reshape(256, 256)
     codes = [path for row in counts for path in code_tree(row)]
     length = np.array([len(p) for p in codes], np.intp)
     node = np.array([(i & ~255) | n for i, p in enumerate(codes) for n, _ in p], np.uint32)
     return {"length": length, "start": length.cumsum() - length, "salt": mixed_hash(node + np.uint32(77)),
-            "bit": np.array([b for p in codes for _, b in p], np.uint8),
-            "depth": np.array([min(d, DEPTHS - 1) for p in codes for d in range(len(p))], np.uint8)}
+            "step": np.array([min(d, DEPTHS - 1) << 1 | b for p in codes for d, (_, b) in enumerate(p)], np.uint8)}
+
+
+def looked_up(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``table[at]`` of places that are all inside; numpy's fastest way."""
+    return np.take(table, at, mode="clip")
 
 
 def mixed_hash(x: np.ndarray) -> np.ndarray:
@@ -166,16 +170,17 @@ class Coder:
         ends = reps.cumsum()
         total = int(ends[-1])
         of = np.repeat(self.upward[:len(pair)], reps)  # the one costly step: all else are look-ups by it
-        flat = np.take(np.take(tree["start"], pair) - (ends - reps), of)
+        flat = looked_up(np.take(tree["start"], pair) - (ends - reps), of)
         flat += self.upward[:total] if total <= len(self.upward) else np.arange(total)
-        salt = np.take(tree["salt"], flat)
+        salt = looked_up(tree["salt"], flat)
         slots = {}
         for i, c in contexts.items():
-            slot = np.take(mixed_hash(c + np.uint32(i + 1)), of)
+            slot = looked_up(mixed_hash(c + np.uint32(i + 1)), of)
             slot += salt
             slot >>= np.uint32(32 - TABLE_BITS[i])
             slots[i] = slot.astype(np.intp)
-        return np.take(tree["depth"], flat), slots, np.take(tree["bit"], flat)
+        step = looked_up(tree["step"], flat)
+        return step >> 1, slots, step & 1
 
     def decisions(self, streams: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
         """depth of every decision of the streams, its slot in each table, its bit, and where each stream starts."""
@@ -263,11 +268,6 @@ class Counts:
         self.tables = [np.zeros(2 << bits, kind) for bits in TABLE_BITS]
         self.heads = Heads()
 
-    def add(self, slots: np.ndarray, bit: np.ndarray, table: int, weight: np.ndarray | None = None) -> None:
-        # numpy's fast path: an index of machine words, values of the table's type
-        kind = self.tables[table].dtype
-        np.add.at(self.tables[table], (slots << 1) + bit, np.ones(len(bit), kind) if weight is None else weight.astype(kind))
-
     def texts(self, streams: Iterator[bytes]) -> None:
         self.heads.add(streams)
 
@@ -279,30 +279,45 @@ class Counts:
             first[begin + PAD] = True
             self.weighted(pair, reps, {0: two, 1: four}, begin, counts[at:at + 3000], {0: first})
 
-    def weighted(self, pair: np.ndarray, reps: np.ndarray, contexts: dict[int, np.ndarray], begin: np.ndarray, times: np.ndarray, only: dict[int, np.ndarray]) -> None:
+    def weighted(self, pair: np.ndarray, reps: np.ndarray, contexts: dict[int, np.ndarray], begin: np.ndarray,
+                 times: np.ndarray, only: dict[int, np.ndarray]) -> None:
         """Count decisions, ``times`` for each stream; in a table only those of bytes where ``only`` is true."""
         _, slots, bit = self.coder.expand(pair, reps, contexts)
-        times = np.repeat(times, np.add.reduceat(reps, begin))
+        times = np.repeat(times, np.add.reduceat(reps, begin)).astype(self.tables[0].dtype, copy=False)
         for i, slot in slots.items():
-            own = np.repeat(only[i], reps) if i in only else slice(None)
-            self.add(slot[own], bit[own], i, times[own])
+            slot <<= 1
+            slot += bit
+            if i in only:
+                own = np.flatnonzero(np.repeat(only[i], reps))
+                np.add.at(self.tables[i], np.take(slot, own), np.take(times, own))
+            else:
+                np.add.at(self.tables[i], slot, times)
 
     def words(self, words: list[str], counts: np.ndarray, tables: tuple[int, ...] = (0, 1, 2)) -> None:
         """Count the decisions of words and of ends, as often as each occurs: all after the word so far, those
         after four bytes past the heads, and those after two bytes past the first."""
-        todo = ((w.encode() + (b"" if w == END else b" "), c) for w, c in zip(words, counts.tolist()))
-        pieces = ((p, h, c) for w, c in todo for p, h in pieces_of(w))
-        while batch := list(islice(pieces, 4000)):
-            texts, known, times = zip(*batch)
-            pair, reps, contexts, begin = self.coder.contexts(texts)
-            known, lengths = np.array(known), np.fromiter(map(len, texts), np.int64, len(texts))
-            for b, h in zip(begin[known > 0], known[known > 0]):
-                reps[b:b + h] = 0
-            past = {i: np.ones(len(reps), bool) for i in (0, 1)}
-            past[0][begin] = False
-            for k in range(HEAD):
-                past[1][begin[lengths > k] + k] = False
-            self.weighted(pair, reps, {i: contexts[i] for i in tables}, begin, np.array(times, np.uint64), past)
+        for at in range(0, len(words), 4000):
+            texts = [w.encode() + (b"" if w == END else b" ") for w in words[at:at + 4000]]
+            times = np.asarray(counts[at:at + 4000]).astype(np.uint64)
+            short = [w for w in texts if len(w) <= 2 * CHUNK]
+            if len(short) < len(texts):
+                for w, c in zip(texts, times):
+                    for piece, known in pieces_of(w) if len(w) > 2 * CHUNK else ():
+                        self.some_words([piece], np.array([c]), tables, known)
+                times = times[[len(w) <= 2 * CHUNK for w in texts]]
+            if short:
+                self.some_words(short, times, tables)
+
+    def some_words(self, texts: list[bytes], times: np.ndarray, tables: tuple[int, ...], known: int = 0) -> None:
+        """Of a piece of a word, the first ``known`` bytes are counted already."""
+        pair, reps, contexts, begin = self.coder.contexts(texts)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        reps[begin[0]:begin[0] + known] = 0
+        past = {i: np.ones(len(reps), bool) for i in (0, 1)}
+        past[0][begin] = False
+        for k in range(HEAD):
+            past[1][begin[lengths > k] + k] = False
+        self.weighted(pair, reps, {i: contexts[i] for i in tables}, begin, times, past)
 
     def finish(self) -> list[np.ndarray]:
         """The tables, with all heads counted."""
@@ -381,22 +396,28 @@ class Lookup:
 
 
 class Parts:
-    """The heads and tails of the words that a scoring task has met, with their costs.  Equal parts have equal
+    """The heads and tails of the words that a scoring worker has met, with their costs.  Equal parts have equal
     decisions, so each is looked up once, and kept until too much is; so is what ``known`` says of a word.
     Words of up to eight bytes are looked up by these as a number."""
 
     def __init__(self, coder: Coder, tables: list[np.ndarray], mixer: dict, known: Callable = lambda word, other: other):
         self.coder, self.tables, self.mixer, self.known = coder, tables, mixer, known
-        self.forget()
-
-    def forget(self) -> None:
         self.heads, self.short = Lookup(1), Lookup(2)
         self.long, self.long_values, self.long_size = Numbers(), np.zeros((0, 2)), 0
 
+    def forget(self, most: int = PART_BYTES) -> None:
+        """Start again what has become larger than ``most`` bytes."""
+        if 16 * len(self.heads.values) > most:
+            self.heads = Lookup(1)
+        if 24 * len(self.short.values) > most:
+            self.short = Lookup(2)
+        if self.long_size > most:
+            self.long, self.long_values, self.long_size = Numbers(), np.zeros((0, 2)), 0
+
     def costs(self, pair: np.ndarray, reps: np.ndarray, contexts: list[np.ndarray], begin: np.ndarray) -> np.ndarray:
         """Sums over the decisions of each part (zero where it has none)."""
         depth, slots, bit = self.coder.expand(pair, reps, dict(enumerate(contexts)))
-        cost = costs_of(depth, [np.take(t, s) for t, s in zip(self.tables, slots.values())], bit, self.mixer)
+        cost = costs_of(depth, [looked_up(t, s) for t, s in zip(self.tables, slots.values())], bit, self.mixer)
         n = np.add.reduceat(reps, begin)
         out, some = np.zeros(len(n)), n > 0
         if some.any():
@@ -410,8 +431,7 @@ class Parts:
 
     def of(self, streams: list[bytes], words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Of each word (and line end) of some short streams, in order: log10 probability, and what is known of it."""
-        if 16 * len(self.heads.values) + 24 * len(self.short.values) + self.long_size > PART_BYTES:
-            self.forget()
+        self.forget()
         x = padded(streams)
         keys = head_keys(x)
         cost = self.heads.of(keys, lambda at: np.concatenate([
@@ -459,8 +479,16 @@ def squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def quantised(x: np.ndarray) -> np.ndarray:
-    return ((np.clip(x, -QLIMIT, QLIMIT - 1e-3) + np.float32(QLIMIT)) * np.float32(QUANTA / (2 * QLIMIT))).astype(np.int32)
+def places(depth: np.ndarray, mixed: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Numbers of (depth, quantum of the mixed logit, bit)."""
+    x = np.clip(mixed, -QLIMIT, QLIMIT - 1e-3)
+    x += np.float32(QLIMIT)
+    x *= np.float32(QUANTA / (2 * QLIMIT))
+    place = x.astype(np.int32).astype(np.intp)
+    place += np.take(np.arange(DEPTHS) * QUANTA, depth)
+    place <<= 1
+    place += bit
+    return place
 
 
 class Mixer:
@@ -488,15 +516,19 @@ class Mixer:
                 term = np.take(row, g, mode="clip")
                 term *= x
                 mixed += term
-            error = (target[s] - squash(mixed)).astype(np.float64)
+            # target - 1 / (1 + exp(-mixed))
+            error = np.negative(mixed)
+            np.exp(error, out=error)
+            error += 1
+            np.divide(1, error, out=error)
+            error = np.subtract(target[s], error, out=error).astype(np.float64)
             seen = np.bincount(g, minlength=64)
             change = np.stack([*(np.bincount(g, weights=error * x, minlength=64) for x in xs), 0.3 * np.bincount(g, weights=error, minlength=64)], axis=1)
             self.weights += 0.02 / math.sqrt(1 + self.steps / 500) * change / np.sqrt(np.maximum(seen, 1))[:, None]
             self.used += seen
             self.steps += 1
         # the map's counts of all batches at once
-        place = (depth.astype(np.intp) * QUANTA + quantised(all_mixed)) * 2 + bit
-        both = np.bincount(place, minlength=2 * len(self.total)).reshape(-1, 2)
+        both = np.bincount(places(depth, all_mixed, bit), minlength=2 * len(self.total)).reshape(-1, 2)
         self.total += both.sum(axis=1)
         self.ones += both[:, 1]
 
@@ -504,11 +536,11 @@ class Mixer:
         long: list[bytes] = []
         for b in batches_of(short_of(iter(streams), long)):
             depth, slots, bit, _ = coder.decisions(b)
-            self.learn(depth, bit, [np.take(t, s) for t, s in zip(tables, slots)])
+            self.learn(depth, bit, [looked_up(t, s) for t, s in zip(tables, slots)])
         for piece, context in (p for s in long for p in pieces_of(s)):
             depth, slots, bit, _ = coder.decisions([piece])
             skip = coder.skipped(piece[:context])
-            self.learn(depth[skip:], bit[skip:], [np.take(t, s[skip:]) for t, s in zip(tables, slots)])
+            self.learn(depth[skip:], bit[skip:], [looked_up(t, s[skip:]) for t, s in zip(tables, slots)])
 
 
 def mixer_of(weights: np.ndarray, total: np.ndarray, ones: np.ndarray) -> dict:
@@ -534,7 +566,7 @@ def learn_mixer(streams: list[bytes], coder: Coder, tables: list[np.ndarray], ro
 def decision_costs(streams: list[bytes], coder: Coder, tables: list[np.ndarray], mixer: dict) -> tuple[np.ndarray, np.ndarray]:
     """log10 probability of each decision, and where each stream starts."""
     depth, slots, bit, starts = coder.decisions(streams)
-    return costs_of(depth, [np.take(t, s) for t, s in zip(tables, slots)], bit, mixer), starts
+    return costs_of(depth, [looked_up(t, s) for t, s in zip(tables, slots)], bit, mixer), starts
 
 
 def costs_of(depth: np.ndarray, codes: list[np.ndarray], bit: np.ndarray, mixer: dict) -> np.ndarray:
@@ -542,9 +574,8 @@ def costs_of(depth: np.ndarray, codes: list[np.ndarray], bit: np.ndarray, mixer:
     mixed = np.take(mixer["bias"], gate)
     row = gate << 8
     for lut, c in zip(mixer["lut"], codes):
-        mixed += np.take(lut, row + c)
-    place = (depth.astype(np.intp) * QUANTA + quantised(mixed)) * 2 + bit
-    return np.take(mixer["cost"], place)
+        mixed += looked_up(lut, row + c)
+    return looked_up(mixer["cost"], places(depth, mixed, bit))
 
 
 def log10_probabilities(streams: list[bytes], coder: Coder, tables: list[np.ndarray], mixer: dict) -> list[float]:
@@ -830,12 +861,14 @@ def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
     tail = words.where(level < F.lit(float(least))).select("word", "c")
     top = written(spark, words.where(level >= F.lit(float(least))).select("word", "c").repartition(8), "head")
     logs = {r["word"].encode(): math.log10(r["c"] + 0.5) for r in top.toLocalIterator()}
-    model = spark.sparkContext.broadcast((tree, tables, mixer, logs))
+    model = spark.sparkContext.broadcast((tree, tables, mixer, logs, []))
     del logs
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, tables, mixer, logs = model.value
-        parts = Parts(Coder(tree), tables, mixer, logs.get)
+        tree, tables, mixer, logs, kept = model.value
+        if not kept:  # what a worker remembers from one task to the next
+            kept.append(Parts(Coder(tree), tables, mixer, logs.get))
+        parts = kept[0]
         for batch in batches:
             for at in range(0, len(batch), 400):
                 part = batch.slice(at, 400)

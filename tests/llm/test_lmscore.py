@@ -229,3 +229,39 @@ def test_counts_of_a_whole_corpus_do_not_wrap(spark, model):
     counts = lmscore.Counts(coder, np.uint64)
     counts.words(["abc", "abd"], np.array([many, 3]))
     assert (codes == lmscore.codes_of(counts.tables[2][::2].astype(float), counts.tables[2][1::2].astype(float))).all()
+
+
+def test_scoring_looks_each_part_of_a_word_up_once(texts, model, monkeypatch):
+    """Sums over remembered heads and tails are those over all decisions; texts met again need no decision."""
+    coder, codes, mixer, _ = model
+    odd = ["", "\x00", "a\x00 \x00", "abcdefg\x00 abcdefg abcdefgh abcdefghi", "x y z", "é 世界 " + "q" * 5000, " ".join(texts[:300]), "z" * 70_000]
+    words = [lmscore.split_words(t) for t in [*texts[1000:1200], *odd]]
+    streams = list(map(lmscore.stream_of, words))
+    want = lmscore.log10_probabilities(streams, coder, codes, mixer)
+    made, expand = [], lmscore.Coder.expand
+
+    def counting(self, pair, reps, contexts):
+        made.append(int(reps.sum()))
+        return expand(self, pair, reps, contexts)
+
+    monkeypatch.setattr(lmscore.Coder, "expand", counting)
+    parts = lmscore.Parts(coder, codes, mixer, {b"x": -1.5, b"abcdefghi": -2.5}.get)
+    for again in range(2):
+        rows = list(lmscore.text_scores(words, parts))
+        assert all(abs(r[4] - w) <= 1e-9 * abs(w) for r, w in zip(rows, want))
+    assert [r[:2] for r in rows] == [(len(s), len(w) + 1) for s, w in zip(streams, words)]
+    known = [[w for w in ws if w in (b"x", b"abcdefghi")] for ws in words]
+    assert [r[2:4] for r in rows] == [(len(k), sum(-1.5 if w == b"x" else -2.5 for w in k)) for k in known]
+    assert all(dict(zip(*r[5:])) == Counter(w for w in [*ws, b"\n"] if w not in (b"x", b"abcdefghi")) for r, ws in zip(rows, words))
+    made.clear()
+    short = [w for w, s in zip(words, streams) if len(s) <= 2 * lmscore.CHUNK]
+    assert len(short) < len(words) and len(list(lmscore.text_scores(short, parts))) == len(short) and sum(made) == 0
+    parts.forget(0)  # changes no result
+    assert not parts.long and abs(list(lmscore.text_scores(short, parts))[0][4] - want[0]) <= 1e-9 * abs(want[0])
+
+
+def test_pairs_of_counted_words_are_those_of_the_texts(spark, texts):
+    df = spark.createDataFrame([(t, i % 2) for i, t in enumerate([*texts[:50], "", "É x"])], "text string, fold int").repartition(3)
+    words = lmscore.counted(df).where("word is not null").selectExpr("word", "c0 + c1 as c")
+    plain = sum(lmscore.pairs_of(b" " + s) for s in streams_of([*texts[:50], "", "É x"]))
+    assert (lmscore.pair_counts(words) == plain).all()
